@@ -91,11 +91,16 @@ def manifest_batches(df: DataFrame, batch: str, order: str, content: str, name:
     return df.groupBy(batch).agg(F.array_join(F.transform(rows, lambda r: r[content]), "\n").alias(name))
 
 
-def inject_json(document: Column, schema: str, name: str, value: Column) -> Column:
-    """A JSON object with one more top-level field; text that is no object stays as it is."""
-    parsed = F.from_json(document, schema)
-    broken = parsed.isNull() | ~F.coalesce(F.trim(document).startswith("{"), F.lit(False))
-    return F.when(broken, document).otherwise(F.to_json(parsed.withField(name, value)))
+def inject_json(document: Column, name: str, value: Column) -> Column:
+    """A JSON object with one more top-level field, all others kept whatever they are.
+
+    Text that is no JSON object, or a NULL value, leaves the document as it is.
+    """
+    fields = F.try_parse_json(document).cast("map<string,variant>")
+    others = F.map_filter(fields, lambda k, _: k != name)
+    added = F.map_concat(F.create_map(F.lit(name), F.parse_json(F.to_json(value))), others)
+    is_object = F.schema_of_variant(F.try_parse_json(document)).startswith("OBJECT")
+    return F.when(is_object & value.isNotNull(), F.to_json(added)).otherwise(document)
 
 
 def lineage(df: DataFrame, key: str, fields: Mapping[str, tuple[Sequence[str], bool]]) -> DataFrame:

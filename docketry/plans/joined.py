@@ -105,9 +105,9 @@ def anti_join_null(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "anti_join_null_aware",
-    """WITH some AS (SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F'),
+    """WITH full_keys AS (SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F'),
             holed AS (SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_custkey END AS k FROM orders WHERE o_orderstatus = 'F')
-       SELECT 'whole' AS keys, c_custkey FROM customer WHERE c_custkey NOT IN (SELECT k FROM some)
+       SELECT 'whole' AS keys, c_custkey FROM customer WHERE c_custkey NOT IN (SELECT k FROM full_keys)
        UNION ALL SELECT 'holed', c_custkey FROM customer WHERE c_custkey NOT IN (SELECT k FROM holed)""",
 )
 def anti_join_null_aware(spark: SparkSession, sf: str) -> DataFrame:
