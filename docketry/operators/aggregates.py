@@ -22,7 +22,7 @@ def balance(df: DataFrame, keys: Sequence[str], amount: Column, name: str, rever
     """Sum per key over the rows that no reversal refers to."""
     rows = df if where is None else df.filter(where)
     if reversed_rows is not None:
-        rows = rows.join(reversed_rows, list(on), "left_anti")
+        rows = rows.join(reversed_rows.select(*on).distinct(), list(on), "left_anti")
     return rows.groupBy(*keys).agg(F.sum(amount).alias(name))
 
 

@@ -86,9 +86,12 @@ def manifest_lines(key: Column, metadata: Mapping[str, Column], publisher: str,
 
 
 def manifest_batches(df: DataFrame, batch: str, order: str, content: str, name: str = "manifest") -> DataFrame:
-    """One newline-joined manifest per batch; the batch size bounds the collected lines."""
+    """One newline-joined manifest per batch with its number of records; the batch size bounds the
+    collected lines."""
     rows = F.sort_array(F.collect_list(F.struct(order, content)))
-    return df.groupBy(batch).agg(F.array_join(F.transform(rows, lambda r: r[content]), "\n").alias(name))
+    return df.groupBy(batch).agg(
+        F.count(F.lit(1)).alias("records"), F.array_join(F.transform(rows, lambda r: r[content]), "\n").alias(name)
+    )
 
 
 def inject_json(document: Column, name: str, value: Column) -> Column:

@@ -15,15 +15,23 @@ def star(base: DataFrame, dims: Sequence[tuple[DataFrame, Column | str | list[st
 
 
 def restrict(df: DataFrame, segment: DataFrame, key: str, take: Sequence[str] = ()) -> DataFrame:
-    """Rows whose key is in the segment; with ``take`` also those segment columns."""
+    """Rows whose key is in the segment; with ``take`` also those segment columns.
+
+    The segment is reduced to distinct keys before the join, so a key repeated many times in it
+    collapses map-side.
+    """
     if not take:
-        return df.join(segment.select(key), key, "left_semi")
+        return df.join(segment.select(key).distinct(), key, "left_semi")
     return df.join(segment.select(key, *take).distinct(), key, "inner")
 
 
 def exclude(df: DataFrame, keys: DataFrame, on: str | list[str] | Column, null_aware: bool = False) -> DataFrame:
-    """Rows without a partner. ``null_aware`` follows NOT IN: a NULL on the right removes every row."""
-    kept = df.join(keys, on, "left_anti")
+    """Rows without a partner. ``null_aware`` follows NOT IN: a NULL on the right removes every row.
+
+    Repeated keys collapse map-side before the join.
+    """
+    names = [on] if isinstance(on, str) else on if isinstance(on, list) else keys.columns
+    kept = df.join(keys.select(*names).distinct(), on, "left_anti")
     if not null_aware:
         return kept
     name = on if isinstance(on, str) else on[0]

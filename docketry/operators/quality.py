@@ -38,12 +38,18 @@ def drop_invalid(df: DataFrame, rules: Rules) -> DataFrame:
     return df.filter(valid_column(rules))
 
 
+def mark(df: DataFrame, rules: Rules) -> DataFrame:
+    """Every row with ``is_valid`` and the names of its failed rules, for a sink partitioned by validity."""
+    return df.withColumn("failed_rules", failed_rules(rules)).withColumn("is_valid", F.size("failed_rules") == 0)
+
+
 def quarantine(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, invalid rows with the names of the failed rules); sizes add up to the input."""
-    checked = validate(df, rules)
-    valid = checked.filter("is_valid").drop("is_valid")
-    invalid = checked.filter(~F.col("is_valid")).withColumn("failed_rules", failed_rules(rules)).drop("is_valid")
-    return valid, invalid
+    """(valid rows, invalid rows with the names of the failed rules); sizes add up to the input.
+
+    Both sides evaluate ``df``; hand in a written table, or use ``mark`` and one partitioned write.
+    """
+    marked = mark(df, rules)
+    return marked.filter("is_valid").drop("is_valid", "failed_rules"), marked.filter(~F.col("is_valid")).drop("is_valid")
 
 
 def quarantine_path(path: Column, valid: Column, valid_folder: str = "/JSON/", invalid_folder: str = "/INVALID_JSON/") -> Column:

@@ -50,7 +50,7 @@ def stage_matrix(df: DataFrame, stage: str, key: str, success: Column) -> DataFr
 
 def missing_events(published: DataFrame, acknowledged: DataFrame, key: str) -> DataFrame:
     """Keys published but never acknowledged."""
-    return published.select(key).distinct().join(acknowledged.select(key), key, "left_anti")
+    return published.select(key).distinct().join(acknowledged.select(key).distinct(), key, "left_anti")
 
 
 def replay_report(missing: DataFrame, log: DataFrame, key: str, payload: Sequence[str]) -> DataFrame:
@@ -75,8 +75,14 @@ def trace(published: DataFrame, steps: Mapping[str, DataFrame], key: str, status
 
 def audit_totals(stages: Mapping[str, DataFrame], key: str) -> DataFrame:
     """Row and distinct-key totals per stage, long format."""
-    per_key = reduce(
+    rows = reduce(
         lambda a, b: a.unionByName(b),
         [df.select(F.lit(name).alias("stage"), F.col(key).alias("_key")) for name, df in stages.items()],
-    ).groupBy("stage", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    return totals_long(rows, "stage", "_key")
+
+
+def totals_long(df: DataFrame, stage: str, key: str) -> DataFrame:
+    """``audit_totals`` for stages that are already rows of one table."""
+    per_key = df.groupBy(F.col(stage).alias("stage"), F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
     return per_key.groupBy("stage").agg(F.sum("_n").alias("row_count"), F.count("_key").alias("key_count"))

@@ -20,9 +20,9 @@ def _name(order: Column | str) -> Column:
     return F.col(order) if isinstance(order, str) else order
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> DataFrame | None:
     """The keys with more than ``hot_rows`` rows, or None when there are none."""
-    hot = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    hot = df.groupBy(*keys).count().filter(F.col("count") > (HOT_ROWS if hot_rows is None else hot_rows)).select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
     if hot.isEmpty():
         return None
     return materialise(hot, "hot-keys")
@@ -72,7 +72,7 @@ def rank_within(
     keys: list[str],
     order: list[Column | str],
     name: str = "rn",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """``row_number`` per key; ``order`` must be total inside a key."""
     cols = [_name(o) for o in order]

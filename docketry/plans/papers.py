@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from docketry.functions import arrays, dates, text
 from docketry.operators import aggregates, documents, joins, ranking
+from docketry.operators.projection import map_lookup
 from docketry.plans.joined import ALLOWED_PAIRS, LINE_ORDER
 from docketry.plans.registry import query
 from docketry.plans.rows import PRIORITY_BANDS
-from docketry.operators.projection import map_lookup
 from docketry.sources.files import table
 
 AS_OF = "1998-12-01"
@@ -129,9 +129,7 @@ def manifest_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Numbered first on the narrow key columns; the text is built after the sort."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     batches = ranking.batch(orders, ["o_orderkey"], 250).withColumn("m", _manifest())
-    manifests = documents.manifest_batches(batches, "batch_id", "o_orderkey", "m")
-    sizes = batches.groupBy("batch_id").agg(F.count(F.lit(1)).alias("records"))
-    return manifests.join(sizes, "batch_id").select("batch_id", "records", "manifest")
+    return documents.manifest_batches(batches, "batch_id", "o_orderkey", "m")
 
 
 @query(
