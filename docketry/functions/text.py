@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 SPACES = r"(?U)\s+"
 BLANKS = " \t\n\r\f\x0b"
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+PUNCTUATION = r"\p{Punct}"
 # One stray mark of each kind, outermost first, as seen from either end of a value.
 LEADING_MARKS = r"^\.?,?[()]?:?\*?;?\??"
 TRAILING_MARKS = r"\??;?\*?:?[()]?,?\.?$"
@@ -102,31 +102,36 @@ def postcode_valid(raw: Column) -> Column:
 
 
 def strip_punctuation(text: Column) -> Column:
-    return F.translate(text, PUNCTUATION, "")
+    return F.regexp_replace(text, PUNCTUATION, "")
+
+
+def words(text: Column) -> Column:
+    """Space-separated words without line breaks or tabs at their ends."""
+    return F.split(F.btrim(text, F.lit(BLANKS)), r"[\t\n\r\f\x0b]* [\t\n\r\f\x0b]*")
 
 
 def name_in_text(text: Column, names: Sequence[str]) -> Column:
     """The last word that is a name; else the last one once punctuation is dropped; else the first one
-    after splitting on commas and dots too. '' without a match, NULL for NULL text."""
-    known = [n.lower() for n in names]
+    after splitting on commas and dots too. '' without a match, NULL for NULL text.
 
-    def is_name(word: Column) -> Column:
-        return F.btrim(word, F.lit(BLANKS)).isin(*known)
+    ``array_intersect`` keeps the order of its first array, so its first entry is the first match; all
+    steps run on whole arrays without a function per word.
+    """
+    known = F.array(*[F.lit(n.lower()) for n in names])
 
-    def bare(word: Column) -> Column:
-        return F.btrim(strip_punctuation(word), F.lit(BLANKS))
+    def first(items: Column) -> Column:
+        return F.try_element_at(F.array_intersect(items, known), F.lit(1))
 
     def pick(low: Column) -> Column:
-        words = F.split(low, " ")
-        pieces = F.split(low, r"[,.\s]+")
+        pieces = F.regexp_replace(low, r"[\p{Punct}&&[^,.]]", "")
         return F.coalesce(
-            F.btrim(F.try_element_at(F.filter(words, is_name), F.lit(-1)), F.lit(BLANKS)),
-            F.try_element_at(F.filter(F.transform(words, bare), lambda w: w.isin(*known)), F.lit(-1)),
-            F.try_element_at(F.filter(F.transform(pieces, bare), lambda w: w.isin(*known)), F.lit(1)),
+            first(F.reverse(words(low))),
+            first(F.reverse(words(strip_punctuation(low)))),
+            first(F.split(pieces, r"[,.\s]+")),
             F.lit(""),
         )
 
-    return F.when(text.isNotNull(), F.initcap(bind(F.lower(text), pick)))
+    return F.when(text.isNotNull(), F.initcap(pick(F.lower(text))))
 
 
 def first_contained(text: Column, names: Sequence[str]) -> Column:

@@ -6,6 +6,8 @@ that known value.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ NAMES = [
 ]
 _IN_NAMES = ", ".join(f"'{n.lower()}'" for n in NAMES)
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-_MARKS = "'" + text.PUNCTUATION.replace("'", "''") + "'"
+_MARKS = "'" + string.punctuation.replace("'", "''") + "'"
 
 
 def variant(key: Column, *options: Column) -> Column:
