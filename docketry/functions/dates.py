@@ -78,6 +78,6 @@ def half_hours(minutes: Column) -> Column:
 
 
 def nearest(value: Column, allowed: Sequence[int]) -> Column:
-    """The allowed value closest to ``value``; the lower one wins a tie."""
+    """The allowed value closest to ``value``; the lower one wins a tie, the lowest stands for NULL."""
     ranked = F.array(*[F.struct(F.abs(F.lit(a) - value).alias("gap"), F.lit(a).alias("value")) for a in allowed])
     return F.array_min(ranked).getField("value")
