@@ -102,18 +102,24 @@ _finished_before = (
 )
 
 
-def segment_rules(as_of: str) -> list[tuple[str, str]]:
-    """Retention segments; decided cases stay live for six months after the decision."""
+LIVE = "Live"
+
+
+def segment_rules(as_of: str, live: str = LIVE) -> list[tuple[str, str]]:
+    """Retention segments; decided cases stay live for six months after the decision.
+
+    ``live`` is the label of the cases that move to the live case system.
+    """
     recent = "CAST({r}.DecisionDate AS DATE) + INTERVAL 6 MONTH >= DATE '" + as_of + "'"
     main_first = f"(({_in('ac.CasePrefix', MAIN_PREFIXES)} AND us.CaseStatus IS NULL) OR ({_in('ac.CasePrefix', DROPPED_PREFIXES)} AND ac.HOANRef IS NULL) OR {_dropped_recent})"
     return [
-        ("CCD", f"{_upper} AND t.Outcome = 86"),
+        (live, f"{_upper} AND t.Outcome = 86"),
         ("UT Active", f"{_upper} AND t.Outcome = 0"),
         ("UT Overdue", f"{_in('ac.CasePrefix', OVERDUE_PREFIXES)} AND {_upper}"),
         ("FT Overdue", _in("ac.CasePrefix", OVERDUE_PREFIXES)),
-        ("CCD", f"(us.CaseStatus IS NOT NULL OR {_main_or_dropped}) AND {_open}"),
-        ("CCD", f"({_main_or_dropped} OR {_dropped_recent}) AND {_finished} AND {recent.replace('{r}', 't')}"),
-        ("CCD", f"{main_first} AND {SHUT} AND {_finished_before} AND {recent.replace('{r}', 'st')}"),
+        (live, f"(us.CaseStatus IS NOT NULL OR {_main_or_dropped}) AND {_open}"),
+        (live, f"({_main_or_dropped} OR {_dropped_recent}) AND {_finished} AND {recent.replace('{r}', 't')}"),
+        (live, f"{main_first} AND {SHUT} AND {_finished_before} AND {recent.replace('{r}', 'st')}"),
     ]
 
 
@@ -172,5 +178,5 @@ def segmentation(
     ).select(KEY, "TargetState", "HighLevelSegment")
 
 
-def live_cases(segments: DataFrame) -> DataFrame:
-    return segments.filter(F.col("HighLevelSegment") == "CCD")
+def live_cases(segments: DataFrame, live: str = LIVE) -> DataFrame:
+    return segments.filter(F.col("HighLevelSegment") == live)

@@ -81,7 +81,7 @@ def case_segmentation(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "case_live_states",
-    f"SELECT TargetState, count(*) AS n FROM ({_SEGMENT_SQL}) WHERE HighLevelSegment = 'CCD' GROUP BY 1",
+    f"SELECT TargetState, count(*) AS n FROM ({_SEGMENT_SQL}) WHERE HighLevelSegment = 'Live' GROUP BY 1",
 )
 def case_live_states(spark: SparkSession, sf: str) -> DataFrame:
     return states.live_cases(_segments(spark, sf)).groupBy("TargetState").agg(F.count(F.lit(1)).alias("n"))
@@ -102,8 +102,7 @@ def case_representation(spark: SparkSession, sf: str) -> DataFrame:
     "case_appeal_type",
     ctes("header")
     + f""" SELECT CaseNo, CASE WHEN {_OK} THEN lu_appealType END AS appealType, CASE WHEN {_OK} THEN CaseNo END AS appealReferenceNumber,
-       CASE WHEN {_OK} AND dv_representation = 'AIP' THEN 'Yes' END AS isAppealReferenceNumberAvailable,
-       CASE WHEN {_OK} THEN '' END AS ccdReferenceNumberForDisplay FROM header""",
+       CASE WHEN {_OK} AND dv_representation = 'AIP' THEN 'Yes' END AS isAppealReferenceNumberAvailable FROM header""",
 )
 def case_appeal_type(spark: SparkSession, sf: str) -> DataFrame:
     return fields.content(derive(spark, sf, "header"), fields.appeal_type())
@@ -180,7 +179,7 @@ def case_hearing_centre(spark: SparkSession, sf: str) -> DataFrame:
 )
 def case_flags(spark: SparkSession, sf: str) -> DataFrame:
     base = case_base(case_tables(spark, sf, "people", "categories"))
-    df = fields.content(base, fields.flags(AS_OF))
+    df = fields.content(base, fields.flags(SYSTEM, AS_OF))
 
     def codes(flags: Column) -> Column:
         return F.array_join(
@@ -189,7 +188,7 @@ def case_flags(spark: SparkSession, sf: str) -> DataFrame:
 
     return df.select(
         KEY, codes(F.col("caseFlags")).alias("case_flags"), codes(F.col("appellantLevelFlags.details")).alias("party_flags"),
-        F.col("appellantLevelFlags.partyName").alias("party_name"), F.col("isAriaMigratedFeeExemption").alias("fee_exemption"),
+        F.col("appellantLevelFlags.partyName").alias("party_name"), F.col("isLegacyMigratedFeeExemption").alias("fee_exemption"),
     )
 
 
@@ -265,7 +264,7 @@ _ABROAD = f"({_OK} AND {_has(38)})"
        CASE WHEN {_ABROAD} THEN CASE WHEN lu_countryGovUkOocAdminJ IS NOT NULL THEN 'KE' WHEN AppellantCountryId = 0
             THEN CASE WHEN {_APP_UK} OR {_HOME_LINE} THEN 'GB' WHEN Appellant_Address4 = 'Kenya.' THEN 'Kenya' ELSE '' END END END AS country,
        CASE WHEN {_OK} THEN CASE WHEN NationalityId = 211 THEN 'isStateless' ELSE 'hasNationality' END END AS stateless,
-       CASE WHEN {_OK} THEN CASE WHEN {_any(17, 19, 29, 30, 31, 32, 41, 48)} OR dv_CCDAppealType = 'DA' OR DeportationDate IS NOT NULL OR RemovalDate IS NOT NULL
+       CASE WHEN {_OK} THEN CASE WHEN {_any(17, 19, 29, 30, 31, 32, 41, 48)} OR dv_appealTypeCode = 'DA' OR DeportationDate IS NOT NULL OR RemovalDate IS NOT NULL
             THEN 'Yes' ELSE 'No' END END AS deport
        {_BASE_JOIN}""",
 )
@@ -298,13 +297,13 @@ def _home_office_sql(inside: str) -> str:
     return (
         ctes("header", "people", "categories", "refs")
         + f""", {_CATS}, x AS (SELECT h.CaseNo, {inside} AS inside, {_GWF} AS gwf, {_FIRST_GWF} AS first_gwf, {_CLEANED} AS clean,
-              {_d('DateOfApplicationDecision')} AS decided, dv_CCDAppealType {_BASE_JOIN}),
+              {_d('DateOfApplicationDecision')} AS decided, dv_appealTypeCode {_BASE_JOIN}),
            y AS (SELECT *, CASE WHEN inside OR NOT first_gwf THEN coalesce(clean, '999999999') END AS plain, CASE WHEN NOT inside AND gwf THEN clean END AS g FROM x)
            SELECT CaseNo, CASE WHEN inside THEN decided END AS homeOfficeDecisionDate,
              CASE WHEN NOT inside AND NOT first_gwf THEN decided END AS decisionLetterReceivedDate,
              CASE WHEN NOT inside AND gwf THEN decided END AS dateEntryClearanceDecision,
              CASE WHEN plain IS NULL AND g IS NULL THEN '999999999' ELSE plain END AS homeOfficeReferenceNumber, g AS gwfReferenceNumber,
-             CASE WHEN dv_CCDAppealType IN ('RP', 'PA') THEN 'Yes' END AS isHomeOfficeIntegrationEnabled, 'Yes' AS homeOfficeNotificationsEligible
+             CASE WHEN dv_appealTypeCode IN ('RP', 'PA') THEN 'Yes' END AS isHomeOfficeIntegrationEnabled, 'Yes' AS homeOfficeNotificationsEligible
            FROM y"""
     )
 
@@ -323,7 +322,7 @@ def case_home_office_detained(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- money
 
-_FEE = "coalesce(dv_CCDAppealType IN ('EA', 'EU', 'HU', 'PA'), false)"
+_FEE = "coalesce(dv_appealTypeCode IN ('EA', 'EU', 'HU', 'PA'), false)"
 _MONEY = """rev AS (SELECT DISTINCT ReferringTransactionId AS id FROM transactions WHERE TransactionTypeId IN (6, 19) AND ReferringTransactionId IS NOT NULL),
    rep AS (SELECT DISTINCT ReferringTransactionId AS id FROM transactions WHERE TransactionTypeId NOT IN (6, 19) AND ReferringTransactionId IS NOT NULL),
    bal AS (SELECT CaseNo, sum(Amount) AS balance, arg_max(TransactionTypeId, TransactionId) AS last_type FROM transactions
@@ -355,8 +354,8 @@ def case_payment(spark: SparkSession, sf: str) -> DataFrame:
        CASE WHEN {_FEE} THEN CASE WHEN balance > 0 OR (balance = 0 AND last_type = 19) THEN 'Payment pending' ELSE 'Paid' END END AS paymentStatus,
        CASE WHEN {_FEE} AND has_payment THEN {_d('DateCorrectFeeReceived')} END AS paidDate,
        CASE WHEN {_FEE} AND has_payment THEN coalesce(CAST(CAST(trunc(paid) AS BIGINT) AS STRING), '0') END AS paidAmount,
-       CASE WHEN dv_CCDAppealType = 'PA' AND dv_representation = 'LR' THEN 'payLater' END AS paAppealTypePaymentOption,
-       CASE WHEN dv_CCDAppealType IN ('DC', 'RP') THEN CASE VisitVisaType WHEN 1 THEN 'decisionWithoutHearing' WHEN 2 THEN 'decisionWithHearing' END END AS rpDcAppealHearingOption
+       CASE WHEN dv_appealTypeCode = 'PA' AND dv_representation = 'LR' THEN 'payLater' END AS paAppealTypePaymentOption,
+       CASE WHEN dv_appealTypeCode IN ('DC', 'RP') THEN CASE VisitVisaType WHEN 1 THEN 'decisionWithoutHearing' WHEN 2 THEN 'decisionWithHearing' END END AS rpDcAppealHearingOption
        FROM header h LEFT JOIN bal USING (CaseNo) LEFT JOIN paid USING (CaseNo)""",
 )
 def case_payment_made(spark: SparkSession, sf: str) -> DataFrame:
@@ -384,7 +383,7 @@ def _cell(column: str) -> str:
        CASE WHEN {_REMIT_OK} AND r.asylumSupportReference <> 'OMIT' THEN coalesce(ASFReferenceNo, 'Unknown') END AS asylumSupportReference,
        CASE WHEN {_REMIT_OK} AND r.helpWithFeesReferenceNumber NOT IN ('OMIT', 'NO MAPPING REQUIRED') THEN coalesce(PaymentRemissionReasonNote, 'Unknown') END AS helpWithFeesReferenceNumber,
        CASE WHEN NOT {_FEE} THEN NULL WHEN PaymentRemissionGranted = 1 OR (coalesce(PaymentRemissionGranted, 0) = 0 AND has5) THEN 'approved'
-            WHEN PaymentRemissionGranted = 2 OR (dv_CCDAppealType <> 'PA' AND coalesce(PaymentRemissionGranted, 0) = 0 AND NOT has5) THEN 'rejected' END AS remissionDecision,
+            WHEN PaymentRemissionGranted = 2 OR (dv_appealTypeCode <> 'PA' AND coalesce(PaymentRemissionGranted, 0) = 0 AND NOT has5) THEN 'rejected' END AS remissionDecision,
        CASE WHEN {_FEE} AND PaymentRemissionGranted = 1 THEN CAST(CAST(trunc(remitted * 100) AS BIGINT) AS STRING) END AS amountRemitted,
        CASE WHEN {_FEE} AND PaymentRemissionGranted = 1 THEN CAST(CAST(trunc(left_to_pay) AS BIGINT) AS STRING) END AS amountLeftToPay
        FROM x LEFT JOIN rem USING (CaseNo) LEFT JOIN due USING (CaseNo)
@@ -684,7 +683,7 @@ _OVERRIDE = " ".join(
 
 
 def _override_sql(place: int, before: str = "", after: str = "") -> str:
-    return "CASE " + _OVERRIDE.format(*[before + v[place] + after for v in fields.END_OVERRIDES.values()])
+    return "CASE " + _OVERRIDE.format(*[before + v[place].format(target='LIVE') + after for v in fields.END_OVERRIDES.values()])
 
 
 @query(
@@ -702,7 +701,7 @@ def _override_sql(place: int, before: str = "", after: str = "") -> str:
 )
 def case_ended(spark: SparkSession, sf: str) -> DataFrame:
     base = fields.with_end_states(case_base(case_tables(spark, sf, "statuses"), {"ended": fields.ENDED_FIELDS}), lookup(spark, "end_states"))
-    return fields.content(base, fields.ended(SYSTEM))
+    return fields.content(base, fields.ended(SYSTEM, "LIVE"))
 
 
 @query(

@@ -33,7 +33,7 @@ HEADER = {
     "CaseNo": case_no(_O),
     "CaseType": "1",
     "CasePrefix": prefix(_O),
-    "dv_CCDAppealType": _case(_O, 10, "'EA'", "'HU'", "'PA'", "'DC'", "'RP'", "'DA'", "'EU'", "'PA'", "NULL", "'EA'"),
+    "dv_appealTypeCode": _case(_O, 10, "'EA'", "'HU'", "'PA'", "'DC'", "'RP'", "'DA'", "'EU'", "'PA'", "NULL", "'EA'"),
     "lu_appealType": _case(
         _O, 10, "'refusalOfEu'", "'refusalOfHumanRights'", "'protection'", "'deprivation'", "'revocationOfProtection'",
         "'refusalOfHumanRights'", "'euSettlementScheme'", "'protection'", "NULL", "'refusalOfEu'",

@@ -61,12 +61,12 @@ def status_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "distinct_by_suffix",
     """SELECT suffix, count(DISTINCT file_name) AS files FROM (
-         SELECT CASE event_type WHEN 'view' THEN 'html' WHEN 'click' THEN 'json' ELSE 'a360' END AS suffix,
+         SELECT CASE event_type WHEN 'view' THEN 'html' WHEN 'click' THEN 'json' ELSE 'manifest' END AS suffix,
                 user_id || '.' || suffix AS file_name FROM events) GROUP BY 1""",
 )
 def distinct_by_suffix(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct first, then count: each step combines map-side, whatever one suffix holds."""
-    suffix = F.when(F.col("event_type") == "view", "html").when(F.col("event_type") == "click", "json").otherwise("a360")
+    suffix = F.when(F.col("event_type") == "view", "html").when(F.col("event_type") == "click", "json").otherwise("manifest")
     named = table(spark, sf, "events").select(
         suffix.alias("suffix"), F.concat_ws(".", F.col("user_id").cast("string"), suffix).alias("file_name")
     )
