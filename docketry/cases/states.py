@@ -34,7 +34,7 @@ UNASSIGNED = "Not Sure"
 STATE_FIELDS = ["CaseStatus", "Outcome", "KeyDate", "DecisionReserved", "AdjudicatorId", "DecisionDate"]
 
 
-def _in(column: str, values: Sequence) -> str:
+def one_of(column: str, values: Sequence) -> str:
     return f"{column} IN ({', '.join(repr(v) for v in values)})"
 
 
@@ -57,7 +57,7 @@ _early_open = "({r}.CaseStatus IS NULL OR " + _codes({10: [0]}) + " OR " + SET_A
 _few_documents = "(dr.ReceivedDocumentId <= 2 OR dr.ReceivedDocumentId IS NULL)"
 _evidence_due = "(dr.ReceivedDocumentId = 3 AND dr.DateReceived IS NULL)"
 _evidence_in = "(dr.ReceivedDocumentId = 3 AND dr.DateReceived IS NOT NULL)"
-_no_fee_due = f"(({_in('ac.CasePrefix', PAID_PREFIXES)} AND (bd.balance <= 0 OR bd.balance IS NULL)) OR {_in('ac.CasePrefix', OTHER_PREFIXES)})"
+_no_fee_due = f"(({one_of('ac.CasePrefix', PAID_PREFIXES)} AND (bd.balance <= 0 OR bd.balance IS NULL)) OR {one_of('ac.CasePrefix', OTHER_PREFIXES)})"
 _under_review = (
     f"((({pair('t.', {10: [121, 109, 99, 82, 104]})} AND {_evidence_in}) OR {pair('t.', REVIEW)})"
     f" OR ({HELD} AND {pair('st.', REVIEW)} AND {_evidence_in}))"
@@ -71,7 +71,7 @@ _permission = "(" + _codes(PERMISSION_DECIDED) + " OR ({r}.CaseStatus = 46 AND {
 _ended = "(" + _codes(ENDED_EARLY) + " OR ({r}.CaseStatus = 46 AND {r}.Outcome = 31 AND sa.CaseStatus IN (10, 51, 52)))"
 
 STATE_RULES: list[tuple[str, str]] = [
-    ("paymentPending", f"{_in('ac.CasePrefix', PAID_PREFIXES)} AND {_now_or_held(_early)} AND {_few_documents} AND bd.balance > 0"),
+    ("paymentPending", f"{one_of('ac.CasePrefix', PAID_PREFIXES)} AND {_now_or_held(_early)} AND {_few_documents} AND bd.balance > 0"),
     ("appealSubmitted", f"{_no_fee_due} AND {_now_or_held(_early)} AND {_few_documents}"),
     ("awaitingRespondentEvidence(a)", f"{_now_or_held(_early)} AND {_evidence_due}"),
     ("awaitingRespondentEvidence(b)", f"{_now_or_held(_early_open)} AND {_evidence_in}"),
@@ -89,15 +89,16 @@ STATE_RULES: list[tuple[str, str]] = [
     ("remitted", "t.CaseStatus IN (40, 41, 42, 43, 44, 53) AND t.Outcome = 86"),
 ]
 
-_upper = f"t.CaseStatus IN {UPPER}"
-_main_or_dropped = f"({_in('ac.CasePrefix', MAIN_PREFIXES)} OR ({_in('ac.CasePrefix', DROPPED_PREFIXES)} AND ac.HOANRef IS NULL))"
-_dropped_recent = (
-    f"({_in('ac.CasePrefix', DROPPED_PREFIXES)} AND ac.HOANRef IS NOT NULL AND us.CaseStatus IS NOT NULL AND "
+UPPER_NOW = f"t.CaseStatus IN {UPPER}"
+MAIN_OR_DROPPED = f"({one_of('ac.CasePrefix', MAIN_PREFIXES)} OR ({one_of('ac.CasePrefix', DROPPED_PREFIXES)} AND ac.HOANRef IS NULL))"
+DROPPED = one_of("ac.CasePrefix", DROPPED_PREFIXES)
+DROPPED_RECENT = (
+    f"({one_of('ac.CasePrefix', DROPPED_PREFIXES)} AND ac.HOANRef IS NOT NULL AND us.CaseStatus IS NOT NULL AND "
     "CAST(us.DecisionDate AS DATE) + INTERVAL 60 MONTH < CAST(t.DecisionDate AS DATE) + INTERVAL 24 MONTH)"
 )
-_open = f"(t.CaseStatus IS NULL OR {pair('t.', OPEN_STATUSES)} OR (t.CaseStatus IN (52, 36) AND t.Outcome = 0 AND st.DecisionDate IS NULL))"
-_finished = f"({_decided.replace('{r}', 't')} OR {_permission.replace('{r}', 't')} OR {_ended.replace('{r}', 't')} OR {pair('t.', CLOSED_51)} OR {pair('t.', COST)})"
-_finished_before = (
+OPEN = f"(t.CaseStatus IS NULL OR {pair('t.', OPEN_STATUSES)} OR (t.CaseStatus IN (52, 36) AND t.Outcome = 0 AND st.DecisionDate IS NULL))"
+FINISHED = f"({_decided.replace('{r}', 't')} OR {_permission.replace('{r}', 't')} OR {_ended.replace('{r}', 't')} OR {pair('t.', CLOSED_51)} OR {pair('t.', COST)})"
+FINISHED_BEFORE = (
     f"({_decided.replace('{r}', 'st')} OR {_permission.replace('{r}', 'st')} OR {_ended.replace('{r}', 'st')} OR st.CaseStatus IN (17, 51))"
 )
 
@@ -111,15 +112,15 @@ def segment_rules(as_of: str, live: str = LIVE) -> list[tuple[str, str]]:
     ``live`` is the label of the cases that move to the live case system.
     """
     recent = "CAST({r}.DecisionDate AS DATE) + INTERVAL 6 MONTH >= DATE '" + as_of + "'"
-    main_first = f"(({_in('ac.CasePrefix', MAIN_PREFIXES)} AND us.CaseStatus IS NULL) OR ({_in('ac.CasePrefix', DROPPED_PREFIXES)} AND ac.HOANRef IS NULL) OR {_dropped_recent})"
+    main_first = f"(({one_of('ac.CasePrefix', MAIN_PREFIXES)} AND us.CaseStatus IS NULL) OR ({one_of('ac.CasePrefix', DROPPED_PREFIXES)} AND ac.HOANRef IS NULL) OR {DROPPED_RECENT})"
     return [
-        (live, f"{_upper} AND t.Outcome = 86"),
-        ("UT Active", f"{_upper} AND t.Outcome = 0"),
-        ("UT Overdue", f"{_in('ac.CasePrefix', OVERDUE_PREFIXES)} AND {_upper}"),
-        ("FT Overdue", _in("ac.CasePrefix", OVERDUE_PREFIXES)),
-        (live, f"(us.CaseStatus IS NOT NULL OR {_main_or_dropped}) AND {_open}"),
-        (live, f"({_main_or_dropped} OR {_dropped_recent}) AND {_finished} AND {recent.replace('{r}', 't')}"),
-        (live, f"{main_first} AND {SHUT} AND {_finished_before} AND {recent.replace('{r}', 'st')}"),
+        (live, f"{UPPER_NOW} AND t.Outcome = 86"),
+        ("UT Active", f"{UPPER_NOW} AND t.Outcome = 0"),
+        ("UT Overdue", f"{one_of('ac.CasePrefix', OVERDUE_PREFIXES)} AND {UPPER_NOW}"),
+        ("FT Overdue", one_of("ac.CasePrefix", OVERDUE_PREFIXES)),
+        (live, f"(us.CaseStatus IS NOT NULL OR {MAIN_OR_DROPPED}) AND {OPEN}"),
+        (live, f"({MAIN_OR_DROPPED} OR {DROPPED_RECENT}) AND {FINISHED} AND {recent.replace('{r}', 't')}"),
+        (live, f"{main_first} AND {SHUT} AND {FINISHED_BEFORE} AND {recent.replace('{r}', 'st')}"),
     ]
 
 
