@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry.cases import archive, fields, payloads
-from docketry.cases.base import KEY, CaseTables, case_base
-from docketry.operators import documents, linking, projection, quality, ranking
+from docketry.cases.base import KEY, case_base
+from docketry.operators import documents, linking, projection, quality
 from docketry.plans.casework import _CATS, _CLEANED, _FIRST_GWF, _GWF, _IN_UK_HELD, NAMES, SYSTEM, _last
 from docketry.plans.casework_tables import case_no, case_tables, ctes, derive, lookup
 from docketry.plans.registry import query
@@ -136,6 +136,7 @@ def case_retention_metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- payloads
 
+JUDGE_STATES = ["caseUnderReview", "reasonsForAppealSubmitted", "prepareForHearing", "decided(b)"]
 CONTEXT = payloads.Context(SYSTEM, "LIVE", AS_OF, NAMES)
 _LOOKED_UP = {
     "listing": lambda b, s: fields.with_languages(b, lookup(s, "languages")),
@@ -147,11 +148,13 @@ _LOOKED_UP = {
 def state_base(spark: SparkSession, sf: str, state: str) -> DataFrame:
     """The base of a state: its status rows and the lookups of the states it builds on."""
     path = quality.state_path(state, payloads.PREVIOUS)
-    tables: CaseTables = case_tables(spark, sf, "people", "statuses", "categories", "refs", "transactions", "judges")
-    base = case_base(tables, payloads.variants(state))
+    needed = ["people", "statuses", "categories", "refs"]
+    needed += ["transactions"] if "appealSubmitted" in path else []
+    needed += ["judges"] if any(s in path for s in JUDGE_STATES) else []
+    base = case_base(case_tables(spark, sf, *needed), payloads.variants(state))
+    base = fields.with_reference(fields.with_place(base))
+    # The lookup holds one row per reason, so a case stays one row.
     base = fields.with_remission(base, lookup(spark, "remissions"), lenient="appealSubmitted" in path)
-    # A reason without a request may match several lookup rows; the smallest type stands for the case.
-    base = ranking.earliest(base, [KEY], ["r_remissionType", "r_remissionClaim"])
     for name, join in _LOOKED_UP.items():
         if name in path:
             base = join(base, spark)

@@ -233,6 +233,10 @@ def case_legal_rep(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _placed(base: DataFrame) -> DataFrame:
+    return fields.with_reference(fields.with_place(base))
+
+
 _HOME_LINE = "coalesce(Appellant_Address5 = 'United Kingdom', false)"
 _APP_UK = _uk("Appellant_Postcode", "G1 1AA", "cf10 1ep")
 _IN_UK = f"(CASE WHEN {_has(37)} THEN true WHEN {_has(38)} THEN false ELSE coalesce(AppellantCountryId = 188, false) OR {_APP_UK} OR {_HOME_LINE} END)"
@@ -269,7 +273,7 @@ _ABROAD = f"({_OK} AND {_has(38)})"
        {_BASE_JOIN}""",
 )
 def case_appellant(spark: SparkSession, sf: str) -> DataFrame:
-    base = case_base(case_tables(spark, sf, "people", "categories", "refs"))
+    base = _placed(case_base(case_tables(spark, sf, "people", "categories", "refs")))
     df = fields.content(base, fields.appellant(NAMES))
     shown = {
         "name": "appellantNameForDisplay", "birth": "appellantDateOfBirth", "minor": "isAppellantMinor", "email": "internalAppellantEmail",
@@ -310,13 +314,13 @@ def _home_office_sql(inside: str) -> str:
 
 @query("case_home_office", _home_office_sql(_IN_UK))
 def case_home_office(spark: SparkSession, sf: str) -> DataFrame:
-    base = case_base(case_tables(spark, sf, "people", "categories", "refs"))
+    base = _placed(case_base(case_tables(spark, sf, "people", "categories", "refs")))
     return fields.content(base, fields.home_office())
 
 
 @query("case_home_office_detained", _home_office_sql(_IN_UK_HELD))
 def case_home_office_detained(spark: SparkSession, sf: str) -> DataFrame:
-    base = case_base(case_tables(spark, sf, "people", "categories", "refs"))
+    base = _placed(case_base(case_tables(spark, sf, "people", "categories", "refs")))
     return fields.content(base, fields.home_office(detained_counts=True))
 
 
@@ -529,7 +533,7 @@ def case_review_response(spark: SparkSession, sf: str) -> DataFrame:
        FROM header h LEFT JOIN people USING (CaseNo) LEFT JOIN cats USING (CaseNo)""",
 )
 def case_hearing_requirements(spark: SparkSession, sf: str) -> DataFrame:
-    base = case_base(case_tables(spark, sf, "people", "categories"))
+    base = fields.with_place(case_base(case_tables(spark, sf, "people", "categories")))
     df = fields.content(base, fields.hearing_requirements(SYSTEM))
     return df.select(
         KEY, "isEvidenceFromOutsideUkOoc", "isEvidenceFromOutsideUkInCountry", "isInterpreterServicesNeeded", "singleSexCourt",
@@ -643,6 +647,7 @@ def case_permission(spark: SparkSession, sf: str) -> DataFrame:
             "permission_decided": ["Outcome", "Party", "DecisionDate"], "permission_final": ["Outcome"],
         },
     )
+    base = fields.with_place(base)
     df = fields.content(
         base,
         {
