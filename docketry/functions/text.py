@@ -50,17 +50,8 @@ def pad_left(text: Column, width: int, fill: str = "0") -> Column:
     return F.when(F.length(text) < width, F.lpad(text, width, fill)).otherwise(text)
 
 
-def normalise_reference(raw: Column) -> Column:
-    """A nine-digit reference from its many written forms; a GWF prefix is kept.
-
-    Masked (X...), empty and 'NULL' values become NULL.
-    """
-    ref = F.btrim(raw, F.lit(BLANKS))
-    missing = raw.isNull() | (raw == "") | (F.upper(ref) == "NULL") | F.upper(ref).rlike(r"^X{2,32}$")
-    marked = F.upper(ref).startswith("GWF")
-    prefix = F.when(marked, F.lit("GWF")).otherwise(F.lit(""))
-    body = F.when(marked, F.substr(ref, F.lit(4))).otherwise(ref)
-
+def _reference_digits(body: Column) -> Column:
+    """The digits of a reference without its prefix, by the form it is written in."""
     bare = F.regexp_replace(body, "[a-zA-Z]", "")
     # Text after the last slash loses its leading zeros and joins what stands before it.
     joined = F.when(
@@ -71,7 +62,7 @@ def normalise_reference(raw: Column) -> Column:
     after_slash = F.regexp_replace(body, r"(?s)^[^/]*/", "")
     tail = F.regexp_extract(body, r"^.*/(\d+)$", 1)
     located = body.contains("/") & (body.startswith("SHEF") | body.startswith("UKPLA") | body.startswith("UKVS"))
-    number = (
+    return (
         F.when((F.length(body) > 9) & (F.length(body) < 16), pad_left(joined, 9))
         .when(F.length(body) < 9, pad_left(digits, 9))
         .when(located, pad_left(after_slash, 9))
@@ -79,7 +70,23 @@ def normalise_reference(raw: Column) -> Column:
         .when(digits != "", pad_left(digits, 9))
         .otherwise(body)
     )
-    return F.when(~missing, F.concat(prefix, number))
+
+
+def normalise_reference(raw: Column) -> Column:
+    """A nine-digit reference from its many written forms; a GWF prefix is kept.
+
+    Masked (X...), empty and 'NULL' values become NULL. The trimmed text and the part after the prefix
+    are bound once: the branches would otherwise compute them again and again.
+    """
+
+    def whole(ref: Column) -> Column:
+        upper = F.upper(ref)
+        missing = raw.isNull() | (raw == "") | (upper == "NULL") | upper.rlike(r"^X{2,32}$")
+        marked = upper.startswith("GWF")
+        body = F.when(marked, F.substr(ref, F.lit(4))).otherwise(ref)
+        return F.when(~missing, F.concat(F.when(marked, F.lit("GWF")).otherwise(F.lit("")), bind(body, _reference_digits)))
+
+    return bind(F.btrim(raw, F.lit(BLANKS)), whole)
 
 
 def full_address(*lines: Column, null_text: str | None = None) -> Column:
@@ -91,14 +98,17 @@ def full_address(*lines: Column, null_text: str | None = None) -> Column:
 
 def postcode_valid(raw: Column) -> Column:
     """A UK postcode, if need be after swapping O/0 and I/1 in the inward part."""
-    code = F.regexp_replace(F.upper(raw), SPACES, "")
-    repaired = F.concat(
-        F.substr(code, F.lit(1), F.length(code) - 3),
-        F.translate(F.substr(code, F.length(code) - 2, F.lit(1)), "OI", "01"),
-        F.translate(F.substr(code, F.length(code) - 1, F.lit(2)), "01", "OI"),
-    )
-    ok = code.rlike(UK_POSTCODE) | ((F.length(code) >= 5) & repaired.rlike(UK_POSTCODE))
-    return F.coalesce(ok, F.lit(False))
+
+    def check(code: Column) -> Column:
+        size = F.length(code)
+        repaired = F.concat(
+            F.substr(code, F.lit(1), size - 3),
+            F.translate(F.substr(code, size - 2, F.lit(1)), "OI", "01"),
+            F.translate(F.substr(code, size - 1, F.lit(2)), "01", "OI"),
+        )
+        return code.rlike(UK_POSTCODE) | ((size >= 5) & repaired.rlike(UK_POSTCODE))
+
+    return F.coalesce(bind(F.regexp_replace(F.upper(raw), SPACES, ""), check), F.lit(False))
 
 
 def strip_punctuation(text: Column) -> Column:

@@ -152,7 +152,7 @@ def state_base(spark: SparkSession, sf: str, state: str) -> DataFrame:
     needed += ["transactions"] if "appealSubmitted" in path else []
     needed += ["judges"] if any(s in path for s in JUDGE_STATES) else []
     base = case_base(case_tables(spark, sf, *needed), payloads.variants(state))
-    base = fields.with_reference(fields.with_place(base))
+    base = fields.with_rep_place(fields.with_reference(fields.with_place(base)), NAMES)
     # The lookup holds one row per reason, so a case stays one row.
     base = fields.with_remission(base, lookup(spark, "remissions"), lenient="appealSubmitted" in path)
     for name, join in _LOOKED_UP.items():

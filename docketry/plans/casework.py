@@ -225,7 +225,7 @@ _LR = "(dv_representation = 'LR' AND lu_appealType IS NOT NULL)"
        FROM header""",
 )
 def case_legal_rep(spark: SparkSession, sf: str) -> DataFrame:
-    df = fields.content(derive(spark, sf, "header"), fields.legal_rep(NAMES))
+    df = fields.content(fields.with_rep_place(derive(spark, sf, "header"), NAMES), fields.legal_rep(NAMES))
     return df.select(
         KEY, "legalRepGivenName", "legalRepFamilyNamePaperJ", "legalRepEmail", "legalRepHasAddress",
         *[f"oocAddressLine{i}" for i in range(1, 5)], "oocCountryName",
