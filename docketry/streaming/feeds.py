@@ -26,9 +26,11 @@ def stream_json(spark: SparkSession, path: str, schema, files_per_batch: int = 1
 
 
 def stream_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A parquet table as a stream."""
-    schema = spark.read.parquet(f"{base}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(base)
+    """A parquet table, one file or a folder of them, as a stream of its files."""
+    path = f"{base}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    # As a pattern the path may be a single file, which a streaming source otherwise refuses.
+    return spark.readStream.schema(schema).parquet(f"{base}/{{{name}.parquet}}")
 
 
 def kafka_json(raw: DataFrame, schema) -> DataFrame:
