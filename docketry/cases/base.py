@@ -72,6 +72,11 @@ def status_summary(statuses: DataFrame, variants: Mapping[str, Iterable[str]], o
     def row(name: str) -> Column:
         return F.struct(order, *[c for c in dict.fromkeys(variants[name]) if c != order])
 
+    wanted = [STATUS_VARIANTS[v] for v in variants if v != "ended"]
+    if "ended" in variants:
+        wanted.append(pair("", {**ENDED, 46: [31]}) + " OR CaseStatus IN (10, 51, 52)")
+    # Rows no variant looks at are dropped before the shuffle; a case without rows gets NULL structs.
+    statuses = statuses.filter(F.expr(" OR ".join(f"coalesce({w}, false)" for w in wanted)))
     aggs = [F.max(F.when(F.expr(STATUS_VARIANTS[v]), row(v))).alias(f"s_{v}") for v in variants if v != "ended"]
     if "ended" in variants:
         plain = F.max(F.when(F.expr(pair("", ENDED)), row("ended")))

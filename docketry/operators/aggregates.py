@@ -59,8 +59,9 @@ def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str, o
     A key with more than ``part_rows`` rows yields several rows with consecutive ``part`` numbers that
     together hold every child in order, so no array grows without bound.
     """
-    child = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *fields])])
-    cut = skew.parts(df, list(keys), list(order), part_rows)
+    whole_order = list(dict.fromkeys([*order, *fields]))
+    child = F.struct(*whole_order)
+    cut = skew.parts(df, list(keys), whole_order, part_rows)
     sorted_children = F.sort_array(F.collect_list(child))
     return cut.groupBy(*keys, "part").agg(
         F.transform(sorted_children, lambda c: F.struct(*[c[f].alias(f) for f in fields])).alias(name)

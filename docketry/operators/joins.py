@@ -34,14 +34,13 @@ def exclude(df: DataFrame, keys: DataFrame, on: str | list[str] | Column, null_a
     kept = df.join(keys.select(*names).distinct(), on, "left_anti")
     if not null_aware:
         return kept
-    name = on if isinstance(on, str) else on[0]
-    holds_null = keys.filter(F.col(name).isNull()).limit(1).select(F.lit(1).alias("_n"))
-    empty = keys.limit(1).select(F.lit(1).alias("_e"))
-    strict = kept.join(holds_null, F.lit(True), "left_anti")
-    # A NULL on the left is unknown unless the right side is empty.
-    known = strict.filter(F.col(name).isNotNull())
-    unknown = strict.filter(F.col(name).isNull()).join(empty, F.lit(True), "left_anti")
-    return known.unionByName(unknown)
+    # Two yes-or-no questions about the keys decide the rest; only one row is fetched for each.
+    name = names[0]
+    if keys.isEmpty():
+        return df
+    if not keys.filter(F.col(name).isNull()).isEmpty():
+        return df.limit(0)
+    return kept.filter(F.col(name).isNotNull())
 
 
 def role_pivot(dim: DataFrame, keys: Sequence[str], role: str, roles: dict, value: str) -> DataFrame:
