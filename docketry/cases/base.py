@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.operators import joins, ranking
+from docketry.operators import aggregates, joins, ranking
 
 KEY = "CaseNo"
 
@@ -116,12 +116,11 @@ def money_summary(transactions: DataFrame) -> DataFrame:
     t = transactions.join(marks, "TransactionId", "left").withColumns(
         {"reversed": F.coalesce("reversed", F.lit(False)), "replaced": F.coalesce("replaced", F.lit(False))}
     )
-    amount = F.col("Amount").cast("decimal(18,2)")
     counted = ~F.col("reversed") & F.col("SumBalance")
     kind = F.col("TransactionTypeId")
 
     def total(cond: Column) -> Column:
-        return F.sum(F.when(cond, amount))
+        return aggregates.total("Amount", cond)
 
     return t.groupBy(KEY).agg(
         total(counted).alias("balance"),

@@ -17,24 +17,35 @@ def money(column: Column | str) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("decimal(18,2)")
 
 
+def total(amount: Column | str, where: Column | None = None) -> Column:
+    """The exact sum of amounts with two decimals, whatever the order of the rows.
+
+    Whole pennies are summed: a long fits the aggregation buffer, where a wide decimal would make an
+    object per row.
+    """
+    pennies = F.floor((F.col(amount) if isinstance(amount, str) else amount) * 100 + 0.5).cast("long")
+    summed = F.sum(pennies if where is None else F.when(where, pennies))
+    return (summed.cast("decimal(20,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(18,2)")
+
+
 def balance(df: DataFrame, keys: Sequence[str], amount: Column, name: str, reversed_rows: DataFrame | None = None,
             on: Sequence[str] = (), where: Column | None = None) -> DataFrame:
     """Sum per key over the rows that no reversal refers to."""
     rows = df if where is None else df.filter(where)
     if reversed_rows is not None:
         rows = rows.join(reversed_rows.select(*on).distinct(), list(on), "left_anti")
-    return rows.groupBy(*keys).agg(F.sum(amount).alias(name))
+    return rows.groupBy(*keys).agg(total(amount).alias(name))
 
 
 def conditional_sums(df: DataFrame, keys: Sequence[str], amount: Column, flags: Mapping[str, Column], absolute: Sequence[str] = ()) -> DataFrame:
     """One sum per flag from a single pass; no matching row gives 0.00."""
     zero = F.lit(0).cast("decimal(18,2)")
 
-    def total(name: str, flag: Column) -> Column:
-        value = F.coalesce(F.sum(F.when(flag, amount)), zero)
+    def figure(name: str, flag: Column) -> Column:
+        value = F.coalesce(total(amount, flag), zero)
         return (F.abs(value) if name in absolute else value).alias(name)
 
-    return df.groupBy(*keys).agg(*[total(n, f) for n, f in flags.items()])
+    return df.groupBy(*keys).agg(*[figure(n, f) for n, f in flags.items()])
 
 
 def status_counts(df: DataFrame, keys: Sequence[str], success: Column) -> DataFrame:

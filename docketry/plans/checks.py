@@ -38,7 +38,7 @@ def enriched(spark: SparkSession, sf: str) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("lines"),
             F.count_if(F.col("l_linestatus") == "O").alias("open_lines"),
-            F.sum(aggregates.money("l_quantity")).cast("double").alias("quantity"),
+            aggregates.total("l_quantity").cast("double").alias("quantity"),
             F.min("l_shipdate").alias("first_ship"),
         )
     )
@@ -194,7 +194,7 @@ def case_records(spark: SparkSession, sf: str) -> DataFrame:
         .agg(
             F.max(line).alias("last"),
             F.coalesce(
-                F.sum(F.when(F.col("l_returnflag") != "R", aggregates.money("l_extendedprice"))), F.lit(0).cast("decimal(18,2)")
+                aggregates.total("l_extendedprice", F.col("l_returnflag") != "R"), F.lit(0).cast("decimal(18,2)")
             ).alias("balance"),
         )
         .select("o_orderkey", "balance", F.col("last.l_returnflag").alias("last_flag"), F.col("last.l_linestatus").alias("last_status"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.operators import ranking, reconcile
+from docketry.operators import aggregates, ranking, reconcile
 from docketry.plans.registry import query
 from docketry.sources.files import table
 from docketry.streaming import feeds
@@ -38,7 +38,7 @@ def stream_route(spark: SparkSession, sf: str) -> DataFrame:
     feeds.route_stream(stream, "event_type", out, checkpoint)
     routed = spark.read.schema("event_id long, value double, event_type string").parquet(out)
     return routed.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total")
+        F.count(F.lit(1)).alias("n"), aggregates.total("value").cast("double").alias("total")
     )
 
 

@@ -222,7 +222,7 @@ def assemble_wide(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
     groups = [
         lines.groupBy("o_orderkey").agg(
-            F.count(F.lit(1)).alias("lines"), F.sum(aggregates.money("l_quantity")).cast("double").alias("quantity")
+            F.count(F.lit(1)).alias("lines"), aggregates.total("l_quantity").cast("double").alias("quantity")
         ),
         lines.groupBy("o_orderkey").agg(F.date_format(F.min("l_shipdate"), "yyyy-MM-dd").alias("first_ship")),
         aggregates.group_flag(lines, ["o_orderkey"], F.col("l_returnflag") == "R", "returned"),

@@ -168,7 +168,7 @@ def filters(spark: SparkSession, sf: str) -> DataFrame:
             & F.col("l_linestatus").isNotNull()
         )
         .groupBy("l_returnflag")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(aggregates.money("l_quantity")).cast("double").alias("quantity"))
+        .agg(F.count(F.lit(1)).alias("n"), aggregates.total("l_quantity").cast("double").alias("quantity"))
     )
 
 

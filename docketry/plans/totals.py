@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from docketry.functions import arrays
 from docketry.operators import aggregates, joins, ranking, reconcile
-from docketry.operators.aggregates import money
 from docketry.plans.joined import LINE_ORDER
 from docketry.plans.registry import query
 from docketry.sources.files import table
@@ -24,7 +23,7 @@ def balance_due(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem")
     reversals = lines.filter("l_returnflag = 'R'").select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"))
     df = aggregates.balance(
-        lines, ["l_orderkey"], money("l_extendedprice"), "balance", reversals, ["l_orderkey", "l_linenumber"]
+        lines, ["l_orderkey"], F.col("l_extendedprice"), "balance", reversals, ["l_orderkey", "l_linenumber"]
     )
     return df.withColumn("balance", F.col("balance").cast("double"))
 
@@ -44,7 +43,7 @@ FEE_COLUMNS = {f"{flag}_{status}".lower(): (flag, status) for flag in "ANR" for
 def fee_totals(spark: SparkSession, sf: str) -> DataFrame:
     flags = {n: (F.col("l_returnflag") == f) & (F.col("l_linestatus") == s) for n, (f, s) in FEE_COLUMNS.items()}
     df = aggregates.conditional_sums(
-        table(spark, sf, "lineitem"), ["l_orderkey"], money("l_extendedprice"), flags, absolute=["r_f", "r_o"]
+        table(spark, sf, "lineitem"), ["l_orderkey"], F.col("l_extendedprice"), flags, absolute=["r_f", "r_o"]
     )
     return df.select("l_orderkey", *[F.col(n).cast("double").alias(n) for n in flags])
 
