@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.cases import archive, fields, payloads
+from docketry.cases import archive, fields, payloads, stars
 from docketry.cases.base import KEY, case_base
 from docketry.operators import documents, linking, projection, quality
 from docketry.plans.casework import _CATS, _CLEANED, _FIRST_GWF, _GWF, _IN_UK_HELD, NAMES, SYSTEM, _last
@@ -243,3 +243,29 @@ def case_lineage(spark: SparkSession, sf: str) -> DataFrame:
         content, KEY,
         {"appealType": (["dv_representation", "lu_appealType"], True), "feeAmountGbp": (["dv_appealTypeCode", "VisitVisaType"], True)},
     )
+
+
+LINE_STAR = """
+    lineitem l
+    orders o on l.l_orderkey = o.o_orderkey
+    customer c on o.o_custkey = c.c_custkey
+    nation cn on c.c_nationkey = cn.n_nationkey
+    supplier s on l.l_suppkey = s.s_suppkey
+    nation sn on s.s_nationkey = sn.n_nationkey
+    inner part p on l.l_partkey = p.p_partkey AND p.p_size > 10"""
+
+
+@query(
+    "case_star",
+    """SELECT l_orderkey, l_partkey, o_orderstatus, c_name, cn.n_name AS customer_nation, s_name, sn.n_name AS supplier_nation, p_type
+       FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
+       LEFT JOIN nation cn ON c_nationkey = cn.n_nationkey LEFT JOIN supplier ON l_suppkey = s_suppkey
+       LEFT JOIN nation sn ON s_nationkey = sn.n_nationkey JOIN part ON l_partkey = p_partkey AND p_size > 10""",
+)
+def case_star(spark: SparkSession, sf: str) -> DataFrame:
+    """A star from a specification, with one table in two roles and one inner join."""
+    wide = stars.star(lambda name: table(spark, sf, name), LINE_STAR)
+    return wide.select(
+        "l.l_orderkey", "l.l_partkey", "o.o_orderstatus", "c.c_name", F.col("cn.n_name").alias("customer_nation"), "s.s_name",
+        F.col("sn.n_name").alias("supplier_nation"), "p.p_type",
+    )
