@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.cases import archive, fields, payloads, stars
+from docketry.cases import archive, codes, fields, payloads, stars
 from docketry.cases.base import KEY, case_base
 from docketry.operators import documents, linking, projection, quality
 from docketry.plans.casework import _CATS, _CLEANED, _FIRST_GWF, _GWF, _IN_UK_HELD, NAMES, SYSTEM, _last
@@ -269,3 +269,22 @@ def case_star(spark: SparkSession, sf: str) -> DataFrame:
         "l.l_orderkey", "l.l_partkey", "o.o_orderstatus", "c.c_name", F.col("cn.n_name").alias("customer_nation"), "s.s_name",
         F.col("sn.n_name").alias("supplier_nation"), "p.p_type",
     )
+
+
+@query(
+    "case_codes",
+    """SELECT l_linenumber % 5 AS code, CASE l_linenumber % 5 WHEN 0 THEN '' WHEN 1 THEN 'Appellant' WHEN 2 THEN 'Respondent' END AS party,
+              CASE l_linenumber % 5 WHEN 1 THEN 'Yes' WHEN 2 THEN 'No' ELSE '' END AS sent,
+              CASE l_linenumber % 5 WHEN 0 THEN '' WHEN 1 THEN 'IA typed' WHEN 2 THEN 'Self typed' WHEN 3 THEN '3rd party typed' WHEN 4 THEN 'Unknown' END AS typing,
+              count(*) AS n
+       FROM lineitem GROUP BY 1, 2, 3, 4""",
+)
+def case_codes(spark: SparkSession, sf: str) -> DataFrame:
+    code = F.col("l_linenumber") % 5
+    coded = table(spark, sf, "lineitem").select(
+        code.cast("long").alias("code"), code.alias("Party"), code.alias("DecisionSentToHO"), code.alias("ExtemporeMethodOfTyping")
+    )
+    labels = codes.decode(coded, "archive_status").select(
+        "code", F.col("Party").alias("party"), F.col("DecisionSentToHO").alias("sent"), F.col("ExtemporeMethodOfTyping").alias("typing")
+    )
+    return labels.groupBy("code", "party", "sent", "typing").agg(F.count(F.lit(1)).alias("n"))
