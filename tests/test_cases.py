@@ -104,7 +104,8 @@ def test_ended_needs_an_early_status_for_a_refused_set_aside(spark):
     rows = [("a", 1, 37, 80), ("a", 2, 46, 31), ("b", 1, 10, 0), ("b", 2, 46, 31), ("c", 1, 37, 1)]
     df = spark.createDataFrame(rows, "CaseNo string, StatusId long, CaseStatus int, Outcome int")
     got = {r["CaseNo"]: r["s_ended"] and r["s_ended"]["CaseStatus"] for r in base.status_summary(df, {"ended": ["CaseStatus", "Outcome"]}).collect()}
-    assert got == {"a": 37, "b": 46, "c": None}
+    # A case without any row of interest is left to the outer join.
+    assert got == {"a": 37, "b": 46}
 
 
 def test_main_party_is_one_row(spark):
