@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from docketry.operators import skew
@@ -63,6 +63,15 @@ def rate(part: Column, whole: Column) -> Column:
     return F.round(100.0 * part / F.nullif(whole, F.lit(0)), 2)
 
 
+def collected(df: DataFrame, keys: Sequence[str]) -> GroupedData:
+    """Groups for a ``collect_list``, shuffled row by row first.
+
+    Lists do not get smaller by collecting them in part before the shuffle; that would only sort and
+    copy every row once more.
+    """
+    return df.repartition(*keys).groupBy(*keys)
+
+
 def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str, order: Sequence[str],
          part_rows: int = PART_ROWS) -> DataFrame:
     """Child rows as one sorted array of structs per key and part.
@@ -74,7 +83,7 @@ def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str, o
     child = F.struct(*whole_order)
     cut = skew.parts(df, list(keys), whole_order, part_rows)
     sorted_children = F.sort_array(F.collect_list(child))
-    return cut.groupBy(*keys, "part").agg(
+    return collected(cut, [*keys, "part"]).agg(
         F.transform(sorted_children, lambda c: F.struct(*[c[f].alias(f) for f in fields])).alias(name)
     )
 
@@ -84,7 +93,7 @@ def concat_agg(df: DataFrame, keys: Sequence[str], text: Column, sep: str, name:
     """Texts of a key joined in order, in parts as for ``nest``; nothing to join gives NULL."""
     cut = skew.parts(df.withColumn("_text", text), list(keys), list(order), part_rows)
     rows = F.sort_array(F.collect_list(F.when(F.col("_text").isNotNull(), F.struct(*order, "_text"))))
-    return cut.groupBy(*keys, "part").agg(
+    return collected(cut, [*keys, "part"]).agg(
         F.nullif(F.array_join(F.transform(rows, lambda r: r["_text"]), sep), F.lit("")).alias(name)
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.functions.text import html_escape
+from docketry.operators import aggregates
 
 PLACEHOLDER = re.compile(r"\{\{(\w+)\}\}")
 
@@ -30,7 +31,8 @@ def content_status(content: Column) -> Column:
 def render(template: str, values: Mapping[str, Column], raw: Sequence[str] = ()) -> Column:
     """A template with ``{{name}}`` placeholders as one concat of its pieces.
 
-    Values are escaped for HTML unless listed in ``raw``; a NULL value leaves its place empty.
+    Values are escaped for HTML unless listed in ``raw`` (numbers and dates need no escape); a NULL value
+    leaves its place empty.
     """
     pieces: list[Column] = []
     end = 0
@@ -51,6 +53,18 @@ def render_rows(template: str, items: Column, fields: Mapping[str, object], empt
     return F.coalesce(F.nullif(F.array_join(rows, ""), F.lit("")), F.lit(empty))
 
 
+def render_children(
+    df: DataFrame, keys: Sequence[str], template: str, values: Mapping[str, Column], name: str, order: Sequence[str],
+    raw: Sequence[str] = (),
+) -> DataFrame:
+    """The template once per child row, joined in order per key and part.
+
+    Rows are rendered before they are nested: plain columns stay in generated code, where a function
+    over an array element would be interpreted.
+    """
+    return aggregates.concat_agg(df, keys, render(template, values, raw), "", name, order)
+
+
 def checked(condition: Column) -> Column:
     return F.when(condition, F.lit("checked")).otherwise(F.lit(""))
 
@@ -89,7 +103,7 @@ def manifest_batches(df: DataFrame, batch: str, order: str, content: str, name:
     """One newline-joined manifest per batch with its number of records; the batch size bounds the
     collected lines."""
     rows = F.sort_array(F.collect_list(F.struct(order, content)))
-    return df.groupBy(batch).agg(
+    return aggregates.collected(df, [batch]).agg(
         F.count(F.lit(1)).alias("records"), F.array_join(F.transform(rows, lambda r: r[content]), "\n").alias(name)
     )
 

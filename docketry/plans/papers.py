@@ -66,19 +66,16 @@ PAGE_ROW = "<tr><td>{{line}}</td><td>{{flag}}</td><td>{{day}}</td></tr>"
          GROUP BY 1, 2) ON l_orderkey = o_orderkey""",
 )
 def render_template(spark: SparkSession, sf: str) -> DataFrame:
-    lines = aggregates.nest(
-        table(spark, sf, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_returnflag", "l_shipdate"], "lines", LINE_ORDER
-    )
-    orders = table(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    rows = documents.render_rows(
+    rows = documents.render_children(
+        table(spark, sf, "lineitem"),
+        ["l_orderkey"],
         PAGE_ROW,
-        F.col("lines"),
-        {
-            "line": lambda i: i["l_linenumber"],
-            "flag": lambda i: i["l_returnflag"],
-            "day": lambda i: F.date_format(i["l_shipdate"], "yyyy-MM-dd"),
-        },
+        {"line": F.col("l_linenumber"), "flag": F.col("l_returnflag"), "day": F.date_format("l_shipdate", "yyyy-MM-dd")},
+        "rows",
+        LINE_ORDER,
+        raw=["line", "day"],
     )
+    orders = table(spark, sf, "orders").join(rows, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     note = F.concat(F.lit("<"), "o_orderpriority", F.lit('> & "'), "o_orderstatus", F.lit('"'))
     page = documents.render(
         PAGE,
@@ -87,9 +84,9 @@ def render_template(spark: SparkSession, sf: str) -> DataFrame:
             "day": F.date_format("o_orderdate", "dd/MM/yyyy"),
             "open": documents.checked(F.col("o_orderstatus") == "O"),
             "note": note,
-            "rows": rows,
+            "rows": F.col("rows"),
         },
-        raw=["rows"],
+        raw=["rows", "key", "day", "open"],
     )
     return orders.select("o_orderkey", F.coalesce("part", F.lit(0)).alias("part"), page.alias("page"))
 
