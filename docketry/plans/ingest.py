@@ -110,12 +110,6 @@ def stream_json(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("event_id long, user_id long, event_type string, k long").parquet(out)
 
 
-def _send(key: str, body: str) -> None:
-    """A stand-in for a message producer: refuses empty bodies."""
-    if not body:
-        raise ValueError("empty body")
-
-
 @query(
     "publish_report",
     """SELECT 'order_' || o_orderkey || '.json' AS file_name,
@@ -125,13 +119,20 @@ def _send(key: str, body: str) -> None:
        FROM orders""",
 )
 def publish_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The sender is a local function, so it reaches executors that do not have this package."""
+
+    def send(key: str, body: str) -> None:
+        """A stand-in for a message producer: refuses empty bodies."""
+        if not body:
+            raise ValueError("empty body")
+
     out = table(spark, sf, "orders").select(
         F.concat(F.lit("order_"), F.col("o_orderkey").cast("string"), F.lit(".json")).alias("file_name"),
         F.when(F.col("o_orderstatus") != "P", F.to_json(F.struct("o_orderkey", "o_totalprice")))
         .otherwise(F.lit(""))
         .alias("body"),
     )
-    return sinks.publish(out, _send, "file_name", "body").withColumn("attempts", F.col("attempts").cast("long"))
+    return sinks.publish(out, send, "file_name", "body").withColumn("attempts", F.col("attempts").cast("long"))
 
 
 @query(
