@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketry.functions import dates
 from docketry.operators import projection
 from docketry.plans.registry import query
 from docketry.sources.files import table
@@ -63,7 +64,7 @@ def date_functions(spark: SparkSession, sf: str) -> DataFrame:
         F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("iso"),
         F.date_format(F.date_add(date, 14), day).alias("plus_days"),
         F.date_format(F.add_months(date, 7), day).alias("plus_months"),
-        F.date_format(F.to_date(date) + F.make_ym_interval(F.lit(2)), day).alias("plus_years"),
+        F.date_format(dates.add_years(date, 2), day).alias("plus_years"),
         F.datediff(F.lit("1998-12-01").cast("date"), date).cast("long").alias("age_days"),
         F.unix_timestamp(date).alias("seconds"),
         F.date_format(date + F.expr("INTERVAL 3 HOURS"), "yyyy-MM-dd HH:mm").alias("later"),

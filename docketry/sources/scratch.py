@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
+_written: list[str] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -26,7 +27,22 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A new path that no other call gets."""
-    return f"{scratch_dir(spark)}/docketry/{tag}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/docketry/{tag}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the scratch paths handed out so far; call it once no result that reads them is needed.
+
+    Goes through the file system of the path, so it works on the shared folder of a cluster.
+    """
+    removed = 0
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from docketry.sources import files, sinks, snapshots
-from docketry.sources.scratch import materialise, scratch_dir
+from docketry.sources.scratch import materialise, release, scratch_dir
 from docketry.streaming import feeds
 
 
@@ -96,7 +97,10 @@ def test_scratch_follows_the_cluster_folder(spark):
 
     assert scratch_dir(Session) == "/shared/checkpoints"
     assert scratch_dir(spark) != "/shared/checkpoints"
-    assert materialise(spark.range(3), "t").count() == 3
+    stored = materialise(spark.range(3), "t")
+    assert stored.count() == 3
+    folder = stored.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+    assert release(spark) >= 1 and not os.path.exists(folder)
 
 
 def test_streams_take_new_files_once(spark, tmp_path):
