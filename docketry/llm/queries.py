@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import simhash
+from docketry.llm import bpe, decontaminate, simhash
 from docketry.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,53 @@ def query(name: str, sql: str | None = None):
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = simhash.near_duplicate_groups(table(spark, sf_dir, "documents"), "doc_id", "text", words=4, radius=4, carry=["doc_id"])
     return grouped.select("doc_id", simhash.hex_bits(F.col("simhash.bits")).alias("fingerprint"), F.col("simhash.component_id").alias("component_id"))
+
+
+DECONTAMINATION_SQL = r"""
+WITH dw AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM documents
+), iw AS (
+    SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM benchmark
+), win AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS gram
+    FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS i FROM iw WHERE len(w) > 0)
+), spot AS (
+    SELECT d.doc_id, d.i, s.size, array_to_string(d.w[d.i:d.i + s.size - 1], ' ') AS gram
+    FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM dw WHERE len(w) > 0) d
+    CROSS JOIN (SELECT DISTINCT size FROM win) s
+    WHERE d.i + s.size - 1 <= len(d.w)
+), hit AS (
+    SELECT spot.doc_id, spot.i, spot.size, win.item_id FROM spot JOIN win ON spot.gram = win.gram AND spot.size = win.size
+), words AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS p FROM hit) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY doc_id
+)
+SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query("op3_benchmark_decontamination", DECONTAMINATION_SQL)
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    hit, ids = F.col("contamination.n_hit"), F.col("contamination.item_ids")
+    return found.select(
+        "doc_id",
+        F.col("contamination.n_words").alias("n_words"),
+        hit.alias("n_hit"),
+        F.size(ids).cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        ((hit > 0) & (20 * hit >= F.col("contamination.n_words"))).alias("contaminated"),
+    )
+
+
+@query("op5_byte_level_bpe")
+def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = bpe.round_trip(table(spark, sf_dir, "documents"), "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, carry=["doc_id"])
+    return made.select("doc_id", "tokens.n_tokens", "tokens.ids_sha256", "tokens.decoded_sha256")
