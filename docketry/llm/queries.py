@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import bpe, decontaminate, simhash
+from docketry.llm import bpe, decontaminate, quality, simhash
 from docketry.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,48 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = bpe.round_trip(table(spark, sf_dir, "documents"), "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, carry=["doc_id"])
     return made.select("doc_id", "tokens.n_tokens", "tokens.ids_sha256", "tokens.decoded_sha256")
+
+
+QUALITY_SQL = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(source, '<null>') AS host, coalesce(text, '') AS text,
+        list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), grams AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS gram FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 7)) AS i FROM d WHERE len(w) >= 8)
+), twice AS (
+    SELECT doc_id, gram FROM grams GROUP BY doc_id, gram HAVING count(*) > 1
+), repeated AS (
+    SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + 7)) AS p FROM grams JOIN twice USING (doc_id, gram)) GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, host, text, line,
+        list_filter(string_split_regex(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS lw
+    FROM (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM d)
+), kept_lines AS (
+    SELECT doc_id, host, text, line, array_to_string(lw, ' ') AS norm, len(lw) AS n FROM lines WHERE len(lw) > 0
+), dups AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM kept_lines GROUP BY doc_id
+), hosts AS (
+    SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY host
+), frequent AS (
+    SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS docs FROM kept_lines GROUP BY host, norm) JOIN hosts USING (host)
+    WHERE docs > 20 AND docs * 100 > texts
+), gone AS (
+    SELECT doc_id, sum(n) AS n FROM kept_lines JOIN frequent USING (host, norm) GROUP BY doc_id
+), m AS (
+    SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+        (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols, coalesce(dups.n, 0)::BIGINT AS n_dup_lines,
+        coalesce(repeated.n, 0)::BIGINT AS n_repeat_words, coalesce(gone.n, 0)::BIGINT AS gone
+    FROM d LEFT JOIN dups USING (doc_id) LEFT JOIN repeated USING (doc_id) LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT (gone > 0 AND (n_words - gone < 10 OR 100 * (n_words - gone) < 30 * n_words)) AS kept
+FROM m
+"""
+
+
+@query("op6_quality_rules", QUALITY_SQL)
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = quality.judged(table(spark, sf_dir, "documents"), "source", "text", carry=["doc_id"])
+    return made.select("doc_id", *[f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
