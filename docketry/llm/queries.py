@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import bpe, decontaminate, quality, simhash
+from docketry.llm import bpe, decontaminate, quality, simhash, warc
 from docketry.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,24 @@ FROM m
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = quality.judged(table(spark, sf_dir, "documents"), "source", "text", carry=["doc_id"])
     return made.select("doc_id", *[f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+
+
+WARC_SQL = """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha256(coalesce(html, '')) AS digest FROM pages
+), f AS (
+    SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM p
+)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+@query("op4_warc", WARC_SQL)
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write(table(spark, sf_dir, "pages"), warc.archive_folder(spark), "page_id", "url", "html")
+    page = lambda c: F.regexp_extract(c, "^urn:page:(-?[0-9]+)$", 1).try_cast("long")
+    return warc.read(files, payloads=False).select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to")
+    )
