@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import bpe, decontaminate, quality, simhash, warc
+from docketry.llm import bpe, chat, decontaminate, quality, simhash, warc
 from docketry.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,29 @@ def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(files, payloads=False).select(
         page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to")
     )
+
+
+CHAT_SQL = """
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), sized AS (
+    SELECT *, length(text) + length(regexp_replace(text, '[^\\\\\\[<]', '', 'g')) AS text_chars, length(role) + length(regexp_replace(role, '[^\\\\\\[<]', '', 'g')) AS role_chars,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place
+    FROM said
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(text_chars + CASE role WHEN 'assistant' THEN 10 WHEN 'user' THEN 15 + CASE place WHEN 1 THEN 3 ELSE 0 END WHEN 'system' THEN 13 ELSE 22 + role_chars END)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+@query("op9_chat_formatting", CHAT_SQL)
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    formatted = chat.format_conversations(rows.unionByName(added), "conv_id", "turn", "role", "text")
+    return chat.digests(formatted).withColumnRenamed("conv", "conv_id")
