@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import bpe, chat, decontaminate, quality, simhash, warc
+from docketry.llm import bpe, chat, decontaminate, langid, quality, simhash, warc
 from docketry.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,12 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     formatted = chat.format_conversations(rows.unionByName(added), "conv_id", "turn", "role", "text")
     return chat.digests(formatted).withColumnRenamed("conv", "conv_id")
+
+
+@query("op7_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 3
+    model = langid.fit(docs, "text", "lang", "doc_id", learnable=remainder != 1)
+    made = langid.predict(docs, "text", model, carry=["doc_id"])
+    return made.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
