@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import bpe, chat, decontaminate, langid, quality, simhash, warc
+from docketry.llm import bpe, chat, decontaminate, langid, quality, simhash, toxicity, warc
 from docketry.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,13 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs, "text", "lang", "doc_id", learnable=remainder != 1)
     made = langid.predict(docs, "text", model, carry=["doc_id"])
     return made.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
+@query("op8_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 4
+    machine = toxicity.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "toxic", learnable=remainder != 2)
+    made = toxicity.score(docs, "text", machine, carry=["doc_id"])
+    value = F.col("toxicity.score")
+    return made.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), value.alias("score"), (value >= toxicity.THRESHOLD).cast("int").alias("predicted"))
