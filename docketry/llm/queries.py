@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import bpe, chat, decontaminate, langid, quality, simhash, toxicity, warc
+from docketry.llm import bpe, chat, decontaminate, langid, quality, secrets, simhash, toxicity, warc
 from docketry.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +190,18 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = toxicity.score(docs, "text", machine, carry=["doc_id"])
     value = F.col("toxicity.score")
     return made.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), value.alias("score"), (value >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op10_secret_scans")
+def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = secrets.scan(table(spark, sf_dir, "documents"), "doc_id", "text", carry=["doc_id"])
+    base, spans = F.col("secrets.base"), F.col("secrets.spans")
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    return made.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(secrets.written(base), 256).alias("base_sha256"),
+        secrets.written(spans).alias("spans"),
+    )
