@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import bpe, chat, decontaminate, langid, quality, secrets, simhash, toxicity, warc
+from docketry.llm import bpe, chat, decontaminate, htmltext, langid, quality, secrets, simhash, toxicity, warc
 from docketry.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +205,8 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.written(base), 256).alias("base_sha256"),
         secrets.written(spans).alias("spans"),
     )
+
+
+@query("op1_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.visible_text(table(spark, sf_dir, "pages"), "html", carry=["page_id"]).select("page_id", "page.title", "page.text")
