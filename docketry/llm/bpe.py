@@ -33,8 +33,8 @@ CHUNK = 1 << 16
 OVERLAP = 256
 # Characters the pattern may look at beyond the end of a pre-token.
 AHEAD = 3
-# Distinct pieces a worker remembers before it starts afresh.
-REMEMBERED = 300_000
+# Distinct pieces in a generation of what a worker remembers; it keeps two.
+REMEMBERED = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -119,25 +119,26 @@ def cut(text: str, ends: list[int]) -> list[str]:
 
 
 class Encoder:
-    """Encodes and decodes; remembers the tokens of pieces as text, bounded by ``REMEMBERED``."""
+    """Encodes and decodes; remembers the tokens of recent pieces as text."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.text_of = {str(rank): token for token, rank in ranks.items()}
-        self.known: dict[str, str] = {}
+        self.young: dict[str, str] = {}
+        self.old: dict[str, str] = {}
 
     def written(self, pieces: list[str]) -> str:
         """The ids of the pieces in decimal, joined by single spaces."""
-        try:
-            return " ".join([self.known[p] for p in pieces])
-        except KeyError:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            for p in set(pieces):
-                if p not in self.known:
-                    self.known[p] = " ".join(map(str, merge(p.encode(), self.ranks)))
-            return " ".join([self.known[p] for p in pieces])
+        young, old = self.young, self.old
+        for p in set(pieces):
+            if p not in young:
+                young[p] = old.get(p) or " ".join(map(str, merge(p.encode(), self.ranks)))
+        written = " ".join([young[p] for p in pieces])
+        if len(young) > REMEMBERED:
+            # Frequent pieces come back from the old generation, so only rare ones are merged again.
+            self.old, self.young = young, {}
+        return written
 
     def encode(self, text: str) -> list[int]:
         return [int(x) for x in self.written(pretokens(text, self.pattern)).split()]
