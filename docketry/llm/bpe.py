@@ -16,7 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -153,9 +153,6 @@ class Encoder:
         decoded = b"".join(map(self.text_of.__getitem__, ids))
         return len(ids), hashlib.sha256(written.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
-    def tokens(self, pieces: list[str]) -> list[int]:
-        return [int(x) for x in self.written(pieces).split()]
-
 
 _encoders: dict[str, Encoder] = {}
 
@@ -171,18 +168,20 @@ DIGESTS = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("
 TOKENS = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
 
-def _digest_array(encoder: Encoder, rows: list[list[str]]) -> pa.StructArray:
-    made = [encoder.digests(pieces) for pieces in rows]
-    n, ids, decoded = zip(*made) if made else ((), (), ())
-    return struct_array(n_tokens=pa.array(n, pa.int64()), ids_sha256=pa.array(ids, pa.string()), decoded_sha256=pa.array(decoded, pa.string()))
-
-
-def _token_array(encoder: Encoder, rows: list[list[str]]) -> pa.StructArray:
-    return struct_array(ids=pa.array([encoder.tokens(pieces) for pieces in rows], pa.list_(pa.int32())))
+def _results(encoder: Encoder, rows: list[list[str]], kind: T.StructType) -> pa.StructArray:
+    """The fields of ``kind`` for rows of pre-tokens."""
+    made: dict[str, pa.Array] = {}
+    if "n_tokens" in kind.names:
+        digests = [encoder.digests(pieces) for pieces in rows]
+        for i, (name, dtype) in enumerate((("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()))):
+            made[name] = pa.array([d[i] for d in digests], dtype)
+    if "ids" in kind.names:
+        made["ids"] = pa.array([np.fromstring(encoder.written(pieces), np.int32, sep=" ") for pieces in rows], pa.list_(pa.int32()))
+    return struct_array(**made)
 
 
 def _encode(
-    df: DataFrame, text_col: str, ranks_path: str, pattern: str, name: str, carry: list[str] | None, result: T.StructType, made: Callable, chunk: int, overlap: int
+    df: DataFrame, text_col: str, ranks_path: str, pattern: str, name: str, carry: list[str] | None, result: T.StructType, chunk: int, overlap: int
 ) -> DataFrame:
     spark: SparkSession = df.sparkSession
     # The rank file has a fixed number of entries, whatever the corpus.
@@ -194,14 +193,14 @@ def _encode(
 
     def start():
         encoder = _encoder(shared, key)
-        return lambda texts: made(encoder, [encoder.pattern.findall(t) for t in texts])
+        return lambda texts: _results(encoder, [encoder.pattern.findall(t) for t in texts], result)
 
     short = annotate(source.filter(F.length("__text") <= chunk), [F.col("__text")], name, result, start, kept)
     at = F.sequence(F.lit(0), F.floor((F.length("__text") - 1) / chunk).cast("int"))
     chunks = (
         source.filter(F.length("__text") > chunk)
         .withColumn("__row", F.monotonically_increasing_id())
-        .select(*kept, "__row", "__text", F.explode(at).alias("__chunk"))
+        .select(*[col(c) for c in kept], "__row", "__text", F.explode(at).alias("__chunk"))
         .select(
             # What belongs to the whole row travels with its first chunk.
             *[F.when(F.col("__chunk") == 0, col(c)).alias(c) for c in kept],
@@ -237,7 +236,7 @@ def _encode(
             whole = "".join([t[:chunk] for t in texts[:-1]] + texts[-1:])
             placed = [[s + e for e in own] for s, own in zip(starts, ends)]
             pieces = cut(whole, stitch(whole, starts, placed, encoder.pattern))
-            return pa.RecordBatch.from_arrays([*[head.column(i) for i in range(n)], made(encoder, [pieces])], names=[*kept, name])
+            return pa.RecordBatch.from_arrays([*[head.column(i) for i in range(n)], _results(encoder, [pieces], result)], names=[*kept, name])
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -251,22 +250,34 @@ def _encode(
         if row is not None:
             yield close()
 
-    columns = [*[col(c) for c in kept], F.col("__row"), F.col("__chunk"), F.col("__last"), F.col("__text"), F.col("__found")]
+    columns = [*[col(c).alias(f"__kept_{i}") for i, c in enumerate(kept)], F.col("__row"), F.col("__chunk"), F.col("__last"), F.col("__text"), F.col("__found")]
     return short.unionByName(together.select(*columns).mapInArrow(join, schema))
 
 
-def encode(df: DataFrame, text_col: str, ranks_path: str, pattern: str, name: str = "tokens", carry: list[str] | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def encode(
+    df: DataFrame,
+    text_col: str,
+    ranks_path: str,
+    pattern: str,
+    name: str = "tokens",
+    carry: list[str] | None = None,
+    chunk: int = CHUNK,
+    overlap: int = OVERLAP,
+    digests: bool = False,
+) -> DataFrame:
     """``df`` (or its ``carry`` columns) with a struct ``name`` whose ``ids`` are the tokens of the whole text.
 
-    A null text counts as empty and has no tokens; repeated rows stay; an empty table gives an empty result.
-    The order of rows is not kept. A column called ``name`` gives way.
+    With ``digests`` the fields of :func:`round_trip` come before them. A null text counts as empty and has no
+    tokens; repeated rows stay; an empty table gives an empty result. The order of rows is not kept. A column
+    called ``name`` gives way.
     """
-    return _encode(df, text_col, ranks_path, pattern, name, carry, TOKENS, _token_array, chunk, overlap)
+    kind = T.StructType([*(DIGESTS.fields if digests else []), *TOKENS.fields])
+    return _encode(df, text_col, ranks_path, pattern, name, carry, kind, chunk, overlap)
 
 
 def round_trip(df: DataFrame, text_col: str, ranks_path: str, pattern: str, name: str = "tokens", carry: list[str] | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """As :func:`encode`, with digests of the ids and of the bytes they decode to instead of the ids."""
-    return _encode(df, text_col, ranks_path, pattern, name, carry, DIGESTS, _digest_array, chunk, overlap)
+    """As :func:`encode`, with ``n_tokens`` and SHA-256 digests of the ids, in decimal and joined by one space, and of the bytes they decode to."""
+    return _encode(df, text_col, ranks_path, pattern, name, carry, DIGESTS, chunk, overlap)
 
 
 def decode(df: DataFrame, ids: str, ranks_path: str, name: str = "decoded", carry: list[str] | None = None) -> DataFrame:

@@ -35,9 +35,11 @@ def annotate(
     so no other column of the input can clash with what is added. Nothing is shuffled.
     """
     kept = [c for c in (df.columns if carry is None else carry) if c.lower() != name.lower()]
-    source = df.select(*[col(c) for c in kept], *[c.alias(f"__input_{i}") for i, c in enumerate(inputs)])
-    schema = T.StructType([*source.schema.fields[: len(kept)], T.StructField(name, result)])
     n, m = len(kept), len(inputs)
+    fields = df.select(*[col(c) for c in kept]).schema.fields
+    schema = T.StructType([*fields, T.StructField(name, result)])
+    # Plain names on the way in, as a column may be called anything.
+    source = df.select(*[col(c).alias(f"__kept_{i}") for i, c in enumerate(kept)], *[c.alias(f"__input_{i}") for i, c in enumerate(inputs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = start()
@@ -52,3 +54,16 @@ def annotate(
 
 def struct_array(**columns: pa.Array) -> pa.StructArray:
     return pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
+
+
+def place(key: Column) -> Column:
+    """A number from 0 to 1 that depends on ``key`` alone; keys below a share are a sample of that share."""
+    return F.shiftrightunsigned(F.xxhash64(key), 11) / F.lit(float(1 << 53))
+
+
+def share_of(kind: Column, counts: dict, wanted: int) -> Column:
+    """For each value of ``kind`` the share that leaves about ``wanted`` of its ``counts`` rows."""
+    out = F.lit(0.0)
+    for value, n in counts.items():
+        out = F.when(kind == F.lit(value), F.lit(min(1.0, wanted / max(1, n)))).otherwise(out)
+    return out

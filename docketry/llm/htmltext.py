@@ -122,10 +122,15 @@ def tree(html: str) -> Node:
             continue
         at = m.end()
         if m["text"] is not None:
+            if count.get("head") and m["text"].strip(" \t\n\r\f"):
+                close({"head"}, ())
             stack[-1].children.append(unescape(m["text"]) if "&" in m["text"] else m["text"])
         elif m["start"]:
             tag = m["start"].lower()
-            if tag in ("html", "body"):
+            if tag == "html":
+                continue
+            if tag == "body":
+                close({"head"}, ())
                 continue
             if tag != "head" and count.get("head") and tag not in ("title", "meta", "link", "style", "script", "base", "noscript", "template"):
                 close({"head"}, ())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -210,3 +211,6 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_html_extraction")
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.visible_text(table(spark, sf_dir, "pages"), "html", carry=["page_id"]).select("page_id", "page.title", "page.text")
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
