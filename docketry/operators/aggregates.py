@@ -7,11 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from docketry.operators import skew
-
-# Rows collected into one nested value; larger groups continue in further parts.
-PART_ROWS = 10_000
-
 
 def money(column: Column | str) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("decimal(18,2)")
@@ -20,10 +15,10 @@ def money(column: Column | str) -> Column:
 def total(amount: Column | str, where: Column | None = None) -> Column:
     """The exact sum of amounts with two decimals, whatever the order of the rows.
 
-    Whole pennies are summed: a long fits the aggregation buffer, where a wide decimal would make an
-    object per row.
+    Amounts become decimals first, halves rounding away from zero. Whole pennies are summed then: a long fits the
+    aggregation buffer, where a wide decimal would make an object per row.
     """
-    pennies = F.floor((F.col(amount) if isinstance(amount, str) else amount) * 100 + 0.5).cast("long")
+    pennies = (money(amount) * F.lit(100).cast("decimal(3,0)")).cast("long")
     summed = F.sum(pennies if where is None else F.when(where, pennies))
     return (summed.cast("decimal(20,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(18,2)")
 
@@ -72,26 +67,23 @@ def collected(df: DataFrame, keys: Sequence[str]) -> GroupedData:
     return df.repartition(*keys).groupBy(*keys)
 
 
-def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str, order: Sequence[str],
-         part_rows: int = PART_ROWS) -> DataFrame:
-    """Child rows as one sorted array of structs per key and part.
+def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str, order: Sequence[str], fragment: Column) -> DataFrame:
+    """Child rows as one sorted array of structs per key and ``part``.
 
-    A key with more than ``part_rows`` rows yields several rows with consecutive ``part`` numbers that
-    together hold every child in order, so no array grows without bound.
+    ``fragment`` is a column of the data model that follows the order, such as the year of a date; its value is
+    the part. The parts of a key together hold every child in order, and none holds more than its fragment.
     """
     whole_order = list(dict.fromkeys([*order, *fields]))
     child = F.struct(*whole_order)
-    cut = skew.parts(df, list(keys), whole_order, part_rows)
     sorted_children = F.sort_array(F.collect_list(child))
-    return collected(cut, [*keys, "part"]).agg(
+    return collected(df.withColumn("part", fragment.cast("long")), [*keys, "part"]).agg(
         F.transform(sorted_children, lambda c: F.struct(*[c[f].alias(f) for f in fields])).alias(name)
     )
 
 
-def concat_agg(df: DataFrame, keys: Sequence[str], text: Column, sep: str, name: str, order: Sequence[str],
-               part_rows: int = PART_ROWS) -> DataFrame:
+def concat_agg(df: DataFrame, keys: Sequence[str], text: Column, sep: str, name: str, order: Sequence[str], fragment: Column) -> DataFrame:
     """Texts of a key joined in order, in parts as for ``nest``; nothing to join gives NULL."""
-    cut = skew.parts(df.withColumn("_text", text), list(keys), list(order), part_rows)
+    cut = df.withColumn("_text", text).withColumn("part", fragment.cast("long"))
     rows = F.sort_array(F.collect_list(F.when(F.col("_text").isNotNull(), F.struct(*order, "_text"))))
     return collected(cut, [*keys, "part"]).agg(
         F.nullif(F.array_join(F.transform(rows, lambda r: r["_text"]), sep), F.lit("")).alias(name)

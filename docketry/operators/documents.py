@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.functions.text import html_escape
@@ -55,14 +55,27 @@ def render_rows(template: str, items: Column, fields: Mapping[str, object], empt
 
 def render_children(
     df: DataFrame, keys: Sequence[str], template: str, values: Mapping[str, Column], name: str, order: Sequence[str],
-    raw: Sequence[str] = (),
+    fragment: Column, raw: Sequence[str] = (),
 ) -> DataFrame:
-    """The template once per child row, joined in order per key and part.
+    """The template once per child row, joined in order per key and part; ``first_part`` and ``last_part`` mark the ends.
 
     Rows are rendered before they are nested: plain columns stay in generated code, where a function
     over an array element would be interpreted.
     """
-    return aggregates.concat_agg(df, keys, render(template, values, raw), "", name, order)
+    parts = aggregates.concat_agg(df, keys, render(template, values, raw), "", name, order, fragment)
+    key = Window.partitionBy(*keys)
+    return parts.withColumn("first_part", F.col("part").eqNullSafe(F.first("part").over(key.orderBy(F.col("part").asc_nulls_first())))).withColumn(
+        "last_part", F.col("part").eqNullSafe(F.first("part").over(key.orderBy(F.col("part").desc_nulls_last())))
+    )
+
+
+def fragment_page(head: Column, rows: Column, tail: Column) -> Column:
+    """One part of a page: the head only on its first part and the tail only on its last, so that the parts join to the page.
+
+    A record without children has one part, with both.
+    """
+    first, last = (F.coalesce(F.col(c), F.lit(True)) for c in ("first_part", "last_part"))
+    return F.concat(F.when(first, head).otherwise(""), F.coalesce(rows, F.lit("")), F.when(last, tail).otherwise(""))
 
 
 def checked(condition: Column) -> Column:

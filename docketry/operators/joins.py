@@ -34,13 +34,11 @@ def exclude(df: DataFrame, keys: DataFrame, on: str | list[str] | Column, null_a
     kept = df.join(keys.select(*names).distinct(), on, "left_anti")
     if not null_aware:
         return kept
-    # Two yes-or-no questions about the keys decide the rest; only one row is fetched for each.
+    # Two counts of the keys decide the rest, as subqueries of one row in the same plan.
     name = names[0]
-    if keys.isEmpty():
-        return df
-    if not keys.filter(F.col(name).isNull()).isEmpty():
-        return df.limit(0)
-    return kept.filter(F.col(name).isNotNull())
+    rows = keys.agg(F.count(F.lit(1))).scalar()
+    holes = keys.agg(F.count_if(F.col(name).isNull())).scalar()
+    return kept.filter((rows == 0) | ((holes == 0) & F.col(name).isNotNull()))
 
 
 def role_pivot(dim: DataFrame, keys: Sequence[str], role: str, roles: dict, value: str) -> DataFrame:
@@ -59,18 +57,13 @@ def join_any(base: DataFrame, lookup: DataFrame, shared: Column, either: Sequenc
     return base.join(lookup, shared & reduce(lambda a, b: a | b, either), "left")
 
 
-def attach_list(df: DataFrame, lookup: DataFrame, name: str, *fields: str, max_rows: int = 10_000) -> DataFrame:
-    """A whole lookup as a constant array column, sorted by its fields.
+def attach_list(df: DataFrame, lookup: DataFrame, name: str, *fields: str) -> DataFrame:
+    """A whole lookup as a constant array column, sorted by its fields; for lookups that are to stand in every row.
 
-    The lookup becomes part of every row, so it is refused above ``max_rows`` rows.
+    The array is a subquery of one row, made once by the executors.
     """
-    rows = lookup.select(*fields).limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"lookup for {name} has more than {max_rows} rows")
-    kinds = [lookup.schema[f].dataType for f in fields]
-    items = sorted({tuple(r) for r in rows}, key=lambda r: tuple((v is not None, v) for v in r))
-    structs = [F.struct(*[F.lit(v).cast(k).alias(f) for v, k, f in zip(r, kinds, fields)]) for r in items]
-    return df.withColumn(name, F.array(*structs))
+    items = lookup.select(F.struct(*fields).alias("item")).distinct().agg(F.sort_array(F.collect_list("item")))
+    return df.withColumn(name, items.scalar())
 
 
 def unify(outputs: Sequence[DataFrame], key: str, failed: Sequence[str] = ()) -> DataFrame:

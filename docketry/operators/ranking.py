@@ -101,13 +101,13 @@ def pick_priority(df: DataFrame, keys: Sequence[str], label: Column, ranks: Sequ
     return best.select(*keys, names[F.col("_rank")].alias(name))
 
 
-def drop_in_group(df: DataFrame, keys: Sequence[str], where: Column) -> DataFrame:
-    """Remove the rows matching ``where`` from groups of more than one row."""
-    sized = skew.group_size(df, list(keys), "_n")
+def drop_in_group(df: DataFrame, keys: Sequence[str], where: Column, coarse: Column | str) -> DataFrame:
+    """Remove the rows matching ``where`` from groups of more than one row; ``coarse`` spreads a hot group."""
+    sized = skew.group_size(df, list(keys), coarse, "_n")
     return sized.filter(~((F.col("_n") > 1) & F.coalesce(where, F.lit(False)))).drop("_n")
 
 
-def batch(df: DataFrame, order: Sequence[Column | str], size: int = 250, name: str = "batch_id") -> DataFrame:
-    """Number rows in a total order and cut them into batches of ``size``."""
-    ranked = skew.global_rank(df, list(order), "_rn")
+def batch(df: DataFrame, order: Sequence[Column | str], coarse: Column | str, size: int = 250, name: str = "batch_id") -> DataFrame:
+    """Number rows in a total order and cut them into batches of ``size``; ``coarse`` as for ``global_rank``."""
+    ranked = skew.global_rank(df, list(order), coarse, "_rn")
     return ranked.withColumn(name, (F.floor((F.col("_rn") - 1) / size) + 1).cast("long")).drop("_rn")

@@ -1,132 +1,62 @@
-"""Ranks, sizes and parts that hold when one key owns a large share of the rows.
+"""Ranks and sizes that hold when one key owns a large share of the rows.
 
-A plain window puts a whole key into one task. These helpers first count rows per key (a partial
-aggregate over the key columns only). Without a hot key they return the plain window; otherwise the
-rows of hot keys are ranked by a range-partitioned sort that spreads one key over many tasks.
+A plain window puts a whole key into one task. These helpers cut the rows of a key into buckets by ``coarse``, a
+column that never falls along the order (the year of a date, a prefix of a name, the high bits of a number). Rows
+are ranked inside their bucket, buckets are counted, and the counts before a bucket are added. A task holds one
+bucket of one key, and only bucket counts meet per key. One path serves every size; it is all one plan, so
+nothing runs while a query is built.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketry.sources.scratch import materialise
-
-# A key above this many rows is ranked across tasks instead of in one.
-HOT_ROWS = 1_000_000
-
-
-def _name(order: Column | str) -> Column:
-    return F.col(order) if isinstance(order, str) else order
+Order = Sequence[Column | str]
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> DataFrame | None:
-    """The keys with more than ``hot_rows`` rows, or None when there are none."""
-    hot = df.groupBy(*keys).count().filter(F.col("count") > (HOT_ROWS if hot_rows is None else hot_rows)).select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-    if hot.isEmpty():
-        return None
-    return materialise(hot, "hot-keys")
+def _columns(order: Order) -> list[Column]:
+    return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def _split(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & df[k].eqNullSafe(hot[f"_hot_{k}"])
-    return df.join(hot, cond, "left_anti"), df.join(hot, cond, "left_semi")
-
-
-def global_rank(df: DataFrame, order: list[Column | str], name: str = "rn") -> DataFrame:
-    """1-based position of each row in the total order ``order``, without a single-task sort.
-
-    Range-partition and sort, keep each row's place in its partition, then add the number of rows in
-    the partitions before it. The sorted rows are written to scratch so that a lost executor cannot
-    move partition borders between the two uses. The offsets have one entry per partition.
-    """
-    cols = [_name(o) for o in order]
-    placed = (
-        df.repartitionByRange(*cols)
-        .sortWithinPartitions(*cols)
-        .withColumn("_at", F.monotonically_increasing_id())
+def _counted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` joined to the rows before their bucket (``_before``) and in their key (``_all``)."""
+    buckets = df.groupBy(*keys, "_coarse").agg(F.count(F.lit(1)).alias("_n"))
+    key = Window.partitionBy(*keys)
+    before = key.orderBy(F.col("_coarse").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    counts = buckets.select(
+        *keys, "_coarse", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(key).alias("_all")
     )
-    stored = materialise(placed, "ranked")
-    part = F.shiftright("_at", 33)
-    sizes = stored.groupBy(part.alias("_part")).count().orderBy("_part").collect()
-    offsets, before = [], 0
-    for row in sizes:
-        offsets.append((row["_part"], before))
-        before += row["count"]
-    if len(offsets) <= 1:
-        start = F.lit(0).cast("long")
-        return stored.withColumn(name, start + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_at")
-    small = F.broadcast(df.sparkSession.createDataFrame(offsets, "_part long, _before long"))
-    return (
-        stored.withColumn("_part", part)
-        .join(small, "_part")
-        .withColumn(name, F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1)
-        .drop("_part", "_before", "_at")
-    )
-
-
-def rank_within(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column | str],
-    name: str = "rn",
-    hot_rows: int | None = None,
-) -> DataFrame:
-    """``row_number`` per key; ``order`` must be total inside a key."""
-    cols = [_name(o) for o in order]
-    window = Window.partitionBy(*keys).orderBy(*cols)
-    ranked = F.row_number().over(window).cast("long")
-    hot = hot_keys(df, keys, hot_rows)
-    if hot is None:
-        return df.withColumn(name, ranked)
-    cold, big = _split(df, keys, hot)
-    placed = global_rank(big, [*keys, *cols], name)
-    starts = placed.groupBy(*keys).agg((F.min(name) - 1).alias("_start"))
-    placed = (
-        placed.alias("p")
-        .join(starts.alias("s"), _aliased(keys), "inner")
-        .select(*[F.col(f"p.{c}") for c in df.columns], (F.col(f"p.{name}") - F.col("s._start")).alias(name))
-    )
-    return cold.withColumn(name, ranked).unionByName(placed)
+    same = F.lit(True)
+    for k in [*keys, "_coarse"]:
+        same = same & F.col(f"p.{k}").eqNullSafe(F.col(f"s.{k}"))
+    return df.alias("p").join(counts.alias("s"), same).select("p.*", "s._before", "s._all")
 
 
-def _aliased(keys: list[str], left: str = "p", right: str = "s") -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
-    return cond
+def rank_within(df: DataFrame, keys: Sequence[str], order: Order, coarse: Column | str, name: str = "rn", size: str | None = None) -> DataFrame:
+    """1-based place of each row in its key; ``order`` must be total inside a key and ``coarse`` follow it.
 
+    With ``size`` the number of rows of the key comes along. No keys rank the whole table.
+    """
+    marked = df.withColumn("_coarse", F.expr(coarse) if isinstance(coarse, str) else coarse)
+    window = Window.partitionBy(*keys, "_coarse").orderBy(*_columns(order))
+    placed = _counted(marked.withColumn("_place", F.row_number().over(window).cast("long")), keys)
+    kept = [F.col(c) for c in df.columns if c not in (name, size)]
+    sizes = [F.col("_all").alias(size)] if size else []
+    return placed.select(*kept, (F.col("_before") + F.col("_place")).alias(name), *sizes)
 
-def group_size(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
-    """Rows per key attached to each row: counts are combined before the shuffle and joined back.
 
-    Unlike ``count() over``, a hot key never sits in one task: its counts collapse map-side and
-    adaptive execution may split its side of the join.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return (
-        df.alias("p")
-        .join(sizes.alias("s"), _aliased(keys), "left")
-        .select("p.*", F.col(f"s.{name}").alias(name))
-    )
+def global_rank(df: DataFrame, order: Order, coarse: Column | str, name: str = "rn") -> DataFrame:
+    """1-based place of each row in the total order; only one count per bucket meets in a single task."""
+    return rank_within(df, [], order, coarse, name)
 
 
-def parts(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column | str],
-    rows: int,
-    name: str = "part",
-) -> DataFrame:
-    """Number the consecutive runs of at most ``rows`` rows inside each key, from 0.
+def group_size(df: DataFrame, keys: Sequence[str], coarse: Column | str, name: str = "n") -> DataFrame:
+    """Rows per key attached to each row, joined by key and bucket, so that a hot key stays spread.
 
-    A key that fits one part needs no rank at all, so without a larger key this adds a constant.
+    ``coarse`` may be any column here; it need not follow an order.
     """
-    hot = hot_keys(df, keys, rows)
-    if hot is None:
-        return df.withColumn(name, F.lit(0).cast("long"))
-    cold, big = _split(df, keys, hot)
-    ranked = rank_within(big, keys, order, "_rn").withColumn(name, F.floor((F.col("_rn") - 1) / rows).cast("long"))
-    return cold.withColumn(name, F.lit(0).cast("long")).unionByName(ranked.drop("_rn"))
+    counted = _counted(df.withColumn("_coarse", F.expr(coarse) if isinstance(coarse, str) else coarse), keys)
+    return counted.select(*[F.col(c) for c in df.columns if c != name], F.col("_all").alias(name))

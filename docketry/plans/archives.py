@@ -221,7 +221,7 @@ def case_link_entries(spark: SparkSession, sf: str) -> DataFrame:
         F.expr(case_no("o_orderkey")).alias(KEY), F.col("o_custkey").alias("LinkNo"), F.col("o_orderdate").alias("BirthDate"),
         reason.alias("ReasonLinkId"), projection.map_lookup(reason, REASON_KEYS).alias("key"),
     )
-    members = linking.membership(cases, "LinkNo", ["BirthDate", KEY])
+    members = linking.membership(cases, "LinkNo", ["BirthDate", KEY], F.year("BirthDate"))
     return members.select(KEY, "LinkNo", F.col("ReasonLinkId").cast("long").alias("ReasonLinkId"), "key", "position", "peers")
 
 

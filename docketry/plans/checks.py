@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry.operators import aggregates, joins, projection, quality, ranking
+from docketry.plans.joined import ORDER_RANGE
 from docketry.plans.registry import query
 from docketry.sources.files import table
 
@@ -156,7 +157,7 @@ def check_outputs(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderpriority",
         F.when(key % 50 == 0, "order_0").otherwise(F.concat(F.lit("order_"), key.cast("string"))).alias("file_name"),
     )
-    batched = ranking.batch(df, ["o_orderkey"], 250)
+    batched = ranking.batch(df, ["o_orderkey"], ORDER_RANGE, 250)
     patterns = {"file_name": "^order_[1-9][0-9]*$", "o_orderpriority": "^[1-5]-[A-Z]+$"}
     return quality.check_outputs(batched, "file_name", "batch_id", 250, patterns)
 

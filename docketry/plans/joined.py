@@ -12,6 +12,10 @@ from docketry.sources.files import table
 
 # Total order of the line history; (l_orderkey, l_linenumber) repeats.
 LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"]
+# Ranges that follow the order of a key: about a million keys, or a thousand names.
+ORDER_RANGE = "shiftright(o_orderkey, 20)"
+CUSTOMER_RANGE = "shiftright(c_custkey, 20)"
+NAME_RANGE = "left(s_name, 15)"
 
 
 def iso_day(column: str) -> Column:
@@ -267,20 +271,19 @@ def valid_pairs(spark: SparkSession, sf: str) -> DataFrame:
        FROM supplier QUALIFY peers > 0""",
 )
 def linked_peers(spark: SparkSession, sf: str) -> DataFrame:
-    members = linking.membership(table(spark, sf, "supplier"), "s_nationkey", ["s_name", "s_suppkey"])
+    members = linking.membership(table(spark, sf, "supplier"), "s_nationkey", ["s_name", "s_suppkey"], NAME_RANGE)
     return members.select("s_suppkey", F.col("s_nationkey").cast("long").alias("s_nationkey"), "position", "peers")
 
 
 @query(
     "link_groups",
-    """SELECT CAST(s_nationkey AS BIGINT) AS s_nationkey, (rn - 1) // 10000 AS part,
+    """SELECT CAST(s_nationkey AS BIGINT) AS s_nationkey, s_suppkey // 1000 AS part,
               string_agg(s_suppkey || ':' || s_name, ';' ORDER BY s_suppkey) AS members
-       FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS rn FROM supplier)
-       GROUP BY 1, 2""",
+       FROM supplier GROUP BY 1, 2""",
 )
 def link_groups(spark: SparkSession, sf: str) -> DataFrame:
     member = F.concat_ws(":", F.col("s_suppkey").cast("string"), "s_name")
-    groups = linking.group_members(table(spark, sf, "supplier"), "s_nationkey", member, ["s_suppkey"])
+    groups = linking.group_members(table(spark, sf, "supplier"), "s_nationkey", member, ["s_suppkey"], F.floor(F.col("s_suppkey") / 1000))
     return groups.select(
         F.col("s_nationkey").cast("long").alias("s_nationkey"), "part", F.array_join("members", ";").alias("members")
     )
@@ -294,7 +297,7 @@ def link_groups(spark: SparkSession, sf: str) -> DataFrame:
        QUALIFY to_key IS NOT NULL""",
 )
 def pair_combinations(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = linking.chain(table(spark, sf, "supplier"), "s_nationkey", "s_suppkey", ["s_name", "s_suppkey"])
+    pairs = linking.chain(table(spark, sf, "supplier"), "s_nationkey", "s_suppkey", ["s_name", "s_suppkey"], NAME_RANGE)
     return pairs.select(F.col("s_nationkey").cast("long").alias("s_nationkey"), "from_key", "to_key", "from_position")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docketry.functions import arrays, dates, text
 from docketry.operators import aggregates, documents, joins, ranking
 from docketry.operators.projection import map_lookup
-from docketry.plans.joined import ALLOWED_PAIRS, LINE_ORDER
+from docketry.plans.joined import ALLOWED_PAIRS, LINE_ORDER, ORDER_RANGE
 from docketry.plans.registry import query
 from docketry.plans.rows import PRIORITY_BANDS
 from docketry.sources.files import table
@@ -48,22 +48,24 @@ def content_status(spark: SparkSession, sf: str) -> DataFrame:
 
 PAGE = (
     "<html><h1>Order {{key}}</h1><p class=\"day\">{{day}}</p><input type=\"checkbox\" {{open}}>"
-    "<p>{{note}}</p><table>{{rows}}</table></html>"
+    "<p>{{note}}</p><table>"
 )
+PAGE_END = "</table></html>"
 PAGE_ROW = "<tr><td>{{line}}</td><td>{{flag}}</td><td>{{day}}</td></tr>"
 
 
 @query(
     "render_template",
     """SELECT o_orderkey, coalesce(part, 0) AS part,
-              '<html><h1>Order ' || o_orderkey || '</h1><p class="day">' || strftime(o_orderdate, '%d/%m/%Y') || '</p><input type="checkbox" '
+              CASE WHEN part IS NOT DISTINCT FROM min(part) OVER (PARTITION BY o_orderkey) THEN '<html><h1>Order ' || o_orderkey || '</h1><p class="day">' || strftime(o_orderdate, '%d/%m/%Y') || '</p><input type="checkbox" '
               || CASE WHEN o_orderstatus = 'O' THEN 'checked' ELSE '' END || '><p>&lt;' || o_orderpriority || '&gt; &amp; &quot;' || o_orderstatus
-              || '&quot;</p><table>' || coalesce(rows, '') || '</table></html>' AS page
+              || '&quot;</p><table>' ELSE '' END || coalesce(rows, '')
+              || CASE WHEN part IS NOT DISTINCT FROM max(part) OVER (PARTITION BY o_orderkey) THEN '</table></html>' ELSE '' END AS page
        FROM orders LEFT JOIN (
-         SELECT l_orderkey, (rn - 1) // 10000 AS part,
-                string_agg('<tr><td>' || l_linenumber || '</td><td>' || l_returnflag || '</td><td>' || strftime(l_shipdate, '%Y-%m-%d') || '</td></tr>', '' ORDER BY rn) AS rows
-         FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem)
-         GROUP BY 1, 2) ON l_orderkey = o_orderkey""",
+         SELECT l_orderkey, year(l_shipdate) AS part,
+                string_agg('<tr><td>' || l_linenumber || '</td><td>' || l_returnflag || '</td><td>' || strftime(l_shipdate, '%Y-%m-%d') || '</td></tr>', ''
+                           ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS rows
+         FROM lineitem GROUP BY 1, 2) ON l_orderkey = o_orderkey""",
 )
 def render_template(spark: SparkSession, sf: str) -> DataFrame:
     rows = documents.render_children(
@@ -73,21 +75,22 @@ def render_template(spark: SparkSession, sf: str) -> DataFrame:
         {"line": F.col("l_linenumber"), "flag": F.col("l_returnflag"), "day": F.date_format("l_shipdate", "yyyy-MM-dd")},
         "rows",
         LINE_ORDER,
+        F.year("l_shipdate"),
         raw=["line", "day"],
     )
     orders = table(spark, sf, "orders").join(rows, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     note = F.concat(F.lit("<"), "o_orderpriority", F.lit('> & "'), "o_orderstatus", F.lit('"'))
-    page = documents.render(
+    head = documents.render(
         PAGE,
         {
             "key": F.col("o_orderkey"),
             "day": F.date_format("o_orderdate", "dd/MM/yyyy"),
             "open": documents.checked(F.col("o_orderstatus") == "O"),
             "note": note,
-            "rows": F.col("rows"),
         },
-        raw=["rows", "key", "day", "open"],
+        raw=["key", "day", "open"],
     )
+    page = documents.fragment_page(head, F.col("rows"), F.lit(PAGE_END))
     return orders.select("o_orderkey", F.coalesce("part", F.lit(0)).alias("part"), page.alias("page"))
 
 
@@ -125,7 +128,7 @@ def manifest_record(spark: SparkSession, sf: str) -> DataFrame:
 def manifest_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Numbered first on the narrow key columns; the text is built after the sort."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    batches = ranking.batch(orders, ["o_orderkey"], 250).withColumn("m", _manifest())
+    batches = ranking.batch(orders, ["o_orderkey"], ORDER_RANGE, 250).withColumn("m", _manifest())
     return documents.manifest_batches(batches, "batch_id", "o_orderkey", "m")
 
 
@@ -286,13 +289,13 @@ def parent_child(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "update_nested",
-    """SELECT l_orderkey, (rn - 1) // 10000 AS part,
-              string_agg(lower(l_returnflag) || CASE WHEN l_linestatus = 'F' THEN 'closed' ELSE l_linestatus END, ',' ORDER BY rn) AS lines
-       FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem)
-       GROUP BY 1, 2""",
+    """SELECT l_orderkey, year(l_shipdate) AS part,
+              string_agg(lower(l_returnflag) || CASE WHEN l_linestatus = 'F' THEN 'closed' ELSE l_linestatus END, ','
+                         ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS lines
+       FROM lineitem GROUP BY 1, 2""",
 )
 def update_nested(spark: SparkSession, sf: str) -> DataFrame:
-    nested = aggregates.nest(table(spark, sf, "lineitem"), ["l_orderkey"], ["l_returnflag", "l_linestatus"], "lines", LINE_ORDER)
+    nested = aggregates.nest(table(spark, sf, "lineitem"), ["l_orderkey"], ["l_returnflag", "l_linestatus"], "lines", LINE_ORDER, F.year("l_shipdate"))
     changed = arrays.update_each(
         F.col("lines"),
         {

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docketry.functions import arrays
 from docketry.operators import ranking, skew
-from docketry.plans.joined import LINE_ORDER, iso_day
+from docketry.plans.joined import CUSTOMER_RANGE, LINE_ORDER, ORDER_RANGE, iso_day
 from docketry.plans.registry import query
 from docketry.sources.files import table
 
@@ -113,7 +113,7 @@ def latest_and_previous(spark: SparkSession, sf: str) -> DataFrame:
        WHERE NOT (n > 1 AND c_acctbal < 0)""",
 )
 def drop_extra_in_group(spark: SparkSession, sf: str) -> DataFrame:
-    df = ranking.drop_in_group(table(spark, sf, "customer"), ["c_nationkey", "c_mktsegment"], F.col("c_acctbal") < 0)
+    df = ranking.drop_in_group(table(spark, sf, "customer"), ["c_nationkey", "c_mktsegment"], F.col("c_acctbal") < 0, CUSTOMER_RANGE)
     return df.select("c_custkey", "c_acctbal")
 
 
@@ -122,13 +122,13 @@ def drop_extra_in_group(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT o_orderkey, o_custkey, count(*) OVER (PARTITION BY o_custkey, o_orderstatus) > 1 AS connected FROM orders""",
 )
 def connected_flag(spark: SparkSession, sf: str) -> DataFrame:
-    df = skew.group_size(table(spark, sf, "orders"), ["o_custkey", "o_orderstatus"], "n")
+    df = skew.group_size(table(spark, sf, "orders"), ["o_custkey", "o_orderstatus"], ORDER_RANGE, "n")
     return df.select("o_orderkey", "o_custkey", (F.col("n") > 1).alias("connected"))
 
 
 @query("peer_count", "SELECT c_custkey, count(*) OVER (PARTITION BY c_mktsegment) - 1 AS peers FROM customer")
 def peer_count(spark: SparkSession, sf: str) -> DataFrame:
-    df = skew.group_size(table(spark, sf, "customer"), ["c_mktsegment"], "n")
+    df = skew.group_size(table(spark, sf, "customer"), ["c_mktsegment"], CUSTOMER_RANGE, "n")
     return df.select("c_custkey", (F.col("n") - 1).alias("peers"))
 
 
@@ -139,7 +139,7 @@ def peer_count(spark: SparkSession, sf: str) -> DataFrame:
        GROUP BY 1""",
 )
 def batch_ids(spark: SparkSession, sf: str) -> DataFrame:
-    numbered = ranking.batch(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 250)
+    numbered = ranking.batch(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], ORDER_RANGE, 250)
     return numbered.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key")
     )

@@ -1,7 +1,7 @@
 """Scratch storage shared by all executors.
 
-A cluster names its shared folder in ``spark.checkpoint.dir``. Only when that is unset (tests,
-laptop) is a local folder made.
+A cluster names its shared folder in ``spark.checkpoint.dir``. A local folder is made only for a session
+whose executors are all on this machine (tests, laptop); any other session without the setting is refused.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ def scratch_dir(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="docketry-")
     return _local_dir

@@ -70,11 +70,19 @@ def test_null_aware_exclusion(spark):
     assert joins.exclude(left, none, "k", null_aware=True).count() == 3
 
 
-def test_list_column_is_bounded(spark):
-    lookup = spark.range(5)
-    assert len(joins.attach_list(spark.range(1).withColumnRenamed("id", "k"), lookup, "items", "id").first()["items"]) == 5
-    with pytest.raises(ValueError):
-        joins.attach_list(spark.range(1), lookup, "items", "id", max_rows=4)
+def test_list_column_has_the_whole_lookup(spark):
+    lookup = spark.range(20_000).union(spark.range(5))
+    items = joins.attach_list(spark.range(2).withColumnRenamed("id", "k"), lookup, "items", "id").collect()
+    assert [[i["id"] for i in r["items"]] for r in items] == [list(range(20_000))] * 2
+
+
+def test_money_is_exact(spark):
+    amounts = [("90071992547409.93", "0.01"), ("-0.125", "0"), ("0.005", "-0.015"), ("0.10", "0.20")]
+    df = spark.createDataFrame([(i, a) for i, pair in enumerate(amounts) for a in pair], "k int, a string").withColumn("a", F.col("a").cast("decimal(20,3)"))
+    got = {r["k"]: str(r["s"]) for r in df.groupBy("k").agg(aggregates.total("a").alias("s")).collect()}
+    assert got == {0: "90071992547409.94", 1: "-0.13", 2: "-0.01", 3: "0.30"}
+    large = spark.range(1000).select(F.lit("9007199254740.99").cast("decimal(18,2)").alias("a"))
+    assert str(large.agg(aggregates.total("a")).first()[0]) == "9007199254740990.00"
 
 
 def test_reconcile_keeps_keys_missing_from_the_first_stage(spark):
@@ -118,7 +126,7 @@ def test_rate_of_nothing_is_null(spark):
 
 def test_links_drop_single_members(spark):
     df = spark.createDataFrame([("g", "a"), ("g", "b"), ("h", "c"), (None, "d")], "g string, k string")
-    rows = {r["k"]: (r["position"], r["peers"]) for r in linking.membership(df, "g", ["k"]).collect()}
+    rows = {r["k"]: (r["position"], r["peers"]) for r in linking.membership(df, "g", ["k"], F.lit(0)).collect()}
     assert rows == {"a": (1, 1), "b": (2, 1)}
 
 

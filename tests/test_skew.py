@@ -1,4 +1,4 @@
-"""The paths taken when one key owns a large share of the rows, against plain windows."""
+"""Ranks, sizes, fragments and pages when one key owns a large share of the rows, against plain windows."""
 
 from __future__ import annotations
 
@@ -6,15 +6,15 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from docketry.operators import aggregates, linking, ranking, skew
+from docketry.operators import aggregates, documents, linking, ranking, skew
 
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    """3,000 rows; key 0 holds a third, key NULL a tenth, the rest is spread."""
+    """3,000 rows; key 0 holds a third, key NULL a tenth, the rest is spread; some orders and buckets are NULL."""
     key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 50 + 1)
     return spark.range(3000).select(
-        key.cast("long").alias("k"), ((F.col("id") * 7919) % 3001).alias("o"), F.col("id").alias("v")
+        key.cast("long").alias("k"), F.when(F.col("id") != 7, (F.col("id") * 7919) % 3001).alias("o"), F.col("id").alias("v")
     ).repartition(7, "v")
 
 
@@ -23,53 +23,73 @@ def pairs(df, *cols):
 
 
 def test_global_rank_is_the_total_order(skewed):
-    ranked = skew.global_rank(skewed, ["o"], "rn")
+    ranked = skew.global_rank(skewed, ["o"], F.floor(F.col("o") / 100), "rn")
     assert [r["rn"] for r in ranked.orderBy("o").collect()] == list(range(1, 3001))
 
 
-@pytest.mark.parametrize("hot_rows", [10, 100, 999, 10**6])
-def test_rank_within_matches_a_window(skewed, hot_rows):
-    want = skewed.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(F.col("o").desc())).cast("long"))
-    got = skew.rank_within(skewed, ["k"], [F.col("o").desc()], "rn", hot_rows)
-    assert pairs(got, "k", "o", "rn") == pairs(want, "k", "o", "rn")
+@pytest.mark.parametrize("width", [1, 64, 5000])
+def test_rank_within_matches_a_window(skewed, width):
+    want = skewed.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o")).cast("long")).withColumn(
+        "n", F.count("*").over(Window.partitionBy("k"))
+    )
+    got = skew.rank_within(skewed, ["k"], ["o"], f"floor(o / {width})", "rn", "n")
+    assert pairs(got, "k", "o", "rn", "n") == pairs(want, "k", "o", "rn", "n")
 
 
 def test_group_size_keeps_null_groups(skewed):
     want = skewed.withColumn("n", F.count("*").over(Window.partitionBy("k")))
-    assert pairs(skew.group_size(skewed, ["k"], "n"), "v", "n") == pairs(want, "v", "n")
+    assert pairs(skew.group_size(skewed, ["k"], F.col("v") % 5, "n"), "v", "n") == pairs(want, "v", "n")
 
 
-def test_parts_are_consecutive_and_whole(skewed):
-    cut = skew.parts(skewed, ["k"], ["o"], 64)
-    rn = F.row_number().over(Window.partitionBy("k").orderBy("o"))
-    want = skewed.withColumn("part", F.floor((rn - 1) / 64).cast("long"))
-    assert pairs(cut, "k", "o", "part") == pairs(want, "k", "o", "part")
-    assert cut.groupBy("k", "part").count().agg(F.max("count")).first()[0] <= 64
-
-
-def test_nest_splits_a_hot_key_without_loss(skewed):
-    nested = aggregates.nest(skewed, ["k"], ["v"], "items", ["o"], part_rows=100)
-    rows = nested.collect()
+def test_nest_fragments_hold_a_hot_key(skewed):
+    rows = aggregates.nest(skewed, ["k"], ["v"], "items", ["o"], F.floor(F.col("o") / 100)).collect()
     assert max(len(r["items"]) for r in rows) <= 100
     got = [i["v"] for r in sorted((r for r in rows if r["k"] == 0), key=lambda r: r["part"]) for i in r["items"]]
-    want = [r["v"] for r in skewed.filter("k = 0").orderBy("o").collect()]
-    assert got == want
+    assert got == [r["v"] for r in skewed.filter("k = 0").orderBy("o").collect()]
     assert sum(len(r["items"]) for r in rows) == 3000
 
 
-def test_concat_agg_parts(skewed):
-    joined = aggregates.concat_agg(skewed, ["k"], F.col("v").cast("string"), ",", "t", ["o"], part_rows=200)
+def test_concat_agg_fragments(skewed):
+    joined = aggregates.concat_agg(skewed, ["k"], F.col("v").cast("string"), ",", "t", ["o"], F.floor(F.col("o") / 500))
     text = ",".join(r["t"] for r in joined.filter("k = 0").orderBy("part").collect())
     assert text == ",".join(str(r["v"]) for r in skewed.filter("k = 0").orderBy("o").collect())
 
 
-def test_chain_and_members_hold_a_hot_group(skewed, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_ROWS", 50)
-    pairs_df = linking.chain(skewed, "k", "v", ["o"])
-    assert pairs_df.filter("k = 0").count() == 999
-    parts = linking.group_members(skewed, "k", F.col("v").cast("string"), ["o"], part_rows=128)
+@pytest.mark.parametrize("width", [10, 5000])
+def test_fragments_join_to_one_page(spark, skewed, width):
+    """A record's parts join to the same page whatever their number."""
+    rows = documents.render_children(skewed.filter("k IS NOT NULL"), ["k"], "<r>{{v}}</r>", {"v": F.col("v")}, "rows", ["o"], F.floor(F.col("o") / width))
+    records = spark.range(60).select(F.col("id").alias("r"))
+    page = documents.fragment_page(F.concat(F.lit("<"), F.col("r").cast("string"), F.lit(">")), F.col("rows"), F.lit("</>"))
+    parts = records.join(rows, F.col("r") == F.col("k"), "left").select("r", "part", page.alias("page"))
+    got = {}
+    for r in parts.orderBy("r", F.col("part").asc_nulls_first()).collect():
+        got[r["r"]] = got.get(r["r"], "") + r["page"]
+    children = {}
+    for r in skewed.filter("k IS NOT NULL").orderBy(F.col("o").asc_nulls_first()).collect():
+        children.setdefault(r["k"], []).append(r["v"])
+    assert got == {k: f"<{k}>" + "".join(f"<r>{v}</r>" for v in children.get(k, [])) + "</>" for k in range(60)}
+
+
+def test_chain_and_members_hold_a_hot_group(skewed):
+    width = F.floor(F.col("o") / 100)
+    assert linking.chain(skewed, "k", "v", ["o"], width).filter("k = 0").count() == 999
+    parts = linking.group_members(skewed, "k", F.col("v").cast("string"), ["o"], width)
     assert parts.filter("k = 0").agg(F.sum(F.size("members"))).first()[0] == 1000
-    assert parts.agg(F.max(F.size("members"))).first()[0] <= 128
+    assert parts.agg(F.max(F.size("members"))).first()[0] <= 100
+
+
+def test_no_job_runs_while_plans_are_built(spark, skewed):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no action yet")
+    try:
+        skew.rank_within(skewed, ["k"], ["o"], "floor(o / 100)")
+        ranking.batch(skewed, ["o"], "floor(o / 100)")
+        aggregates.nest(skewed, ["k"], ["v"], "items", ["o"], F.col("o"))
+        linking.chain(skewed, "k", "v", ["o"], "floor(o / 100)")
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_latest_reduces_before_the_shuffle(skewed):
@@ -78,5 +98,5 @@ def test_latest_reduces_before_the_shuffle(skewed):
 
 
 def test_batch_sizes(skewed):
-    sizes = [r["n"] for r in ranking.batch(skewed, ["o"], 250).groupBy("batch_id").agg(F.count("*").alias("n")).collect()]
+    sizes = [r["n"] for r in ranking.batch(skewed, ["o"], "floor(o / 100)", 250).groupBy("batch_id").agg(F.count("*").alias("n")).collect()]
     assert sizes == [250] * 12

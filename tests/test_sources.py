@@ -96,6 +96,16 @@ def test_scratch_follows_the_cluster_folder(spark):
                 return "/shared/checkpoints/" if key == "spark.checkpoint.dir" else default
 
     assert scratch_dir(Session) == "/shared/checkpoints"
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError):
+        scratch_dir(Cluster)
     assert scratch_dir(spark) != "/shared/checkpoints"
     stored = materialise(spark.range(3), "t")
     assert stored.count() == 3
