@@ -3,9 +3,9 @@
 Texts are lower-cased, and everything but letters becomes a space. N-grams of one to three characters are hashed
 into ``2 ** BITS`` buckets. A bucket's weight in a text is ``1 + ln(count)`` times its inverse document frequency,
 and the weights have length 1. The document frequencies are counted over all learnable rows. The regression is
-trained with follow-the-regularised-leader and an elastic-net penalty on at most ``per_language`` rows of each
-language, those with the smallest hash of their id; every ``CALIBRATE``-th of them is kept back to choose the
-temperature that makes the scores probabilities.
+trained with follow-the-regularised-leader and an elastic-net penalty on about ``per_language`` rows of each
+language, those whose hashed id lies below a share of the range; every ``CALIBRATE``-th of them is kept back to
+choose the temperature that makes the scores probabilities.
 """
 
 from __future__ import annotations
@@ -16,11 +16,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketry.llm.common import SLICE, annotate, col, struct_array
+from docketry.llm.common import SLICE, annotate, col, place, share_of, struct_array
 
 BITS = 15
 PER_LANGUAGE = 600
@@ -158,28 +158,26 @@ def document_frequency(texts: DataFrame, text_col: str) -> tuple[np.ndarray, int
 
 def fit(df: DataFrame, text_col: str, lang_col: str, id_col: str, learnable: Column, per_language: int = PER_LANGUAGE) -> Model:
     """Train on the learnable rows with a language; document frequencies count all of them."""
-    rows = df.filter(learnable & col(lang_col).isNotNull() & col(text_col).isNotNull()).select(
-        col(lang_col).cast("string").alias("lang"), col(text_col).cast("string").alias("text"), F.xxhash64(col(id_col)).alias("h")
-    )
+    rows = df.filter(learnable & col(lang_col).isNotNull()).select(col(lang_col).cast("string").alias("lang"), col(text_col).cast("string").alias("text"), col(id_col).alias("id"))
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     seen, total = document_frequency(rows, "text")
     idf = np.log((1 + total) / (1 + seen)) + 1
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = rows.select("lang", "h").withColumn("place", place).filter(F.col("place") <= per_language).select("lang", "h").distinct()
-    kind = T.StructType([T.StructField("where", T.BinaryType()), T.StructField("tf", T.BinaryType())])
 
     def start():
-        def score(texts: list[str]) -> pa.StructArray:
-            made = [sparse(gram_counts(plain)) if (plain := letters(t)) else (np.zeros(0, np.int32), np.zeros(0, np.float32)) for t in texts]
-            return struct_array(where=pa.array([w.tobytes() for w, _ in made], pa.binary()), tf=pa.array([v.tobytes() for _, v in made], pa.binary()))
+        def score(texts: list[str | None]) -> pa.StructArray:
+            made = [sparse(gram_counts(plain)) if (plain := letters(t)) else None for t in texts]
+            return struct_array(packed=pa.array([b"" if m is None else m[0].tobytes() + m[1].tobytes() for m in made], pa.binary()))
 
         return score
 
-    # At most per_language rows of a language, so the chosen ids are a small table.
-    sample = annotate(rows.join(F.broadcast(chosen), ["lang", "h"]), [F.col("text")], "grams", kind, start, ["lang", "h"])
-    got = sorted((r["lang"], r["h"], bytes(r["grams"]["where"]), bytes(r["grams"]["tf"])) for r in sample.collect())
-    languages = sorted({lang for lang, _, where, _ in got if where})
+    some = rows.filter(place(F.col("id")) < share_of(F.col("lang"), counts, per_language))
+    grams = annotate(some, [F.col("text")], "grams", T.StructType([T.StructField("packed", T.BinaryType())]), start, ["lang", "id"])
+    # One row of each id, so that repeated rows cannot widen the sample.
+    got = sorted((r["lang"], bytes(r["packed"])) for r in grams.groupBy("lang", "id").agg(F.min("grams.packed").alias("packed")).collect())
+    got = [(lang, np.frombuffer(b, np.int32, len(b) // 8), np.frombuffer(b, np.float32, offset=len(b) // 2)) for lang, b in got if b]
+    languages = sorted({lang for lang, _, _ in got})
     code = {lang: i for i, lang in enumerate(languages)}
-    data = [(np.frombuffer(w, np.int32), np.frombuffer(v, np.float32), code[lang]) for lang, _, w, v in got if w]
+    data = [(where, tf, code[lang]) for lang, where, tf in got]
     kept_back = data[CALIBRATE - 1 :: CALIBRATE]
     learn = [r for i, r in enumerate(data) if i % CALIBRATE != CALIBRATE - 1]
     if not languages:
