@@ -5,8 +5,8 @@ Terms are the distinct words of a text and their first four and five letters, lo
 product of their factors: a pair such as an insult with a mention of a group can count for more than its two
 words do apart. Weights are trained with follow-the-regularised-leader and an L1 penalty, so that the many
 neutral terms weigh nothing however long a text is; the factors of the terms that weigh something are trained
-beside them with AdaGrad. Terms in fewer than ``MIN_ROWS`` training rows are left out. Training uses at most ``per_class`` rows of each label, those with the smallest hash
-of their id; every fifth of them is kept back to calibrate the scores.
+beside them with AdaGrad. Terms in fewer than ``MIN_ROWS`` training rows are left out. Training uses about ``per_class`` rows of each label, those whose hashed id
+lies below a share of the range; every fifth of them is kept back to calibrate the scores.
 """
 
 from __future__ import annotations
@@ -17,11 +17,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketry.llm.common import annotate, col, struct_array
+from docketry.llm.common import annotate, col, place, share_of, struct_array
 
 BITS = 22
 FACTORS = 8
@@ -73,8 +73,8 @@ def train(rows: list[tuple[np.ndarray, int]], classes: tuple[int, int], alpha=0.
         return Machine({}, np.zeros(0), np.zeros((0, FACTORS)), -4.0)
     every, seen = np.unique(np.concatenate([r for r, _ in rows]), return_counts=True)
     used = every[seen >= MIN_ROWS]
-    place = {int(b): i for i, b in enumerate(used)}
-    data = [(np.array([place[int(b)] for b in r if int(b) in place], np.int64), y) for r, y in rows]
+    row_of = {int(b): i for i, b in enumerate(used)}
+    data = [(np.array([row_of[int(b)] for b in r if int(b) in row_of], np.int64), y) for r, y in rows]
     random = np.random.default_rng(11)
     d = len(used)
     z, n = np.zeros(d), np.zeros(d)
@@ -148,9 +148,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         .filter(learnable)
     )
     counts = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
-    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64(col(id_col)), col(id_col)))
-    # At most per_class ids of each label, so this is a small table.
-    chosen = marked.withColumn("place", place).filter(F.col("place") <= per_class).select(col(id_col), "label")
+    # About per_class ids of each label, so this is a small table.
+    chosen = marked.filter(place(col(id_col)) < share_of(F.col("label"), counts, per_class))
     texts = docs.select(col(id_col), col(text_col).cast("string").alias("__text")).join(F.broadcast(chosen), id_col)
 
     def start():
@@ -161,7 +160,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         return score
 
     terms = annotate(texts, [F.col("__text")], "terms", T.StructType([T.StructField("buckets", T.BinaryType())]), start, [id_col, "label"])
-    got = sorted((r[0], r[1], bytes(r["terms"]["buckets"])) for r in terms.collect())
+    # One row of each id, so that repeated rows cannot widen the sample.
+    rows = terms.groupBy(col(id_col), "label").agg(F.min("terms.buckets").alias("buckets"))
+    got = sorted((r[0], r[1], bytes(r["buckets"])) for r in rows.collect())
     data = [(np.frombuffer(b, np.int32), y) for _, y, b in got]
     classes = (counts.get(0, 0), counts.get(1, 0))
     machine = train([r for i, r in enumerate(data) if i % CALIBRATE != CALIBRATE - 1], classes)
