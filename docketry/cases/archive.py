@@ -135,7 +135,7 @@ def segments(tables: CaseTables, locations: DataFrame, as_of: str, labels: dict[
     lists = F.array_distinct(
         F.array_compact(
             F.array(
-                F.when(kept & category.isin("FT", "FT Overdue"), labels["first"]),
+                F.when(kept & (category == "FT"), labels["first"]),
                 F.when(skeletons(rows, as_of), labels["first"]),
                 F.when(kept & category.isin("UT Retained", "UT Overdue"), labels["upper"]),
                 F.when(F.col("DeptId") == PRESERVED_DEPARTMENT, labels["preserved"]),

@@ -47,12 +47,6 @@ def render(template: str, values: Mapping[str, Column], raw: Sequence[str] = ())
     return F.concat(*pieces)
 
 
-def render_rows(template: str, items: Column, fields: Mapping[str, object], empty: str = "") -> Column:
-    """The template once per array element; ``fields`` maps a placeholder to a function of the element."""
-    rows = F.transform(items, lambda item: render(template, {name: get(item) for name, get in fields.items()}))
-    return F.coalesce(F.nullif(F.array_join(rows, ""), F.lit("")), F.lit(empty))
-
-
 def render_children(
     df: DataFrame, keys: Sequence[str], template: str, values: Mapping[str, Column], name: str, order: Sequence[str],
     fragment: Column, raw: Sequence[str] = (),

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.cases import archive, codes, fields, payloads, stars
+from docketry.cases import archive, codes, fields, payloads
 from docketry.cases.base import KEY, case_base
 from docketry.operators import documents, linking, projection, quality
+from docketry.plans import case_oracles
 from docketry.plans.casework import _CATS, _CLEANED, _FIRST_GWF, _GWF, _IN_UK_HELD, NAMES, SYSTEM, _last
 from docketry.plans.casework_tables import case_no, case_tables, ctes, derive, lookup
 from docketry.plans.registry import query
@@ -19,21 +20,17 @@ LABELS = {"first": "FTX", "upper": "UTX", "preserved": "FPX"}
 _T = "(Outcome IS NULL OR Outcome NOT IN (38, 111)) AND (CaseStatus IS NULL OR CaseStatus <> 17)"
 _ROWS = (
     ctes("header", "statuses", "locations")
-    + f""", {_last(_T, 't')}, {_last("CaseStatus IS NULL OR CaseStatus NOT IN (52, 36)", 'st')},
+    + f""", {case_oracles.CODES}, {_last(_T, 't')}, {_last("CaseStatus IS NULL OR CaseStatus NOT IN (52, 36)", 'st')},
       {_last("CaseStatus IN (40, 41, 42, 43, 44, 45, 53, 27, 28, 29, 34, 32, 33)", 'us')},
       marks AS (SELECT CaseNo, max(StatusId) AS mark FROM statuses WHERE CaseStatus = 46 GROUP BY 1),
       sa AS (SELECT statuses.* FROM statuses JOIN marks USING (CaseNo) WHERE StatusId < mark AND (CaseStatus IS NULL OR CaseStatus <> 46)
              QUALIFY row_number() OVER (PARTITION BY CaseNo ORDER BY StatusId DESC) = 1)"""
 )
 _FROM = """FROM header ac LEFT JOIN locations fl ON fl.CaseNo = ac.CaseNo LEFT JOIN t ON t.CaseNo = ac.CaseNo LEFT JOIN st ON st.CaseNo = ac.CaseNo
-   LEFT JOIN us ON us.CaseNo = ac.CaseNo LEFT JOIN sa ON sa.CaseNo = ac.CaseNo"""
+   LEFT JOIN us ON us.CaseNo = ac.CaseNo LEFT JOIN sa ON sa.CaseNo = ac.CaseNo """ + case_oracles.JOIN_CODES
 
 
-def _case_when(rules: list[tuple[str, str]], default: str) -> str:
-    return "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in rules) + f" ELSE '{default}' END"
-
-
-_CATEGORY = _case_when(archive.category_rules(AS_OF), archive.UNSURE)
+_CATEGORY = case_oracles.category(AS_OF)
 
 
 @query("case_archive_categories", f"{_ROWS} SELECT ac.CaseNo, {_CATEGORY} AS category {_FROM} WHERE ac.CaseType = 1 AND DeptId NOT IN (519, 520)")
@@ -55,7 +52,7 @@ def case_archive_segments(spark: SparkSession, sf: str) -> DataFrame:
     return archive.segments(case_tables(spark, sf, "statuses"), derive(spark, sf, "locations"), AS_OF, LABELS)
 
 
-_KIND = _case_when(archive.decision_rules(AS_OF), "Decision")
+_KIND = case_oracles.decision_kind(AS_OF)
 
 
 @query("case_decision_list", f"{_ROWS} SELECT ac.CaseNo {_FROM} WHERE ac.CaseType = 1 AND {_KIND} = 'Decision'")
@@ -71,7 +68,7 @@ BAIL_COMMENT = "CASE WHEN l_suppkey % 9 = 0 THEN 'for indefinite retention' WHEN
     "case_bail_segments",
     ctes("statuses", "locations")
     + f""", fl AS (SELECT {case_no('o_orderkey')} AS CaseNo, CAST(515 + o_custkey % 8 AS INT) AS DeptId, {BAIL_NOTE} AS Note FROM orders),
-       h AS (SELECT {case_no('l_orderkey')} AS CaseNo, {BAIL_COMMENT} AS Comment FROM lineitem WHERE l_linenumber <= 3),
+       h AS (SELECT {case_no('l_orderkey')} AS CaseNo, {BAIL_COMMENT} AS Comment FROM lineitem),
        {_last("coalesce(CaseStatus, -1) <> 17", 't')},
        x AS (SELECT fl.CaseNo, Note, Comment, t.DecisionDate, coalesce(Comment LIKE '%indefinite retention%' OR Comment LIKE '%indefinate retention%', false) AS hold
              FROM fl LEFT JOIN h ON h.CaseNo = fl.CaseNo LEFT JOIN t ON t.CaseNo = fl.CaseNo WHERE DeptId <> 519)
@@ -86,7 +83,7 @@ def case_bail_segments(spark: SparkSession, sf: str) -> DataFrame:
     locations = orders.select(
         F.expr(case_no("o_orderkey")).alias(KEY), F.expr("CAST(515 + o_custkey % 8 AS INT)").alias("DeptId"), F.expr(BAIL_NOTE).alias("Note")
     )
-    history = table(spark, sf, "lineitem").filter("l_linenumber <= 3").select(
+    history = table(spark, sf, "lineitem").select(
         F.expr(case_no("l_orderkey")).alias(KEY), F.expr(BAIL_COMMENT).alias("Comment")
     )
     return archive.bail_segments(cases, derive(spark, sf, "statuses"), locations, history, AS_OF)
@@ -245,32 +242,6 @@ def case_lineage(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-LINE_STAR = """
-    lineitem l
-    orders o on l.l_orderkey = o.o_orderkey
-    customer c on o.o_custkey = c.c_custkey
-    nation cn on c.c_nationkey = cn.n_nationkey
-    supplier s on l.l_suppkey = s.s_suppkey
-    nation sn on s.s_nationkey = sn.n_nationkey
-    inner part p on l.l_partkey = p.p_partkey AND p.p_size > 10"""
-
-
-@query(
-    "case_star",
-    """SELECT l_orderkey, l_partkey, o_orderstatus, c_name, cn.n_name AS customer_nation, s_name, sn.n_name AS supplier_nation, p_type
-       FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
-       LEFT JOIN nation cn ON c_nationkey = cn.n_nationkey LEFT JOIN supplier ON l_suppkey = s_suppkey
-       LEFT JOIN nation sn ON s_nationkey = sn.n_nationkey JOIN part ON l_partkey = p_partkey AND p_size > 10""",
-)
-def case_star(spark: SparkSession, sf: str) -> DataFrame:
-    """A star from a specification, with one table in two roles and one inner join."""
-    wide = stars.star(lambda name: table(spark, sf, name), LINE_STAR)
-    return wide.select(
-        "l.l_orderkey", "l.l_partkey", "o.o_orderstatus", "c.c_name", F.col("cn.n_name").alias("customer_nation"), "s.s_name",
-        F.col("sn.n_name").alias("supplier_nation"), "p.p_type",
-    )
-
-
 @query(
     "case_codes",
     """SELECT l_linenumber % 5 AS code, CASE l_linenumber % 5 WHEN 0 THEN '' WHEN 1 THEN 'Appellant' WHEN 2 THEN 'Respondent' END AS party,

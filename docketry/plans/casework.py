@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docketry.cases import fields, states
 from docketry.cases.base import ENDED, KEY, case_base, pair
+from docketry.plans import case_oracles
 from docketry.plans.casework_tables import case_tables, ctes, derive, lookup
 from docketry.plans.registry import query
 
@@ -44,20 +45,18 @@ _PICK = {
     "us": "CaseStatus IN (40, 41, 42, 43, 44, 45, 53, 27, 28, 29, 34, 32, 33)",
     "sa": "CaseStatus IS NULL OR CaseStatus <> 46",
 }
-_CASCADE = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in states.STATE_RULES) + f" ELSE '{states.UNASSIGNED}' END"
-_SEGMENTS = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in states.segment_rules(AS_OF)) + " ELSE 'Other' END"
 _REPRESENTED = """represented AS (SELECT CaseNo, CASE WHEN RepresentativeId = 957 OR RepresentativeId IS NULL
    OR coalesce(Name IN ('no rep', '-', 'his sponsor', 'NO REP LISTED'), false) THEN 'AIP' ELSE 'LR' END AS Representation FROM representatives)"""
 _BALANCE = """bd AS (SELECT CaseNo, sum(Amount) AS balance FROM transactions WHERE SumBalance AND TransactionId NOT IN
    (SELECT ReferringTransactionId FROM transactions WHERE TransactionTypeId IN (6, 19) AND ReferringTransactionId IS NOT NULL) GROUP BY 1)"""
 _SEGMENT_SQL = (
     ctes("header", "statuses", "transactions", "documents_received", "locations", "representatives")
-    + f", {_REPRESENTED}, {_BALANCE}, "
+    + f", {_REPRESENTED}, {_BALANCE}, {case_oracles.CODES}, "
     + ", ".join(_last(w, n) for n, w in _PICK.items())
     + f""", dr AS (SELECT * FROM documents_received)
-       SELECT ac.CaseNo, {_CASCADE} AS TargetState, {_SEGMENTS} AS HighLevelSegment
+       SELECT ac.CaseNo, {case_oracles.STATE} AS TargetState, {case_oracles.segment(AS_OF, 'Live')} AS HighLevelSegment
        FROM header ac LEFT JOIN t ON t.CaseNo = ac.CaseNo LEFT JOIN st ON st.CaseNo = ac.CaseNo LEFT JOIN us ON us.CaseNo = ac.CaseNo
-       LEFT JOIN sa ON sa.CaseNo = ac.CaseNo LEFT JOIN dr ON dr.CaseNo = ac.CaseNo LEFT JOIN bd ON bd.CaseNo = ac.CaseNo
+       LEFT JOIN sa ON sa.CaseNo = ac.CaseNo {case_oracles.JOIN_CODES} LEFT JOIN dr ON dr.CaseNo = ac.CaseNo LEFT JOIN bd ON bd.CaseNo = ac.CaseNo
        LEFT JOIN represented r ON r.CaseNo = ac.CaseNo
        JOIN locations fl ON fl.CaseNo = ac.CaseNo
        WHERE ac.CaseType = 1 AND fl.DeptId NOT IN (519, 520)"""
@@ -130,13 +129,24 @@ def case_data(spark: SparkSession, sf: str) -> DataFrame:
     return fields.content(base, fields.case_data(SYSTEM))
 
 
-_AREA_SQL = "CASE " + " ".join(
-    f"WHEN substr(pc, 1, 2) IN ({', '.join(repr(a) for a in areas.split() if len(a) == 2)}) THEN '{c}'" for c, areas in fields.CENTRE_AREAS.items()
-) + " " + " ".join(
-    f"WHEN substr(pc, 1, 1) IN ({', '.join(repr(a) for a in areas.split() if len(a) == 1)}) THEN '{c}'"
-    for c, areas in fields.CENTRE_AREAS.items()
-    if any(len(a) == 1 for a in areas.split())
-) + " ELSE 'newport' END"
+# Written out again here, so that a wrong area in the library shows.
+_AREA_SQL = """CASE
+    WHEN substr(pc, 1, 2) IN ('BD', 'DN', 'HD', 'HG', 'HU', 'HX', 'LS', 'WF', 'YO') THEN 'bradford'
+    WHEN substr(pc, 1, 2) IN ('BB', 'BL', 'CH', 'CW', 'FY', 'LL', 'ST', 'LA', 'OL', 'PR', 'SK', 'WA', 'WN') THEN 'manchester'
+    WHEN substr(pc, 1, 2) IN ('BA', 'BS', 'CF', 'DT', 'EX', 'HR', 'LD', 'NP', 'PL', 'SA', 'SN', 'SP', 'TA', 'TQ', 'TR') THEN 'newport'
+    WHEN substr(pc, 1, 2) IN ('AL', 'BN', 'BR', 'CB', 'CM', 'CO', 'CR', 'CT', 'DA', 'EC', 'EN', 'IG', 'IP', 'ME', 'NR',
+         'NW', 'RH', 'RM', 'SE', 'SG', 'SS', 'TN', 'WC') THEN 'taylorHouse'
+    WHEN substr(pc, 1, 2) IN ('CA', 'DH', 'DL', 'NE', 'SR', 'TS') THEN 'newcastle'
+    WHEN substr(pc, 1, 2) IN ('CV', 'DE', 'DY', 'GL', 'HP', 'LE', 'LN', 'LU', 'MK', 'NG', 'NN', 'OX', 'PE', 'RG', 'SY',
+         'TF', 'WD', 'WR', 'WS', 'WV') THEN 'birmingham'
+    WHEN substr(pc, 1, 2) IN ('BH', 'GU', 'HA', 'KT', 'PO', 'SL', 'SM', 'SO', 'SW', 'TW', 'UB') THEN 'hattonCross'
+    WHEN substr(pc, 1, 2) IN ('AB', 'DD', 'DG', 'EH', 'FK', 'HS', 'IV', 'KA', 'KW', 'KY', 'ML', 'PA', 'PH', 'TD', 'ZE', 'BT') THEN 'glasgow'
+    WHEN substr(pc, 1, 1) IN ('S') THEN 'bradford'
+    WHEN substr(pc, 1, 1) IN ('L', 'M') THEN 'manchester'
+    WHEN substr(pc, 1, 1) IN ('E', 'N', 'W') THEN 'taylorHouse'
+    WHEN substr(pc, 1, 1) IN ('B') THEN 'birmingham'
+    WHEN substr(pc, 1, 1) IN ('G') THEN 'glasgow'
+    ELSE 'newport' END"""
 
 
 @query(

@@ -26,8 +26,17 @@ _ENRICHED = """(SELECT orders.*, lines, open_lines, quantity, first_ship, c_mkts
                      CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity, min(l_shipdate) AS first_ship
               FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey
    LEFT JOIN customer ON c_custkey = o_custkey)"""
-_SQL_RULES = {n: r.replace("o_orderpriority RLIKE '^[1-4]-'", "regexp_matches(o_orderpriority, '^[1-4]-')") for n, r in ORDER_RULES.items()}
-_PASS = {n: f"coalesce({r}, false)" for n, r in _SQL_RULES.items()}
+# What passes each rule, written out again for the SQL side.
+_PASS = {
+    "status_known": "coalesce(o_orderstatus = 'F' OR o_orderstatus = 'O' OR o_orderstatus = 'P', false)",
+    "price_positive": "coalesce(o_totalprice, 0) > 0",
+    "has_lines": "coalesce(lines, 0) > 0",
+    "ship_after_order": "coalesce(o_orderdate <= first_ship, false)",
+    "priority_form": "coalesce(substr(o_orderpriority, 1, 1) IN ('1', '2', '3', '4') AND substr(o_orderpriority, 2, 1) = '-', false)",
+    "final_is_closed": "coalesce(o_orderstatus <> 'F' OR open_lines <= 2, false)",
+    "urgent_is_small": "coalesce(o_orderpriority <> '1-URGENT' OR quantity <= 150, false)",
+    "customer_known": "c_mktsegment IS NOT NULL",
+}
 _ALL = " AND ".join(_PASS.values())
 
 
@@ -180,7 +189,10 @@ _CASES = """(SELECT o_orderkey, o_orderstatus, c_name, n_name, r_name, balance,
    LEFT JOIN (SELECT l_orderkey, l_returnflag AS last_flag, l_linestatus AS last_status FROM lineitem
               QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) = 1) f
      ON f.l_orderkey = o_orderkey)"""
-_STATE = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in STATE_RULES) + " ELSE 'unknown' END"
+_STATE = """CASE WHEN o_orderstatus = 'F' AND last_status = 'F' AND last_flag IN ('A', 'N') THEN 'closed'
+    WHEN last_flag = 'R' THEN CASE WHEN balance = 0 THEN 'returned' ELSE 'part_returned' END
+    WHEN o_orderstatus = 'O' AND last_status = 'O' THEN 'shipping'
+    WHEN o_orderstatus = 'P' THEN CASE WHEN balance > 100000 THEN 'review' ELSE 'pending' END ELSE 'unknown' END"""
 
 
 def case_records(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Streams, reconciliation and traces on the events table.
 
-``view`` stands for published, ``click`` for acknowledged, ``purchase`` for uploaded and ``error`` for
-failed; the record key is user and day.
+``signup`` stands for created, ``view`` for published, ``click`` for acknowledged, ``purchase`` for uploaded
+and ``error`` for failed; the record key is user and day.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from docketry.plans.registry import query
 from docketry.sources.files import table
 from docketry.streaming import feeds
 
-STAGES = ["view", "click", "purchase", "error"]
+STAGES = ["signup", "view", "click", "purchase", "error"]
 _KEYED = "(SELECT *, user_id || '/' || strftime(ts, '%Y-%m-%d') AS record_key FROM events)"
 
 
@@ -86,12 +86,11 @@ _FIRST = "CASE " + " ".join(f"WHEN NOT has_{s} THEN '{s}'" for s in STAGES) + "
 
 @query(
     "reconcile_stages",
-    f"SELECT *, {_FIRST} AS first_missing FROM (SELECT record_key, {_HAS} FROM {_KEYED} WHERE event_type <> 'signup' GROUP BY 1)",
+    f"SELECT *, {_FIRST} AS first_missing FROM (SELECT record_key, {_HAS} FROM {_KEYED} GROUP BY 1)",
 )
 def reconcile_stages(spark: SparkSession, sf: str) -> DataFrame:
     """The stages are rows of one table here, so one scan serves all of them."""
-    events = keyed(spark, sf).filter(F.col("event_type").isin(STAGES))
-    return reconcile.reconcile_long(events, "record_key", F.col("event_type"), STAGES)
+    return reconcile.reconcile_long(keyed(spark, sf), "record_key", F.col("event_type"), STAGES)
 
 
 @query(
@@ -149,7 +148,7 @@ def trace_files(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "audit_totals",
     f"""SELECT event_type AS stage, CAST(count(*) AS BIGINT) AS row_count, count(DISTINCT record_key) AS key_count
-        FROM {_KEYED} WHERE event_type <> 'signup' GROUP BY 1""",
+        FROM {_KEYED} GROUP BY 1""",
 )
 def audit_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return reconcile.totals_long(keyed(spark, sf).filter(F.col("event_type").isin(STAGES)), "event_type", "record_key")
+    return reconcile.totals_long(keyed(spark, sf), "event_type", "record_key")

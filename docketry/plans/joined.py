@@ -131,12 +131,14 @@ def anti_join_null_aware(spark: SparkSession, sf: str) -> DataFrame:
     "role_pivot_join",
     """SELECT o_orderkey, o_orderstatus,
               min(l_suppkey) FILTER (l_linenumber = 1) AS seat_1, min(l_suppkey) FILTER (l_linenumber = 2) AS seat_2,
-              min(l_suppkey) FILTER (l_linenumber = 3) AS seat_3, min(l_suppkey) FILTER (l_linenumber = 4) AS seat_4
+              min(l_suppkey) FILTER (l_linenumber = 3) AS seat_3, min(l_suppkey) FILTER (l_linenumber = 4) AS seat_4,
+              min(l_suppkey) FILTER (l_linenumber = 5) AS seat_5, min(l_suppkey) FILTER (l_linenumber = 6) AS seat_6,
+              min(l_suppkey) FILTER (l_linenumber = 7) AS seat_7
        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2""",
 )
 def role_pivot_join(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
-    seats = joins.role_pivot(lines, ["o_orderkey"], "l_linenumber", {f"seat_{i}": i for i in range(1, 5)}, "l_suppkey")
+    seats = joins.role_pivot(lines, ["o_orderkey"], "l_linenumber", {f"seat_{i}": i for i in range(1, 8)}, "l_suppkey")
     return table(spark, sf, "orders").select("o_orderkey", "o_orderstatus").join(seats, "o_orderkey", "left")
 
 

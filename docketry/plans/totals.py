@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.functions import arrays
 from docketry.operators import aggregates, joins, ranking, reconcile
 from docketry.plans.joined import LINE_ORDER, ORDER_RANGE
 from docketry.plans.registry import query
@@ -175,11 +174,13 @@ def cond_max(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "pivot_roles",
     """SELECT l_orderkey, min(l_suppkey) FILTER (l_linenumber = 1) AS line_1, min(l_suppkey) FILTER (l_linenumber = 2) AS line_2,
-              min(l_suppkey) FILTER (l_linenumber = 3) AS line_3, min(l_suppkey) FILTER (l_linenumber = 4) AS line_4
+              min(l_suppkey) FILTER (l_linenumber = 3) AS line_3, min(l_suppkey) FILTER (l_linenumber = 4) AS line_4,
+              min(l_suppkey) FILTER (l_linenumber = 5) AS line_5, min(l_suppkey) FILTER (l_linenumber = 6) AS line_6,
+              min(l_suppkey) FILTER (l_linenumber = 7) AS line_7
        FROM lineitem GROUP BY 1""",
 )
 def pivot_roles(spark: SparkSession, sf: str) -> DataFrame:
-    values = {f"line_{i}": i for i in range(1, 5)}
+    values = {f"line_{i}": i for i in range(1, 8)}
     return aggregates.pivot_values(table(spark, sf, "lineitem"), ["l_orderkey"], "l_linenumber", values, F.col("l_suppkey"))
 
 
@@ -261,12 +262,12 @@ def count_of_type(spark: SparkSession, sf: str) -> DataFrame:
        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1""",
 )
 def has_any_category(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct categories per record, tested against a constant list; records without any give False."""
+    """One flag per record, combined map-side; records without any category give False."""
     lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"))
     categories = (
         lines.join(table(spark, sf, "part").select("p_partkey", "p_type"), "p_partkey")
         .groupBy("o_orderkey")
-        .agg(F.collect_set("p_type").alias("ids"))
+        .agg(F.bool_or(F.col("p_type").isin("ECONOMY", "PROMO")).alias("found"))
     )
     wide = joins.assemble(table(spark, sf, "orders").select("o_orderkey"), [categories], "o_orderkey")
-    return wide.select("o_orderkey", arrays.has_any(F.col("ids"), ["ECONOMY", "PROMO"]).alias("has_category"))
+    return wide.select("o_orderkey", F.coalesce("found", F.lit(False)).alias("has_category"))

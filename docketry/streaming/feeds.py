@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from docketry.sources.files import table
 from docketry.sources.scratch import scratch_path
 
 
@@ -25,12 +26,11 @@ def stream_json(spark: SparkSession, path: str, schema, files_per_batch: int = 1
     )
 
 
-def stream_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+def stream_table(spark: SparkSession, base: str, name: str, files_per_batch: int = 1000) -> DataFrame:
     """A parquet table, one file or a folder of them, as a stream of its files."""
-    path = f"{base}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
+    schema = table(spark, base, name).schema
     # As a pattern the path may be a single file, which a streaming source otherwise refuses.
-    return spark.readStream.schema(schema).parquet(f"{base}/{{{name}.parquet}}")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{base}/{{{name}.parquet}}")
 
 
 def kafka_json(raw: DataFrame, schema) -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from docketry.cases import archive, base, fields, payloads, stars, states
+from docketry.cases import archive, base, fields, payloads, states, wide
 from docketry.plans import archives
 from docketry.plans.casework_tables import case_tables
 
@@ -132,7 +132,7 @@ def test_state_tables_are_complete():
         assert payloads.rules(state)
         assert len(payloads.defaults(state, "X")) >= 26
     assert set(payloads.rules("paymentPending")) < set(payloads.rules("ended"))
-    assert len(fields.AREA_TO_CENTRE) == sum(len(a.split()) for a in fields.CENTRE_AREAS.values())
+    assert len(fields.AREA_TO_CENTRE) == sum(len(a) for a in fields.CENTRE_AREAS.values())
 
 
 @pytest.mark.parametrize("state", ["paymentPending", "caseUnderReview", "reasonsForAppealSubmitted", "decided(b)", "remitted", "ended"])
@@ -189,31 +189,21 @@ def test_retention_of_an_adjourned_case(spark):
     assert row["event_date"] == "2020-05-01T00:00:00Z" and row["record_class"] == "S"
 
 
-@pytest.mark.parametrize("name", sorted(stars.STARS))
-def test_star_specs_join_on_tables_they_name(name):
-    parts = stars.steps(stars.STARS[name])
-    seen = {parts[0][1]}
-    assert parts[0][2] is None
-    for _, alias, condition, _ in parts[1:]:
-        assert alias not in seen and f"{alias}." in condition
-        others = {w.split(".")[0] for w in condition.replace("=", " ").split() if "." in w} - {alias}
-        assert others and others <= seen
-        seen.add(alias)
-
-
-def test_live_statuses_do_not_fan_out(spark):
+def test_hearings_do_not_fan_out(spark):
     rows = {
-        "status": ("StatusId int, CaseNo string, AdjudicatorId int, DeterminationBy int", [(1, "a", 5, 6), (2, "a", None, None)]),
-        "caselist": ("StatusId int, ListId int, HearingTypeId int", [(1, 10, 1)]),
-        "list": ("ListId int, ListTypeId int, CourtId int", [(10, 1, 1)]),
-        "hearingtype": ("HearingTypeId int, Description string", [(1, "Substantive")]),
-        "adjudicator": ("AdjudicatorId int, Surname string", [(5, "Five"), (6, "Six"), (7, "Seven")]),
-        "listtype": ("ListTypeId int, Description string", [(1, "Standard")]),
-        "court": ("CourtId int, CourtName string", [(1, "One")]),
-        "appealcase": ("CaseNo string, CaseType int", [("a", 1)]),
-        "listsitting": ("ListId int, Position int, Cancelled int, AdjudicatorId int", [(10, 10, 0, 7), (10, 10, 0, 6), (10, 11, 1, 5), (10, 3, 0, 5)]),
+        "statuses": ("StatusId int, CaseNo string, AdjudicatorId int, DeterminationBy int", [(1, "a", 5, 6), (2, "a", None, None)]),
+        "placements": ("StatusId int, ListId int, TimeEstimate int", [(1, 10, 30)]),
+        "lists": ("ListId int, ListTypeId int, CourtId int", [(10, 1, 1)]),
+        "courts": ("CourtId int, CourtName string", [(1, "One")]),
+        "sittings": ("ListId int, Position int, Cancelled int, AdjudicatorId int", [(10, 10, 0, 7), (10, 10, 0, 6), (10, 11, 1, 5), (10, 3, 0, 5)]),
+        "officers": ("AdjudicatorId int, Surname string", [(5, "Five"), (6, "Six"), (7, "Seven")]),
     }
-    tables = {n: spark.createDataFrame(r, s) for n, (s, r) in rows.items()}
-    df = stars.star(tables, stars.STARS["live_statuses"])
-    got = df.select("s.StatusId", "adjs.Surname", F.col("seat1.Surname").alias("s1"), F.col("seat2.Surname").alias("s2"), F.col("clerk.Surname").alias("c")).collect()
-    assert sorted(tuple(r) for r in got) == [(1, "Five", "Six", None, "Five"), (2, None, None, None, None)]
+    df = wide.hearings(**{n: spark.createDataFrame(r, s) for n, (s, r) in rows.items()})
+    got = df.select("StatusId", "court", "allocated", "chair", "second", "clerk", "decided_by").collect()
+    assert sorted(tuple(r) for r in got) == [(1, "One", "Five", "Six", None, "Five", "Six"), (2, None, None, None, None, None, None)]
+
+
+def test_bench_leaves_out_barred_officers(spark):
+    assigned = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "CaseNo string, AdjudicatorId int")
+    officers = spark.createDataFrame([(1, "One", 0), (2, "Two", 1)], "AdjudicatorId int, Surname string, DoNotList int")
+    assert [(r["CaseNo"], r["judge"]) for r in wide.bench(assigned, officers).collect()] == [("a", "One")]

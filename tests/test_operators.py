@@ -135,11 +135,6 @@ def test_template_escapes_values(spark):
     assert spark.range(1).select(page).first()[0] == "<b>&lt;a &amp; &#39;b&#39;&gt;</b><i>"
 
 
-def test_rows_template_for_no_rows(spark):
-    rows = documents.render_rows("<td>{{v}}</td>", F.array().cast("array<struct<v:int>>"), {"v": lambda i: i["v"]}, "-")
-    assert spark.range(1).select(rows).first()[0] == "-"
-
-
 def test_inject_json_keeps_unknown_fields(spark):
     cells = ['{"a": {"b": [1, 2]}, "n": 1}', "{}", "[1]", "{broken", None]
     got = values(spark, documents.inject_json(F.col("v"), "n", F.array(F.lit(7))), cells)
