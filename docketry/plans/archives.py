@@ -145,11 +145,12 @@ _LOOKED_UP = {
 def state_base(spark: SparkSession, sf: str, state: str) -> DataFrame:
     """The base of a state: its status rows and the lookups of the states it builds on."""
     path = quality.state_path(state, payloads.PREVIOUS)
-    needed = ["people", "statuses", "categories", "refs"]
+    needed = ["people", "statuses", "categories", "refs", "history"]
     needed += ["transactions"] if "appealSubmitted" in path else []
     needed += ["judges"] if any(s in path for s in JUDGE_STATES) else []
     base = case_base(case_tables(spark, sf, *needed), payloads.variants(state))
     base = fields.with_rep_place(fields.with_reference(fields.with_place(base)), NAMES)
+    base = fields.with_centres(base, lookup(spark, "centres"), lookup(spark, "area_centres"), lookup(spark, "detention_centres"))
     # The lookup holds one row per reason, so a case stays one row.
     base = fields.with_remission(base, lookup(spark, "remissions"), lenient="appealSubmitted" in path)
     for name, join in _LOOKED_UP.items():

@@ -173,6 +173,57 @@ def case_hearing_centre(spark: SparkSession, sf: str) -> DataFrame:
     return placed.select(KEY, "hearingCentre", "staffLocation")
 
 
+_PREV = "CASE WHEN header.CentreId IN (77,476,101,55,296,13,79,522,406,517,37) THEN prev END"
+
+
+@query(
+    "case_general",
+    ctes("header", "people", "history", "centres", "area_centres", "detention_centres")
+    + f""", h AS (SELECT CaseNo, split_part(Comment, ',', 1) AS prev FROM history WHERE HistType = 6 AND Comment NOT LIKE '%Castle Park Storage%'
+              AND Comment NOT LIKE '%Field House%' AND Comment NOT LIKE '%UT (IAC)%'
+              QUALIFY row_number() OVER (PARTITION BY CaseNo ORDER BY HistoryId DESC) = 1),
+       x AS (SELECT header.CaseNo, dv_representation, lu_appealType, Detained, DetentionCentreId, a.Conditions IS NULL OR a.Conditions = 'NO MAPPING REQUIRED' AS direct,
+                    a, b, {_PREV} AS prev, upper(replace(coalesce(Rep_Postcode, CaseRep_Postcode, Appellant_Postcode), ' ', '')) AS pc
+             FROM header LEFT JOIN people USING (CaseNo) LEFT JOIN h USING (CaseNo) LEFT JOIN centres a ON a.CentreId = header.CentreId
+             LEFT JOIN centres b ON b.prevFileLocation = {_PREV}),
+       y AS (SELECT x.*, prev IS NULL OR prev = 'Loughborough' AS unknown, {_AREA_SQL} AS area FROM x),
+       z AS (SELECT y.*, c, d.applicationChangeDesignatedHearingCentre AS held FROM y LEFT JOIN area_centres c ON c.hearingCentre = area
+             LEFT JOIN detention_centres d USING (DetentionCentreId)),
+       w AS (SELECT z.*, {_OK} AS ok, CASE WHEN direct THEN a.hearingCentre WHEN unknown THEN area ELSE b.hearingCentre END AS centre,
+               CASE WHEN direct THEN a.staffLocation WHEN unknown THEN c.staffLocation ELSE b.staffLocation END AS staff,
+               CASE WHEN direct THEN a.locationCode WHEN unknown THEN c.locationCode ELSE b.locationCode END AS code0,
+               CASE WHEN direct THEN a.locationLabel WHEN unknown THEN c.locationLabel ELSE b.locationLabel END AS label0,
+               CASE WHEN direct THEN a.applicationChangeDesignatedHearingCentre WHEN unknown THEN c.applicationChangeDesignatedHearingCentre
+                    ELSE b.applicationChangeDesignatedHearingCentre END AS des
+             FROM z)
+       SELECT CaseNo, CASE WHEN ok THEN centre END AS hearingCentre, CASE WHEN ok THEN staff END AS staffLocation, CASE WHEN ok THEN label0 END AS selected,
+         CASE WHEN ok AND code0 IS NOT NULL AND label0 IS NOT NULL THEN code0 || ' ' || label0 || ' of 10 first 227101' END AS list,
+         CASE WHEN ok AND code0 IS NOT NULL AND label0 IS NOT NULL THEN '1 ' || code0 END AS managed,
+         CASE WHEN ok THEN des END AS designated, CASE WHEN Detained IN (1, 2) THEN held WHEN ok THEN des END AS designated_held
+       FROM w""",
+)
+def case_general(spark: SparkSession, sf: str) -> DataFrame:
+    """The centre fields of a case, with and without the place of detention."""
+    base = case_base(case_tables(spark, sf, "people", "history"))
+    base = fields.with_centres(base, lookup(spark, "centres"), lookup(spark, "area_centres"), lookup(spark, "detention_centres"))
+    made = base.select(
+        KEY,
+        *[c.alias(n) for n, c in fields.general().items()],
+        fields.general(detained_counts=True)["applicationChangeDesignatedHearingCentre"].alias("designated_held"),
+    )
+    choices = F.col("hearingCentreDynamicList.list_items")
+    shown = F.concat_ws(" ", "hearingCentreDynamicList.value.code", "hearingCentreDynamicList.value.label", F.lit("of"), F.size(choices).cast("string"), F.lit("first"), choices[0]["code"])
+    return made.select(
+        KEY, "hearingCentre", "staffLocation", F.col("selectedHearingCentreRefData").alias("selected"),
+        F.when(F.col("hearingCentreDynamicList").isNotNull(), shown).alias("list"),
+        F.when(
+            F.col("caseManagementLocationRefData").isNotNull(),
+            F.concat_ws(" ", "caseManagementLocationRefData.region", "caseManagementLocationRefData.baseLocation.value.code"),
+        ).alias("managed"),
+        F.col("applicationChangeDesignatedHearingCentre").alias("designated"), "designated_held",
+    )
+
+
 @query(
     "case_flags",
     ctes("header", "people", "categories")

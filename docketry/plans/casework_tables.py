@@ -68,6 +68,7 @@ HEADER = {
     "CaseRep_Email": "CASE WHEN o_custkey % 2 = 0 THEN 'case' || CAST(o_custkey AS STRING) || '@law.example' END",
     "CaseRep_FileSpecific_Email": "'(file@law.example)'",
     "CentreId": "CAST(o_custkey % 30 AS INT)",
+    "DetentionCentreId": "CASE WHEN o_orderkey % 3 <> 1 THEN CAST(o_custkey % 4 AS INT) END",
     "PaymentRemissionRequested": _case(_O, 4, "0", "1", "2", "NULL"),
     "PaymentRemissionReason": "CAST(o_custkey % 4 AS INT)",
     "PaymentRemissionGranted": _case(_O, 4, "0", "1", "2", "NULL"),
@@ -242,10 +243,27 @@ DERIVED = {
 
 # Lookups: rows of fixed values.
 CENTRES = [
-    (0, "Place1", None, "bradford", "Bradford"), (1, "Place2", "NO MAPPING REQUIRED", "newcastle", "Newcastle"),
-    (13, "Place3", "by history", "taylorHouse", "Taylor House"), (2, None, None, "glasgow", "Glasgow"),
+    (0, "Place1", None, "bradford", "Bradford", "698118", "Bradford Tribunal Hearing Centre", "bradford"),
+    (1, "Place2", "NO MAPPING REQUIRED", "newcastle", "Newcastle", "366796", None, "newcastle"),
+    (13, "Place3", "by history", "taylorHouse", "Taylor House", "765324", "Taylor House Tribunal Hearing Centre", "taylorHouse"),
+    (2, None, None, "glasgow", "Glasgow", "366559", "Atlantic Quay - Glasgow", None),
 ]
-CENTRE_COLUMNS = "CentreId int, prevFileLocation string, Conditions string, hearingCentre string, staffLocation string"
+CENTRE_COLUMNS = (
+    "CentreId int, prevFileLocation string, Conditions string, hearingCentre string, staffLocation string, locationCode string, "
+    "locationLabel string, applicationChangeDesignatedHearingCentre string"
+)
+AREA_CENTRES = [
+    ("bradford", "Bradford", "698118", "Bradford Tribunal Hearing Centre", "bradford"),
+    ("manchester", "Manchester", "512401", "Manchester Tribunal Hearing Centre - Piccadilly Exchange", "manchester"),
+    ("newport", "Newport", "227101", "Newport Tribunal Centre - Columbus House", "newport"),
+    ("taylorHouse", "Taylor House", "765324", "Taylor House Tribunal Hearing Centre", "taylorHouse"),
+    ("newcastle", "Newcastle", None, "Newcastle Civil And Family Courts And Tribunals Centre", "newcastle"),
+    ("birmingham", "Birmingham", "231596", "Birmingham Civil And Family Justice Centre", "birmingham"),
+    ("hattonCross", "Hatton Cross", "386417", "Hatton Cross Tribunal Hearing Centre", "hattonCross"),
+]
+AREA_CENTRE_COLUMNS = "hearingCentre string, staffLocation string, locationCode string, locationLabel string, applicationChangeDesignatedHearingCentre string"
+DETENTION_CENTRES = [(0, "harmondsworth"), (1, "yarlsWood"), (2, None)]
+DETENTION_COLUMNS = "DetentionCentreId int, applicationChangeDesignatedHearingCentre string"
 LANGUAGES = [
     (1, "spokenLanguageInterpreter", "fra", "French", None, None), (2, "spokenLanguageInterpreter", "deu", "German", None, None),
     (3, "signLanguageInterpreter", "bfi", "British Sign", None, None), (4, "spokenLanguageInterpreter", None, None, "Yes", "Dialect"),
@@ -273,6 +291,8 @@ END_COLUMNS = "CaseStatus int, Outcome int, endAppealOutcome string, endAppealOu
 
 LOOKUPS = {
     "centres": (CENTRES, CENTRE_COLUMNS),
+    "area_centres": (AREA_CENTRES, AREA_CENTRE_COLUMNS),
+    "detention_centres": (DETENTION_CENTRES, DETENTION_COLUMNS),
     "languages": (LANGUAGES, LANGUAGE_COLUMNS),
     "listing_locations": (LISTING_LOCATIONS, LISTING_COLUMNS),
     "remissions": (REMISSIONS, REMISSION_COLUMNS),
