@@ -199,6 +199,19 @@ def case_payloads(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def rules_query(state: str):
+    @query(f"case_rules_{state}")
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        """Passed and failed cases per rule of a state: its own rules and all that it inherits."""
+        return payloads.rule_results(state_base(spark, sf, state), state, CONTEXT)
+
+    return run
+
+
+for _state in ("paymentPending", "listing", "prepareForHearing", "ended"):
+    rules_query(_state)
+
+
 # Link reasons of the old system by the key of the new one.
 REASON_KEYS = {**dict.fromkeys(range(2, 23), "CLRC005"), 23: "CLRC006", 24: "CLRC008", 25: "CLRC010", 26: "CLRC014", 27: "CLRC014"}
 

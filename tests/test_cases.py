@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketry.cases import archive, base, fields, payloads, states, wide
+from docketry.operators import quality
 from docketry.plans import archives
 from docketry.plans.casework_tables import case_tables
 
@@ -127,7 +128,7 @@ def test_hearing_centre_order(spark):
     assert got == {"a": "direct", "b": "byPlace", "c": "manchester", "d": "newport", "e": None}
 
 
-def test_state_tables_are_complete():
+def test_state_tables_are_complete(spark):
     for state in [*payloads.PREVIOUS, "paymentPending"]:
         assert payloads.rules(state)
         assert len(payloads.defaults(state, "X")) >= 26
@@ -135,6 +136,34 @@ def test_state_tables_are_complete():
     assert len(fields.AREA_TO_CENTRE) == sum(len(a) for a in fields.CENTRE_AREAS.values())
 
 
+BROKEN = {
+    "isAppellantAttendingTheHearing": ("'No'", "valid_isAppellantAttendingTheHearing"),
+    "isInterpreterServicesNeeded": ("IF(Interpreter = 1, 'No', 'Yes')", "valid_isInterpreterServicesNeeded"),
+    "singleSexCourtTypeDescription": ("IF(CourtPreference IN (1, 2), NULL, 'x')", "valid_singleSexCourtTypeDescription"),
+    "inCameraCourt": ("NULL", "valid_inCameraCourt"),
+    "pastExperiencesDescription": ("NULL", "valid_pastExperiencesDescription"),
+    "hearingCentre": ("'elsewhere'", "valid_hearingCentre_known"),
+    "applicationOutOfTimeExplanation": ("IF(applicationOutOfTimeExplanation IS NULL, 'x', NULL)", "valid_applicationOutOfTimeExplanation"),
+    "isServiceRequestTabVisibleConsideringRemissions": ("NULL", "valid_serviceRequestTab"),
+    "amendResponseActionAvailable": ("'No'", "valid_amendResponseActionAvailable_default"),
+    "hearingRequirements": ("ARRAY('x')", "valid_hearingRequirements_empty"),
+    "outOfTimeDecisionMaker": ("IF(outOfTimeDecisionMaker IS NULL, 'x', NULL)", "valid_outOfTimeDecision_whole"),
+}
+
+
+def test_rules_notice_broken_fields(spark):
+    good = payloads.checked(archives.state_base(spark, SF, "listing"), "listing", archives.CONTEXT).cache()
+    rules = payloads.rules("listing", archives.CONTEXT.system)
+    total = good.count()
+    before = {r["rule"]: r["failed"] for r in quality.rule_counts(good, rules).collect()}
+    bad = good.withColumns({name: F.expr(value) for name, (value, _) in BROKEN.items()})
+    after = {r["rule"]: r["failed"] for r in quality.rule_counts(bad, rules).collect()}
+    for _, rule in BROKEN.values():
+        assert before[rule] == 0 and after[rule] == total, rule
+    assert set(before) == set(rules) and sum(before[r] for r in rules if r.endswith(("_default", "_empty"))) == 0
+    good.unpersist()
+
+
 @pytest.mark.parametrize("state", ["paymentPending", "caseUnderReview", "reasonsForAppealSubmitted", "decided(b)", "remitted", "ended"])
 def test_payload_of_every_state(spark, state):
     rows = archives.state_payloads(spark, SF, state).orderBy("CaseNo").collect()
