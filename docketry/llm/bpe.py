@@ -34,7 +34,7 @@ OVERLAP = 256
 # Characters the pattern may look at beyond the end of a pre-token.
 AHEAD = 3
 # Distinct pieces in a generation of what a worker remembers; it keeps two.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

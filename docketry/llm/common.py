@@ -22,7 +22,7 @@ def col(name: str) -> Column:
 
 def annotate(
     df: DataFrame,
-    inputs: list[Column],
+    inputs: list[Column | str],
     name: str,
     result: T.StructType,
     start: Callable[[], Callable[..., pa.StructArray]],
@@ -30,23 +30,27 @@ def annotate(
 ) -> DataFrame:
     """Append one struct column computed from ``inputs`` by a Python function over Arrow slices.
 
-    ``start`` runs once per task and returns the function, which gets one Python list per input.
+    ``start`` runs once per task and returns the function, which gets one Python list per input. An input given
+    as a name is that text column as UTF-8 bytes; where it is also kept, it goes to Python only once.
     ``carry`` names the columns to keep (all by default); a column already called ``name`` gives way,
     so no other column of the input can clash with what is added. Nothing is shuffled.
     """
     kept = [c for c in (df.columns if carry is None else carry) if c.lower() != name.lower()]
     n, m = len(kept), len(inputs)
+    own = [c for c in inputs if not (isinstance(c, str) and c in kept)]
+    place = [kept.index(c) if isinstance(c, str) and c in kept else n + next(i for i, o in enumerate(own) if o is c) for c in inputs]
+    raw = [isinstance(c, str) for c in inputs]
     fields = df.select(*[col(c) for c in kept]).schema.fields
     schema = T.StructType([*fields, T.StructField(name, result)])
     # Plain names on the way in, as a column may be called anything.
-    source = df.select(*[col(c).alias(f"__kept_{i}") for i, c in enumerate(kept)], *[c.alias(f"__input_{i}") for i, c in enumerate(inputs)])
+    source = df.select(*[col(c).alias(f"__kept_{i}") for i, c in enumerate(kept)], *[(col(c) if isinstance(c, str) else c).alias(f"__input_{i}") for i, c in enumerate(own)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = start()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
-                made = score(*[part.column(n + i).to_pylist() for i in range(m)])
+                made = score(*[(part.column(place[i]).cast(pa.binary()) if raw[i] else part.column(place[i])).to_pylist() for i in range(m)])
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(n)], made], names=[*kept, name])
 
     return source.mapInArrow(run, schema)

@@ -1,9 +1,10 @@
 """Benchmark decontamination with one Aho-Corasick automaton over normalised test items.
 
-Normalising lower-cases A-Z and keeps words of ASCII letters, digits and characters beyond ASCII, joined by
-single spaces. Every run of ``window`` words of an item (or all of a shorter item) becomes one pattern with a
-space on both sides, so a match starts and ends at words. Texts are scanned once; a match's end is mapped to
-word numbers and, for the spans returned, to code points of the original text.
+Normalising lower-cases A-Z and keeps words of ASCII letters, digits and characters beyond ASCII. Every distinct
+word of the items becomes one character; a word of no item is another one. Every run of ``window`` words of an
+item (or all of a shorter item) becomes one pattern of so many characters, which keeps the automaton small: some
+70 bytes for a byte of item text. Texts are scanned once; a match ends at a word number, and for the spans
+returned word numbers are mapped to code points of the original text.
 
 The test set is cut into blocks of at most about ``block_bytes`` of item text, chosen by a hash, and one block
 at a time goes to the workers; the results of several blocks add up. Nothing about documents reaches the driver.
@@ -15,7 +16,6 @@ import re
 from uuid import uuid4
 
 import ahocorasick
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from docketry.llm.common import LOWER, annotate, col, struct_array
 from docketry.sources.scratch import materialise
 
 WINDOW = 13
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _KEPT = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in LOWER)
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -45,26 +45,31 @@ def words_of(raw: bytes | None) -> list[bytes]:
     return (raw or b"").translate(_KEPT).split()
 
 
-def windows(raw: bytes | None, size: int) -> list[bytes]:
-    """The runs of ``size`` words of an item; all its words when it has fewer; nothing without a word."""
-    words = words_of(raw)
+def windows(words: str, size: int) -> list[str]:
+    """The runs of ``size`` coded words of an item; all of them when it has fewer; nothing without a word."""
     if len(words) < size:
-        return [b" ".join(words)] if words else []
-    return [b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)]
+        return [words] if words else []
+    return [words[i : i + size] for i in range(len(words) - size + 1)]
+
+
+def code(number: int) -> str:
+    """A character for a word number from 1 on; surrogates are passed over."""
+    return chr(number if number < 0xD800 else number + 0x800)
 
 
 class Matcher:
     """The automaton over one block: each pattern knows its number of words and its items."""
 
     def __init__(self, items: list[tuple[str | None, bytes | None]], size: int):
-        owners: dict[bytes, set[str]] = {}
+        owners: dict[str, set[str]] = {}
+        self.codes: dict[bytes, str] = {}
         for item_id, text in items:
-            for pattern in windows(text, size):
+            coded = "".join([self.codes.setdefault(w, code(len(self.codes) + 1)) for w in words_of(text)])
+            for pattern in windows(coded, size):
                 owners.setdefault(pattern, set()).update([] if item_id is None else [item_id])
         self.automaton = ahocorasick.Automaton()
         for pattern, ids in owners.items():
-            # One character per byte of UTF-8.
-            self.automaton.add_word(f" {pattern.decode('latin-1')} ", (pattern.count(b" ") + 1, tuple(ids)))
+            self.automaton.add_word(pattern, (len(pattern), tuple(ids)))
         self.empty = not owners
         if owners:
             self.automaton.make_automaton()
@@ -73,17 +78,12 @@ class Matcher:
         """Word ranges ``[start, end)`` inside occurrences, merged, and the items that occur."""
         if self.empty or not words:
             return [], set()
-        hay = b" " + b" ".join(words) + b" "
-        ends, sizes, items = [], [], set()
-        for end, (size, ids) in self.automaton.iter(hay.decode("latin-1")):
-            ends.append(end)
-            sizes.append(size)
+        find = self.codes.get
+        ranges, items = [], set()
+        for last, (size, ids) in self.automaton.iter("".join([find(w, "\0") for w in words])):
+            ranges.append((last + 1 - size, last + 1))
             items.update(ids)
-        if not ends:
-            return [], items
-        spaces = np.flatnonzero(np.frombuffer(hay, np.uint8) == 32)
-        last = np.searchsorted(spaces, ends)
-        return merged(list(zip((last - sizes).tolist(), last.tolist()))), items
+        return merged(ranges), items
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -149,7 +149,7 @@ def _pass(df: DataFrame, text_col: str, items, key: str, size: int, name: str, c
 
         return score
 
-    return annotate(df, [col(text_col).cast("binary"), col(name) if before else F.lit(None).cast("int")], name, RESULT, start, carry)
+    return annotate(df, [text_col, col(name) if before else F.lit(None).cast("int")], name, RESULT, start, carry)
 
 
 def contamination(

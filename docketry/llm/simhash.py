@@ -71,7 +71,7 @@ def fingerprints(df: DataFrame, text_col: str, words: int = 4, carry: list[str]
 
         return score
 
-    return annotate(df, [col(text_col).cast("binary")], name, T.StructType([T.StructField("bits", T.LongType())]), start, carry)
+    return annotate(df, [text_col], name, T.StructType([T.StructField("bits", T.LongType())]), start, carry)
 
 
 class Shard:
@@ -220,8 +220,9 @@ def near_duplicate_groups(df: DataFrame, id_col: str, text_col: str, words: int
     fingerprints are written before the search.
     """
     kept = [c for c in (df.columns if carry is None else carry) if c.lower() != "simhash"]
-    source = df.select(*[col(c) for c in kept], col(id_col).alias("__id"), F.monotonically_increasing_id().alias("__row"), col(text_col).alias("__text"))
-    stored = materialise(fingerprints(source, "__text", words, [*kept, "__id", "__row"]), "simhash")
+    text = [] if text_col in kept else [col(text_col)]
+    source = df.select(*[col(c) for c in kept], *text, col(id_col).alias("__id"), F.monotonically_increasing_id().alias("__row"))
+    stored = materialise(fingerprints(source, text_col, words, [*kept, "__id", "__row"]), "simhash")
     place = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__row").alias("row"))
     nodes = stored.groupBy(F.col("simhash.bits").alias("__bits")).agg(F.min(place).alias("__first"))
     roots = components(near_links(nodes, "__bits", radius)).select(F.col("node").alias("__bits"), F.col("root").alias("__root"))
