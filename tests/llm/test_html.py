@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from html.parser import HTMLParser
+
+import pyarrow.parquet as pq
 import pytest
 
 from docketry.llm.htmltext import extract
@@ -43,3 +46,30 @@ def test_title_and_null():
 @pytest.mark.parametrize("html", ["<div>" * 50_000 + "x", "<table><tr><td>" * 500 + "x", "<ul><li>" * 500 + "x", "<" * 20_000, '<a "' * 5_000, "<b>" * 5_000 + "x" + "</i>" * 5_000])
 def test_deep_and_broken_pages(html):
     assert isinstance(extract(html)[1], str)
+
+
+class Plain(HTMLParser):
+    """All text outside elements that are never shown, by the standard library, without layout."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.hidden, self.parts = 0, []
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in ("script", "style", "title", "head")
+        self.parts.append(" " if tag in ("p", "li", "div", "h1", "br", "article", "nav", "ul", "footer", "body") else "")
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in ("script", "style", "title", "head")
+
+    def handle_data(self, data):
+        self.parts.append("" if self.hidden else data)
+
+
+def test_no_visible_word_is_lost():
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet")["html"].to_pylist()
+    for html in pages:
+        plain = Plain()
+        plain.feed(html)
+        # Only the markers of list items are added.
+        assert [w for w in extract(html)[1].split() if w != "-"] == [w for w in "".join(plain.parts).split() if w != "-"]
