@@ -24,7 +24,7 @@ from docketry.cases.states import (
     one_of,
 )
 from docketry.functions import dates
-from docketry.operators import joins, projection, ranking
+from docketry.operators import aggregates, documents, joins, projection, ranking
 
 # Unlike the live rules these keep rows whose status or outcome is unknown.
 ARCHIVE_VARIANTS = {
@@ -185,6 +185,45 @@ def officers(people: DataFrame, roles: DataFrame, key: str = "AdjudicatorId") ->
     return kept.filter(projection.not_in(F.col("Role"), [7, 8], keep_null=True)).select(key).distinct()
 
 
+PAGE_HEAD = "<html><h1>{{case}}</h1><p>{{segment}} {{reference}}</p><table>"
+PAGE_ROW = "<tr><td>{{day}}</td><td>{{status}}</td><td>{{outcome}}</td></tr>"
+PAGE_TAIL = "</table></html>"
+
+
+def case_documents(cases: DataFrame, statuses: DataFrame) -> DataFrame:
+    """The HTML page and the JSON record of each case with its status rows, in parts that join to the documents.
+
+    ``cases`` has CaseNo, Segment and HORef, one row per case. A part holds the status rows of one year, rows
+    without a date come first; head and tail are on the first and last part only.
+    """
+    order, year = ["DateReceived", "StatusId"], F.coalesce(F.year("DateReceived"), F.lit(0))
+    shown = F.date_format("DateReceived", "yyyy-MM-dd")
+    values = {"day": shown, "status": F.col("CaseStatus"), "outcome": F.col("Outcome")}
+    pages = documents.render_children(statuses, [KEY], PAGE_ROW, values, "rows", order, year, raw=["day", "status", "outcome"])
+    entry = F.to_json(F.struct("StatusId", F.col("CaseStatus").alias("status"), F.col("Outcome").alias("outcome"), shown.alias("received")))
+    entries = aggregates.concat_agg(statuses, [KEY], entry, ",", "entries", order, year)
+    parts = cases.join(pages.join(entries, [KEY, "part"]), KEY, "left")
+    head = documents.render(PAGE_HEAD, {"case": F.col(KEY), "segment": F.col("Segment"), "reference": F.col("HORef")})
+    record = F.to_json(F.struct(KEY, "Segment", "HORef"))
+    # The record stays open for its rows; a later part goes on after a comma.
+    opened = F.concat(F.substring(record, F.lit(1), F.length(record) - 1), F.lit(',"statuses":['))
+    more = F.when(F.coalesce("first_part", F.lit(True)), F.coalesce("entries", F.lit(""))).otherwise(F.concat(F.lit(","), "entries"))
+    return parts.select(
+        KEY,
+        F.coalesce("part", F.lit(0)).alias("part"),
+        documents.fragment_page(head, F.col("rows"), F.lit(PAGE_TAIL)).alias("html"),
+        documents.fragment_page(opened, more, F.lit("]}")).alias("json"),
+    )
+
+
+def manifests(cases: DataFrame, publisher: str, prefix: str, size: int = 250) -> DataFrame:
+    """Manifests of ``size`` cases in the order of their numbers, three lines for each case."""
+    lines = documents.manifest_lines(F.col(KEY), {"record_class": F.col("Segment"), "bf_001": F.col("HORef")}, publisher, prefix)
+    # Numbers of one prefix differ in their last digits, so a cut number follows their order.
+    batched = ranking.batch(cases, [KEY], f"left({KEY}, 8)", size)
+    return documents.manifest_batches(batched.withColumn("_lines", lines), "batch_id", KEY, "_lines")
+
+
 def retention_metadata(
     cases: DataFrame, people: DataFrame, statuses: DataFrame, pairs: DataFrame, segment: DataFrame,
     as_of: str, publisher: str, region: str, entitlement: str,

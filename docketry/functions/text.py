@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import string
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
@@ -124,9 +126,12 @@ def name_in_text(text: Column, names: Sequence[str]) -> Column:
     """The last word that is a name; else the last one once punctuation is dropped; else the first one
     after splitting on commas and dots too. '' without a match, NULL for NULL text.
 
-    ``array_intersect`` keeps the order of its first array, so its first entry is the first match; all
-    steps run on whole arrays without a function per word.
+    One search over the text without punctuation decides whether any name is there at all; only then is it cut
+    into words. ``array_intersect`` keeps the order of its first array, so its first entry is the first match;
+    all steps run on whole arrays without a function per word.
     """
+    marks = dict.fromkeys(map(ord, string.punctuation))
+    anywhere = "|".join(re.escape(n.lower().translate(marks)) for n in names) or "(?!)"
     known = F.array(*[F.lit(n.lower()) for n in names])
 
     def first(items: Column) -> Column:
@@ -141,7 +146,8 @@ def name_in_text(text: Column, names: Sequence[str]) -> Column:
             F.lit(""),
         )
 
-    return F.when(text.isNotNull(), F.initcap(pick(F.lower(text))))
+    low = F.lower(text)
+    return F.when(strip_punctuation(low).rlike(anywhere), F.initcap(pick(low))).when(text.isNotNull(), F.lit(""))
 
 
 def first_contained(text: Column, names: Sequence[str]) -> Column:

@@ -131,6 +131,51 @@ def case_retention_metadata(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_KEPT = "kept AS (SELECT CaseNo, CasePrefix AS Segment, HORef FROM header WHERE CaseType = 1)"
+
+
+def _kept_cases(spark: SparkSession, sf: str) -> DataFrame:
+    return derive(spark, sf, "header").filter("CaseType = 1").select(KEY, F.col("CasePrefix").alias("Segment"), "HORef")
+
+
+@query(
+    "case_archive_documents",
+    ctes("header", "statuses")
+    + f""", {_KEPT}, p AS (SELECT CaseNo, year(DateReceived) AS part,
+         string_agg('<tr><td>' || strftime(DateReceived, '%Y-%m-%d') || '</td><td>' || CaseStatus || '</td><td>' || coalesce(CAST(Outcome AS VARCHAR), '') || '</td></tr>', ''
+                    ORDER BY DateReceived, StatusId) AS rows,
+         string_agg('{{"StatusId":' || StatusId || ',"status":' || CaseStatus || CASE WHEN Outcome IS NULL THEN '' ELSE ',"outcome":' || Outcome END
+                    || ',"received":"' || strftime(DateReceived, '%Y-%m-%d') || '"}}', ',' ORDER BY DateReceived, StatusId) AS entries
+         FROM statuses GROUP BY 1, 2),
+       x AS (SELECT kept.*, part, rows, entries, part IS NOT DISTINCT FROM min(part) OVER w AS first, part IS NOT DISTINCT FROM max(part) OVER w AS last
+             FROM kept LEFT JOIN p USING (CaseNo) WINDOW w AS (PARTITION BY CaseNo))
+       SELECT CaseNo, coalesce(part, 0) AS part,
+         CASE WHEN first THEN '<html><h1>' || CaseNo || '</h1><p>' || Segment || ' ' || coalesce(HORef, '') || '</p><table>' ELSE '' END || coalesce(rows, '')
+           || CASE WHEN last THEN '</table></html>' ELSE '' END AS html,
+         CASE WHEN first THEN '{{"CaseNo":"' || CaseNo || '","Segment":"' || Segment || '"' || CASE WHEN HORef IS NULL THEN '' ELSE ',"HORef":"' || HORef || '"' END || ',"statuses":['
+           ELSE ',' END || coalesce(entries, '') || CASE WHEN last THEN ']}}' ELSE '' END AS json
+       FROM x""",
+)
+def case_archive_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages and nested records of the archived cases, in parts by the year of a status."""
+    return archive.case_documents(_kept_cases(spark, sf), derive(spark, sf, "statuses"))
+
+
+@query(
+    "case_archive_manifests",
+    ctes("header")
+    + f""", {_KEPT}, n AS (SELECT *, (row_number() OVER (ORDER BY CaseNo) - 1) // 250 + 1 AS batch_id, replace(CaseNo, '/', '_') AS file FROM kept)
+       SELECT batch_id, count(*) AS records, string_agg(
+         '{{"operation":"create_record","relation_id":"' || CaseNo || '","record_metadata":{{"publisher":"Records","record_class":"' || Segment || '","bf_001":"' || coalesce(HORef, '') || '"}}}}'
+         || chr(10) || '{{"operation":"upload_new_file","relation_id":"' || CaseNo || '","file_metadata":{{"publisher":"Records","dz_file_name":"case_' || file || '.html","file_tag":"html"}}}}'
+         || chr(10) || '{{"operation":"upload_new_file","relation_id":"' || CaseNo || '","file_metadata":{{"publisher":"Records","dz_file_name":"case_' || file || '.json","file_tag":"json"}}}}',
+         chr(10) ORDER BY CaseNo) AS manifest
+       FROM n GROUP BY 1""",
+)
+def case_archive_manifests(spark: SparkSession, sf: str) -> DataFrame:
+    return archive.manifests(_kept_cases(spark, sf), "Records", "case_")
+
+
 # ---------------------------------------------------------------- payloads
 
 JUDGE_STATES = ["caseUnderReview", "reasonsForAppealSubmitted", "prepareForHearing", "decided(b)"]

@@ -236,3 +236,17 @@ def test_bench_leaves_out_barred_officers(spark):
     assigned = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "CaseNo string, AdjudicatorId int")
     officers = spark.createDataFrame([(1, "One", 0), (2, "Two", 1)], "AdjudicatorId int, Surname string, DoNotList int")
     assert [(r["CaseNo"], r["judge"]) for r in wide.bench(assigned, officers).collect()] == [("a", "One")]
+
+
+def test_archive_parts_join_to_one_record(spark):
+    days = [None, "2020-01-05", "2021-02-06", "2021-02-06", "2023-03-07"]
+    rows = [("a/1", i, 10 + i, i if i != 2 else None, d) for i, d in enumerate(days)] + [("b/2", 1, 26, 1, "2020-01-01")]
+    statuses = spark.createDataFrame(rows, "CaseNo string, StatusId int, CaseStatus int, Outcome int, DateReceived string").withColumn("DateReceived", F.col("DateReceived").cast("timestamp_ntz"))
+    cases = spark.createDataFrame([("a/1", "FT", None), ("b/2", "UT", 'x"y'), ("c/3", "FT", "z")], "CaseNo string, Segment string, HORef string")
+    parts = archive.case_documents(cases, statuses).orderBy("CaseNo", "part").collect()
+    assert [r["part"] for r in parts if r["CaseNo"] == "a/1"] == [0, 2020, 2021, 2023]
+    whole = {c: ("".join(r["html"] for r in parts if r["CaseNo"] == c), json.loads("".join(r["json"] for r in parts if r["CaseNo"] == c))) for c in ("a/1", "b/2", "c/3")}
+    assert [s["StatusId"] for s in whole["a/1"][1]["statuses"]] == [0, 1, 2, 3, 4] and "outcome" not in whole["a/1"][1]["statuses"][2]
+    assert whole["b/2"][1]["HORef"] == 'x"y' and whole["c/3"][1] == {"CaseNo": "c/3", "Segment": "FT", "HORef": "z", "statuses": []}
+    for page, record in whole.values():
+        assert page.startswith("<html><h1>") and page.endswith("</table></html>") and page.count("<html>") == 1 and page.count("<tr>") == len(record["statuses"])
