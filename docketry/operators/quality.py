@@ -43,13 +43,15 @@ def mark(df: DataFrame, rules: Rules) -> DataFrame:
     return df.withColumn("failed_rules", failed_rules(rules)).withColumn("is_valid", F.size("failed_rules") == 0)
 
 
-def quarantine(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
+def quarantine(df: DataFrame, rules: Rules, path: str) -> tuple[DataFrame, DataFrame]:
     """(valid rows, invalid rows with the names of the failed rules); sizes add up to the input.
 
-    Both sides evaluate ``df``; hand in a written table, or use ``mark`` and one partitioned write.
+    The input is evaluated once, in one write to ``path`` partitioned by validity; each side reads its folder.
     """
     marked = mark(df, rules)
-    return marked.filter("is_valid").drop("is_valid", "failed_rules"), marked.filter(~F.col("is_valid")).drop("is_valid")
+    marked.write.partitionBy("is_valid").parquet(path)
+    stored = df.sparkSession.read.schema(marked.schema).parquet(path)
+    return stored.filter("is_valid").select(*df.columns), stored.filter(~F.col("is_valid")).select(*df.columns, "failed_rules")
 
 
 def quarantine_path(path: Column, valid: Column, valid_folder: str = "/JSON/", invalid_folder: str = "/INVALID_JSON/") -> Column:

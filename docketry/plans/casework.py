@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docketry.cases import fields, states
 from docketry.cases.base import ENDED, KEY, case_base, pair
+from docketry.cases.rules import DEPENDENCIES
 from docketry.plans import case_oracles
 from docketry.plans.casework_tables import case_tables, ctes, derive, lookup
 from docketry.plans.registry import query
@@ -379,6 +380,19 @@ def case_home_office(spark: SparkSession, sf: str) -> DataFrame:
     return fields.content(base, fields.home_office())
 
 
+@query(
+    "case_dq_enrich",
+    ctes("header", "people", "categories")
+    + f""", {_CATS} SELECT h.CaseNo, dv_representation, lu_appealType, OutOfTimeIssue, PaymentRemissionRequested, Interpreter, CourtPreference, InCamera,
+       Sponsor_Name, Detained, {_IN_UK_HELD} AS dv_inCountryOrHeld, strftime(DateLodged, '%Y-%m-%d') AS lodged
+       FROM header h LEFT JOIN people USING (CaseNo) LEFT JOIN cats USING (CaseNo)""",
+)
+def case_dq_enrich(spark: SparkSession, sf: str) -> DataFrame:
+    """The case columns that the rules of a state compare the content with."""
+    base = fields.with_place(case_base(case_tables(spark, sf, "people", "categories")))
+    return base.select(KEY, *[c for c in DEPENDENCIES if c != "DateLodged"], F.date_format("DateLodged", "yyyy-MM-dd").alias("lodged"))
+
+
 @query("case_home_office_detained", _home_office_sql(_IN_UK_HELD))
 def case_home_office_detained(spark: SparkSession, sf: str) -> DataFrame:
     base = _placed(case_base(case_tables(spark, sf, "people", "categories", "refs")))

@@ -9,7 +9,7 @@ from docketry.operators import quality
 from docketry.plans.registry import query
 from docketry.sources import files, sinks, snapshots
 from docketry.sources.files import table
-from docketry.sources.scratch import materialise, scratch_path
+from docketry.sources.scratch import scratch_path
 
 
 @query(
@@ -88,9 +88,9 @@ def _put(name: str, body: str) -> None:
        FROM orders""",
 )
 def upload_status(spark: SparkSession, sf: str) -> DataFrame:
-    """The report of an upload, written once so that reading it sends nothing again."""
+    """The report of an upload; reading it sends nothing again."""
     named = table(spark, sf, "orders").select(F.concat(F.lit("out/"), F.col("o_orderkey").cast("string"), F.lit(".txt")).alias("path"), "o_orderpriority")
-    return materialise(sinks.upload_documents(named, _put, "path", "o_orderpriority"), "upload")
+    return sinks.upload_documents(named, _put, "path", "o_orderpriority")
 
 
 @query(

@@ -135,14 +135,14 @@ def _last_sql(kind: str) -> str:
         LEFT JOIN {_last_sql('purchase')} p ON p.record_key = v.record_key""",
 )
 def trace_files(spark: SparkSession, sf: str) -> DataFrame:
-    events = keyed(spark, sf).select("record_key", "event_type", "ts", "event_id", "value")
+    """The last acknowledgement and upload of every published record, from one pass over the events."""
     status = F.when(F.col("value") >= 50, "success").otherwise("failure")
-
-    def last(kind: str) -> DataFrame:
-        return ranking.latest(_of(events, kind), ["record_key"], ["ts", "event_id"]).withColumn("status", status)
-
-    published = _of(events, "view").select("record_key").distinct()
-    return reconcile.trace(published, {"ack": last("click"), "upload": last("purchase")}, "record_key")
+    events = keyed(spark, sf).select("record_key", "event_type", "ts", "event_id", status.alias("status"))
+    kinds = {"view": "view", "ack": "click", "upload": "purchase"}
+    last = ranking.latest_multi(
+        events, ["record_key"], ["ts", "event_id"], {n: F.col("event_type") == k for n, k in kinds.items()}, ["event_id", "status"]
+    )
+    return last.filter("view_event_id IS NOT NULL").select("record_key", "ack_status", "upload_status")
 
 
 @query(

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docketry.sources.scratch import materialise
+
 REPORT_SCHEMA = "file_name string, status string, error_message string, attempts int"
 
 
@@ -25,7 +27,8 @@ def publish(
     """Send every row from its own partition and return one report row per record.
 
     ``send(key, body)`` must be idempotent by key: Spark may run a task twice. A full buffer is tried
-    again up to ``attempts`` times; any other error is recorded, never swallowed.
+    again up to ``attempts`` times; any other error is recorded, never swallowed. The report is written here,
+    so that reading it again sends nothing.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -48,7 +51,7 @@ def publish(
             yield pd.DataFrame(rows, columns=["file_name", "status", "error_message", "attempts"])
 
     picked = df.select(F.col(key).cast("string").alias("_key"), F.col(body).cast("string").alias("_body"))
-    return picked.mapInPandas(run, REPORT_SCHEMA)
+    return materialise(picked.mapInPandas(run, REPORT_SCHEMA), "report")
 
 
 def write_documents(df: DataFrame, path: str, folder: str, body: str) -> None:
@@ -65,10 +68,7 @@ def write_documents(df: DataFrame, path: str, folder: str, body: str) -> None:
 
 
 def upload_documents(df: DataFrame, put: Callable[[str, str], None], path_col: str, body_col: str) -> DataFrame:
-    """Per-row upload with a status text, as a report to be written once.
-
-    Write the returned report before using it; evaluating it again would upload again.
-    """
+    """Per-row upload with a status text, as a written report."""
     report = publish(df, put, path_col, body_col)
     return report.select(
         F.col("file_name").alias(path_col),

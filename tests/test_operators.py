@@ -18,10 +18,10 @@ def test_empty_rules_accept_everything(spark):
     assert quality.validate(spark.range(1), {}).first()["is_valid"] is True
 
 
-def test_null_rules_fail_and_split_is_whole(spark):
+def test_null_rules_fail_and_split_is_whole(spark, tmp_path):
     df = spark.createDataFrame([(1,), (-1,), (None,)], "v int")
     rules = {"positive": "v > 0", "known": "v IS NOT NULL"}
-    valid, invalid = quality.quarantine(df, rules)
+    valid, invalid = quality.quarantine(df, rules, str(tmp_path / "split"))
     assert [r["v"] for r in valid.collect()] == [1]
     failed = {r["v"]: r["failed_rules"] for r in invalid.collect()}
     assert failed == {-1: ["positive"], None: ["positive", "known"]}
