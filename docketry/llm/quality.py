@@ -90,24 +90,29 @@ def bind(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def lines_with_words(text: Column) -> Column:
-    return F.filter(F.split(text, "\n", -1), lambda x: F.translate(x, SPACES, "") != "")
+def line_hash(tokens: Column) -> Column:
+    """Hash of a normalised line, from its words."""
+    return F.xxhash64(F.translate(F.array_join(tokens, " "), UPPER, LOWERED))
 
 
-def line_hash(line: Column) -> Column:
-    return F.xxhash64(F.trim(F.regexp_replace(F.translate(line, UPPER, LOWERED), SPACE, " ")))
+def measures(text: Column) -> Column:
+    """A struct of the base measures and the lines (hash, words) of a text that is not null.
 
+    Each line is split into words once; everything else follows from those words, as a line feed is white space.
+    """
+    lines = F.transform(F.split(text, "\n", -1), lambda line: F.struct(line.alias("raw"), words(line).alias("w")))
+
+    def measured(rows: Column) -> Column:
+        return F.struct(
+            F.aggregate(rows, F.lit(0).cast("long"), lambda n, r: n + F.size(r["w"])).alias("n_words"),
+            F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
+            (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+            (F.size(rows) - F.size(F.array_distinct(F.transform(rows, lambda r: r["raw"])))).cast("long").alias("n_dup_lines"),
+            repeated_words(F.flatten(F.transform(rows, lambda r: r["w"]))).alias("n_repeat_words"),
+            F.transform(rows, lambda r: F.struct(line_hash(r["w"]).alias("line"), F.size(r["w"]).alias("n"))).alias("lines"),
+        )
 
-def measures(text: Column, limits: Limits) -> dict[str, Column]:
-    """The base measures of a text column that is not null."""
-    lines = lines_with_words(text)
-    return {
-        "n_words": F.size(words(text)).cast("long"),
-        "word_chars": F.length(F.translate(text, SPACES, "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": bind(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
-        "n_repeat_words": repeated_words(words(text)),
-    }
+    return bind(F.filter(lines, lambda r: F.size(r["w"]) > 0), measured)
 
 
 def judged(df: DataFrame, host_col: str, text_col: str, limits: Limits = Limits(), carry: list[str] | None = None, name: str = "quality") -> DataFrame:
@@ -122,20 +127,15 @@ def judged(df: DataFrame, host_col: str, text_col: str, limits: Limits = Limits(
     """
     kept = [c for c in (df.columns if carry is None else carry) if c.lower() != name.lower()]
     text = F.coalesce(col(text_col), F.lit(""))
-    per_line = bind(
-        lines_with_words(text),
-        lambda x: F.transform(x, lambda line: F.struct(line_hash(line).alias("line"), F.size(words(line)).alias("n"))),
-    )
     measured = df.select(
         *[col(c) for c in kept],
         col(host_col).cast("string").alias("__host"),
         F.monotonically_increasing_id().alias("__row"),
         F.xxhash64(text).alias("__copy"),
-        per_line.alias("__lines"),
-        *[c.alias(f"__{k}") for k, c in measures(text, limits).items()],
+        measures(text).alias("__m"),
     )
     stored = materialise(measured, "quality")
-    spread = stored.select("__host", "__row", "__copy", F.explode("__lines").alias("l")).select("__host", "__row", "__copy", "l.line", "l.n")
+    spread = stored.select("__host", "__row", "__copy", F.explode("__m.lines").alias("l")).select("__host", "__row", "__copy", "l.line", "l.n")
     texts = stored.groupBy("__host", "__copy").agg(F.lit(1).alias("one")).groupBy("__host").agg(F.count(F.lit(1)).alias("__texts"))
     counted = spread.groupBy("__host", "line", "__copy").agg(F.lit(1).alias("one")).groupBy("__host", "line").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") > limits.min_docs)
     frequent = counted.alias("c").join(texts.alias("t"), F.col("c.__host").eqNullSafe(F.col("t.__host"))).filter(F.col("docs") * 100 > F.col("__texts") * limits.share).select(F.col("c.__host").alias("__h"), F.col("line").alias("__l"))
@@ -144,12 +144,12 @@ def judged(df: DataFrame, host_col: str, text_col: str, limits: Limits = Limits(
         .groupBy("__row")
         .agg(F.sum("n").alias("__removed_words"), F.collect_set("line").alias("__removed"))
     )
-    n_words, gone = F.col("__n_words"), F.coalesce("__removed_words", F.lit(0))
-    failed = (n_words < limits.min_words) | (100 * F.col("__n_repeat_words") > limits.repeat_share * n_words)
+    n_words, gone = F.col("__m.n_words"), F.coalesce("__removed_words", F.lit(0))
+    failed = (n_words < limits.min_words) | (100 * F.col("__m.n_repeat_words") > limits.repeat_share * n_words)
     left = n_words - gone
     depleted = (gone > 0) & ((left < limits.left_words) | (100 * left < limits.left_share * n_words))
     result = F.struct(
-        *[F.col(f"__{k}").alias(k) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+        *[F.col(f"__m.{k}") for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         failed.alias("base_failed"),
         (~failed & ~depleted).alias("kept"),
         gone.alias("n_removed_words"),
@@ -160,5 +160,5 @@ def judged(df: DataFrame, host_col: str, text_col: str, limits: Limits = Limits(
 
 def without_lines(text: Column, removed: Column) -> Column:
     """The text without the lines whose hashes are in ``removed``; the text itself where none is."""
-    left = F.filter(F.split(text, "\n", -1), lambda line: (F.translate(line, SPACES, "") == "") | ~F.array_contains(removed, line_hash(line)))
+    left = F.filter(F.split(text, "\n", -1), lambda line: (F.translate(line, SPACES, "") == "") | ~F.array_contains(removed, line_hash(words(line))))
     return F.when(F.size(removed) == 0, text).otherwise(F.array_join(left, "\n"))
