@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,16 +36,25 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the scratch paths handed out so far; call it once no result that reads them is needed.
+def mark() -> int:
+    """A point in the order of scratch paths, for ``release``."""
+    return len(_written)
 
-    Goes through the file system of the path, so it works on the shared folder of a cluster.
+
+def release(spark: SparkSession, since: int = 0, keep: Collection[str] = ()) -> int:
+    """Delete the scratch paths handed out after ``since`` but those in ``keep``.
+
+    Call it once no result that reads them is needed. Goes through the file system of the path, so it works on
+    the shared folder of a cluster.
     """
     removed = 0
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        removed += bool(path.getFileSystem(conf).delete(path, True))
+    kept = [p for p in _written[since:] if p in keep]
+    for name in _written[since:]:
+        if name not in keep:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            removed += bool(path.getFileSystem(conf).delete(path, True))
+    _written[since:] = kept
     return removed
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketry.sources import files, sinks, snapshots
-from docketry.sources.scratch import materialise, release, scratch_dir
+from docketry.sources.scratch import _written, mark, materialise, release, scratch_dir
 from docketry.streaming import feeds
 
 
@@ -147,3 +147,14 @@ def test_dual_sink_repeats_into_the_same_folder(spark, tmp_path):
         # A lost checkpoint replays the batch; the folders of batch 0 are replaced, not doubled.
         feeds.dual_sink(feeds.stream_table(spark, str(tmp_path / "in"), "t"), current, history, str(tmp_path / run))
     assert spark.read.parquet(current).count() == 5 == spark.read.parquet(history).count()
+
+
+def test_release_keeps_what_is_named_and_older(spark):
+    older = materialise(spark.range(2), "older")
+    start = mark()
+    kept, gone = (materialise(spark.range(n), "newer") for n in (3, 4))
+    path = kept.inputFiles()[0].rsplit("/", 1)[0]
+    named = [p for p in _written[start:] if path.endswith(p)]
+    assert release(spark, since=start, keep=named) == 1
+    assert older.count() == 2 and kept.count() == 3
+    assert len(_written) == start + 1 and gone.columns == ["id"]
