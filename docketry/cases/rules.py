@@ -144,6 +144,15 @@ STATE_RULES_BY_NAME: dict[str, dict[str, str]] = {
     },
     "listing": {
         "valid_singleSexCourtType": "(singleSexCourt = 'No' AND singleSexCourtType IS NULL) OR singleSexCourtType IN ('All male', 'All female')",
+        "valid_appellantLevelFlags_listed": (
+            "SIZE(ARRAY_INTERSECT(TRANSFORM(appellantLevelFlags.details, x -> x.value.flagCode), ARRAY('RA0019', 'RA0043', 'PF0014'))) = 3"
+        ),
+        "valid_flag_PF0015": (
+            "ARRAY_CONTAINS(TRANSFORM(appellantLevelFlags.details, x -> x.value.flagCode), 'PF0015') = (appellantInterpreterSpokenLanguage IS NOT NULL)"
+        ),
+        "valid_flag_RA0042": (
+            "ARRAY_CONTAINS(TRANSFORM(appellantLevelFlags.details, x -> x.value.flagCode), 'RA0042') = (appellantInterpreterSignLanguage IS NOT NULL)"
+        ),
         "valid_interpreter_language": "isInterpreterServicesNeeded = 'No' OR SIZE(appellantInterpreterLanguageCategory) > 0",
         "valid_isAppellantAttendingTheHearing": _fixed("isAppellantAttendingTheHearing", "Yes"),
         "valid_isAppellantGivingOralEvidence": _fixed("isAppellantGivingOralEvidence", "Yes"),

@@ -19,8 +19,14 @@ def flag_array(pairs: Sequence[tuple[Column, Column]]) -> Column:
     return F.when(F.size(kept) > 0, kept)
 
 
-def flag(key: Column, name: str, code: str, comment: str | None, relevant: str, as_of: str) -> Column:
-    """A flag entry. Its id comes from the record key, so that a second run yields the same entry."""
+def flag(
+    key: Column, name: str, code: str, comment: str | None, relevant: str, as_of: str, sub_type: tuple[Column, Column] | None = None
+) -> Column:
+    """A flag entry, if need be with the key and value of its sub-type.
+
+    Its id comes from the record key, so that a second run yields the same entry.
+    """
+    more = [] if sub_type is None else [sub_type[0].alias("subTypeKey"), sub_type[1].alias("subTypeValue")]
     return F.struct(
         F.sha2(F.concat_ws("|", key.cast("string"), F.lit(code), F.lit(name)), 256).alias("id"),
         F.struct(
@@ -28,6 +34,7 @@ def flag(key: Column, name: str, code: str, comment: str | None, relevant: str,
             F.lit("Active").alias("status"),
             F.lit(code).alias("flagCode"),
             F.lit(comment).cast("string").alias("flagComment"),
+            *more,
             F.lit(as_of).alias("dateTimeCreated"),
             F.lit(relevant).alias("hearingRelevant"),
         ).alias("value"),

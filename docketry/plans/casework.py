@@ -648,6 +648,32 @@ def case_interpreter(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "case_listing_flags",
+    ctes("header", "people", "categories", "statuses", "languages")
+    + f""", {_CATS}, {_last("(CaseStatus IN (37, 38) AND Outcome IN (0, 27, 37, 39, 40, 50)) OR (CaseStatus = 26 AND Outcome IN (40, 52))")},
+       x AS (SELECT h.CaseNo, {_OK} AS ok, ids, Detained, Appellant_Forenames || ' ' || Appellant_Name AS party,
+               {_language_sql('spokenLanguageInterpreter')} AS spoken, {_language_sql('signLanguageInterpreter')} AS sign
+             FROM header h LEFT JOIN people USING (CaseNo) LEFT JOIN cats ON cats.CaseNo = h.CaseNo LEFT JOIN m3 ON m3.CaseNo = h.CaseNo
+             LEFT JOIN languages il ON il.LanguageId = h.LanguageId
+             LEFT JOIN languages ail ON ail.LanguageId = m3.AdditionalLanguageId AND h.LanguageId IS DISTINCT FROM m3.AdditionalLanguageId)
+       SELECT CaseNo, party, concat_ws(',', CASE WHEN ok AND {_any(17, 29, 30, 39, 40, 48, 19)} THEN 'PF0012' END, CASE WHEN ok AND {_has(9)} THEN 'PF0013' END,
+         CASE WHEN ok AND Detained IN (1, 2, 4) THEN 'PF0019' END, 'RA0019,RA0043,PF0014', 'PF0015 ' || spoken, 'RA0042 ' || sign) AS flags
+       FROM x""",
+)
+def case_listing_flags(spark: SparkSession, sf: str) -> DataFrame:
+    base = case_base(case_tables(spark, sf, "people", "categories", "statuses"), {"listing": ["AdditionalLanguageId"]})
+    df = fields.content(fields.with_languages(base, lookup(spark, "languages")), fields.listing_flags(AS_OF))
+
+    def shown(f: Column) -> Column:
+        v = f["value"]
+        kind = F.coalesce(F.concat(F.lit("listed:"), v["subTypeKey"]), F.concat(F.lit("typed:"), v["subTypeValue"]))
+        return F.concat_ws(" ", v["flagCode"], kind)
+
+    flags = F.col("appellantLevelFlags")
+    return df.select(KEY, flags["partyName"].alias("party"), F.array_join(F.transform(flags["details"], shown), ",").alias("flags"))
+
+
 @query(
     "case_hearing_details",
     ctes("header", "statuses", "listing_locations")
