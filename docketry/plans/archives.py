@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.cases import archive, codes, fields, payloads
+from docketry.cases import archive, codes, fields, links, payloads
 from docketry.cases.base import KEY, case_base
 from docketry.operators import documents, linking, projection, quality
 from docketry.plans import case_oracles
@@ -281,6 +281,25 @@ def case_link_entries(spark: SparkSession, sf: str) -> DataFrame:
     return members.select(KEY, "LinkNo", F.col("ReasonLinkId").cast("long").alias("ReasonLinkId"), "key", "position", "peers")
 
 
+_ENTRY_SQL = """'{"id":"' || CaseNo || '","value":{"CaseType":"Asylum","CaseReference":"' || CaseNo || '","ReasonForLink":[{"id":"' || sha256(CaseNo || '|' || key)
+   || '","value":{"Reason":"' || key || '"}}]}}'"""
+
+
+@query(
+    "case_link_payloads",
+    f"""WITH c AS (SELECT {case_no('o_orderkey')} AS CaseNo, o_custkey AS LinkNo, o_orderkey,
+               CASE WHEN o_orderkey % 26 <= 20 THEN 'CLRC005' WHEN o_orderkey % 26 = 21 THEN 'CLRC006' WHEN o_orderkey % 26 = 22 THEN 'CLRC008'
+                    WHEN o_orderkey % 26 = 23 THEN 'CLRC010' ELSE 'CLRC014' END AS key FROM orders)
+        SELECT LinkNo, ascii(CaseNo) AS part, count(*) AS members, '[' || string_agg({_ENTRY_SQL}, ',' ORDER BY CaseNo) || ']' AS payload FROM c GROUP BY 1, 2""",
+)
+def case_link_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries of the cases of a group, in fragments by the first letter of the case number."""
+    reason = projection.map_lookup((F.col("o_orderkey") % 26 + 2).cast("int"), REASON_KEYS)
+    cases = table(spark, sf, "orders").select(F.expr(case_no("o_orderkey")).alias(KEY), F.col("o_custkey").alias("LinkNo"), reason.alias("key"))
+    made = links.payloads(cases.withColumn("entry", links.entry(F.col("key"), "Asylum")), "LinkNo", F.ascii(KEY))
+    return made.withColumn("members", F.col("members").cast("long"))
+
+
 @query(
     "case_lineage",
     ctes("header")
