@@ -135,6 +135,7 @@ STATE_RULES_BY_NAME: dict[str, dict[str, str]] = {
             "(appellantInDetention = 'Yes' AND detentionFacility IN ('prison', 'immigrationRemovalCentre', 'other')) "
             "OR (appellantInDetention = 'No' AND detentionFacility IS NULL)"
         ),
+        "valid_detention_place": "Detained IN (1, 2) OR (detentionBuilding IS NULL AND detentionAddressLines IS NULL AND detentionPostcode IS NULL)",
         "valid_removalOrder": "(removalOrderOptions = 'Yes') = (removalOrderDate IS NOT NULL)",
     },
     "appealSubmitted": {
@@ -174,6 +175,8 @@ STATE_RULES_BY_NAME: dict[str, dict[str, str]] = {
     "prepareForHearing": {
         "valid_listCaseHearingLength": "listCaseHearingLength IS NULL OR CAST(listCaseHearingLength AS INT) % 30 = 0",
         "valid_listingLength": "listingLength IS NULL OR ELEMENT_AT(listingLength, 'minutes') IN (0, 30)",
+        "valid_witnessDetails": "SIZE(witnessDetails) = 0",
+        **{f"valid_witness{i}_{kind}": f"SIZE(witness{i}Interpreter{kind}Language) = 0" for kind in ("Sign", "Spoken") for i in range(1, 11)},
         "valid_isRemoteHearing": _fixed("isRemoteHearing", "No"),
         "valid_isAdditionalInstructionAllowed": _fixed("isAdditionalInstructionAllowed", "Yes"),
         "valid_isAppealSuitableToFloat": _one_of_or_null("isAppealSuitableToFloat", "Yes", "No"),

@@ -188,7 +188,8 @@ _PREV = "CASE WHEN header.CentreId IN (77,476,101,55,296,13,79,522,406,517,37) T
              FROM header LEFT JOIN people USING (CaseNo) LEFT JOIN h USING (CaseNo) LEFT JOIN centres a ON a.CentreId = header.CentreId
              LEFT JOIN centres b ON b.prevFileLocation = {_PREV}),
        y AS (SELECT x.*, prev IS NULL OR prev = 'Loughborough' AS unknown, {_AREA_SQL} AS area FROM x),
-       z AS (SELECT y.*, c, d.applicationChangeDesignatedHearingCentre AS held FROM y LEFT JOIN area_centres c ON c.hearingCentre = area
+       z AS (SELECT y.*, c, d.applicationChangeDesignatedHearingCentre AS held, d.detentionBuilding AS building, d.detentionAddressLines AS lines,
+                    d.detentionPostcode AS code FROM y LEFT JOIN area_centres c ON c.hearingCentre = area
              LEFT JOIN detention_centres d USING (DetentionCentreId)),
        w AS (SELECT z.*, {_OK} AS ok, CASE WHEN direct THEN a.hearingCentre WHEN unknown THEN area ELSE b.hearingCentre END AS centre,
                CASE WHEN direct THEN a.staffLocation WHEN unknown THEN c.staffLocation ELSE b.staffLocation END AS staff,
@@ -200,7 +201,9 @@ _PREV = "CASE WHEN header.CentreId IN (77,476,101,55,296,13,79,522,406,517,37) T
        SELECT CaseNo, CASE WHEN ok THEN centre END AS hearingCentre, CASE WHEN ok THEN staff END AS staffLocation, CASE WHEN ok THEN label0 END AS selected,
          CASE WHEN ok AND code0 IS NOT NULL AND label0 IS NOT NULL THEN code0 || ' ' || label0 || ' of 10 first 227101' END AS list,
          CASE WHEN ok AND code0 IS NOT NULL AND label0 IS NOT NULL THEN '1 ' || code0 END AS managed,
-         CASE WHEN ok THEN des END AS designated, CASE WHEN Detained IN (1, 2) THEN held WHEN ok THEN des END AS designated_held
+         CASE WHEN ok THEN des END AS designated, CASE WHEN Detained IN (1, 2) THEN held WHEN ok THEN des END AS designated_held,
+         CASE WHEN Detained IN (1, 2) THEN building END AS detentionBuilding, CASE WHEN Detained IN (1, 2) THEN lines END AS detentionAddressLines,
+         CASE WHEN Detained IN (1, 2) THEN code END AS detentionPostcode
        FROM w""",
 )
 def case_general(spark: SparkSession, sf: str) -> DataFrame:
@@ -209,7 +212,7 @@ def case_general(spark: SparkSession, sf: str) -> DataFrame:
     base = fields.with_centres(base, lookup(spark, "centres"), lookup(spark, "area_centres"), lookup(spark, "detention_centres"))
     made = base.select(
         KEY,
-        *[c.alias(n) for n, c in fields.general().items()],
+        *[c.alias(n) for n, c in {**fields.general(), **fields.detention_place()}.items()],
         fields.general(detained_counts=True)["applicationChangeDesignatedHearingCentre"].alias("designated_held"),
     )
     choices = F.col("hearingCentreDynamicList.list_items")
@@ -221,7 +224,7 @@ def case_general(spark: SparkSession, sf: str) -> DataFrame:
             F.col("caseManagementLocationRefData").isNotNull(),
             F.concat_ws(" ", "caseManagementLocationRefData.region", "caseManagementLocationRefData.baseLocation.value.code"),
         ).alias("managed"),
-        F.col("applicationChangeDesignatedHearingCentre").alias("designated"), "designated_held",
+        F.col("applicationChangeDesignatedHearingCentre").alias("designated"), "designated_held", *fields.DETENTION_PLACE,
     )
 
 

@@ -262,8 +262,14 @@ AREA_CENTRES = [
     ("hattonCross", "Hatton Cross", "386417", "Hatton Cross Tribunal Hearing Centre", "hattonCross"),
 ]
 AREA_CENTRE_COLUMNS = "hearingCentre string, staffLocation string, locationCode string, locationLabel string, applicationChangeDesignatedHearingCentre string"
-DETENTION_CENTRES = [(0, "harmondsworth"), (1, "yarlsWood"), (2, None)]
-DETENTION_COLUMNS = "DetentionCentreId int, applicationChangeDesignatedHearingCentre string"
+DETENTION_CENTRES = [
+    (0, "harmondsworth", "North House", "1 Lane, West Town", "UB7 0HB"),
+    (1, "yarlsWood", "South House", None, "MK44 1FD"),
+    (2, None, None, "3 Road, East Town", None),
+]
+DETENTION_COLUMNS = (
+    "DetentionCentreId int, applicationChangeDesignatedHearingCentre string, detentionBuilding string, detentionAddressLines string, detentionPostcode string"
+)
 LANGUAGES = [
     (1, "spokenLanguageInterpreter", "fra", "French", None, None), (2, "spokenLanguageInterpreter", "deu", "German", None, None),
     (3, "signLanguageInterpreter", "bfi", "British Sign", None, None), (4, "spokenLanguageInterpreter", None, None, "Yes", "Dialect"),
