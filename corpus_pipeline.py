@@ -8,27 +8,27 @@ tables and further columns are handled as the operators' docstrings say; further
 from __future__ import annotations
 
 import public_tokenizers
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docketry.llm import bpe, decontaminate, quality, secrets, simhash
-from docketry.llm.common import annotate, col, struct_array
+from docketry.llm.common import col
 from docketry.sources.files import table
-from docketry.sources.scratch import materialise
+from docketry.sources.scratch import mark, release, scratch_path
 
 
-def _with_text(df: DataFrame, columns: list[str], text) -> DataFrame:
-    """``columns`` of ``df`` with a new text and its length; a null text stays null."""
-    new = {"text": text.alias("text"), "n_chars": F.length(text).cast("long").alias("n_chars")}
+def _with_text(df: DataFrame, columns: list[str], text: Column, changed: Column) -> DataFrame:
+    """``columns`` of ``df`` with a new text, and its length where it has changed."""
+    length = F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars"))
+    new = {"text": text.alias("text"), "n_chars": length.alias("n_chars")}
     return df.select(*[new.get(c, col(c)) for c in columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; frequent lines are taken out of the others."""
     made = quality.judged(docs, "source", "text", name="__quality").filter("__quality.kept")
-    return _with_text(made, docs.columns, quality.without_lines(F.col("text"), F.col("__quality.removed")))
+    removed = F.col("__quality.removed")
+    return _with_text(made, docs.columns, quality.without_lines(F.col("text"), removed), F.size(removed) > 0)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,19 +45,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by a mark of its kind."""
-
-    def start():
-        def score(texts: list[str | None], spans: list[list[dict]]) -> pa.StructArray:
-            made = [t if not s else secrets.redact(t, [(x["kind"], x["start"], x["end"]) for x in s]) for t, s in zip(texts, spans)]
-            return struct_array(text=pa.array(made, pa.string()))
-
-        return score
-
-    found = secrets.scan(docs, "doc_id", "text", name="__secrets")
-    clean = found.filter(F.size("__secrets.spans") == 0).select(*[col(c) for c in docs.columns])
-    kind = T.StructType([T.StructField("text", T.StringType())])
-    marked = annotate(found.filter(F.size("__secrets.spans") > 0), [F.col("text"), F.col("__secrets.spans")], "__redacted", kind, start, docs.columns)
-    return clean.unionByName(_with_text(marked, docs.columns, F.col("__redacted.text")))
+    found = secrets.scan(docs, "doc_id", "text", name="__secrets", redacted=True)
+    return _with_text(found, docs.columns, F.coalesce("__secrets.text", "text"), F.col("__secrets.text").isNotNull())
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,7 +69,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what a stage has written goes once the next one's table is there."""
+    docs, start = table(spark, sf_dir, "documents"), mark()
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        made = stage(spark, docs, sf_dir)
+        path = scratch_path(spark, f"stage-{name}")
+        made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        release(spark, since=start, keep=[path])
     return docs

@@ -263,10 +263,10 @@ _CANDIDATE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), (
 _SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _find(texts: list[str | None]) -> pa.StructArray:
+def _find(texts: list[bytes | None]) -> pa.StructArray:
     rows, plain = [], []
-    for text in texts:
-        text = text or ""
+    for raw in texts:
+        text = (raw or b"").decode("utf-8", "replace")
         base = base_spans(text)
         every = base + [("cnn", a, b) for a, b in other_candidates(text, base)]
         rows.append([{"kind": k, "start": a, "end": b, "at": max(0, a - CONTEXT), "text": text[max(0, a - CONTEXT) : b + CONTEXT]} for k, a, b in every])
@@ -282,10 +282,10 @@ def train(found: DataFrame, key: Column, sample: int = SAMPLE) -> Judge:
     The rows are those with the smallest hash of ``key``, so the choice does not depend on partitions.
     """
     order = F.xxhash64(key)
-    hits = found.select(order.alias("h"), F.explode("found.candidates").alias("c")).filter("c.kind <> 'cnn'")
+    hits = found.select(order.alias("h"), F.explode("__found.candidates").alias("c")).filter("c.kind <> 'cnn'")
     some = hits.select("h", "c.start", "c.end", "c.at", F.length("c.text").alias("n"), F.when(F.length("c.text") <= 1000, F.col("c.text")).alias("text")).filter("text IS NOT NULL")
     positive = [(r["text"], r["start"] - r["at"], r["end"] - r["at"], 1) for r in some.orderBy("h", "start", "end").limit(sample).collect()]
-    plain = [r["plain"] for r in found.select(order.alias("h"), "found.plain").filter("size(found.candidates) = 0 AND length(found.plain) >= 40").orderBy("h", "plain").limit(sample).collect()]
+    plain = [r["plain"] for r in found.select(order.alias("h"), "__found.plain").filter("size(__found.candidates) = 0 AND length(__found.plain) >= 40").orderBy("h", "plain").limit(sample).collect()]
     negative = []
     for text in plain[: sample // 2]:
         token = max(re.finditer(r"\S+", text), key=lambda m: len(m[0]), default=None)
@@ -296,35 +296,47 @@ def train(found: DataFrame, key: Column, sample: int = SAMPLE) -> Judge:
     return judge([rows[i] for i in order_of])
 
 
-def scan(df: DataFrame, id_col: str, text_col: str, name: str = "secrets", carry: list[str] | None = None, sample: int = SAMPLE) -> DataFrame:
+def scan(
+    df: DataFrame, id_col: str, text_col: str, name: str = "secrets", carry: list[str] | None = None, sample: int = SAMPLE, redacted: bool = False
+) -> DataFrame:
     """``df`` (or its ``carry`` columns) with a struct ``name``: ``base`` and ``spans``, arrays of kind, start, end.
 
+    With ``redacted``, which needs the text among the columns kept, ``text`` is the text with its spans replaced
+    by marks; it is null where there is nothing to replace.
+
     Positions are code points of the text, the end exclusive; spans are ordered by start, then kind. A null or
     empty text has none. ``id_col`` only chooses training rows. Repeated rows stay; an empty table gives an empty
     result; a column called ``name`` gives way.
     """
     kept = [c for c in (df.columns if carry is None else carry) if c.lower() != name.lower()]
-    source = df.select(*[col(c) for c in kept], col(id_col).alias("__key"), col(text_col).cast("string").alias("__text"))
-    found = materialise(annotate(source, [F.col("__text")], "found", FOUND, lambda: _find, [*kept, "__key"]), "secrets")
+    text = [] if text_col in kept else [col(text_col)]
+    source = df.select(*[col(c) for c in kept], *text, col(id_col).alias("__key"))
+    found = materialise(annotate(source, [text_col], "__found", FOUND, lambda: _find, [*kept, "__key"]), "secrets")
     shared = df.sparkSession.sparkContext.broadcast(train(found, F.col("__key").cast("string"), sample))
     spans = T.ArrayType(SPAN)
 
     def start():
         own: Judge = shared.value
 
-        def score(rows: list[list[dict]]) -> pa.StructArray:
-            base, every = [], []
-            for row in rows:
+        def score(rows: list[list[dict]], texts: list[bytes | None]) -> pa.StructArray:
+            base, every, clean = [], [], []
+            for row, text in zip(rows, texts):
                 fixed = [{k: c[k] for k in ("kind", "start", "end")} for c in row if c["kind"] != "cnn"]
                 judged = [(c, own.score(c["text"], c["start"] - c["at"], c["end"] - c["at"])) for c in row]
                 more = [{k: c[k] for k in ("kind", "start", "end")} for c, s in judged if c["kind"] == "cnn" and s >= own.threshold]
                 base.append(fixed)
                 every.append(sorted(fixed + more, key=lambda c: (c["start"], KINDS.index(c["kind"]))))
-            return struct_array(base=pa.array(base, _SPAN), spans=pa.array(every, _SPAN))
+                if redacted:
+                    found_here = [(c["kind"], c["start"], c["end"]) for c in every[-1]]
+                    clean.append(redact(text.decode("utf-8", "replace"), found_here) if found_here else None)
+            more = {"text": pa.array(clean, pa.string())} if redacted else {}
+            return struct_array(base=pa.array(base, _SPAN), spans=pa.array(every, _SPAN), **more)
 
         return score
 
-    return annotate(found, [F.col("found.candidates")], name, T.StructType([T.StructField("base", spans), T.StructField("spans", spans)]), start, kept)
+    kind = T.StructType([T.StructField("base", spans), T.StructField("spans", spans), *([T.StructField("text", T.StringType())] if redacted else [])])
+    text = text_col if redacted else F.lit(None).cast("binary")
+    return annotate(found, [F.col("__found.candidates"), text], name, kind, start, kept)
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
