@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketry.cases import codes
 from docketry.cases.base import KEY, CaseTables
 from docketry.cases.states import (
     DROPPED,
@@ -179,6 +180,32 @@ def bail_segments(
     return rows.select(KEY, F.explode(lists).alias("BaseBailType"))
 
 
+# What a list of bail cases is called.
+BAIL_KINDS = {"Normal Bail": "Bail", "BailLegalHold": "Bail", "ScottishBailsFunds": "Scottish Bail"}
+
+
+def scottish_funds(listed: DataFrame) -> DataFrame:
+    """Cases on the external list of Scottish bails that hold funds; rows without a number do not count."""
+    return listed.filter(F.col(KEY).isNotNull()).select(F.btrim(KEY).alias(KEY), F.lit("ScottishBailsFunds").alias("BaseBailType")).distinct()
+
+
+def bail_details(cases: DataFrame, segments: DataFrame, locations: DataFrame, diary: DataFrame) -> DataFrame:
+    """The bail record of each case and list: coded columns as labels, its place, and whether its diary has open entries.
+
+    ``locations`` has centre, department and note of the file, one row per case; ``diary`` Entry and DateCompleted.
+    """
+    kind = F.lit("Other")
+    for name, label in BAIL_KINDS.items():
+        kind = F.when(F.col("BaseBailType") == name, label).otherwise(kind)
+    still_open = diary.groupBy(KEY).agg(F.bool_or(F.col("Entry").isNotNull() & F.col("DateCompleted").isNull()).alias("_open"))
+    place = locations.select(KEY, F.concat_ws(", ", "centre", "department", "note").alias("FileLocation"))
+    wide = joins.assemble(segments.join(cases, KEY), [place, still_open], KEY)
+    labelled = codes.decode(wide, "bail", "Desc")
+    return labelled.withColumns(
+        {"BailTypeDesc": kind, "BFEntry": F.when(F.col("_open"), "B/F entries exist").otherwise("")}
+    ).drop("_open")
+
+
 def officers(people: DataFrame, roles: DataFrame, key: str = "AdjudicatorId") -> DataFrame:
     """Officers with any role but the excluded ones (7, 8), or with none."""
     kept = people.select(key).join(roles.select(key, "Role"), key, "left")

@@ -12,7 +12,8 @@ from docketry.plans import case_oracles
 from docketry.plans.casework import _CATS, _CLEANED, _FIRST_GWF, _GWF, _IN_UK_HELD, NAMES, SYSTEM, _last
 from docketry.plans.casework_tables import case_no, case_tables, ctes, derive, lookup
 from docketry.plans.registry import query
-from docketry.sources.files import table
+from docketry.sources.files import read_lookup, table
+from docketry.sources.scratch import scratch_path
 
 AS_OF = "1998-12-01"
 LABELS = {"first": "FTX", "upper": "UTX", "preserved": "FPX"}
@@ -89,6 +90,52 @@ def case_bail_segments(spark: SparkSession, sf: str) -> DataFrame:
     return archive.bail_segments(cases, derive(spark, sf, "statuses"), locations, history, AS_OF)
 
 
+_BAIL_CASE = {
+    KEY: case_no("o_orderkey"),
+    "CourtPreference": "CASE o_orderkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 END",
+    "Interpreter": "CASE o_orderkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 END",
+    "AppellantDetained": "CAST(o_custkey % 6 AS INT)",
+}
+_BAIL_PLACE = {
+    KEY: case_no("o_orderkey"),
+    "centre": "CASE WHEN o_custkey % 3 > 0 THEN 'Centre ' || CAST(o_custkey % 3 AS STRING) END",
+    "department": "CASE WHEN o_custkey % 2 = 0 THEN 'Store' END",
+    "note": "CASE WHEN o_orderkey % 5 = 0 THEN 'shelf ' || CAST(o_orderkey % 7 AS STRING) END",
+}
+
+
+def _picked(columns: dict[str, str]) -> list[str]:
+    return [f"{e} AS {c}" for c, e in columns.items()]
+
+
+@query(
+    "case_bail_details",
+    f"""WITH c AS (SELECT {', '.join(_picked(_BAIL_CASE))}, o_orderkey FROM orders), p AS (SELECT {', '.join(_picked(_BAIL_PLACE))} FROM orders),
+          s AS (SELECT CaseNo, 'ScottishBailsFunds' AS BaseBailType FROM c WHERE o_orderkey % 3 <> 0 UNION ALL SELECT CaseNo, 'Normal Bail' FROM c WHERE o_orderkey % 2 = 0),
+          d AS (SELECT {case_no('l_orderkey')} AS CaseNo, bool_or(l_returnflag <> 'N' AND l_linestatus = 'O') AS open FROM lineitem GROUP BY 1)
+        SELECT s.CaseNo, s.BaseBailType, CASE s.BaseBailType WHEN 'Normal Bail' THEN 'Bail' ELSE 'Scottish Bail' END AS BailTypeDesc,
+          CASE CourtPreference WHEN 1 THEN 'All Male,' WHEN 2 THEN 'All Female,' ELSE '' END AS CourtPreferenceDesc,
+          CASE Interpreter WHEN 1 THEN 'Yes' WHEN 2 THEN 'No' ELSE 'Unknown' END AS InterpreterDesc,
+          CASE AppellantDetained WHEN 1 THEN 'HMP' WHEN 2 THEN 'IRC' WHEN 3 THEN 'No' WHEN 4 THEN 'Other' ELSE 'Unknown' END AS AppellantDetainedDesc,
+          concat_ws(', ', centre, department, note) AS FileLocation, CASE WHEN d.open THEN 'B/F entries exist' ELSE '' END AS BFEntry
+        FROM s JOIN c ON c.CaseNo = s.CaseNo LEFT JOIN p ON p.CaseNo = s.CaseNo LEFT JOIN d ON d.CaseNo = s.CaseNo""",
+)
+def case_bail_details(spark: SparkSession, sf: str) -> DataFrame:
+    """Bail records of two lists, one of them from an external file with gaps and repeated rows."""
+    orders = table(spark, sf, "orders")
+    path = scratch_path(spark, "funds")
+    listed = orders.select(F.expr(f"CASE WHEN o_orderkey % 3 <> 0 THEN {case_no('o_orderkey')} || ' ' END").alias(KEY))
+    listed.unionAll(listed).write.option("header", True).csv(path)
+    funds = archive.scottish_funds(read_lookup(spark, path, f"{KEY} string"))
+    normal = orders.filter("o_orderkey % 2 = 0").select(F.expr(case_no("o_orderkey")).alias(KEY), F.lit("Normal Bail").alias("BaseBailType"))
+    diary = table(spark, sf, "lineitem").select(
+        F.expr(case_no("l_orderkey")).alias(KEY), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("Entry"),
+        F.when(F.col("l_linestatus") != "O", F.col("l_shipdate")).alias("DateCompleted"),
+    )
+    made = archive.bail_details(orders.selectExpr(*_picked(_BAIL_CASE)), funds.unionByName(normal), orders.selectExpr(*_picked(_BAIL_PLACE)), diary)
+    return made.select(KEY, "BaseBailType", "BailTypeDesc", "CourtPreferenceDesc", "InterpreterDesc", "AppellantDetainedDesc", "FileLocation", "BFEntry")
+
+
 @query(
     "case_officers",
     """SELECT DISTINCT s_suppkey AS AdjudicatorId FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey
