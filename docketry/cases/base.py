@@ -29,6 +29,7 @@ STATUS_VARIANTS = {
     "permission_decided": "CaseStatus = 39 AND Outcome IN (30, 31, 14)",
     "permission_final": "(CaseStatus = 39 AND Outcome IN (30, 31, 14)) OR (CaseStatus = 46 AND Outcome = 31)",
     "remitted": "CaseStatus IN (42, 43, 44) AND Outcome = 86",
+    "reached": "(CaseStatus IN (26, 37, 38) AND Outcome IN (13, 25, 80)) OR (CaseStatus = 38 AND Outcome = 72) OR (CaseStatus = 39 AND Outcome = 25)",
     # Rows the state rules look at.
     "t": "Outcome NOT IN (38, 111) AND CaseStatus <> 17",
     "st": "CaseStatus IS NULL OR CaseStatus NOT IN (50, 52, 36)",

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Mapping
 # Columns of the case that rules compare the content with.
 DEPENDENCIES = [
     "dv_representation", "lu_appealType", "OutOfTimeIssue", "PaymentRemissionRequested", "Interpreter", "CourtPreference", "InCamera",
-    "Sponsor_Name", "Detained", "dv_inCountryOrHeld", "DateLodged",
+    "Sponsor_Name", "Detained", "dv_inCountryOrHeld", "DateLodged", "dv_reached",
 ]
 _ACCEPTED = "(dv_representation IN ('LR', 'AIP') AND lu_appealType IS NOT NULL)"
 _DAY = r"RLIKE '^\\d{4}-\\d{2}-\\d{2}$'"

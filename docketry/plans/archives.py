@@ -9,7 +9,20 @@ from docketry.cases import archive, codes, fields, links, payloads
 from docketry.cases.base import KEY, case_base
 from docketry.operators import documents, linking, projection, quality
 from docketry.plans import case_oracles
-from docketry.plans.casework import _CATS, _CLEANED, _FIRST_GWF, _GWF, _IN_UK_HELD, NAMES, SYSTEM, _last
+from docketry.plans.casework import (
+    _CATS,
+    _CLEANED,
+    _FIRST_GWF,
+    _GWF,
+    _IN_UK_HELD,
+    _OK,
+    NAMES,
+    SYSTEM,
+    _any,
+    _has,
+    _language_sql,
+    _last,
+)
 from docketry.plans.casework_tables import case_no, case_tables, ctes, derive, lookup
 from docketry.plans.registry import query
 from docketry.sources.files import read_lookup, table
@@ -230,7 +243,7 @@ CONTEXT = payloads.Context(SYSTEM, "LIVE", AS_OF, NAMES)
 _LOOKED_UP = {
     "listing": lambda b, s: fields.with_languages(b, lookup(s, "languages")),
     "prepareForHearing": lambda b, s: fields.with_location(b, lookup(s, "listing_locations")),
-    "ended": lambda b, s: fields.with_end_states(b, lookup(s, "end_states")),
+    "ended": lambda b, s: fields.with_reached(fields.with_end_states(b, lookup(s, "end_states"))),
 }
 
 
@@ -304,6 +317,42 @@ for _state in ("paymentPending", "listing", "prepareForHearing", "ended"):
     rules_query(_state)
 
 
+@query(
+    "case_payload_ended",
+    ctes("header", "people", "categories", "statuses", "languages")
+    + f""", {_CATS}, {_last("(CaseStatus = 26 AND Outcome IN (13, 25, 80)) OR (CaseStatus IN (37, 38) AND Outcome IN (13, 25, 80)) OR (CaseStatus = 38 AND Outcome = 72) OR (CaseStatus = 39 AND Outcome = 25)", "z")},
+       {_last("(CaseStatus IN (37, 38) AND Outcome IN (0, 27, 37, 39, 40, 50)) OR (CaseStatus = 26 AND Outcome IN (40, 52))")},
+       x AS (SELECT h.CaseNo, {_OK} AS ok, ids, Detained, CASE z.CaseStatus WHEN 26 THEN 2 WHEN 37 THEN 3 WHEN 38 THEN 3 WHEN 39 THEN 4 ELSE 0 END AS reached,
+               {_language_sql('spokenLanguageInterpreter')} AS spoken, {_language_sql('signLanguageInterpreter')} AS sign
+             FROM header h LEFT JOIN people USING (CaseNo) LEFT JOIN cats ON cats.CaseNo = h.CaseNo LEFT JOIN z ON z.CaseNo = h.CaseNo LEFT JOIN m3 ON m3.CaseNo = h.CaseNo
+             LEFT JOIN languages il ON il.LanguageId = h.LanguageId
+             LEFT JOIN languages ail ON ail.LanguageId = m3.AdditionalLanguageId AND h.LanguageId IS DISTINCT FROM m3.AdditionalLanguageId)
+       SELECT CaseNo, CASE WHEN reached >= 2 THEN 'Yes' END AS bundle, CASE WHEN reached >= 2 THEN 0 END AS respondent, CASE WHEN reached >= 3 THEN 'No' END AS witnesses,
+         CASE WHEN reached >= 3 THEN 'decisionMaintained' END AS review, CASE WHEN reached >= 4 THEN 'No' END AS remote, CASE WHEN reached >= 4 THEN 'DONE' END AS stitching,
+         'Yes' AS direction,
+         nullif(concat_ws(',', CASE WHEN ok AND {_any(17, 29, 30, 39, 40, 48, 19)} THEN 'PF0012' END, CASE WHEN ok AND {_has(9)} THEN 'PF0013' END,
+           CASE WHEN ok AND Detained IN (1, 2, 4) THEN 'PF0019' END, CASE WHEN reached >= 3 THEN 'RA0019,RA0043,PF0014' END,
+           CASE WHEN reached >= 3 AND spoken IS NOT NULL THEN 'PF0015' END, CASE WHEN reached >= 3 AND sign IS NOT NULL THEN 'RA0042' END), '') AS flags
+       FROM x""",
+)
+def case_payload_ended(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields of ended cases read back from their payloads: what a case has depends on how far it had come."""
+    df = state_payloads(spark, sf, "ended")
+    read = F.from_json(
+        "content",
+        "uploadHomeOfficeBundleAvailable string, respondentDocuments array<string>, isWitnessesAttending string, appealReviewOutcome string, "
+        "isRemoteHearing string, stitchingStatus string, changeDirectionDueDateActionAvailable string, "
+        "appellantLevelFlags struct<details: array<struct<value: struct<flagCode: string>>>>",
+    )
+    c = df.select(KEY, read.alias("c"))
+    codes_of = F.array_join(F.transform("c.appellantLevelFlags.details", lambda x: x["value"]["flagCode"]), ",")
+    return c.select(
+        KEY, F.col("c.uploadHomeOfficeBundleAvailable").alias("bundle"), F.when(F.col("c.respondentDocuments").isNotNull(), F.size("c.respondentDocuments")).alias("respondent"),
+        F.col("c.isWitnessesAttending").alias("witnesses"), F.col("c.appealReviewOutcome").alias("review"), F.col("c.isRemoteHearing").alias("remote"),
+        F.col("c.stitchingStatus").alias("stitching"), F.col("c.changeDirectionDueDateActionAvailable").alias("direction"), codes_of.alias("flags"),
+    )
+
+
 # Link reasons of the old system by the key of the new one.
 REASON_KEYS = {**dict.fromkeys(range(2, 23), "CLRC005"), 23: "CLRC006", 24: "CLRC008", 25: "CLRC010", 26: "CLRC014", 27: "CLRC014"}
 

@@ -393,7 +393,7 @@ def case_home_office(spark: SparkSession, sf: str) -> DataFrame:
 def case_dq_enrich(spark: SparkSession, sf: str) -> DataFrame:
     """The case columns that the rules of a state compare the content with."""
     base = fields.with_place(case_base(case_tables(spark, sf, "people", "categories")))
-    return base.select(KEY, *[c for c in DEPENDENCIES if c != "DateLodged"], F.date_format("DateLodged", "yyyy-MM-dd").alias("lodged"))
+    return base.select(KEY, *[c for c in DEPENDENCIES if c not in ("DateLodged", "dv_reached")], F.date_format("DateLodged", "yyyy-MM-dd").alias("lodged"))
 
 
 @query("case_home_office_detained", _home_office_sql(_IN_UK_HELD))
