@@ -6,8 +6,8 @@ hashed. A line of a host is frequent when it occurs in more than ``limit`` disti
 text. Frequent lines are removed. A document is rejected when it fails a base rule, or when what is left of it
 is depleted: fewer than ``left_words`` words, or under ``left_share`` of its words.
 
-Only hashes are shuffled, one row of host, line and text hash per line; counts are combined before the shuffle,
-and a common line is spread by its texts until it is a count. Texts never move.
+Only hashes are shuffled, one row of host, line and text hash per line, combined before the shuffle; a common
+line is spread by its texts until it is a count. The frequent lines come back to the rows by host.
 """
 
 from __future__ import annotations
@@ -115,6 +115,25 @@ def measures(text: Column) -> Column:
     return bind(F.filter(lines, lambda r: F.size(r["w"]) > 0), measured)
 
 
+def frequent_lines(stored: DataFrame, limits: Limits) -> DataFrame:
+    """Hosts with the hashes of their frequent lines, from rows of ``__host``, ``__copy`` and ``__m.lines``.
+
+    A line is spread by its texts until it is a count. The lines of a host are few: each occurs in ``share`` per
+    cent of its texts at least, so there are no more than 100 / ``share`` times the lines of an average text.
+    """
+    spread = stored.select("__host", "__copy", F.explode("__m.lines").alias("l")).select("__host", "__copy", "l.line")
+    texts = stored.groupBy("__host", "__copy").agg(F.lit(1).alias("one")).groupBy("__host").agg(F.count(F.lit(1)).alias("__texts"))
+    counted = (
+        spread.groupBy("__host", "line", "__copy")
+        .agg(F.lit(1).alias("one"))
+        .groupBy("__host", "line")
+        .agg(F.count(F.lit(1)).alias("docs"))
+        .filter(F.col("docs") > limits.min_docs)
+    )
+    frequent = counted.alias("c").join(texts.alias("t"), F.col("c.__host").eqNullSafe(F.col("t.__host"))).filter(F.col("docs") * 100 > F.col("__texts") * limits.share)
+    return frequent.groupBy(F.col("c.__host").alias("__of")).agg(F.collect_set("line").alias("__frequent"))
+
+
 def judged(df: DataFrame, host_col: str, text_col: str, limits: Limits = Limits(), carry: list[str] | None = None, name: str = "quality") -> DataFrame:
     """Every row of ``df`` (or its ``carry`` columns) with a struct ``name``.
 
@@ -123,28 +142,29 @@ def judged(df: DataFrame, host_col: str, text_col: str, limits: Limits = Limits(
     rules; a null host is a host of its own; repeated rows are copies and count as one text; an empty table
     gives an empty result. A column called ``name`` gives way.
 
-    Rows and measures are written once with a row number, which the line counts then refer to.
+    Rows and measures are written once, and so are the frequent lines, whose known size lets Spark hand them to
+    the tasks where they fit; then no text is shuffled.
     """
     kept = [c for c in (df.columns if carry is None else carry) if c.lower() != name.lower()]
     text = F.coalesce(col(text_col), F.lit(""))
     measured = df.select(
         *[col(c) for c in kept],
         col(host_col).cast("string").alias("__host"),
-        F.monotonically_increasing_id().alias("__row"),
         F.xxhash64(text).alias("__copy"),
         measures(text).alias("__m"),
     )
     stored = materialise(measured, "quality")
-    spread = stored.select("__host", "__row", "__copy", F.explode("__m.lines").alias("l")).select("__host", "__row", "__copy", "l.line", "l.n")
-    texts = stored.groupBy("__host", "__copy").agg(F.lit(1).alias("one")).groupBy("__host").agg(F.count(F.lit(1)).alias("__texts"))
-    counted = spread.groupBy("__host", "line", "__copy").agg(F.lit(1).alias("one")).groupBy("__host", "line").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") > limits.min_docs)
-    frequent = counted.alias("c").join(texts.alias("t"), F.col("c.__host").eqNullSafe(F.col("t.__host"))).filter(F.col("docs") * 100 > F.col("__texts") * limits.share).select(F.col("c.__host").alias("__h"), F.col("line").alias("__l"))
-    removed = (
-        spread.join(frequent, F.col("__host").eqNullSafe(F.col("__h")) & (F.col("line") == F.col("__l")))
-        .groupBy("__row")
-        .agg(F.sum("n").alias("__removed_words"), F.collect_set("line").alias("__removed"))
+    hosts = materialise(frequent_lines(stored, limits), "frequent-lines")
+    none = F.expr("array()").cast("array<bigint>")
+    own = F.transform("__m.lines", lambda x: x["line"])
+    marked = stored.join(hosts, F.col("__host").eqNullSafe(F.col("__of")), "left").withColumn(
+        "__removed", F.when(F.col("__frequent").isNull(), none).otherwise(F.array_intersect(own, F.col("__frequent")))
+    )
+    found = F.aggregate(
+        "__m.lines", F.lit(0).cast("long"), lambda n, x: n + F.when(F.array_contains("__removed", x["line"]), x["n"]).otherwise(0)
     )
-    n_words, gone = F.col("__m.n_words"), F.coalesce("__removed_words", F.lit(0))
+    counted = marked.withColumn("__gone", F.when(F.size("__removed") == 0, F.lit(0).cast("long")).otherwise(found))
+    n_words, gone = F.col("__m.n_words"), F.col("__gone")
     failed = (n_words < limits.min_words) | (100 * F.col("__m.n_repeat_words") > limits.repeat_share * n_words)
     left = n_words - gone
     depleted = (gone > 0) & ((left < limits.left_words) | (100 * left < limits.left_share * n_words))
@@ -153,9 +173,9 @@ def judged(df: DataFrame, host_col: str, text_col: str, limits: Limits = Limits(
         failed.alias("base_failed"),
         (~failed & ~depleted).alias("kept"),
         gone.alias("n_removed_words"),
-        F.coalesce("__removed", F.expr("array()").cast("array<bigint>")).alias("removed"),
+        F.col("__removed").alias("removed"),
     )
-    return stored.join(removed, "__row", "left").select(*[col(c) for c in kept], result.alias(name))
+    return counted.select(*[col(c) for c in kept], result.alias(name))
 
 
 def without_lines(text: Column, removed: Column) -> Column:
