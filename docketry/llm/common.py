@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docketry.sources.scratch import materialise
+
 # Rows turned into Python objects at a time, whatever the size of an Arrow batch.
 SLICE = 256
 
@@ -60,6 +62,16 @@ def struct_array(**columns: pa.Array) -> pa.StructArray:
     return pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
 
 
+# Bytes of a table that may be sent to every task.
+SENT_BYTES = 16 << 20
+
+
+def sent_if_small(df: DataFrame, tag: str, row_bytes: int) -> DataFrame:
+    """``df``, written; with a hint to send it to every task where its counted rows come to ``SENT_BYTES`` at most."""
+    stored = materialise(df, tag)
+    return F.broadcast(stored) if stored.count() * row_bytes <= SENT_BYTES else stored
+
+
 def place(key: Column) -> Column:
     """A number from 0 to 1 that depends on ``key`` alone; keys below a share are a sample of that share."""
     return F.shiftrightunsigned(F.xxhash64(key), 11) / F.lit(float(1 << 53))

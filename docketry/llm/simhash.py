@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketry.llm.common import LOWER, annotate, col, struct_array
+from docketry.llm.common import LOWER, annotate, col, sent_if_small, struct_array
 from docketry.sources.scratch import materialise
 
 SEED = 42
@@ -210,32 +210,54 @@ def components(links: DataFrame) -> DataFrame:
         edges = materialise(small.select("e.a", "e.b").filter("a != b").distinct(), "links")
 
 
+def _stored(df: DataFrame, kept: list[str], id_col: str, text_col: str, words: int) -> DataFrame:
+    """``kept`` columns, ``__id``, a row number and the fingerprint, written once: the texts are read once."""
+    text = [] if text_col in kept else [col(text_col)]
+    source = df.select(*[col(c) for c in kept], *text, col(id_col).alias("__id"), F.monotonically_increasing_id().alias("__row"))
+    return materialise(fingerprints(source, text_col, words, [*kept, "__id", "__row"]), "simhash")
+
+
+def _labels(stored: DataFrame, radius: int) -> DataFrame:
+    """For each fingerprint its rows (``__n``), its first row, the root of its links if it has any, and the component's first row.
+
+    The first row is the one with the smallest id, rows without an id last, then the smallest row number.
+    """
+    place = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__row").alias("row"))
+    nodes = stored.groupBy(F.col("simhash.bits").alias("__bits")).agg(F.min(place).alias("__first"), F.count(F.lit(1)).alias("__n"))
+    roots = components(near_links(nodes, "__bits", radius)).select(F.col("node").alias("__bits"), F.col("root").alias("__linked"))
+    placed = nodes.join(roots, "__bits", "left").withColumn("__root", F.coalesce("__linked", "__bits"))
+    smallest = placed.groupBy("__root").agg(F.min("__first").alias("__least"))
+    return placed.join(smallest, "__root").select("__bits", "__n", "__linked", "__least")
+
+
 def near_duplicate_groups(df: DataFrame, id_col: str, text_col: str, words: int = 4, radius: int = 4, carry: list[str] | None = None) -> DataFrame:
     """Every row of ``df`` (or its ``carry`` columns) with a struct ``simhash``: ``bits``, ``component_id``, ``first``.
 
     ``component_id`` is the smallest id among the rows whose fingerprints are reachable over links; ``first``
     marks one row of each component, one with that id. A null or wordless text has fingerprint 0 and links
     like any other; a null id is never the smallest, so a group of null ids only has a null component; repeated
-    rows and ids keep their rows. An empty table gives an empty result. The texts are read once: rows and
-    fingerprints are written before the search.
+    rows and ids keep their rows. An empty table gives an empty result.
     """
     kept = [c for c in (df.columns if carry is None else carry) if c.lower() != "simhash"]
-    text = [] if text_col in kept else [col(text_col)]
-    source = df.select(*[col(c) for c in kept], *text, col(id_col).alias("__id"), F.monotonically_increasing_id().alias("__row"))
-    stored = materialise(fingerprints(source, text_col, words, [*kept, "__id", "__row"]), "simhash")
-    place = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__row").alias("row"))
-    nodes = stored.groupBy(F.col("simhash.bits").alias("__bits")).agg(F.min(place).alias("__first"))
-    roots = components(near_links(nodes, "__bits", radius)).select(F.col("node").alias("__bits"), F.col("root").alias("__root"))
-    placed = nodes.join(roots, "__bits", "left").withColumn("__root", F.coalesce("__root", "__bits"))
-    smallest = placed.groupBy("__root").agg(F.min("__first").alias("__least"))
-    labels = placed.join(smallest, "__root").select("__bits", "__least")
+    stored = _stored(df, kept, id_col, text_col, words)
+    labels = _labels(stored, radius).select("__bits", "__least")
     marks = F.struct(F.col("__bits").alias("bits"), F.col("__least.id").alias("component_id"), (F.col("__row") == F.col("__least.row")).alias("first"))
     return stored.withColumn("__bits", F.col("simhash.bits")).join(labels, "__bits").select(*[col(c) for c in kept], marks.alias("simhash"))
 
 
 def keep_one(df: DataFrame, id_col: str, text_col: str, words: int = 4, radius: int = 4) -> DataFrame:
-    """One row of each near-duplicate group, one with its smallest id; the columns are those of ``df``."""
-    return near_duplicate_groups(df, id_col, text_col, words, radius).filter("simhash.first").select(*[col(c) for c in df.columns])
+    """One row of each near-duplicate group, one with its smallest id; the columns are those of ``df``.
+
+    Only fingerprints with several rows or with links are joined to the rows; all others stay as they are. That
+    table is written and counted: while it is small it goes to every task and no text is shuffled, beyond that the
+    rows are joined by fingerprint.
+    """
+    renamed = {c: f"__column_{i}" for i, c in enumerate(df.columns)}
+    stored = _stored(df.select(*[col(c).alias(n) for c, n in renamed.items()]), list(renamed.values()), renamed[id_col], renamed[text_col], words)
+    shared = _labels(stored, radius).filter("__n > 1 OR __linked IS NOT NULL").select(F.col("__bits").alias("__shared"), F.col("__least.row").alias("__keep"))
+    rows = stored.join(sent_if_small(shared, "simhash-shared", 16), F.col("simhash.bits") == F.col("__shared"), "left")
+    kept = rows.filter(F.col("__keep").isNull() | (F.col("__keep") == F.col("__row")))
+    return kept.select(*[F.col(n).alias(c) for c, n in renamed.items()])
 
 
 def hex_bits(bits: Column) -> Column:
