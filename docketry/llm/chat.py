@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketry.llm.common import col
+from docketry.llm.common import col, small_batches
 
 INSTRUCT = (
     "{% for m in messages %}"
@@ -451,6 +451,7 @@ PART_CHARS = 1 << 20
 
 def _ordered(df: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
     """Turns of a conversation behind one another, in one task and streamed, not gathered."""
+    small_batches(df)
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     return (
         df.select(col(conv_col).alias("conv"), col(turn_col).alias("turn"), text(col(role_col)).alias("role"), text(col(text_col)).alias("text"))

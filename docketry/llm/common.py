@@ -22,6 +22,17 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+# Bytes of rows that go to Python at a time, unless the session says otherwise.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
+def small_batches(df: DataFrame) -> None:
+    """Keep Arrow batches small in a session that has not set their size, as texts may be long."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
 def annotate(
     df: DataFrame,
     inputs: list[Column | str],
@@ -37,6 +48,7 @@ def annotate(
     ``carry`` names the columns to keep (all by default); a column already called ``name`` gives way,
     so no other column of the input can clash with what is added. Nothing is shuffled.
     """
+    small_batches(df)
     kept = [c for c in (df.columns if carry is None else carry) if c.lower() != name.lower()]
     n, m = len(kept), len(inputs)
     own = [c for c in inputs if not (isinstance(c, str) and c in kept)]
@@ -54,6 +66,8 @@ def annotate(
                 part = batch.slice(at, SLICE)
                 made = score(*[(part.column(place[i]).cast(pa.binary()) if raw[i] else part.column(place[i])).to_pylist() for i in range(m)])
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(n)], made], names=[*kept, name])
+        # Workers live on for other tasks; what their batches took goes back.
+        pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)
 

@@ -157,7 +157,11 @@ def document_frequency(texts: DataFrame, text_col: str) -> tuple[np.ndarray, int
 
 
 def fit(df: DataFrame, text_col: str, lang_col: str, id_col: str, learnable: Column, per_language: int = PER_LANGUAGE) -> Model:
-    """Train on the learnable rows with a language; document frequencies count all of them."""
+    """Train on the learnable rows with a language; document frequencies count all of them.
+
+    What reaches the driver: a count per language and per bucket, and the grams of the sample. Rows without an id
+    are not learnable where ``learnable`` asks for it; repeated rows of an id are one row of the sample.
+    """
     rows = df.filter(learnable & col(lang_col).isNotNull()).select(col(lang_col).cast("string").alias("lang"), col(text_col).cast("string").alias("text"), col(id_col).alias("id"))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     seen, total = document_frequency(rows, "text")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketry.llm.common import col
+from docketry.llm.common import col, small_batches
 from docketry.sources.scratch import materialise, scratch_path
 
 REVISIT_BYTES = 100
@@ -121,6 +121,7 @@ def write(pages: DataFrame, folder: str, id_col: str, uri_col: str, text_col: st
     record id out, a null text is an empty payload. Of equal payloads the rows with the smallest id are
     responses (all of them, should that id repeat); null ids are never the smallest.
     """
+    small_batches(pages)
     source = pages.select(col(id_col).alias("__id"), col(uri_col).cast("string").alias("__uri"), F.coalesce(col(text_col), F.lit("")).cast("binary").alias("__payload"))
     rows = with_firsts(source, "__id", "__payload").select(
         F.col("__id").cast("string").alias("id"),
