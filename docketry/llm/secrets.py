@@ -1,7 +1,7 @@
 """Secret scans: patterns find candidates, a character convolutional network judges every one of them.
 
 Three base patterns always report what they match. Further candidates are tokens of 16 or more characters with
-a letter and a digit. The network reads each candidate whole, with ``CONTEXT`` characters on both sides: characters
+a letter and a digit, unless base matches cover all of the token. The network reads each candidate whole, with ``CONTEXT`` characters on both sides: characters
 are embedded, convolved, and pooled by maximum and mean over the candidate and over its context; two dense layers
 give a score. It is trained on labelled findings: the corpus's own base findings and plain words (a bounded
 sample of each), and findings of known formats generated by rule, so that it also learns where a corpus has none.
@@ -56,12 +56,21 @@ def base_spans(text: str) -> list[Span]:
 
 
 def other_candidates(text: str, base: list[Span]) -> list[tuple[int, int]]:
-    """Long mixed tokens outside the base spans."""
-    out = []
+    """Long mixed tokens that the base spans do not cover; one that they cover in part is a candidate as a whole."""
+    merged: list[list[int]] = []
+    for _, x, y in base:
+        if merged and x <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], y)
+        else:
+            merged.append([x, y])
+    out, k = [], 0
     for m in TOKEN.finditer(text):
         a, b = m.span()
         token = m[0]
-        if any(c.isdigit() for c in token) and any(c.isalpha() for c in token) and not any(x < b and a < y for _, x, y in base):
+        while k < len(merged) and merged[k][1] < b:
+            k += 1
+        covered = k < len(merged) and merged[k][0] <= a
+        if not covered and any(c.isdigit() for c in token) and any(c.isalpha() for c in token):
             out.append((a, b))
     return out
 
@@ -212,6 +221,7 @@ def generated(n: int, contexts: list[str], seed: int = 3) -> list[tuple[str, int
         lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, 16, 16),
         lambda: pick(string.ascii_lowercase, 2, 4) + "_" + pick(base62, 24, 40),
         lambda: pick(base62, 12, 24) + "." + pick(base62, 12, 40) + "." + pick(base62, 12, 40),
+        lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, 16, 16) + str(r.choice(list("/=._-"))) + pick(base64, 40, 40),
         lambda: str(r.choice(["password", "token", "secret", "api_key"])) + str(r.choice(["=", ": ", ' = "'])) + pick(base62, 8, 40),
     ]
     harmless = [
