@@ -5,8 +5,9 @@ a letter and a digit, unless base matches cover all of the token. The network re
 are embedded, convolved, and pooled by maximum and mean over the candidate and over its context; two dense layers
 give a score. It is trained on labelled findings: the corpus's own base findings and plain words (a bounded
 sample of each), and findings of known formats generated by rule, so that it also learns where a corpus has none.
-The scores are calibrated on findings kept back, and the threshold is the highest that still reports
-``RECALL`` of the secrets among them. Candidates at or above it are added as kind ``cnn``.
+The scores are calibrated on findings kept back. The threshold is set on kept-back secrets of the kind that it
+decides, tokens that no base pattern reports: it is the highest at which a recall under ``RECALL`` would leave so few
+of them unreported only one time in twenty. Candidates at or above it are added as kind ``cnn``.
 
 Candidates are found in one pass over the texts and written with their context; training and judging read only
 that small table.
@@ -247,6 +248,22 @@ def generated(n: int, contexts: list[str], seed: int = 3) -> list[tuple[str, int
     return out
 
 
+def decided(text: str, start: int, end: int) -> bool:
+    """Whether the threshold decides a finding: base spans stay whatever it is."""
+    return (start, end) in other_candidates(text, base_spans(text))
+
+
+def allowed_misses(n: int, recall: float) -> int:
+    """How many of ``n`` secrets may be missed so that a recall below ``recall`` is ruled out at one in twenty."""
+    chance = total = recall**n
+    k = 0
+    while k < n and total <= 0.05:
+        chance *= (n - k) / (k + 1) * (1 - recall) / recall
+        k += 1
+        total += chance
+    return max(0, k - 1)
+
+
 def judge(findings: list[tuple[str, int, int, int]], recall: float = RECALL) -> Judge:
     """Train on four fifths of the labelled findings; calibrate and choose the threshold on the rest."""
     network = Network()
@@ -259,9 +276,10 @@ def judge(findings: list[tuple[str, int, int, int]], recall: float = RECALL) ->
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
         theta = theta - np.linalg.solve((x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + ridge, x.T @ (p - y) + ridge @ (theta - [1.0, 0.0]))
     slope, offset = (float(theta[0]), float(theta[1])) if theta[0] > 0 else (1.0, 0.0)
-    scores = np.sort(1 / (1 + np.exp(-np.clip(slope * logits[y == 1] + offset, -30, 30))))
-    # The highest threshold that keeps the wanted share of secrets, but never below an even chance.
-    return Judge(network, slope, offset, max(0.5, float(scores[int((1 - recall) * len(scores))])))
+    own = np.array([bool(label) and decided(t, a, b) for t, a, b, label in kept], bool)
+    scores = np.sort(1 / (1 + np.exp(-np.clip(slope * logits[own] + offset, -30, 30))))
+    # With none kept back nothing is known, so every candidate is reported.
+    return Judge(network, slope, offset, float(scores[allowed_misses(len(scores), recall)]) if len(scores) else 0.0)
 
 
 # ---- Spark -------------------------------------------------------------------------------------------------
