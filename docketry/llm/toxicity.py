@@ -3,9 +3,10 @@
 Terms are the distinct words of a text and their first four and five letters, lower-cased and hashed into
 ``2 ** BITS`` buckets. The machine scores a text as a bias, a weight per term and, for each pair of terms, the
 product of their factors: a pair such as an insult with a mention of a group can count for more than its two
-words do apart. Weights are trained with follow-the-regularised-leader and an L1 penalty, so that the many
-neutral terms weigh nothing however long a text is; the factors of the terms that weigh something are trained
-beside them with AdaGrad. Terms in fewer than ``MIN_ROWS`` training rows are left out. Training uses about ``per_class`` rows of each label, those whose hashed id
+words do apart, also where neither weighs anything alone. Weights are trained with follow-the-regularised-leader
+and an L1 penalty, so that the many neutral terms weigh nothing however long a text is; the factors of all terms
+are trained beside them with AdaGrad. For the pairs a text is a vector of length one, so the sum of its pairs is
+divided by the number of its terms and does not grow with the text. Terms in fewer than ``MIN_ROWS`` training rows are left out. Training uses about ``per_class`` rows of each label, those whose hashed id
 lies below a share of the range; every fifth of them is kept back to calibrate the scores.
 """
 
@@ -48,7 +49,7 @@ def words(text: str | None) -> set[str]:
 
 @dataclass
 class Machine:
-    """``place`` maps a bucket to its row of ``weight`` and ``factor``; buckets without effect are absent."""
+    """``place`` maps a bucket to its row of ``weight`` and ``factor``; buckets that training left out are absent."""
 
     place: dict[int, int]
     weight: np.ndarray
@@ -59,7 +60,7 @@ class Machine:
     def raw(self, at: np.ndarray) -> float:
         v = self.factor[at]
         total = v.sum(axis=0)
-        return float(self.bias + self.weight[at].sum() + 0.5 * (total @ total - (v * v).sum()))
+        return float(self.bias + self.weight[at].sum() + 0.5 * (total @ total - (v * v).sum()) / max(1, len(at)))
 
     def score(self, at: np.ndarray) -> float:
         """The calibrated probability for distinct rows ``at``."""
@@ -93,22 +94,20 @@ def train(rows: list[tuple[np.ndarray, int]], classes: tuple[int, int], alpha=0.
         for r in random.permutation(len(data)):
             at, y = data[r]
             w = weights(at)
-            on = w != 0
-            f = v[at[on]]
+            f = v[at]
             total = f.sum(axis=0)
-            raw = bias + w.sum() + 0.5 * (total @ total - (f * f).sum())
+            size = max(1, len(at))
+            raw = bias + w.sum() + 0.5 * (total @ total - (f * f).sum()) / size
             error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y) * weigh[y]
             bias_n += error * error
             bias -= 0.1 * error / np.sqrt(bias_n)
             step = (np.sqrt(n[at] + error * error) - np.sqrt(n[at])) / alpha
             z[at] += error - step * w
             n[at] += error * error
-            grad = error * (total - f) + decay * f
-            g2[at[on]] += grad * grad
-            v[at[on]] -= rate * grad / np.sqrt(g2[at[on]])
-    w = weights(np.arange(d))
-    index = np.flatnonzero(w)
-    return Machine({int(used[i]): k for k, i in enumerate(index)}, w[index], v[index], bias)
+            grad = error * (total - f) / size + decay * f
+            g2[at] += grad * grad
+            v[at] -= rate * grad / np.sqrt(g2[at])
+    return Machine(row_of, weights(np.arange(d)), v, bias)
 
 
 def calibrate(machine: Machine, rows: list[tuple[np.ndarray, int]], classes: tuple[int, int]) -> tuple[float, float]:

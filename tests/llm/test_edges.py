@@ -294,6 +294,25 @@ def test_machine_learns_pairs():
     assert score(1, 2) > 0.5 > max(score(1), score(2), score(150))
 
 
+def test_machine_learns_pairs_of_neutral_words():
+    """Rare words, each as often toxic as any text is; toxic exactly when both are there."""
+    r = np.random.default_rng(0)
+    data = []
+    for i in range(4000):
+        k = i % 80
+        a, b = k in (0, 1, 2, 3), k in (0, 4, 5, 6)
+        other = not (a or b) and (i // 80 + k) % 4 == 0
+        noise = 100 + r.choice(300, 20, replace=False)
+        data.append((np.array([*([1] if a else []), *([2] if b else []), *([3] if other else []), *sorted(noise.tolist())], np.int32), int((a and b) or other)))
+    for word in (1, 2):
+        assert sum(y for x, y in data if word in x) * 4 == sum(word in x for x, _ in data)
+    toxic = sum(y for _, y in data)
+    machine = toxicity.train(data, (4000 - toxic, toxic))
+    assert {int(b) for x, _ in data for b in x} == set(machine.place)
+    score = lambda *terms: machine.score(toxicity._known(machine, np.array(terms)))
+    assert score(1, 2) > 0.5 > max(score(1), score(2), score(150))
+
+
 def test_network_gradient():
     network, eps = secrets.Network(), 1e-5
     row = ("key = abcDEF123456 end", 6, 18, 1)
