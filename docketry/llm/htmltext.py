@@ -4,7 +4,8 @@ A tree builder reads tags with the usual implied ones: a block ends an open para
 terms, options, rows and cells end each other, rows and cells get the table parts they lack, and an inline end
 tag does not close a block opened inside it. Visibility follows the tree: elements that are never shown, the
 ``hidden`` attribute, ``display: none``, ``visibility`` (inherited, and switched back on by ``visible``), closed
-``details`` but their summary, and hidden inputs. All other text is emitted: paragraphs and headings between
+``details`` but their summary, and hidden inputs. Formulas, the text elements and embedded HTML of drawings, and
+what an ``object`` falls back on are shown; definitions, descriptions and annotations in them are not. All other text is emitted: paragraphs and headings between
 blank lines, other blocks on lines of their own, list items with markers and indents, preformatted text as it
 is, and table cells aligned in columns. Columns are padded to at most ``PAD`` characters; a longer cell is kept
 whole and sticks out.
@@ -29,7 +30,13 @@ PAD = 60
 GAP = "  "
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NEVER = frozenset("head script style template noscript iframe object svg math audio video canvas datalist noembed noframes title".split())
+NEVER = frozenset("head script style template noscript iframe audio video canvas datalist noembed noframes title".split())
+# Drawings and formulas. Of a drawing only the text elements and embedded HTML show their text.
+FOREIGN = frozenset("svg math".split())
+SVG_SHOWN, SVG_NEVER = frozenset("text foreignobject".split()), frozenset("defs desc metadata symbol clippath mask pattern marker filter lineargradient radialgradient".split())
+MATH_NEVER = frozenset("annotation annotation-xml mphantom".split())
+# Formula parts that stand beside or above each other, not in one run.
+MATH_APART = frozenset("mfrac mroot mtr mlabeledtr mtable".split())
 RAW = frozenset("script style iframe noembed noframes".split())
 ESCAPABLE = frozenset("title textarea".split())
 # Blank lines around them.
@@ -112,8 +119,17 @@ def tree(html: str) -> Node:
             if tag in stops or tag == "table" or (cells and tag in CELLS):
                 return
 
+    def drawn() -> bool:
+        """Whether tags belong to a drawing or formula, where a slash closes them and sections of text may stand."""
+        return bool(count.get("svg") or count.get("math")) and not count.get("foreignobject")
+
     at = 0
     while at < len(html):
+        if html.startswith("<![CDATA[", at) and drawn():
+            end = html.find("]]>", at)
+            stack[-1].children.append(html[at + 9 : end if end >= 0 else len(html)])
+            at = end + 3 if end >= 0 else len(html)
+            continue
         m = _TOKEN.match(html, at)
         if m is None:
             # A tag whose quotes do not close: its sign is text.
@@ -144,7 +160,7 @@ def tree(html: str) -> Node:
                 if tag in ("td", "th") and stack[-1].tag in ("table", *GROUPS):
                     push(Node("tr"))
             node = Node(tag, attributes(m["attrs"]))
-            if tag in VOID or m["attrs"].endswith("/") and tag in ("svg", "math"):
+            if tag in VOID or m["attrs"].endswith("/") and (tag in FOREIGN or drawn()):
                 stack[-1].children.append(node)
             elif tag in RAW or tag in ESCAPABLE:
                 end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(html, at)
@@ -165,7 +181,7 @@ def tree(html: str) -> Node:
                     pop_to(i)
                     break
                 # Cells hold their tags in, and blocks hold out against inline end tags.
-                if (stack[i].tag in CELLS and tag not in ("table", "tr", *GROUPS)) or (stack[i].tag in BLOCK and tag not in BLOCK and tag not in NEVER):
+                if (stack[i].tag in CELLS and tag not in ("table", "tr", *GROUPS)) or (stack[i].tag in BLOCK and tag not in BLOCK and tag not in NEVER and tag not in FOREIGN and tag != "object"):
                     break
     return root
 
@@ -330,19 +346,21 @@ def _style(node: Node) -> tuple[bool, bool | None]:
 def render(root: Node) -> str:
     pages, tables, lists = [Page()], [], []
     preformatted = 0
+    # Open drawings and formulas, and what in a drawing shows text.
+    foreign: list[str] = []
     # (node, entering, visible)
     todo: list[tuple[object, bool, bool]] = [(root, True, True)]
     while todo:
         node, entering, visible = todo.pop()
         page = pages[-1]
         if isinstance(node, str):
-            if visible:
+            if visible and not (foreign and foreign[-1] == "svg"):
                 page.kept(node) if preformatted else page.flow(node)
             continue
         tag = node.tag
         if entering:
             shown, own = _style(node)
-            if not shown:
+            if not shown or (foreign and tag in (MATH_NEVER if foreign[-1] == "math" else SVG_NEVER if foreign[-1] != "foreignobject" else ())):
                 continue
             visible = visible if own is None else own
             if tag == "br":
@@ -388,11 +406,22 @@ def render(root: Node) -> str:
                     node.children[0] = re.sub(r"\A\r?\n", "", node.children[0])
             todo.append((node, False, visible))
             children = node.children
+            if tag in FOREIGN or (tag in SVG_SHOWN and foreign and foreign[-1] in ("svg", tag)):
+                if tag == "text" and visible:
+                    # Labels of a drawing stand apart.
+                    page.kept(" ") if preformatted else page.flow(" ")
+                foreign.append(tag)
+            elif tag in MATH_APART and foreign and foreign[-1] == "math":
+                children = [c for child in children for c in (child, " ")]
             if tag == "details" and "open" not in node.attrs:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
             todo.extend((child, True, visible) for child in reversed(children))
             continue
         # Leaving.
+        if foreign and tag == foreign[-1]:
+            foreign.pop()
+            if tag == "text" and visible:
+                page.kept(" ") if preformatted else page.flow(" ")
         if tag in CELLS and tables:
             lines = pages.pop().done()
             if tag == "caption":

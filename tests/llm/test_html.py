@@ -38,6 +38,23 @@ def test_layout(html):
     assert extract(html)[1] == CASES[html]
 
 
+SHOWN = {
+    "a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b": "a x=2 b",
+    "<math><semantics><mrow><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow><annotation encoding='tex'>no</annotation><annotation-xml><ci>no</ci></annotation-xml></semantics><mspace/></math> end": "1 2 end",
+    "<p>a<svg><title>no</title><desc>no</desc><metadata>no</metadata><defs><text>no</text></defs>no<g><circle r='1'/><text>Jan</text><text>Fe<tspan>b</tspan></text></g></svg>z": "a Jan Feb z",
+    "<svg><defs/><style/><title/><text><![CDATA[x < y]]></text></svg>": "x < y",
+    "<svg><foreignObject><p>one</p><p>two</p></foreignObject><text>a <text>b</text> c</text></svg>": "one\n\ntwo\n\na b c",
+    "<svg><text>shown</text><text visibility='x' style='display:none'>no</text></svg> <svg hidden><text>no</text></svg>after": "shown after",
+    "<object data='x.swf'><param name='a' value='no'>Get the <b>player</b></object>": "Get the player",
+    "<text>plain</text> <annotation>tags</annotation>": "plain tags",
+}
+
+
+@pytest.mark.parametrize("html", SHOWN)
+def test_formulas_drawings_and_objects(html):
+    assert extract(html)[1] == SHOWN[html]
+
+
 def test_title_and_null():
     assert extract("<html><head><title> a\n b </title><body>c") == ("a b", "c")
     assert extract(None) == (None, "")
