@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketry.sources.scratch import materialise
+from docketry.sources.scratch import materialise, scratch_path
 
 # Rows turned into Python objects at a time, whatever the size of an Arrow batch.
 SLICE = 256
@@ -86,6 +86,28 @@ def sent_if_small(df: DataFrame, tag: str, row_bytes: int) -> DataFrame:
     return F.broadcast(stored) if stored.count() * row_bytes <= SENT_BYTES else stored
 
 
+def written(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """``df``, written to scratch, and the path, for ``release`` to keep."""
+    path = scratch_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+# A key of more rows than one in so many is sent to every task; there are at most so many of those.
+HEAVY = 1000
+
+
+def join_marks(rows: DataFrame, marks: DataFrame, on: list[str], rows_of: str, total: int) -> DataFrame:
+    """``rows`` joined (inner) to ``marks``, which has one row per key ``on`` and its number of ``rows`` in ``rows_of``.
+
+    Marks of the at most ``HEAVY`` keys with over one in ``HEAVY`` of the ``total`` rows go to every task, so that rows of
+    a hot key stay where they are; all other keys are joined by shuffle, where none owns more than that share.
+    """
+    heavy = F.col(rows_of) * HEAVY > total
+    hot = F.broadcast(marks.filter(heavy))
+    return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(marks.filter(~heavy), on))
+
+
 def place(key: Column) -> Column:
     """A number from 0 to 1 that depends on ``key`` alone; keys below a share are a sample of that share."""
     return F.shiftrightunsigned(F.xxhash64(key), 11) / F.lit(float(1 << 53))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm import bpe, chat, decontaminate, htmltext, langid, quality, secrets, simhash, toxicity, warc
+from docketry.llm import bpe, centroids, chat, decontaminate, htmltext, langid, linededup, negatives, quality, secrets, simhash, toxicity, warc
 from docketry.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,4 +213,80 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.visible_text(table(spark, sf_dir, "pages"), "html", carry=["page_id"]).select("page_id", "page.title", "page.text")
 
 
+NEGATIVES_SQL = """
+WITH e AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+    s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query("op11_hard_negatives", NEGATIVES_SQL)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label, F.col("vec_id") % 100 == 0)
+
+
+LINES_SQL = r"""
+WITH l AS (
+    SELECT doc_id, i, lines[i] AS line,
+        translate(regexp_replace(lines[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (SELECT doc_id, lines, unnest(generate_series(1, len(lines))) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))
+), frequent AS (
+    SELECT key FROM l WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(frequent.key) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (frequent.key IS NULL), '')) AS kept_sha256
+FROM l LEFT JOIN frequent USING (key) GROUP BY doc_id
+"""
+
+
+@query("op12_line_dedup", LINES_SQL)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = linededup.dedup(table(spark, sf_dir, "documents"), "text", min_docs=10, min_chars=1, keep_first=False, carry=["doc_id"])
+    return made.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.text", 256).alias("kept_sha256"))
+
+
+def _centroids_sql(k: int, rounds: int) -> str:
+    near = """SELECT vec_id, v, number AS cluster, d FROM (
+        SELECT e.vec_id, e.v, c.number, (list_inner_product(e.v, e.v) - 2 * list_inner_product(e.v, c.v) + list_inner_product(c.v, c.v))::BIGINT AS d
+        FROM e CROSS JOIN c{0} c
+    ) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, number) = 1"""
+    moved = """SELECT c.number, coalesce(m.v, c.v) AS v FROM c{0} c LEFT JOIN (
+        SELECT cluster, list(mean ORDER BY pos) AS v FROM (
+            SELECT cluster, pos, floor(sum(v[pos])::DOUBLE / count(*)) AS mean FROM a{0}, (SELECT unnest(generate_series(1, 64)) AS pos) GROUP BY cluster, pos
+        ) GROUP BY cluster
+    ) m ON m.cluster = c.number"""
+    parts = [
+        """e AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS number, v FROM (SELECT sha256('2:' || vec_id) AS h, v FROM e ORDER BY h LIMIT {k}))""",
+    ]
+    for i in range(rounds):
+        parts += [f"a{i} AS MATERIALIZED ({near.format(i)})", f"c{i + 1} AS MATERIALIZED ({moved.format(i)})"]
+    parts.append(f"a AS MATERIALIZED ({near.format(rounds)})")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, cluster::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+    sha256(array_to_string(list_transform(c.v, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a JOIN c{rounds} c ON c.number = a.cluster"""
+
+
+@query("op13_centroid_clustering", _centroids_sql(40, 5))
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = F.sha2(F.concat(F.lit("2:"), F.col("vec_id").cast("string")), 256)
+    made = centroids.cluster(table(spark, sf_dir, "embeddings"), "embedding", order, k=40, rounds=5, carry=["vec_id"])
+    return made.select("vec_id", *[f"centroid.{c}" for c in ("cluster", "distance", "cluster_inertia", "inertia")], F.sha2(F.array_join("centroid.components", ","), 256).alias("centroid_sha256"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

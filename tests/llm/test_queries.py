@@ -41,8 +41,8 @@ def test_sql(spark, con, name):
     assert differences(spark, con, SF, QUERIES[name], ORACLES[name]) is None
 
 
-def test_eleven_queries():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+def test_fourteen_queries():
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
 
 
 def test_html_extraction(spark):
