@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import public_tokenizers
@@ -227,6 +228,46 @@ def test_frequent_lines_are_removed(spark):
     assert sorted(map(tuple, got.collect())) == sorted((d["source"], d["text"]) for d in plain_quality([d | {"n_chars": 0} for d in docs], limits))
 
 
+def plain_contamination(words, items, size):
+    """Places inside occurrences and the items that occur, each window looked for by itself."""
+    hit, named = set(), set()
+    for item_id, own in items:
+        n = min(size, len(own))
+        grams = {tuple(own[i : i + n]) for i in range(len(own) - n + 1)} if own else set()
+        for i in range(len(words) - n + 1):
+            if tuple(words[i : i + n]) in grams:
+                hit |= set(range(i, i + n))
+                if item_id is not None:
+                    named.add(item_id)
+    return sorted(hit), named
+
+
+@pytest.mark.parametrize("size, letters", [(13, 2), (13, 30), (5, 3), (1, 4), (2, 3)])
+def test_matcher_against_all_windows(size, letters):
+    r = random.Random(size * letters)
+    text = lambda n: [b"w%d" % r.randrange(letters) for _ in range(r.randrange(n))]
+    for _ in range(60):
+        items = [(r.choice(["x", "y", "z", None]), text(3 * size)) for _ in range(6)]
+        matcher = decontaminate.Matcher([(i, b" ".join(w)) for i, w in items], size)
+        for _ in range(8):
+            source = r.choice(items)[1]
+            words = text(20) + source[r.randrange(3) :] + text(20) + [b"unknown"] + source[: size + 1]
+            ranges, named = matcher.find(words)
+            assert ([p for a, b in ranges for p in range(a, b)], named) == plain_contamination(words, items, size)
+
+
+def test_giant_items(spark):
+    """An item of 300,000 different words, one of one word over and over, and short ones that are parts of them."""
+    giant = [f"word{i}" for i in range(300_000)]
+    items = [(1, " ".join(giant)), (2, "a " * 50_000), (3, "word5 word6 word7"), (4, " ".join(giant[8:15])), (5, "a " * 12)]
+    docs = [(1, " ".join(giant[299_000:])), (2, "b " + "a " * 40 + "b"), (3, "word5 word6 word7 word9"), (4, " ".join(giant[7:19])), (5, " ".join(giant[120_000:120_013])), (6, None)]
+    bench, frame = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    want = {1: (1000, ["1"]), 2: (40, ["2", "5"]), 3: (3, ["3"]), 4: (7, ["4"]), 5: (13, ["1"]), 6: (0, [])}
+    for block_bytes in (decontaminate.BLOCK_BYTES, 1 << 20):
+        got = decontaminate.contamination(frame, bench, block_bytes=block_bytes).collect()
+        assert {r.doc_id: (r.contamination.n_hit, r.contamination.item_ids) for r in got} == want
+
+
 def test_decontaminate_in_blocks(spark):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     one = decontaminate.contamination(docs, bench, carry=["doc_id"]).collect()
