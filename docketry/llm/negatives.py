@@ -55,6 +55,11 @@ class Index:
     radii: tuple[np.ndarray, np.ndarray]
     counts: np.ndarray
     kind: type
+    piece: int = PIECE
+
+    def pieces(self, rows: int) -> int:
+        """Pieces of a cell with so many rows."""
+        return -(-rows // self.piece)
 
     def visits(self, q: np.ndarray) -> Iterator[tuple[int, float, float]]:
         """Cells with rows by falling upper bound, as (cell, lower bound, upper bound)."""
@@ -96,7 +101,7 @@ def nearest(x: np.ndarray, book: np.ndarray) -> np.ndarray:
     return ((book * book).sum(axis=1)[None, :] - 2 * (x @ book.T)).argmin(axis=1)
 
 
-def _index(rows: DataFrame, n: int, dims: int) -> tuple[Index, DataFrame, str]:
+def _index(rows: DataFrame, n: int, dims: int, piece: int) -> tuple[Index, DataFrame, str]:
     """The index over ``rows`` and the table of packed pieces (with its path)."""
     spark, half = rows.sparkSession, dims // 2
     kind = number_type(largest(rows, "v"), dims)
@@ -123,11 +128,11 @@ def _index(rows: DataFrame, n: int, dims: int) -> tuple[Index, DataFrame, str]:
         i, j = divmod(r["cell"], k)
         counts[i, j] = r["n"]
         radii[0][i], radii[1][j] = max(radii[0][i], r["r1"]), max(radii[1][j], r["r2"])
-    index = Index(books, tuple(r * (1 + 1e-9) + 1e-6 for r in radii), counts, kind)
-    subs = spark.createDataFrame([(c, _subs(int(m))) for c, m in enumerate(counts.ravel()) if m], "cell int, subs int")
+    index = Index(books, tuple(r * (1 + 1e-9) + 1e-6 for r in radii), counts, kind, piece)
+    subs = spark.createDataFrame([(c, index.pieces(int(m))) for c, m in enumerate(counts.ravel()) if m], "cell int, subs int")
     dealt = cells.join(F.broadcast(subs), "cell").withColumn("sub", F.pmod(F.xxhash64("row"), F.col("subs")).cast("int"))
     # Rows of a piece stand by id, those without one last, so that the first of equal scores is the one wanted.
-    ordered = dealt.select("cell", "sub", "row", "id", "label", "v").repartition(max(8, -(-n // (16 * PIECE))), "cell", "sub").sortWithinPartitions("cell", "sub", F.col("id").asc_nulls_last(), "row")
+    ordered = dealt.select("cell", "sub", "row", "id", "label", "v").repartition(max(8, -(-n // (16 * piece))), "cell", "sub").sortWithinPartitions("cell", "sub", F.col("id").asc_nulls_last(), "row")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts = None, []
@@ -162,11 +167,6 @@ def _index(rows: DataFrame, n: int, dims: int) -> tuple[Index, DataFrame, str]:
     return index, pieces, path
 
 
-def _subs(rows: int) -> int:
-    """Pieces of a cell with so many rows."""
-    return -(-rows // PIECE)
-
-
 def best_in_windows(scores: np.ndarray, fits: np.ndarray, windows: list[tuple[int, int, int]], k: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each window the places of its best ``k`` fitting scores; of equal scores the earlier place comes first."""
     lowest, highest = min(w[1] for w in windows), max(w[2] for w in windows)
@@ -193,7 +193,7 @@ def _visit(open_queries: DataFrame, sent, begin: int, end: int, k: int, blocks:
                     if number >= end:
                         break
                     if number >= begin and any(high >= lo and low <= hi for _, lo, hi in wanted):
-                        for sub in range(_subs(int(index.counts.flat[cell]))):
+                        for sub in range(index.pieces(int(index.counts.flat[cell]))):
                             cells.append(cell)
                             subs.append(sub)
                             queries.append(at)
@@ -278,7 +278,7 @@ def _search(queries: DataFrame, index: Index, pieces: DataFrame, n_queries: int,
     while True:
         open_queries = now.filter("open").drop("open")
         visits, visits_path = written(_visit(open_queries, sent, begin, end, k, blocks), "negatives-visits")
-        tasks = max(8, -(-rows // (4 * PIECE)) * blocks)
+        tasks = max(8, -(-rows // (4 * index.piece)) * blocks)
         candidates = _candidates(pieces, visits, sent, dims, k, same, blocks, tasks)
         earlier = open_queries.select("row", F.explode("found").alias("f")).select("row", "f.w", "f.score", "f.noid", "f.id")
         place_in = Window.partitionBy("row", "w").orderBy(F.col("score").desc(), "noid", "id")
@@ -311,6 +311,7 @@ def hard_negatives(
     high: int = 90,
     dims: int = 64,
     scale: int = 256,
+    piece: int = PIECE,
 ) -> DataFrame:
     """Hard negatives of every anchor and positive: ``anchor_id``, ``positive_id``, ``rank``, ``negative_id``, both scores.
 
@@ -336,7 +337,7 @@ def hard_negatives(
     n, n_anchors = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("anchor"), 1))).first()
     if not n_anchors:
         return spark.createDataFrame([], "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long")
-    index, pieces, path = _index(rows, n, dims)
+    index, pieces, path = _index(rows, n, dims, piece)
     every = F.array(F.struct(F.lit(0).alias("w"), F.lit(LOWEST).cast("long").alias("lo"), F.lit(HIGHEST).cast("long").alias("hi")))
     queries = rows.filter("anchor").select("row", "label", "v", every.cast(WINDOWS).alias("windows"))
     keep = [rows_path, path]
