@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketry.llm.common import col, small_batches
-from docketry.sources.scratch import materialise, scratch_path
+from docketry.llm.common import col, join_marks, small_batches, written
+from docketry.sources.scratch import mark, release, scratch_path
 
 REVISIT_BYTES = 100
 # Bytes of an archive that one task of the reader owns.
 SPLIT_BYTES = 4 << 20
+# Tasks that the reader's ranges are dealt to at most; beyond it a task reads several.
+MOST_TASKS = 1 << 16
 # Compressed bytes read at a time.
 BLOCK = 1 << 16
 MAGIC = b"\x1f\x8b\x08"
@@ -98,20 +100,19 @@ def parse(raw: bytes) -> dict | None:
 
 
 def with_firsts(pages: DataFrame, id_col: str, payload: str) -> DataFrame:
-    """``pages`` with ``__digest`` and ``__first``: the smallest id of its equal payloads, where they may be revisited.
+    """``pages`` with ``__digest`` and ``__first``: the smallest id of its equal payloads, where it is another page's.
 
-    Only digests and ids are shuffled. Payloads found once are the rule, so the table of the others is written
-    first; its known size decides whether Spark sends it to the tasks or joins by shuffle.
+    Rows and digests are written once. Digests, ids and row numbers alone are grouped and joined, those of payloads with many
+    copies without a shuffle, and only the marks of later copies come back to the rows, by row number; so no payload
+    meets its copies, however many there are.
     """
-    digested = pages.withColumn("__digest", F.sha2(col(payload), 256))
-    copies = (
-        digested.filter(F.octet_length(col(payload)) >= REVISIT_BYTES)
-        .groupBy("__digest")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(col(id_col)).alias("__first"))
-        .filter("n > 1 AND __first IS NOT NULL")
-        .select("__digest", "__first")
-    )
-    return digested.join(materialise(copies, "warc-copies"), "__digest", "left")
+    digested, _ = written(pages.withColumn("__digest", F.sha2(col(payload), 256)).withColumn("__row", F.monotonically_increasing_id()), "warc-rows")
+    known = digested.filter(F.octet_length(col(payload)) >= REVISIT_BYTES).select("__row", col(id_col).alias("__own"), "__digest")
+    copies = known.groupBy("__digest").agg(F.count(F.lit(1)).alias("__n"), F.min("__own").alias("__first")).filter("__n > 1 AND __first IS NOT NULL")
+    copies, _ = written(copies, "warc-copies")
+    later = join_marks(known, copies, ["__digest"], "__n", known.count()).filter(~F.col("__own").eqNullSafe(F.col("__first")))
+    later, _ = written(later.select(F.col("__row").alias("__later"), "__first"), "warc-later")
+    return digested.join(later, F.col("__row") == F.col("__later"), "left")
 
 
 def write(pages: DataFrame, folder: str, id_col: str, uri_col: str, text_col: str) -> DataFrame:
@@ -119,16 +120,19 @@ def write(pages: DataFrame, folder: str, id_col: str, uri_col: str, text_col: st
 
     ``folder`` is a URI that every executor can open. Record ids are ``urn:page:<id>``; a null id leaves the
     record id out, a null text is an empty payload. Of equal payloads the rows with the smallest id are
-    responses (all of them, should that id repeat); null ids are never the smallest.
+    responses (all of them, should that id repeat); null ids are never the smallest. Repeated rows are written each,
+    an empty table gives no file, and other columns, whatever their names, are not read. A payload is held whole
+    by the task that writes it.
     """
     small_batches(pages)
+    begun = mark()
     source = pages.select(col(id_col).alias("__id"), col(uri_col).cast("string").alias("__uri"), F.coalesce(col(text_col), F.lit("")).cast("binary").alias("__payload"))
     rows = with_firsts(source, "__id", "__payload").select(
         F.col("__id").cast("string").alias("id"),
         F.col("__uri").alias("uri"),
         F.col("__payload").alias("payload"),
         F.col("__digest").alias("digest"),
-        F.when(~F.col("__id").eqNullSafe(F.col("__first")), F.col("__first").cast("string")).alias("first"),
+        F.col("__first").cast("string").alias("first"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +151,9 @@ def write(pages: DataFrame, folder: str, id_col: str, uri_col: str, text_col: st
             out.close()
             yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "size": [size]})
 
-    return materialise(rows.mapInArrow(run, "path string, size long"), "warc-files")
+    files, path = written(rows.mapInArrow(run, "path string, size long"), "warc-files")
+    release(pages.sparkSession, begun, keep=[path])
+    return files
 
 
 class _Members:
@@ -205,17 +211,24 @@ def read_range(file, size: int, begin: int, end: int) -> Iterator[tuple[int, dic
         return
 
 
+def ranges_of(files: DataFrame, split_bytes: int) -> DataFrame:
+    """Byte ranges (``path``, ``size``, ``begin``), dealt out evenly to as many tasks as there are ranges, ``MOST_TASKS`` at most.
+
+    The number of tasks is given, so adaptive planning does not put the few bytes that name the ranges into one task.
+    """
+    n = files.agg(F.sum(F.ceil(F.col("size") / split_bytes))).first()[0] or 1
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(split_bytes).cast("long")))
+    return files.filter("size > 0").select("path", "size", starts.alias("begin")).repartition(min(int(n), MOST_TASKS))
+
+
 def read(files: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool = True) -> DataFrame:
     """The records of the archives listed in ``files`` (``path``, ``size``), read in ranges of ``split_bytes``.
 
-    Ranges are dealt out evenly. Damaged or foreign bytes between records are passed over. With ``payloads``
-    unset the payload column stays null, and digests and lengths are still those of the stored bytes.
+    Damaged or foreign bytes between records are passed over; an empty list or empty files give no row, and a file listed
+    twice is read twice. With ``payloads`` unset the payload column stays null, and digests and lengths are still those of
+    the stored bytes. A record of any length is held whole by the task that reads it, others up to 8 MB beside it.
     """
-    ranges = (
-        files.filter("size > 0")
-        .select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(split_bytes).cast("long"))).alias("begin"))
-        .repartition(F.col("path"), F.col("begin"))
-    )
+    ranges = ranges_of(files, split_bytes)
     names = [f.name for f in RECORD.fields]
     kinds = {"payload_bytes": pa.int64(), "offset": pa.int64(), "payload": pa.binary()}
     schema = pa.schema([(n, kinds.get(n, pa.string())) for n in names])
@@ -240,6 +253,7 @@ def read(files: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool = True
 
 
 def archive_folder(spark) -> str:
-    """A new folder for archives in the shared folder of the cluster, as a URI."""
-    path = scratch_path(spark, "warc")
-    return path if "://" in path else re.sub(r"^(file:)?", "file://", path)
+    """A new folder for archives in the shared folder of the cluster, as a URI of the session's file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "warc"))
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub(r"^file:/+", "file:///", whole)

@@ -206,6 +206,23 @@ def test_warc_copies_and_nulls(spark, tmp_path):
     assert warc.read(none).count() == 0
 
 
+def test_warc_ranges_spread_over_tasks(spark, tmp_path):
+    """One archive is read by as many tasks as it has ranges, with adaptive planning on; long pages and clashing names."""
+    r = random.Random(2)
+    letters = "".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(400_000))
+    pages = [(i, "u", letters[i * 997 : i * 997 + 3_000]) for i in range(300)] + [(1_000, "u", letters), (1_001, "u", letters)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").select("*", *[F.lit(1).alias(c) for c in ("__id", "__row", "path", "digest", "a.b")]).coalesce(1)
+    files = warc.write(frame, f"file://{tmp_path}/w", "page_id", "url", "html")
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true" and files.count() == 1
+    size = files.first()["size"]
+    made = warc.read(files, split_bytes=size // 15)
+    rows = made.withColumn("task", F.spark_partition_id()).select("record_id", "record_type", F.octet_length("payload").alias("n"), "task").collect()
+    assert len(rows) == 302 and len({x["task"] for x in rows}) >= 8
+    assert {(x["record_type"], x["n"]) for x in rows if x["record_id"] in ("urn:page:1000", "urn:page:1001")} == {("response", 1_200_000), ("revisit", None)}
+    assert warc.ranges_of(files, size // 15).rdd.glom().map(len).collect() == [1] * 16
+    assert warc.archive_folder(spark).startswith("file:///")
+
+
 def test_warc_ranges_and_damage():
     """Every range size gives the same records, also where the magic occurs by chance and bytes are damaged."""
     import gzip
