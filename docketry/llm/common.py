@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyarrow import fs, parquet
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketry.sources.scratch import materialise, scratch_path
+from docketry.sources.scratch import scratch_path
 
 # Rows turned into Python objects at a time, whatever the size of an Arrow batch.
 SLICE = 256
@@ -76,16 +79,6 @@ def struct_array(**columns: pa.Array) -> pa.StructArray:
     return pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
 
 
-# Bytes of a table that may be sent to every task.
-SENT_BYTES = 16 << 20
-
-
-def sent_if_small(df: DataFrame, tag: str, row_bytes: int) -> DataFrame:
-    """``df``, written; with a hint to send it to every task where its counted rows come to ``SENT_BYTES`` at most."""
-    stored = materialise(df, tag)
-    return F.broadcast(stored) if stored.count() * row_bytes <= SENT_BYTES else stored
-
-
 def written(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """``df``, written to scratch, and the path, for ``release`` to keep."""
     path = scratch_path(df.sparkSession, tag)
@@ -93,6 +86,59 @@ def written(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def shared_uri(spark, path: str) -> str:
+    """A scratch path as a URI of the session's own file system, for tasks that open files there."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    whole = found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(found).toString()
+    return re.sub(r"^file:/+", "file:///", whole)
+
+
+# The bits of a row number that count inside the task that has written the row; the others name the task.
+CHUNK = 33
+
+
+def write_marks(marks: DataFrame, tag: str) -> tuple[str, str]:
+    """Write ``marks`` of rows (``row``, a number from ``monotonically_increasing_id``) by the task that has written the row.
+
+    Returns the path, for ``release`` to keep, and the folder's URI for ``Marks``. Tasks that read the rows again look up what
+    is marked among them, so the rows, which may be long, need no shuffle to meet their marks.
+    """
+    spark = marks.sparkSession
+    path = scratch_path(spark, tag)
+    marks.withColumn("chunk", F.shiftrightunsigned("row", CHUNK)).repartition("chunk").sortWithinPartitions("chunk", "row").write.partitionBy("chunk").parquet(path)
+    return path, shared_uri(spark, path)
+
+
+class Marks:
+    """Marks of rows, read chunk by chunk. Rows of a chunk follow each other, so a task holds the marks of one chunk."""
+
+    def __init__(self, uri: str, columns: tuple[str, ...] = ()):
+        self.system, self.base = fs.FileSystem.from_uri(uri)
+        self.names, self.chunk = ["row", *columns], None
+
+    def open(self, chunk: int) -> bool:
+        """Make ``rows`` (sorted) and ``columns`` those of a chunk; False if they were already."""
+        if chunk == self.chunk:
+            return False
+        there = self.system.get_file_info(fs.FileSelector(f"{self.base}/chunk={chunk}", allow_not_found=True))
+        tables = [parquet.read_table(f.path, filesystem=self.system, partitioning=None, columns=self.names) for f in there if f.base_name.startswith("part-")]
+        parts = [[t.column(c).to_numpy() for t in tables] for c in self.names]
+        rows, *others = (np.concatenate(p) if p else np.array([], np.int64) for p in parts)
+        order = np.argsort(rows, kind="stable")
+        self.chunk, self.rows, self.columns = chunk, rows[order], [c[order] for c in others]
+        return True
+
+    def has(self, rows: np.ndarray) -> np.ndarray:
+        """Which of some rows are marked."""
+        out = np.zeros(len(rows), bool)
+        chunks = rows >> CHUNK
+        for chunk in np.unique(chunks).tolist():
+            self.open(chunk)
+            here = chunks == chunk
+            out[here] = np.isin(rows[here], self.rows)
+        return out
+
+
 # A key of more rows than one in so many is sent to every task; there are at most so many of those.
 HEAVY = 1000
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketry.llm.common import col, join_marks, small_batches, written
+from docketry.llm.common import col, join_marks, shared_uri, small_batches, written
 from docketry.sources.scratch import mark, release, scratch_path
 
 REVISIT_BYTES = 100
@@ -254,6 +254,4 @@ def read(files: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool = True
 
 def archive_folder(spark) -> str:
     """A new folder for archives in the shared folder of the cluster, as a URI of the session's file system."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "warc"))
-    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return re.sub(r"^file:/+", "file:///", whole)
+    return shared_uri(spark, scratch_path(spark, "warc"))

@@ -102,14 +102,14 @@ def test_each_stage_on_odd_rows(spark):
 # ---- SimHash -----------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("radius", [0, 1, 4, 7])
-def test_near_links_against_all_pairs(spark, radius):
+@pytest.mark.parametrize("radius, block", [(0, 1 << 14), (1, 4), (4, 1 << 14), (4, 7), (7, 50)])
+def test_near_links_against_all_pairs(spark, radius, block):
     r = random.Random(radius)
     centres = [r.getrandbits(64) for _ in range(12)]
     bits = {c ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 9))) for c in centres for _ in range(60)} | {0, 1, (1 << 64) - 1}
     signed = [b - (1 << 64) if b >> 63 else b for b in bits]
     nodes = spark.createDataFrame([(b,) for b in signed], "b long")
-    roots = {x["node"]: x["root"] for x in simhash.components(simhash.near_links(nodes, "b", radius)).collect()}
+    roots = {x["node"]: x["root"] for x in simhash.components(simhash.near_links(nodes, "b", radius, block)).collect()}
     parent = {b: b for b in signed}
 
     def find(x):
@@ -150,6 +150,67 @@ def test_one_large_shard():
     assert len(links) < len(members) and {i: label[i] for i in group} == group
 
 
+@pytest.mark.parametrize("n, close", [(200, 0), (900, 0), (900, 300), (3_000, 40)])
+def test_lonely_members_of_a_shard(n, close):
+    """Members far from each other, with pairs among them."""
+    r = np.random.default_rng(n)
+    members = r.integers(0, 1 << 63, n).astype(np.uint64)
+    members = np.unique(np.r_[members, members[:close] ^ (np.uint64(1) << r.integers(0, 60, close).astype(np.uint64))])
+    a, b = simhash.shard_links(members, 4)
+    near = np.bitwise_count(members[:, None] ^ members[None, :]) <= 4
+    assert {frozenset(x) for x in zip(a.tolist(), b.tolist())} == {frozenset((int(members[i]), int(members[j]))) for i, j in zip(*np.nonzero(near)) if i < j}
+
+
+def test_variants_of_one_template_are_searched_in_several_tasks(spark):
+    """100,000 fingerprints that share most bits: one group, found by tasks that each hold two blocks at most."""
+    r = np.random.default_rng(5)
+    bits = np.zeros(130_000, np.uint64)
+    for _ in range(6):
+        bits ^= np.uint64(1) << r.integers(0, 40, len(bits)).astype(np.uint64)
+    bits = np.unique(bits)[:100_000].view(np.int64)
+    nodes = spark.createDataFrame([(int(b),) for b in bits], "b long").repartition(8)
+    links = simhash.near_links(nodes, "b", 4)
+    roots = simhash.components(links)
+    assert roots.count() == 100_000 and roots.select("root").distinct().count() == 1
+    plan = links._jdf.queryExecution().toString()
+    assert "j#" in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_hot_copies_and_components(spark):
+    """A third of the rows are one text, another third variants that link to it; one row of the group stays."""
+    words = [f"w{i}" for i in range(60)]
+    texts = ["same text " * 30] * 400 + [" ".join(["same text"] * 300) + f" {w}" for w in words * 6] + [f"{w} {i} other words {i * 7} here {w}{i}" for i, w in enumerate(words * 7)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(13)
+    want = {}
+    bits = [simhash.fingerprint(t.encode()) for t in texts]
+    for i, b in enumerate(bits):
+        want[i] = b
+    grouped = {r.doc_id: r.simhash for r in simhash.near_duplicate_groups(frame, "doc_id", "text").collect()}
+    assert {i: r.bits & ((1 << 64) - 1) for i, r in grouped.items()} == want
+    kept = simhash.keep_one(frame, "doc_id", "text").collect()
+    assert sorted(r.doc_id for r in kept) == sorted({r.component_id for r in grouped.values()})
+    assert len(kept) < 450 and all(r.text == texts[r.doc_id] for r in kept)
+
+
+def test_fingerprint_against_its_definition():
+    """Bit by bit, over texts of any length, with repeated shingles."""
+    import re
+
+    import xxhash
+
+    r = random.Random(8)
+    texts = ["", "one", "A b c", "a b c d", "x " * 50, " ".join(r.choice(["aa", "Bb", "ünï", "c\x0bd", "\u00a0"]) for _ in range(40_000)), LONG]
+    for text in texts:
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text)) if w]
+        shingles = [" ".join(words[i : i + 4]) for i in range(len(words) - 3)] or ([" ".join(words)] if words else [])
+        ones = [0] * 64
+        for s in shingles:
+            h = xxhash.xxh64_intdigest(s.encode(), 42)
+            for b in range(64):
+                ones[b] += h >> b & 1
+        assert simhash.fingerprint(text.encode()) == sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
+
+
 def test_components_of_a_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(-60, 60)] + [(100, 101), (101, 100), (5, 5)], "a long, b long")
     got = {r["node"]: r["root"] for r in simhash.components(chain).collect()}
