@@ -4,7 +4,8 @@ A line's key is the line without white space at its ends, A-Z lower-cased; a key
 Two Bloom filters over the hashes, one for keys seen once and one for keys seen again, tell which keys may repeat:
 tasks send the places their keys set, as sorted numbers by segment of the filter, and a place that two documents set
 is set in the second filter. Only keys all of whose places are set there are suspected, and only those are shuffled,
-as hash, row and line number: counted exactly, with their first occurrence. Lines seen once stay where they are.
+as hash, row and line number: counted exactly, with their first occurrence. Lines seen once stay where they are, and
+so do all texts: the lines to drop come back to them in one small table per task that has written rows.
 
 The second filter goes to every task; it has ``filter_bits`` bits (64 MB) whatever the input. When it fills up, more
 lines are suspected and shuffled, none is lost: with n different keys the share of single ones suspected is about
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketry.llm.common import LOWER, annotate, col, join_marks, struct_array, written
+from docketry.llm.common import CHUNK, LOWER, Marks, annotate, col, join_marks, struct_array, write_marks, written
 from docketry.sources.scratch import mark, materialise, release
 
 SPACES = b" \t\n\x0b\x0c\r"
@@ -189,28 +190,25 @@ def dedup(
     suspects = materialise(_suspects(stored, bits, uuid4().hex, filter_bits), "line-suspects")
     counted = suspects.groupBy("a", "b").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("row", "line")).alias("first")).filter(F.col("docs") >= min_docs)
     frequent = materialise(counted, "line-keys-frequent")
-    gone = join_marks(suspects, frequent, ["a", "b"], "docs", suspects.count()).select(
-        F.col("row").alias("__gone_row"), F.struct("a", "b", (F.col("row") == F.col("first.row")).alias("first")).alias("key")
-    )
-    # The keys of one document are at most its lines.
-    per_row, per_row_path = written(gone.groupBy("__gone_row").agg(F.collect_list("key").alias("__gone")), "line-gone")
-    joined = stored.join(per_row, F.col("__row") == F.col("__gone_row"), "left")
+    gone = join_marks(suspects, frequent, ["a", "b"], "docs", suspects.count()).select("row", "a", "b", (F.col("row") == F.col("first.row")).alias("first"))
+    marks_path, marks_uri = write_marks(gone, "line-gone")
 
     def left():
-        def score(texts: list[bytes | None], keys: list[bytes], gone: list[list[dict] | None]) -> pa.StructArray:
+        marks = _Gone(marks_uri)
+
+        def score(texts: list[bytes | None], keys: list[bytes], rows: list[int]) -> pa.StructArray:
             sizes, dropped, out = [], [], []
-            for raw, hashed, drop in zip(texts, keys, gone):
+            for raw, hashed, row in zip(texts, keys, rows):
                 lines = (raw or b"").split(b"\n")
                 sizes.append(len(lines))
-                if drop:
-                    spared = {_pair(x): bool(keep_first and x["first"]) for x in drop}
+                if gone := marks.of(row):
                     stay = []
                     for i, line in enumerate(lines):
                         key = hashed[16 * i : 16 * i + 16]
-                        if key not in spared:
+                        if key not in gone:
                             stay.append(line)
-                        elif spared[key]:
-                            spared[key] = False
+                        elif keep_first and gone[key]:
+                            gone[key] = False
                             stay.append(line)
                     lines = stay
                 dropped.append(sizes[-1] - len(lines))
@@ -219,10 +217,20 @@ def dedup(
 
         return score
 
-    made = annotate(joined, ["__text", F.col("__keys.digests"), F.col("__gone")], "__lines", RESULT, left, list(inside.values()))
-    release(spark, begun, keep=[stored_path, per_row_path])
+    made = annotate(stored, ["__text", F.col("__keys.digests"), F.col("__row")], "__lines", RESULT, left, list(inside.values()))
+    release(spark, begun, keep=[stored_path, marks_path])
     return made.select(*[col(n).alias(c) for c, n in inside.items()], F.col("__lines").alias(name))
 
 
-def _pair(key: dict) -> bytes:
-    return (key["a"] & (1 << 64) - 1).to_bytes(8, "little") + (key["b"] & (1 << 64) - 1).to_bytes(8, "little")
+class _Gone(Marks):
+    """The keys that rows lose."""
+
+    def __init__(self, uri: str):
+        super().__init__(uri, ("a", "b", "first"))
+
+    def of(self, row: int) -> dict[bytes, bool]:
+        """The keys of a row, with whether its first line of the key is the first of all."""
+        if self.open(row >> CHUNK):
+            self.keys = np.stack(self.columns[:2], axis=1).tobytes()
+        a, b = np.searchsorted(self.rows, [row, row + 1]).tolist()
+        return {self.keys[16 * i : 16 * i + 16]: bool(self.columns[2][i]) for i in range(a, b)}

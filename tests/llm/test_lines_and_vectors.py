@@ -162,7 +162,7 @@ def test_loosening_holds_and_is_tighter(seed):
         x = rng.normal(size=(4_000, dims))
         x = old[i] + radius[i] * x / np.sqrt((x**2).sum(axis=1))[:, None] * rng.uniform(0, 1, (4_000, 1)) ** 0.1
         # The worst points lie towards the moved centroids.
-        towards = new - old[i]
+        towards = np.delete(new, i, axis=0) - old[i]
         x = np.r_[x, old[i] + radius[i] * towards / np.sqrt((towards**2).sum(axis=1))[:, None]]
         shrunk = np.sqrt(((x[:, None] - old) ** 2).sum(axis=2)) - np.sqrt(((x[:, None] - new) ** 2).sum(axis=2))
         others = np.arange(k) != i
