@@ -1,13 +1,12 @@
 """Quality rules with cross-document line frequency, in DataFrame functions only.
 
-Each text is split at line feeds; a line is normalised (A-Z lower-cased, words joined by single spaces) and
-hashed. A line of a host is frequent when it occurs in more than ``limit`` distinct texts of that host, where
-``limit`` is the larger of ``min_docs`` and ``share`` of the host's distinct texts; exact copies count as one
-text. Frequent lines are removed. A document is rejected when it fails a base rule, or when what is left of it
-is depleted: fewer than ``left_words`` words, or under ``left_share`` of its words.
-
-Only hashes are shuffled, one row of host, line and text hash per line, combined before the shuffle; a common
-line is spread by its texts until it is a count. The frequent lines come back to the rows by host.
+Each text is split at line feeds; a line is normalised (A-Z lower-cased, words joined by single spaces) and hashed with
+its host. A line of a host is frequent when more than ``max_docs`` distinct documents of that host hold it, whatever the
+size of the host; copies are documents of their own. Frequent lines are removed. A document is rejected when it fails
+a base rule, or when what is left of it is depleted: fewer than ``left_words`` words, or under ``left_share`` of its words.
+
+Counts combine before the shuffle. Frequent lines meet the lines of the documents by hash, those of very many
+documents without a shuffle, and per document the places of its frequent lines come back to its row.
 """
 
 from __future__ import annotations
@@ -17,8 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketry.llm.common import col
-from docketry.sources.scratch import materialise
+from docketry.llm.common import col, join_marks, written
+from docketry.sources.scratch import mark, release
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -33,8 +32,7 @@ class Limits:
 
     min_words: int = 20
     repeat_share: int = 30
-    min_docs: int = 20
-    share: int = 1
+    max_docs: int = 100
     left_words: int = 10
     left_share: int = 30
 
@@ -90,17 +88,17 @@ def bind(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def line_hash(tokens: Column) -> Column:
-    """Hash of a normalised line, from its words."""
-    return F.xxhash64(F.translate(F.array_join(tokens, " "), UPPER, LOWERED))
+def line_hash(tokens: Column, host: Column) -> Column:
+    """Hash of a normalised line of a host, from its words; a null host is a host of its own."""
+    return F.xxhash64(host.isNull(), host, F.translate(F.array_join(tokens, " "), UPPER, LOWERED))
 
 
-def measures(text: Column) -> Column:
-    """A struct of the base measures and the lines (hash, words) of a text that is not null.
+def measures(text: Column, host: Column) -> Column:
+    """A struct of the base measures and the lines with words (hash, words, place) of a text that is not null.
 
     Each line is split into words once; everything else follows from those words, as a line feed is white space.
     """
-    lines = F.transform(F.split(text, "\n", -1), lambda line: F.struct(line.alias("raw"), words(line).alias("w")))
+    lines = F.transform(F.split(text, "\n", -1), lambda line, i: F.struct(line.alias("raw"), words(line).alias("w"), i.alias("at")))
 
     def measured(rows: Column) -> Column:
         return F.struct(
@@ -109,62 +107,49 @@ def measures(text: Column) -> Column:
             (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
             (F.size(rows) - F.size(F.array_distinct(F.transform(rows, lambda r: r["raw"])))).cast("long").alias("n_dup_lines"),
             repeated_words(F.flatten(F.transform(rows, lambda r: r["w"]))).alias("n_repeat_words"),
-            F.transform(rows, lambda r: F.struct(line_hash(r["w"]).alias("line"), F.size(r["w"]).alias("n"))).alias("lines"),
+            F.transform(rows, lambda r: F.struct(line_hash(r["w"], host).alias("line"), F.size(r["w"]).alias("n"), r["at"].alias("at"))).alias("lines"),
         )
 
     return bind(F.filter(lines, lambda r: F.size(r["w"]) > 0), measured)
 
 
 def frequent_lines(stored: DataFrame, limits: Limits) -> DataFrame:
-    """Hosts with the hashes of their frequent lines, from rows of ``__host``, ``__copy`` and ``__m.lines``.
+    """Rows (``__of``) that hold frequent lines, with the words in those and their places, from rows of ``__row`` and ``__m.lines``.
 
-    A line is spread by its texts until it is a count. The lines of a host are few: each occurs in ``share`` per
-    cent of its texts at least, so there are no more than 100 / ``share`` times the lines of an average text.
+    A document counts once for each of its lines, so a line's rows are added up in every task before the shuffle.
     """
-    spread = stored.select("__host", "__copy", F.explode("__m.lines").alias("l")).select("__host", "__copy", "l.line")
-    texts = stored.groupBy("__host", "__copy").agg(F.lit(1).alias("one")).groupBy("__host").agg(F.count(F.lit(1)).alias("__texts"))
-    counted = (
-        spread.groupBy("__host", "line", "__copy")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("__host", "line")
-        .agg(F.count(F.lit(1)).alias("docs"))
-        .filter(F.col("docs") > limits.min_docs)
-    )
-    frequent = counted.alias("c").join(texts.alias("t"), F.col("c.__host").eqNullSafe(F.col("t.__host"))).filter(F.col("docs") * 100 > F.col("__texts") * limits.share)
-    return frequent.groupBy(F.col("c.__host").alias("__of")).agg(F.collect_set("line").alias("__frequent"))
+    own = F.array_distinct(F.transform("__m.lines", lambda x: x["line"]))
+    counted = stored.select(F.explode(own).alias("line")).groupBy("line").agg(F.count(F.lit(1)).alias("docs"))
+    frequent, _ = written(counted.filter(F.col("docs") > limits.max_docs), "frequent-lines")
+    total = stored.agg(F.sum(F.size(own))).first()[0] or 0
+    each = stored.select("__row", F.explode("__m.lines").alias("l")).select("__row", "l.line", "l.n", "l.at")
+    found = join_marks(each, frequent, ["line"], "docs", total)
+    return found.groupBy(F.col("__row").alias("__of")).agg(F.sum("n").alias("__gone"), F.collect_list("at").alias("__places"))
 
 
 def judged(df: DataFrame, host_col: str, text_col: str, limits: Limits = Limits(), carry: list[str] | None = None, name: str = "quality") -> DataFrame:
     """Every row of ``df`` (or its ``carry`` columns) with a struct ``name``.
 
     Fields: ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
-    ``kept``, ``n_removed_words``, ``removed`` (hashes of its frequent lines). A null text has no words and fails the base
-    rules; a null host is a host of its own; repeated rows are copies and count as one text; an empty table
-    gives an empty result. A column called ``name`` gives way.
+    ``kept``, ``n_removed_words``, ``removed`` (places of its frequent lines among all its lines, from 0). Each row is a
+    document, so repeated rows count each. A null text has no words and fails the base rules; a null host is a host of
+    its own; texts of any length are taken whole; an empty table gives an empty result. A column called ``name``
+    gives way, others pass through whatever their names.
 
-    Rows and measures are written once, and so are the frequent lines, whose known size lets Spark hand them to
-    the tasks where they fit; then no text is shuffled.
+    Rows and measures are written once, and so are the rows' frequent lines, which come back by row number.
     """
+    begun = mark()
     kept = [c for c in (df.columns if carry is None else carry) if c.lower() != name.lower()]
+    inside = {c: f"__column_{i}" for i, c in enumerate(kept)}
     text = F.coalesce(col(text_col), F.lit(""))
     measured = df.select(
-        *[col(c) for c in kept],
-        col(host_col).cast("string").alias("__host"),
-        F.xxhash64(text).alias("__copy"),
-        measures(text).alias("__m"),
-    )
-    stored = materialise(measured, "quality")
-    hosts = materialise(frequent_lines(stored, limits), "frequent-lines")
-    none = F.expr("array()").cast("array<bigint>")
-    own = F.transform("__m.lines", lambda x: x["line"])
-    marked = stored.join(hosts, F.col("__host").eqNullSafe(F.col("__of")), "left").withColumn(
-        "__removed", F.when(F.col("__frequent").isNull(), none).otherwise(F.array_intersect(own, F.col("__frequent")))
-    )
-    found = F.aggregate(
-        "__m.lines", F.lit(0).cast("long"), lambda n, x: n + F.when(F.array_contains("__removed", x["line"]), x["n"]).otherwise(0)
+        *[col(c).alias(n) for c, n in inside.items()], F.monotonically_increasing_id().alias("__row"), measures(text, col(host_col).cast("string")).alias("__m")
     )
-    counted = marked.withColumn("__gone", F.when(F.size("__removed") == 0, F.lit(0).cast("long")).otherwise(found))
-    n_words, gone = F.col("__m.n_words"), F.col("__gone")
+    stored, stored_path = written(measured, "quality")
+    marks, marks_path = written(frequent_lines(stored, limits), "quality-lines")
+    release(df.sparkSession, begun, keep=[stored_path, marks_path])
+    joined = stored.join(marks, F.col("__row") == F.col("__of"), "left")
+    n_words, gone = F.col("__m.n_words"), F.coalesce("__gone", F.lit(0).cast("long"))
     failed = (n_words < limits.min_words) | (100 * F.col("__m.n_repeat_words") > limits.repeat_share * n_words)
     left = n_words - gone
     depleted = (gone > 0) & ((left < limits.left_words) | (100 * left < limits.left_share * n_words))
@@ -173,12 +158,13 @@ def judged(df: DataFrame, host_col: str, text_col: str, limits: Limits = Limits(
         failed.alias("base_failed"),
         (~failed & ~depleted).alias("kept"),
         gone.alias("n_removed_words"),
-        F.col("__removed").alias("removed"),
+        F.coalesce(F.sort_array("__places"), F.expr("array()").cast("array<int>")).alias("removed"),
     )
-    return counted.select(*[col(c) for c in kept], result.alias(name))
+    return joined.select(*[F.col(n).alias(c) for c, n in inside.items()], result.alias(name))
 
 
 def without_lines(text: Column, removed: Column) -> Column:
-    """The text without the lines whose hashes are in ``removed``; the text itself where none is."""
-    left = F.filter(F.split(text, "\n", -1), lambda line: (F.translate(line, SPACES, "") == "") | ~F.array_contains(removed, line_hash(words(line))))
-    return F.when(F.size(removed) == 0, text).otherwise(F.array_join(left, "\n"))
+    """The text without the lines at the places in ``removed``; the text itself where there is none."""
+    lines = F.split(text, "\n", -1)
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed)
+    return F.when(F.size(removed) == 0, text).otherwise(F.array_join(F.transform(left, lambda i: F.element_at(lines, i + 1)), "\n"))

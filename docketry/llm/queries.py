@@ -94,18 +94,15 @@ WITH d AS (
 ), repeated AS (
     SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + 7)) AS p FROM grams JOIN twice USING (doc_id, gram)) GROUP BY doc_id
 ), lines AS (
-    SELECT doc_id, host, text, line,
+    SELECT doc_id, host, line,
         list_filter(string_split_regex(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS lw
-    FROM (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM d)
+    FROM (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM d)
 ), kept_lines AS (
-    SELECT doc_id, host, text, line, array_to_string(lw, ' ') AS norm, len(lw) AS n FROM lines WHERE len(lw) > 0
+    SELECT doc_id, host, line, array_to_string(lw, ' ') AS norm, len(lw) AS n FROM lines WHERE len(lw) > 0
 ), dups AS (
     SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM kept_lines GROUP BY doc_id
-), hosts AS (
-    SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY host
 ), frequent AS (
-    SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS docs FROM kept_lines GROUP BY host, norm) JOIN hosts USING (host)
-    WHERE docs > 20 AND docs * 100 > texts
+    SELECT host, norm FROM kept_lines GROUP BY host, norm HAVING count(DISTINCT doc_id) > 100
 ), gone AS (
     SELECT doc_id, sum(n) AS n FROM kept_lines JOIN frequent USING (host, norm) GROUP BY doc_id
 ), m AS (
