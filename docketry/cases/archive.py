@@ -25,7 +25,7 @@ from docketry.cases.states import (
     one_of,
 )
 from docketry.functions import dates
-from docketry.operators import aggregates, documents, joins, projection, ranking
+from docketry.operators import aggregates, combine, documents, joins, projection, ranking
 
 # Unlike the live rules these keep rows whose status or outcome is unknown.
 ARCHIVE_VARIANTS = {
@@ -217,19 +217,17 @@ PAGE_ROW = "<tr><td>{{day}}</td><td>{{status}}</td><td>{{outcome}}</td></tr>"
 PAGE_TAIL = "</table></html>"
 
 
-def case_documents(cases: DataFrame, statuses: DataFrame) -> DataFrame:
+def case_documents(cases: DataFrame, statuses: DataFrame, size: int = aggregates.PART) -> DataFrame:
     """The HTML page and the JSON record of each case with its status rows, in parts that join to the documents.
 
-    ``cases`` has CaseNo, Segment and HORef, one row per case. A part holds the status rows of one year, rows
-    without a date come first; head and tail are on the first and last part only.
+    ``cases`` has CaseNo, Segment and HORef, one row per case. A part holds ``size`` status rows in order, those without
+    a date first; head and tail are on the first and last part only. Rows and entries share one rank and one aggregate.
     """
-    order, year = ["DateReceived", "StatusId"], F.coalesce(F.year("DateReceived"), F.lit(0))
     shown = F.date_format("DateReceived", "yyyy-MM-dd")
     values = {"day": shown, "status": F.col("CaseStatus"), "outcome": F.col("Outcome")}
-    pages = documents.render_children(statuses, [KEY], PAGE_ROW, values, "rows", order, year, raw=["day", "status", "outcome"])
     entry = F.to_json(F.struct("StatusId", F.col("CaseStatus").alias("status"), F.col("Outcome").alias("outcome"), shown.alias("received")))
-    entries = aggregates.concat_agg(statuses, [KEY], entry, ",", "entries", order, year)
-    parts = cases.join(pages.join(entries, [KEY, "part"]), KEY, "left")
+    both = {"rows": (documents.render(PAGE_ROW, values, ["day", "status", "outcome"]), ""), "entries": (entry, ",")}
+    parts = cases.join(documents.joined_parts(statuses, [KEY], both, ["DateReceived", "StatusId"], F.to_date("DateReceived"), size), KEY, "left")
     head = documents.render(PAGE_HEAD, {"case": F.col(KEY), "segment": F.col("Segment"), "reference": F.col("HORef")})
     record = F.to_json(F.struct(KEY, "Segment", "HORef"))
     # The record stays open for its rows; a later part goes on after a comma.
@@ -280,3 +278,37 @@ def retention_metadata(
         dates.iso_z(F.col("BirthDate")).alias("bf_004"),
         F.col("Appellant_Postcode").alias("bf_006"),
     )
+
+
+def _numbered(column: str, width: int = 1) -> Column:
+    return F.floor(F.col(column) / width)
+
+
+def combined_cases(cases: DataFrame, tables: CaseTables, documents_received: DataFrame, links: DataFrame, size: int = aggregates.PART) -> DataFrame:
+    """The combined archive record of each case with its eight child families, in parts (``combine``).
+
+    ``cases`` has one row per case with the columns of the record itself; ``links`` the group and place of linked cases, of
+    which the other members follow (``linking``). Dates order what has dates, ids the rest.
+    """
+    days = F.datediff(F.to_date("DateReceived"), F.lit("1970-01-01"))
+    families = [
+        combine.Family("statuses", tables.statuses, ["StatusId", "CaseStatus", "Outcome", "DecisionDate", "HearingCentre", "Party"], ["DateReceived", "StatusId"], days),
+        combine.Family("hearings", tables.statuses.filter(F.col("HearingDate").isNotNull()), ["StatusId", "HearingDate", "ListTypeId", "TimeEstimate", "CourtName"], ["StatusId"], _numbered("StatusId", 10_000)),
+        combine.Family("transactions", tables.transactions, ["TransactionId", "TransactionTypeId", "Amount", "Status"], ["TransactionId"], _numbered("TransactionId", 10_000)),
+        combine.Family("judges", tables.judges, ["Judge_Surname", "Judge_Forenames", "Judge_Title", "Required"], ["Judge_Surname", "Judge_Forenames"], F.ascii("Judge_Surname")),
+        combine.Family("categories", tables.categories.distinct(), ["CategoryId"], ["CategoryId"], F.col("CategoryId")),
+        combine.Family("history", tables.history, ["HistoryId", "HistType", "Comment"], ["HistoryId"], _numbered("HistoryId", 10_000)),
+        combine.Family("documents", documents_received, ["ReceivedDocumentId", "DateReceived"], ["DateReceived", "ReceivedDocumentId"], days),
+        combine.Family("links", links, ["LinkNo", "position", "peers"], ["LinkNo"], F.col("LinkNo")),
+    ]
+    return combine.combine(cases, families, KEY, size)
+
+
+def combined_officers(officers_: DataFrame, centres: DataFrame, roles: DataFrame, history: DataFrame, key: str = "AdjudicatorId", size: int = aggregates.PART) -> DataFrame:
+    """The combined record of each officer: other centres, appointments and history, newest last."""
+    families = [
+        combine.Family("OtherCentres", centres.distinct(), ["OtherCentre"], ["OtherCentre"], F.ascii("OtherCentre")),
+        combine.Family("Roles", roles, ["Role", "DateOfAppointment", "EndDateOfAppointment"], ["DateOfAppointment", "Role"], F.year("DateOfAppointment")),
+        combine.Family("History", history, ["HistDate", "HistType", "UserName", "Comment"], ["HistDate", "HistType"], F.datediff(F.to_date("HistDate"), F.lit("1970-01-01"))),
+    ]
+    return combine.combine(officers_, families, key, size)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docketry.cases.base import KEY
 from docketry.operators import linking
+from docketry.operators.aggregates import PART
 
 
 def entry(reason: Column, case_type: str) -> Column:
@@ -24,10 +25,10 @@ def entry(reason: Column, case_type: str) -> Column:
     return F.to_json(F.struct(F.col(KEY).alias("id"), value.alias("value")))
 
 
-def payloads(members: DataFrame, group: str, fragment: Column) -> DataFrame:
-    """The entries of each group in the order of the case numbers, as JSON arrays in fragments.
+def payloads(members: DataFrame, group: str, coarse: Column, size: int = PART) -> DataFrame:
+    """The entries of each group in the order of the case numbers, as JSON arrays of ``size`` entries.
 
-    ``members`` has CaseNo, the group and an ``entry``; ``fragment`` follows the order of CaseNo.
+    ``members`` has CaseNo, the group and an ``entry``; ``coarse`` follows the order of CaseNo.
     """
-    parts = linking.group_members(members, group, F.col("entry"), [KEY], fragment, "entries")
+    parts = linking.group_members(members, group, F.col("entry"), [KEY], coarse, "entries", size)
     return parts.select(group, "part", F.size("entries").alias("members"), F.concat(F.lit("["), F.array_join("entries", ","), F.lit("]")).alias("payload"))

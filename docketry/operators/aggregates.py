@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
+from docketry.operators import skew
+
 
 def money(column: Column | str) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("decimal(18,2)")
@@ -67,23 +69,33 @@ def collected(df: DataFrame, keys: Sequence[str]) -> GroupedData:
     return df.repartition(*keys).groupBy(*keys)
 
 
-def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str, order: Sequence[str], fragment: Column) -> DataFrame:
+# Rows in a part of a nested list, a joined text or a page.
+PART = 1000
+
+
+def nest(
+    df: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str, order: Sequence[str], coarse: Column, size: int = PART
+) -> DataFrame:
     """Child rows as one sorted array of structs per key and ``part``.
 
-    ``fragment`` is a column of the data model that follows the order, such as the year of a date; its value is
-    the part. The parts of a key together hold every child in order, and none holds more than its fragment.
+    The parts of a key together hold every child in order, ``size`` children each but the last, however many the key has.
+    ``coarse`` is a column that follows the order, such as the day of a date (``skew.rank_within``).
     """
     whole_order = list(dict.fromkeys([*order, *fields]))
     child = F.struct(*whole_order)
     sorted_children = F.sort_array(F.collect_list(child))
-    return collected(df.withColumn("part", fragment.cast("long")), [*keys, "part"]).agg(
+    cut = skew.in_parts(df, keys, whole_order, coarse, size)
+    return collected(cut, [*keys, "part"]).agg(
         F.transform(sorted_children, lambda c: F.struct(*[c[f].alias(f) for f in fields])).alias(name)
     )
 
 
-def concat_agg(df: DataFrame, keys: Sequence[str], text: Column, sep: str, name: str, order: Sequence[str], fragment: Column) -> DataFrame:
+def concat_agg(
+    df: DataFrame, keys: Sequence[str], text: Column, sep: str, name: str, order: Sequence[str], coarse: Column, size: int = PART
+) -> DataFrame:
     """Texts of a key joined in order, in parts as for ``nest``; nothing to join gives NULL."""
-    cut = df.withColumn("_text", text).withColumn("part", fragment.cast("long"))
+    own = [F.col(c) for c in dict.fromkeys([*keys, *order])]
+    cut = skew.in_parts(df.select(*own, text.alias("_text"), coarse.alias("_bucket")), keys, [*order, "_text"], F.col("_bucket"), size)
     rows = F.sort_array(F.collect_list(F.when(F.col("_text").isNotNull(), F.struct(*order, "_text"))))
     return collected(cut, [*keys, "part"]).agg(
         F.nullif(F.array_join(F.transform(rows, lambda r: r["_text"]), sep), F.lit("")).alias(name)

@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.functions.text import html_escape
-from docketry.operators import aggregates
+from docketry.operators import aggregates, skew
 
 PLACEHOLDER = re.compile(r"\{\{(\w+)\}\}")
 
@@ -49,18 +49,32 @@ def render(template: str, values: Mapping[str, Column], raw: Sequence[str] = ())
 
 def render_children(
     df: DataFrame, keys: Sequence[str], template: str, values: Mapping[str, Column], name: str, order: Sequence[str],
-    fragment: Column, raw: Sequence[str] = (),
+    coarse: Column, raw: Sequence[str] = (), size: int = aggregates.PART,
 ) -> DataFrame:
-    """The template once per child row, joined in order per key and part; ``first_part`` and ``last_part`` mark the ends.
+    """The template once per child row, joined in order per key and part (as ``aggregates.nest``); ``first_part`` and ``last_part`` mark the ends.
 
     Rows are rendered before they are nested: plain columns stay in generated code, where a function
     over an array element would be interpreted.
     """
-    parts = aggregates.concat_agg(df, keys, render(template, values, raw), "", name, order, fragment)
-    key = Window.partitionBy(*keys)
-    return parts.withColumn("first_part", F.col("part").eqNullSafe(F.first("part").over(key.orderBy(F.col("part").asc_nulls_first())))).withColumn(
-        "last_part", F.col("part").eqNullSafe(F.first("part").over(key.orderBy(F.col("part").desc_nulls_last())))
-    )
+    return joined_parts(df, keys, {name: (render(template, values, raw), "")}, order, coarse, size)
+
+
+def joined_parts(
+    df: DataFrame, keys: Sequence[str], texts: Mapping[str, tuple[Column, str]], order: Sequence[str], coarse: Column, size: int = aggregates.PART
+) -> DataFrame:
+    """Several texts of the same child rows, each joined in order with its separator, in parts of ``size`` rows.
+
+    The last part is known from the number of rows of the key, which comes with the rank; so nothing is asked of all parts.
+    """
+    own = [F.col(c) for c in dict.fromkeys([*keys, *order])]
+    rows = df.select(*own, *[t.alias(f"_text_{n}") for n, (t, _) in texts.items()], coarse.alias("_bucket"))
+    named = [f"_text_{n}" for n in texts]
+    ranked = skew.rank_within(rows, keys, [*order, *named], F.col("_bucket"), "_rn", "_all")
+    cut = ranked.withColumn("part", F.floor((F.col("_rn") - 1) / size).cast("long"))
+    sorted_rows = F.sort_array(F.collect_list(F.struct("_rn", *named)))
+    gathered = aggregates.collected(cut, [*keys, "part"]).agg(sorted_rows.alias("_rows"), F.max("_all").alias("_all"))
+    joined = [F.array_join(F.col(f"_rows._text_{n}"), sep).alias(n) for n, (_, sep) in texts.items()]
+    return gathered.select(*keys, "part", *joined, (F.col("part") == 0).alias("first_part"), ((F.col("part") + 1) * size >= F.col("_all")).alias("last_part"))
 
 
 def fragment_page(head: Column, rows: Column, tail: Column) -> Column:

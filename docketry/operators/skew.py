@@ -53,6 +53,16 @@ def global_rank(df: DataFrame, order: Order, coarse: Column | str, name: str = "
     return rank_within(df, [], order, coarse, name)
 
 
+def in_parts(df: DataFrame, keys: Sequence[str], order: Order, coarse: Column | str, size: int, name: str = "part") -> DataFrame:
+    """Rows with their part of the key, from 0: ``size`` rows that follow each other in ``order``, so no part holds more.
+
+    The buckets need not fit ``size``: their counts say where each begins, and the place inside gives the part. A key ten times
+    as large has ten times as many parts of the same size. ``order`` and ``coarse`` as for ``rank_within``.
+    """
+    ranked = rank_within(df, keys, order, coarse, "_rn")
+    return ranked.select(*[F.col(c) for c in df.columns if c != name], F.floor((F.col("_rn") - 1) / size).cast("long").alias(name))
+
+
 def group_size(df: DataFrame, keys: Sequence[str], coarse: Column | str, name: str = "n") -> DataFrame:
     """Rows per key attached to each row, joined by key and bucket, so that a hot key stays spread.
 

@@ -201,12 +201,12 @@ def _kept_cases(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "case_archive_documents",
     ctes("header", "statuses")
-    + f""", {_KEPT}, p AS (SELECT CaseNo, year(DateReceived) AS part,
+    + f""", {_KEPT}, p AS (SELECT CaseNo, (rn - 1) // 3 AS part,
          string_agg('<tr><td>' || strftime(DateReceived, '%Y-%m-%d') || '</td><td>' || CaseStatus || '</td><td>' || coalesce(CAST(Outcome AS VARCHAR), '') || '</td></tr>', ''
                     ORDER BY DateReceived, StatusId) AS rows,
          string_agg('{{"StatusId":' || StatusId || ',"status":' || CaseStatus || CASE WHEN Outcome IS NULL THEN '' ELSE ',"outcome":' || Outcome END
                     || ',"received":"' || strftime(DateReceived, '%Y-%m-%d') || '"}}', ',' ORDER BY DateReceived, StatusId) AS entries
-         FROM statuses GROUP BY 1, 2),
+         FROM (SELECT *, row_number() OVER (PARTITION BY CaseNo ORDER BY DateReceived, StatusId) AS rn FROM statuses) GROUP BY 1, 2),
        x AS (SELECT kept.*, part, rows, entries, part IS NOT DISTINCT FROM min(part) OVER w AS first, part IS NOT DISTINCT FROM max(part) OVER w AS last
              FROM kept LEFT JOIN p USING (CaseNo) WINDOW w AS (PARTITION BY CaseNo))
        SELECT CaseNo, coalesce(part, 0) AS part,
@@ -217,8 +217,8 @@ def _kept_cases(spark: SparkSession, sf: str) -> DataFrame:
        FROM x""",
 )
 def case_archive_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages and nested records of the archived cases, in parts by the year of a status."""
-    return archive.case_documents(_kept_cases(spark, sf), derive(spark, sf, "statuses"))
+    """Pages and nested records of the archived cases, in parts of three status rows."""
+    return archive.case_documents(_kept_cases(spark, sf), derive(spark, sf, "statuses"), 3)
 
 
 @query(
@@ -236,6 +236,102 @@ def case_archive_manifests(spark: SparkSession, sf: str) -> DataFrame:
     return archive.manifests(_kept_cases(spark, sf), "Records", "case_")
 
 
+# ---------------------------------------------------------------- combined records
+
+# family -> (table, columns in the order of the struct, order), for the SQL side.
+_FAMILIES = {
+    "statuses": ("statuses", ["StatusId", "CaseStatus", "Outcome", "DecisionDate", "HearingCentre", "Party"], "DateReceived, StatusId"),
+    "hearings": ("(SELECT * FROM statuses WHERE HearingDate IS NOT NULL)", ["StatusId", "HearingDate", "ListTypeId", "TimeEstimate", "CourtName"], "StatusId"),
+    "transactions": ("transactions", ["TransactionId", "TransactionTypeId", "Amount", "Status"], "TransactionId, TransactionTypeId, Amount, Status"),
+    "judges": ("judges", ["Judge_Surname", "Judge_Forenames", "Judge_Title", "Required"], "Judge_Surname, Judge_Forenames, Judge_Title NULLS FIRST, Required NULLS FIRST"),
+    "categories": ("(SELECT DISTINCT * FROM categories)", ["CategoryId"], "CategoryId"),
+    "history": ("history", ["HistoryId", "HistType", "Comment"], "HistoryId"),
+    "documents": ("documents_received", ["ReceivedDocumentId", "DateReceived"], "DateReceived NULLS FIRST, ReceivedDocumentId NULLS FIRST"),
+    "links": ("linked", ["LinkNo", "position", "peers"], "LinkNo"),
+}
+
+
+def _family_sql(name: str, key: str, source: str, columns: list[str], order: str, size: int) -> str:
+    shown = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+    return (
+        f"f_{name} AS (SELECT {key}, (rn - 1) // {size} AS part, string_agg({shown}, ';' ORDER BY rn) AS shown, count(*) AS n "
+        f"FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn FROM {source}) GROUP BY 1, 2)"
+    )
+
+
+def _row_text(columns: list[str]):
+    return lambda c: F.concat_ws("|", *[F.coalesce(c[k].cast("string"), F.lit("")) for k in columns])
+
+
+def _shown(df: DataFrame, names: dict[str, list[str]]) -> list:
+    """Each family as text and its length; timestamps and decimals as both engines write them."""
+    out = []
+    for name, columns in names.items():
+        rows = F.transform(name, _row_text(columns))
+        out += [F.nullif(F.array_join(rows, ";"), F.lit("")).alias(name), F.size(name).cast("long").alias(f"n_{name}")]
+    return out
+
+
+def _combined_sql(families: dict, key: str, heads: str, columns: list[str], size: int) -> str:
+    parts = " UNION ".join([f"SELECT {key}, 0 AS part FROM {heads}", *[f"SELECT {key}, part FROM f_{n}" for n in families]])
+    joined = " ".join(f"LEFT JOIN f_{n} ON f_{n}.{key} = p.{key} AND f_{n}.part = p.part" for n in families)
+    shown = ", ".join(f"f_{n}.shown AS {n}, coalesce(f_{n}.n, 0) AS n_{n}" for n in families)
+    own = ", ".join(f"h.{c}" for c in columns)
+    return f"p AS ({parts}) SELECT p.{key}, p.part, {own}, {shown} FROM p LEFT JOIN {heads} h ON h.{key} = p.{key} AND p.part = 0 {joined}"
+
+
+_LINKED = f"""linked AS (SELECT {case_no('o_orderkey')} AS CaseNo, o_custkey AS LinkNo, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, {case_no('o_orderkey')}) AS position,
+   count(*) OVER (PARTITION BY o_custkey) - 1 AS peers FROM orders QUALIFY peers > 0)"""
+
+
+@query(
+    "case_combined",
+    ctes("header", "statuses", "transactions", "judges", "categories", "history", "documents_received")
+    + f""", {_LINKED}, {", ".join(_family_sql(n, "CaseNo", *f, 3) for n, f in _FAMILIES.items())},
+       {_combined_sql(_FAMILIES, "CaseNo", "header", ["CasePrefix", "HORef", "lu_appealType"], 3)}""",
+)
+def case_combined(spark: SparkSession, sf: str) -> DataFrame:
+    """The combined archive record with eight child families, three children of each to a part."""
+    tables = case_tables(spark, sf, "statuses", "transactions", "judges", "categories", "history")
+    linked = linking.membership(
+        table(spark, sf, "orders").select(F.expr(case_no("o_orderkey")).alias(KEY), F.col("o_custkey").alias("LinkNo"), "o_orderdate"), "LinkNo", ["o_orderdate", KEY], F.year("o_orderdate")
+    )
+    cases = tables.header.select(KEY, "CasePrefix", "HORef", "lu_appealType")
+    made = archive.combined_cases(cases, tables, derive(spark, sf, "documents_received"), linked, 3)
+    return made.select(KEY, "part", "CasePrefix", "HORef", "lu_appealType", *_shown(made, {n: f[1] for n, f in _FAMILIES.items()}))
+
+
+_OFFICER_FAMILIES = {
+    "OtherCentres": ("centres", ["OtherCentre"], "OtherCentre"),
+    "Roles": ("roles", ["Role", "DateOfAppointment", "EndDateOfAppointment"], "DateOfAppointment, Role, EndDateOfAppointment NULLS FIRST"),
+    "History": ("moves", ["HistDate", "HistType", "UserName", "Comment"], "HistDate, HistType, UserName, Comment"),
+}
+_CENTRE = "'Centre ' || CAST(l_partkey % 40 AS STRING)"
+_ROLE = {"Role": "CAST(l_linenumber AS INT)", "DateOfAppointment": "l_shipdate", "EndDateOfAppointment": "CASE WHEN l_partkey % 3 = 0 THEN l_shipdate + INTERVAL '1' YEAR END"}
+_MOVE = {"HistDate": "l_shipdate", "HistType": "CAST(l_linenumber AS INT)", "UserName": "'user' || CAST(l_partkey % 9 AS STRING)", "Comment": "'order ' || CAST(l_orderkey AS STRING)"}
+
+
+@query(
+    "case_officer_records",
+    f"""WITH centres AS (SELECT DISTINCT l_suppkey AS AdjudicatorId, {_CENTRE} AS OtherCentre FROM lineitem WHERE l_linenumber = 1),
+       roles AS (SELECT l_suppkey AS AdjudicatorId, {', '.join(f'{e} AS {c}' for c, e in _ROLE.items())} FROM lineitem WHERE l_linenumber > 5),
+       moves AS (SELECT l_suppkey AS AdjudicatorId, {', '.join(f'{e} AS {c}' for c, e in _MOVE.items())} FROM lineitem),
+       people AS (SELECT s_suppkey AS AdjudicatorId, s_name AS Surname FROM supplier),
+       {", ".join(_family_sql(n, "AdjudicatorId", *f, 20) for n, f in _OFFICER_FAMILIES.items())},
+       {_combined_sql(_OFFICER_FAMILIES, "AdjudicatorId", "people", ["Surname"], 20)}""",
+)
+def case_officer_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Officers with their other centres, appointments and history, twenty of each to a part."""
+    lines = table(spark, sf, "lineitem")
+    key = "l_suppkey AS AdjudicatorId"
+    centres = lines.filter("l_linenumber = 1").selectExpr(key, f"{_CENTRE} AS OtherCentre")
+    roles = lines.filter("l_linenumber > 5").selectExpr(key, *[f"{e} AS {c}" for c, e in _ROLE.items()])
+    moves = lines.selectExpr(key, *[f"{e} AS {c}" for c, e in _MOVE.items()])
+    people = table(spark, sf, "supplier").selectExpr("s_suppkey AS AdjudicatorId", "s_name AS Surname")
+    made = archive.combined_officers(people, centres, roles, moves, size=20)
+    return made.select("AdjudicatorId", "part", "Surname", *_shown(made, {n: f[1] for n, f in _OFFICER_FAMILIES.items()}))
+
+
 # ---------------------------------------------------------------- payloads
 
 JUDGE_STATES = ["caseUnderReview", "reasonsForAppealSubmitted", "prepareForHearing", "decided(b)"]
@@ -386,13 +482,14 @@ _ENTRY_SQL = """'{"id":"' || CaseNo || '","value":{"CaseType":"Asylum","CaseRefe
     f"""WITH c AS (SELECT {case_no('o_orderkey')} AS CaseNo, o_custkey AS LinkNo, o_orderkey,
                CASE WHEN o_orderkey % 26 <= 20 THEN 'CLRC005' WHEN o_orderkey % 26 = 21 THEN 'CLRC006' WHEN o_orderkey % 26 = 22 THEN 'CLRC008'
                     WHEN o_orderkey % 26 = 23 THEN 'CLRC010' ELSE 'CLRC014' END AS key FROM orders)
-        SELECT LinkNo, ascii(CaseNo) AS part, count(*) AS members, '[' || string_agg({_ENTRY_SQL}, ',' ORDER BY CaseNo) || ']' AS payload FROM c GROUP BY 1, 2""",
+        SELECT LinkNo, (rn - 1) // 5 AS part, count(*) AS members, '[' || string_agg({_ENTRY_SQL}, ',' ORDER BY CaseNo) || ']' AS payload
+        FROM (SELECT *, row_number() OVER (PARTITION BY LinkNo ORDER BY CaseNo) AS rn FROM c) GROUP BY 1, 2""",
 )
 def case_link_payloads(spark: SparkSession, sf: str) -> DataFrame:
-    """Entries of the cases of a group, in fragments by the first letter of the case number."""
+    """Entries of the cases of a group, five to a payload."""
     reason = projection.map_lookup((F.col("o_orderkey") % 26 + 2).cast("int"), REASON_KEYS)
     cases = table(spark, sf, "orders").select(F.expr(case_no("o_orderkey")).alias(KEY), F.col("o_custkey").alias("LinkNo"), reason.alias("key"))
-    made = links.payloads(cases.withColumn("entry", links.entry(F.col("key"), "Asylum")), "LinkNo", F.ascii(KEY))
+    made = links.payloads(cases.withColumn("entry", links.entry(F.col("key"), "Asylum")), "LinkNo", F.substring(KEY, 1, 9), 5)
     return made.withColumn("members", F.col("members").cast("long"))
 
 

@@ -279,13 +279,12 @@ def linked_peers(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "link_groups",
-    """SELECT CAST(s_nationkey AS BIGINT) AS s_nationkey, s_suppkey // 1000 AS part,
-              string_agg(s_suppkey || ':' || s_name, ';' ORDER BY s_suppkey) AS members
-       FROM supplier GROUP BY 1, 2""",
+    """SELECT CAST(s_nationkey AS BIGINT) AS s_nationkey, (rn - 1) // 3 AS part, string_agg(s_suppkey || ':' || s_name, ';' ORDER BY s_suppkey) AS members
+       FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS rn FROM supplier) GROUP BY 1, 2""",
 )
 def link_groups(spark: SparkSession, sf: str) -> DataFrame:
     member = F.concat_ws(":", F.col("s_suppkey").cast("string"), "s_name")
-    groups = linking.group_members(table(spark, sf, "supplier"), "s_nationkey", member, ["s_suppkey"], F.floor(F.col("s_suppkey") / 1000))
+    groups = linking.group_members(table(spark, sf, "supplier"), "s_nationkey", member, ["s_suppkey"], F.floor(F.col("s_suppkey") / 1000), size=3)
     return groups.select(
         F.col("s_nationkey").cast("long").alias("s_nationkey"), "part", F.array_join("members", ";").alias("members")
     )

@@ -57,15 +57,15 @@ PAGE_ROW = "<tr><td>{{line}}</td><td>{{flag}}</td><td>{{day}}</td></tr>"
 @query(
     "render_template",
     """SELECT o_orderkey, coalesce(part, 0) AS part,
-              CASE WHEN part IS NOT DISTINCT FROM min(part) OVER (PARTITION BY o_orderkey) THEN '<html><h1>Order ' || o_orderkey || '</h1><p class="day">' || strftime(o_orderdate, '%d/%m/%Y') || '</p><input type="checkbox" '
+              CASE WHEN coalesce(part, 0) = 0 THEN '<html><h1>Order ' || o_orderkey || '</h1><p class="day">' || strftime(o_orderdate, '%d/%m/%Y') || '</p><input type="checkbox" '
               || CASE WHEN o_orderstatus = 'O' THEN 'checked' ELSE '' END || '><p>&lt;' || o_orderpriority || '&gt; &amp; &quot;' || o_orderstatus
               || '&quot;</p><table>' ELSE '' END || coalesce(rows, '')
               || CASE WHEN part IS NOT DISTINCT FROM max(part) OVER (PARTITION BY o_orderkey) THEN '</table></html>' ELSE '' END AS page
        FROM orders LEFT JOIN (
-         SELECT l_orderkey, year(l_shipdate) AS part,
-                string_agg('<tr><td>' || l_linenumber || '</td><td>' || l_returnflag || '</td><td>' || strftime(l_shipdate, '%Y-%m-%d') || '</td></tr>', ''
-                           ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS rows
-         FROM lineitem GROUP BY 1, 2) ON l_orderkey = o_orderkey""",
+         SELECT l_orderkey, (rn - 1) // 4 AS part,
+                string_agg('<tr><td>' || l_linenumber || '</td><td>' || l_returnflag || '</td><td>' || strftime(l_shipdate, '%Y-%m-%d') || '</td></tr>', '' ORDER BY rn) AS rows
+         FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem)
+         GROUP BY 1, 2) ON l_orderkey = o_orderkey""",
 )
 def render_template(spark: SparkSession, sf: str) -> DataFrame:
     rows = documents.render_children(
@@ -75,8 +75,9 @@ def render_template(spark: SparkSession, sf: str) -> DataFrame:
         {"line": F.col("l_linenumber"), "flag": F.col("l_returnflag"), "day": F.date_format("l_shipdate", "yyyy-MM-dd")},
         "rows",
         LINE_ORDER,
-        F.year("l_shipdate"),
+        F.to_date("l_shipdate"),
         raw=["line", "day"],
+        size=4,
     )
     orders = table(spark, sf, "orders").join(rows, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     note = F.concat(F.lit("<"), "o_orderpriority", F.lit('> & "'), "o_orderstatus", F.lit('"'))
@@ -289,13 +290,13 @@ def parent_child(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "update_nested",
-    """SELECT l_orderkey, year(l_shipdate) AS part,
-              string_agg(lower(l_returnflag) || CASE WHEN l_linestatus = 'F' THEN 'closed' ELSE l_linestatus END, ','
-                         ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS lines
-       FROM lineitem GROUP BY 1, 2""",
+    """SELECT l_orderkey, (rn - 1) // 3 AS part,
+              string_agg(lower(l_returnflag) || CASE WHEN l_linestatus = 'F' THEN 'closed' ELSE l_linestatus END, ',' ORDER BY rn) AS lines
+       FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem)
+       GROUP BY 1, 2""",
 )
 def update_nested(spark: SparkSession, sf: str) -> DataFrame:
-    nested = aggregates.nest(table(spark, sf, "lineitem"), ["l_orderkey"], ["l_returnflag", "l_linestatus"], "lines", LINE_ORDER, F.year("l_shipdate"))
+    nested = aggregates.nest(table(spark, sf, "lineitem"), ["l_orderkey"], ["l_returnflag", "l_linestatus"], "lines", LINE_ORDER, F.to_date("l_shipdate"), 3)
     changed = arrays.update_each(
         F.col("lines"),
         {

@@ -83,15 +83,14 @@ def success_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "nest_children",
-    """SELECT l_orderkey, year(l_shipdate) AS part,
-              string_agg(l_linenumber || ':' || l_returnflag || ':' || l_partkey, ';'
-                         ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS children
-       FROM lineitem GROUP BY 1, 2""",
+    """SELECT l_orderkey, (rn - 1) // 4 AS part, string_agg(l_linenumber || ':' || l_returnflag || ':' || l_partkey, ';' ORDER BY rn) AS children
+       FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem)
+       GROUP BY 1, 2""",
 )
 def nest_children(spark: SparkSession, sf: str) -> DataFrame:
     df = aggregates.nest(
         table(spark, sf, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_returnflag", "l_partkey"], "lines", LINE_ORDER,
-        F.year("l_shipdate"),
+        F.to_date("l_shipdate"), 4,
     )
     child = F.transform(
         "lines", lambda c: F.concat_ws(":", c["l_linenumber"].cast("string"), c["l_returnflag"], c["l_partkey"].cast("string"))
@@ -101,8 +100,9 @@ def nest_children(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "nest_two_level",
-    """SELECT l_orderkey, l_suppkey // 100 AS part, string_agg(link, ';' ORDER BY l_suppkey) AS links
-       FROM (SELECT l_orderkey, l_suppkey, l_suppkey || '=' || string_agg(DISTINCT l_returnflag, '|' ORDER BY l_returnflag) AS link
+    """SELECT l_orderkey, (rn - 1) // 3 AS part, string_agg(link, ';' ORDER BY l_suppkey) AS links
+       FROM (SELECT l_orderkey, l_suppkey, l_suppkey || '=' || string_agg(DISTINCT l_returnflag, '|' ORDER BY l_returnflag) AS link,
+               row_number() OVER (PARTITION BY l_orderkey ORDER BY l_suppkey) AS rn
              FROM lineitem GROUP BY 1, 2)
        GROUP BY 1, 2""",
 )
@@ -114,17 +114,17 @@ def nest_two_level(spark: SparkSession, sf: str) -> DataFrame:
         .agg(F.array_join(F.sort_array(F.collect_set("l_returnflag")), "|").alias("reasons"))
     )
     link = F.concat_ws("=", F.col("l_suppkey").cast("string"), "reasons")
-    return aggregates.concat_agg(links, ["l_orderkey"], link, ";", "links", ["l_suppkey"], F.floor(F.col("l_suppkey") / 100))
+    return aggregates.concat_agg(links, ["l_orderkey"], link, ";", "links", ["l_suppkey"], F.floor(F.col("l_suppkey") / 1000), 3)
 
 
 @query(
     "concat_agg",
-    """SELECT conv_id, turn // 100 AS part, nullif(string_agg(text, chr(10) ORDER BY turn, role, text), '') AS body
-       FROM conversations GROUP BY 1, 2""",
+    """SELECT conv_id, (rn - 1) // 5 AS part, nullif(string_agg(text, chr(10) ORDER BY rn), '') AS body
+       FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS rn FROM conversations) GROUP BY 1, 2""",
 )
 def concat_agg(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations")
-    return aggregates.concat_agg(turns, ["conv_id"], F.col("text"), "\n", "body", ["turn", "role", "text"], F.floor(F.col("turn") / 100))
+    return aggregates.concat_agg(turns, ["conv_id"], F.col("text"), "\n", "body", ["turn", "role", "text"], F.floor(F.col("turn") / 100), 5)
 
 
 @query(

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from docketry.operators import aggregates, documents, linking, ranking, skew
+from docketry.operators import aggregates, combine, documents, linking, ranking, skew
 
 
 @pytest.fixture(scope="module")
@@ -42,15 +42,15 @@ def test_group_size_keeps_null_groups(skewed):
 
 
 def test_nest_fragments_hold_a_hot_key(skewed):
-    rows = aggregates.nest(skewed, ["k"], ["v"], "items", ["o"], F.floor(F.col("o") / 100)).collect()
-    assert max(len(r["items"]) for r in rows) <= 100
+    rows = aggregates.nest(skewed, ["k"], ["v"], "items", ["o"], F.floor(F.col("o") / 100), 64).collect()
+    assert max(len(r["items"]) for r in rows) == 64
     got = [i["v"] for r in sorted((r for r in rows if r["k"] == 0), key=lambda r: r["part"]) for i in r["items"]]
     assert got == [r["v"] for r in skewed.filter("k = 0").orderBy("o").collect()]
     assert sum(len(r["items"]) for r in rows) == 3000
 
 
 def test_concat_agg_fragments(skewed):
-    joined = aggregates.concat_agg(skewed, ["k"], F.col("v").cast("string"), ",", "t", ["o"], F.floor(F.col("o") / 500))
+    joined = aggregates.concat_agg(skewed, ["k"], F.col("v").cast("string"), ",", "t", ["o"], F.floor(F.col("o") / 500), 37)
     text = ",".join(r["t"] for r in joined.filter("k = 0").orderBy("part").collect())
     assert text == ",".join(str(r["v"]) for r in skewed.filter("k = 0").orderBy("o").collect())
 
@@ -58,7 +58,7 @@ def test_concat_agg_fragments(skewed):
 @pytest.mark.parametrize("width", [10, 5000])
 def test_fragments_join_to_one_page(spark, skewed, width):
     """A record's parts join to the same page whatever their number."""
-    rows = documents.render_children(skewed.filter("k IS NOT NULL"), ["k"], "<r>{{v}}</r>", {"v": F.col("v")}, "rows", ["o"], F.floor(F.col("o") / width))
+    rows = documents.render_children(skewed.filter("k IS NOT NULL"), ["k"], "<r>{{v}}</r>", {"v": F.col("v")}, "rows", ["o"], F.floor(F.col("o") / 300), size=width)
     records = spark.range(60).select(F.col("id").alias("r"))
     page = documents.fragment_page(F.concat(F.lit("<"), F.col("r").cast("string"), F.lit(">")), F.col("rows"), F.lit("</>"))
     parts = records.join(rows, F.col("r") == F.col("k"), "left").select("r", "part", page.alias("page"))
@@ -74,9 +74,22 @@ def test_fragments_join_to_one_page(spark, skewed, width):
 def test_chain_and_members_hold_a_hot_group(skewed):
     width = F.floor(F.col("o") / 100)
     assert linking.chain(skewed, "k", "v", ["o"], width).filter("k = 0").count() == 999
-    parts = linking.group_members(skewed, "k", F.col("v").cast("string"), ["o"], width)
+    parts = linking.group_members(skewed, "k", F.col("v").cast("string"), ["o"], width, size=90)
     assert parts.filter("k = 0").agg(F.sum(F.size("members"))).first()[0] == 1000
-    assert parts.agg(F.max(F.size("members"))).first()[0] <= 100
+    assert parts.agg(F.max(F.size("members"))).first()[0] == 90
+
+
+@pytest.mark.parametrize("times", [1, 10])
+def test_parts_stay_as_large_when_a_key_grows(spark, times):
+    """Ten times the rows of a key, most of them in one bucket, make ten times as many parts of the same size."""
+    rows = spark.range(700 * times).select(F.floor(F.col("id") % 7 / 5).alias("k"), F.least(F.col("id") % 50, F.lit(5)).alias("day"), "id").repartition(9)
+    parts = aggregates.nest(rows, ["k"], ["id"], "items", ["day", "id"], F.col("day"), 50).select("k", "part", F.size("items").alias("n"), "items").collect()
+    assert max(r["n"] for r in parts) == 50
+    for k, size in ((0, 500 * times), (1, 200 * times)):
+        own = sorted((r for r in parts if r["k"] == k), key=lambda r: r["part"])
+        assert [r["part"] for r in own] == list(range(size // 50)) and all(r["n"] == 50 for r in own)
+        ids = [i["id"] for r in own for i in r["items"]]
+        assert ids == sorted(ids, key=lambda i: (min(i % 50, 5), i)) and len(ids) == size
 
 
 def test_no_job_runs_while_plans_are_built(spark, skewed):
@@ -100,3 +113,45 @@ def test_latest_reduces_before_the_shuffle(skewed):
 def test_batch_sizes(skewed):
     sizes = [r["n"] for r in ranking.batch(skewed, ["o"], "floor(o / 100)", 250).groupBy("batch_id").agg(F.count("*").alias("n")).collect()]
     assert sizes == [250] * 12
+
+
+def _families(spark, times: int, n: int):
+    """Children of 40 records, a third of them of record 0, in ``n`` families; some of a record that is not there."""
+    rows = spark.range(300 * times).select(
+        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 11 == 1, 99).otherwise(F.col("id") % 40).cast("long").alias("k"),
+        (F.col("id") * 7919 % 30011).alias("o"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"),
+    ).repartition(6)
+    return [combine.Family(f"f{i}", rows.filter(F.col("o") % (i + 1) == 0), ["v", "o"], ["o"], F.floor(F.col("o") / 5000)) for i in range(n)]
+
+
+@pytest.mark.parametrize("times", [1, 10])
+def test_combined_records_hold_every_child_in_order(spark, times):
+    families = _families(spark, times, 3)
+    records = spark.range(41).select(F.col("id").alias("k"), F.concat(F.lit("r"), F.col("id").cast("string")).alias("title"))
+    rows = combine.combine(records, families, "k", 25).collect()
+    assert max(len(r[f.name]) for r in rows for f in families) == 25
+    titles = {(r["k"], r["part"]): r["title"] for r in rows}
+    assert len(titles) == len(rows) and all((v == f"r{k}") if p == 0 and k < 41 else v is None for (k, p), v in titles.items())
+    # Record 40 has no children, key 99 no record.
+    assert [(r["part"], r["f0"]) for r in rows if r["k"] == 40] == [(0, [])] and any(r["k"] == 99 for r in rows)
+    for f in families:
+        want = {}
+        for r in f.rows.orderBy("o", "v").collect():
+            want.setdefault(r["k"], []).append((r["v"], r["o"]))
+        got = {}
+        for r in sorted(rows, key=lambda r: r["part"]):
+            got.setdefault(r["k"], []).extend(tuple(c) for c in r[f.name])
+        assert {k: v for k, v in got.items() if v} == want
+
+
+def test_families_add_no_shuffle(spark):
+    """One aggregate by record and part, whether there are two families or nine."""
+    records = spark.range(41).select(F.col("id").alias("k"))
+    exchanges = [combine.combine(records, _families(spark, 1, n), "k", 25)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for n in (2, 9)]
+    assert exchanges[0] == exchanges[1]
+
+
+def test_record_json_leaves_out_what_is_empty(spark):
+    made = combine.combine(spark.range(41).withColumnRenamed("id", "k"), _families(spark, 1, 2), "k", 25)
+    shown = {(r["k"], r["part"]): r["j"] for r in made.select("k", "part", combine.record_json(made).alias("j")).collect()}
+    assert shown[(40, 0)] == '{"k":40}' and '"f0":[{"v":' in shown[(0, 0)]
