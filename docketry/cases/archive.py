@@ -294,8 +294,8 @@ def combined_cases(cases: DataFrame, tables: CaseTables, documents_received: Dat
     families = [
         combine.Family("statuses", tables.statuses, ["StatusId", "CaseStatus", "Outcome", "DecisionDate", "HearingCentre", "Party"], ["DateReceived", "StatusId"], days),
         combine.Family("hearings", tables.statuses.filter(F.col("HearingDate").isNotNull()), ["StatusId", "HearingDate", "ListTypeId", "TimeEstimate", "CourtName"], ["StatusId"], _numbered("StatusId", 10_000)),
-        combine.Family("transactions", tables.transactions, ["TransactionId", "TransactionTypeId", "Amount", "Status"], ["TransactionId"], _numbered("TransactionId", 10_000)),
-        combine.Family("judges", tables.judges, ["Judge_Surname", "Judge_Forenames", "Judge_Title", "Required"], ["Judge_Surname", "Judge_Forenames"], F.ascii("Judge_Surname")),
+        combine.Family("transactions", tables.transactions, ["TransactionId", "TransactionTypeId", "Amount", "Status"], ["TransactionId", "TransactionTypeId", "Amount", "Status"], _numbered("TransactionId", 10_000)),
+        combine.Family("judges", tables.judges, ["Judge_Surname", "Judge_Forenames", "Judge_Title", "Required"], ["Judge_Surname", "Judge_Forenames", "Judge_Title", "Required"], F.ascii("Judge_Surname")),
         combine.Family("categories", tables.categories.distinct(), ["CategoryId"], ["CategoryId"], F.col("CategoryId")),
         combine.Family("history", tables.history, ["HistoryId", "HistType", "Comment"], ["HistoryId"], _numbered("HistoryId", 10_000)),
         combine.Family("documents", documents_received, ["ReceivedDocumentId", "DateReceived"], ["DateReceived", "ReceivedDocumentId"], days),
@@ -308,7 +308,7 @@ def combined_officers(officers_: DataFrame, centres: DataFrame, roles: DataFrame
     """The combined record of each officer: other centres, appointments and history, newest last."""
     families = [
         combine.Family("OtherCentres", centres.distinct(), ["OtherCentre"], ["OtherCentre"], F.ascii("OtherCentre")),
-        combine.Family("Roles", roles, ["Role", "DateOfAppointment", "EndDateOfAppointment"], ["DateOfAppointment", "Role"], F.year("DateOfAppointment")),
-        combine.Family("History", history, ["HistDate", "HistType", "UserName", "Comment"], ["HistDate", "HistType"], F.datediff(F.to_date("HistDate"), F.lit("1970-01-01"))),
+        combine.Family("Roles", roles, ["Role", "DateOfAppointment", "EndDateOfAppointment"], ["DateOfAppointment", "Role", "EndDateOfAppointment"], F.year("DateOfAppointment")),
+        combine.Family("History", history, ["HistDate", "HistType", "UserName", "Comment"], ["HistDate", "HistType", "UserName", "Comment"], F.datediff(F.to_date("HistDate"), F.lit("1970-01-01"))),
     ]
     return combine.combine(officers_, families, key, size)
