@@ -26,11 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docketry.llm.common import annotate, col, struct_array
-from docketry.sources.scratch import materialise
+from docketry.llm.common import written as stored
+from docketry.sources.scratch import mark, release
 
 CONTEXT = 24
 RECALL = 0.98
 SAMPLE = 1500
+# Characters of a training row, context included, at most.
+LONGEST = 1000
 KINDS = ("assign", "access", "hex", "cnn")
 
 # Fixed patterns of the base findings.
@@ -209,22 +212,27 @@ class Judge:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.network.logit(text, start, end) + self.offset, -30, 30))))
 
 
-def generated(n: int, contexts: list[str], seed: int = 3) -> list[tuple[str, int, int, int]]:
-    """``n`` secrets and ``n`` harmless tokens of known formats, set between given contexts."""
+#: The formats of generated secrets, by name.
+FORMATS = ("base62", "hex", "base64", "access", "prefixed", "dotted", "pair", "assigned")
+
+
+def generated(n: int, contexts: list[str], seed: int = 3, formats: tuple[str, ...] = FORMATS) -> list[tuple[str, int, int, int]]:
+    """``n`` secrets of some formats and ``n`` harmless tokens, set between given contexts."""
     r = np.random.default_rng(seed)
     pick = lambda alphabet, lo, hi: "".join(r.choice(list(alphabet), int(r.integers(lo, hi + 1))))
     word = lambda: pick(string.ascii_lowercase, 3, 9)
     base62, hexes, base64 = string.ascii_letters + string.digits, "0123456789abcdef", string.ascii_letters + string.digits + "+/"
-    secrets = [
-        lambda: pick(base62, 20, 64),
-        lambda: pick(hexes, 24, 64),
-        lambda: pick(base64, 24, 88) + "=" * int(r.integers(0, 3)),
-        lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, 16, 16),
-        lambda: pick(string.ascii_lowercase, 2, 4) + "_" + pick(base62, 24, 40),
-        lambda: pick(base62, 12, 24) + "." + pick(base62, 12, 40) + "." + pick(base62, 12, 40),
-        lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, 16, 16) + str(r.choice(list("/=._-"))) + pick(base64, 40, 40),
-        lambda: str(r.choice(["password", "token", "secret", "api_key"])) + str(r.choice(["=", ": ", ' = "'])) + pick(base62, 8, 40),
-    ]
+    makers_of = {
+        "base62": lambda: pick(base62, 20, 64),
+        "hex": lambda: pick(hexes, 24, 64),
+        "base64": lambda: pick(base64, 24, 88) + "=" * int(r.integers(0, 3)),
+        "access": lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, 16, 16),
+        "prefixed": lambda: pick(string.ascii_lowercase, 2, 4) + "_" + pick(base62, 24, 40),
+        "dotted": lambda: pick(base62, 12, 24) + "." + pick(base62, 12, 40) + "." + pick(base62, 12, 40),
+        "pair": lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, 16, 16) + str(r.choice(list("/=._-"))) + pick(base64, 40, 40),
+        "assigned": lambda: str(r.choice(["password", "token", "secret", "api_key"])) + str(r.choice(["=", ": ", ' = "'])) + pick(base62, 8, 40),
+    }
+    secrets = [makers_of[f] for f in formats]
     harmless = [
         lambda: "-".join(word() for _ in range(int(r.integers(3, 6)))) + "-" + pick(string.digits, 1, 4),
         lambda: "/".join(word() for _ in range(int(r.integers(3, 6)))) + "/" + pick(string.digits, 1, 5) + ".html",
@@ -304,15 +312,17 @@ def _find(texts: list[bytes | None]) -> pa.StructArray:
     return struct_array(candidates=pa.array(rows, _CANDIDATE), plain=pa.array(plain, pa.string()))
 
 
-def train(found: DataFrame, key: Column, sample: int = SAMPLE) -> Judge:
+def train(found: DataFrame, key: Column, sample: int = SAMPLE, longest: int = LONGEST) -> Judge:
     """A judge from the base findings of ``found`` and generated ones; at most ``sample`` rows of either sort.
 
-    The rows are those with the smallest hash of ``key``, so the choice does not depend on partitions.
+    Base findings of more than ``longest`` characters with their context are no training rows, which bounds what the driver
+    gets to ``sample * longest``; they are found, judged and reported like all others. The rows are those with the smallest
+    hash of ``key``, then by place and text, so the choice depends neither on partitions nor on the order of repeated ids.
     """
     order = F.xxhash64(key)
     hits = found.select(order.alias("h"), F.explode("__found.candidates").alias("c")).filter("c.kind <> 'cnn'")
-    some = hits.select("h", "c.start", "c.end", "c.at", F.length("c.text").alias("n"), F.when(F.length("c.text") <= 1000, F.col("c.text")).alias("text")).filter("text IS NOT NULL")
-    positive = [(r["text"], r["start"] - r["at"], r["end"] - r["at"], 1) for r in some.orderBy("h", "start", "end").limit(sample).collect()]
+    some = hits.select("h", "c.start", "c.end", "c.at", F.length("c.text").alias("n"), F.col("c.text").alias("text")).filter(F.col("n") <= longest)
+    positive = [(r["text"], r["start"] - r["at"], r["end"] - r["at"], 1) for r in some.orderBy("h", "start", "end", "text").limit(sample).collect()]
     plain = [r["plain"] for r in found.select(order.alias("h"), "__found.plain").filter("size(__found.candidates) = 0 AND length(__found.plain) >= 40").orderBy("h", "plain").limit(sample).collect()]
     negative = []
     for text in plain[: sample // 2]:
@@ -325,7 +335,8 @@ def train(found: DataFrame, key: Column, sample: int = SAMPLE) -> Judge:
 
 
 def scan(
-    df: DataFrame, id_col: str, text_col: str, name: str = "secrets", carry: list[str] | None = None, sample: int = SAMPLE, redacted: bool = False
+    df: DataFrame, id_col: str, text_col: str, name: str = "secrets", carry: list[str] | None = None, sample: int = SAMPLE, redacted: bool = False,
+    longest: int = LONGEST,
 ) -> DataFrame:
     """``df`` (or its ``carry`` columns) with a struct ``name``: ``base`` and ``spans``, arrays of kind, start, end.
 
@@ -333,14 +344,17 @@ def scan(
     by marks; it is null where there is nothing to replace.
 
     Positions are code points of the text, the end exclusive; spans are ordered by start, then kind. A null or
-    empty text has none. ``id_col`` only chooses training rows. Repeated rows stay; an empty table gives an empty
-    result; a column called ``name`` gives way.
+    empty text has none. ``id_col`` only chooses training rows, of at most ``longest`` characters. Repeated rows stay and are
+    judged alike; spans that start together come in the order of ``KINDS``. Texts and candidates of any length are taken
+    whole. An empty table gives an empty result; a column called ``name`` gives way.
     """
+    begun = mark()
     kept = [c for c in (df.columns if carry is None else carry) if c.lower() != name.lower()]
     text = [] if text_col in kept else [col(text_col)]
     source = df.select(*[col(c) for c in kept], *text, col(id_col).alias("__key"))
-    found = materialise(annotate(source, [text_col], "__found", FOUND, lambda: _find, [*kept, "__key"]), "secrets")
-    shared = df.sparkSession.sparkContext.broadcast(train(found, F.col("__key").cast("string"), sample))
+    found, path = stored(annotate(source, [text_col], "__found", FOUND, lambda: _find, [*kept, "__key"]), "secrets")
+    release(df.sparkSession, begun, keep=[path])
+    shared = df.sparkSession.sparkContext.broadcast(train(found, F.col("__key").cast("string"), sample, longest))
     spans = T.ArrayType(SPAN)
 
     def start():

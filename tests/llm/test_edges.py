@@ -466,3 +466,31 @@ def test_assignment_consumes_failures():
     assert secrets.base_spans("AKIA" + "A" * 15 + " AKIA" + "B" * 16) == [("access", 20, 40)]
     # Only ASCII letters count as either case.
     assert secrets.base_spans("paſſword=abcdef") == []
+
+
+@pytest.mark.parametrize("left_out", ["base62", "base64", "prefixed", "dotted", "pair"])
+def test_recall_on_a_format_left_out_of_training(left_out):
+    """The threshold decides these formats; none of their tokens was seen in training."""
+    judge = secrets.judge(secrets.generated(1500, [], formats=tuple(f for f in secrets.FORMATS if f != left_out)))
+    unseen = [f for f in secrets.generated(300, [], seed=79, formats=(left_out,)) if secrets.decided(*f[:3])]
+    found = [judge.score(*f[:3]) >= judge.threshold for f in unseen if f[3]]
+    false = [judge.score(*f[:3]) >= judge.threshold for f in unseen if not f[3]]
+    assert len(found) > 250 and sum(found) >= 0.9 * len(found)
+    assert len(false) > 200 and sum(false) <= 0.02 * len(false)
+
+
+def test_training_rows_do_not_depend_on_their_order(spark):
+    """Repeated ids with different texts, and findings beyond ``longest``, in two partitionings."""
+    rows = [(i % 7, f"{'w ' * i} token = abcdef{i:06d} and AKIAQCN5VJTUYMSSX{i:03d}") for i in range(60)] + [(3, "token = " + "x" * 5000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    judges, real = [], secrets.judge
+    for parts in (1, 7):
+        found = secrets.annotate(frame.repartition(parts), ["text"], "__found", secrets.FOUND, lambda: secrets._find, ["doc_id"])
+        seen = []
+        secrets.judge = lambda findings: seen.extend(findings)
+        try:
+            secrets.train(found, F.col("doc_id").cast("string"), 40)
+        finally:
+            secrets.judge = real
+        judges.append(seen)
+    assert judges[0] == judges[1] and max(len(t) for t, *_ in judges[0]) <= secrets.LONGEST
