@@ -138,6 +138,34 @@ def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
 
 
+# Size of the quantile sketches of rates: the rank of an answer is off by half a per cent at most, in 99 of 100 cases.
+SKETCH, RANK_ERROR = 800, 0.005
+
+
+def rate_sketches(df: DataFrame, ts: str, width: str, keys: Sequence[str] = ()) -> DataFrame:
+    """A quantile sketch of the number of rows per time window, for each day and key, with the number of windows.
+
+    A day's sketch is a few kilobytes whatever the traffic, and can be kept: ``merged_rates`` adds up the sketches of any days
+    without their rows. Rows without a time are in no window.
+    """
+    counts = df.filter(F.col(ts).isNotNull()).groupBy(F.window(ts, width).alias("_window"), *keys).agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(F.to_date("_window.start").alias("day"), *keys).agg(
+        F.count(F.lit(1)).alias("windows"), F.sum("n").alias("rows"), F.max("n").alias("peak_rate"), F.kll_sketch_agg_bigint("n", SKETCH).alias("sketch")
+    )
+
+
+def merged_rates(sketches: DataFrame, keys: Sequence[str] = (), ranks: Mapping[str, float] | None = None) -> DataFrame:
+    """Windows, mean, peak and quantiles (``ranks`` by name) over the days of ``sketches``; ranks hold within ``RANK_ERROR``."""
+    merged = sketches.groupBy(*keys).agg(
+        F.sum("windows").alias("windows"),
+        F.round(F.sum("rows") / F.sum("windows"), 4).alias("mean_rate"),
+        F.max("peak_rate").alias("peak_rate"),
+        F.kll_merge_agg_bigint("sketch").alias("_sketch"),
+    )
+    wanted = {"median_rate": 0.5} if ranks is None else ranks
+    return merged.select(*keys, "windows", "mean_rate", "peak_rate", *[F.kll_sketch_get_quantile_bigint("_sketch", F.lit(r)).alias(n) for n, r in wanted.items()])
+
+
 def rate_per_window(df: DataFrame, ts: str, width: str, keys: Sequence[str] = ()) -> DataFrame:
     """Mean and exact median of the number of rows per time window."""
     counts = df.groupBy(F.window(ts, width), *keys).agg(F.count(F.lit(1)).alias("n"))

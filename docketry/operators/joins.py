@@ -57,6 +57,28 @@ def join_any(base: DataFrame, lookup: DataFrame, shared: Column, either: Sequenc
     return base.join(lookup, shared & reduce(lambda a, b: a | b, either), "left")
 
 
+def match_any(left: DataFrame, right: DataFrame, either: Sequence[tuple[Column, Column]], how: str = "inner") -> DataFrame:
+    """Pairs for which any of the equalities ``either`` holds, each pair once, on two sides of any size.
+
+    An OR of equalities has no key to shuffle by, so as one join it is a nested loop. Here each equality is a join of its own,
+    and a pair is left to the first of them that holds: the later ones exclude it as they meet it, so nothing needs to be
+    made distinct afterwards. ``how`` is ``inner`` or ``left``, which adds the rows of ``left`` without a partner. Columns
+    of the two sides have different names. A NULL equals nothing.
+    """
+    def pairs() -> list[DataFrame]:
+        out = []
+        for i, (a, b) in enumerate(either):
+            earlier = [F.coalesce(x == y, F.lit(False)) for x, y in either[:i]]
+            out.append(left.join(right, reduce(lambda c, e: c & ~e, earlier, a == b)))
+        return out
+
+    found = pairs()
+    if how == "left":
+        alone = reduce(lambda df, e: df.join(right.select(e[1].alias("_other")).distinct(), e[0] == F.col("_other"), "left_anti"), either, left)
+        found.append(alone.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]))
+    return reduce(lambda x, y: x.unionByName(y), found)
+
+
 def attach_list(df: DataFrame, lookup: DataFrame, name: str, *fields: str) -> DataFrame:
     """A whole lookup as a constant array column, sorted by its fields; for lookups that are to stand in every row.
 

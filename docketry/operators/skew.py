@@ -63,6 +63,45 @@ def in_parts(df: DataFrame, keys: Sequence[str], order: Order, coarse: Column |
     return ranked.select(*[F.col(c) for c in df.columns if c != name], F.floor((F.col("_rn") - 1) / size).cast("long").alias(name))
 
 
+# A value with over one in so many of the rows is joined without a shuffle; there are at most so many of those.
+HEAVY = 1000
+
+
+def join_unique(rows: DataFrame, on: str, keyed: DataFrame, key: str, total: int) -> DataFrame:
+    """Left join of ``rows`` (``total`` of them) with ``keyed``, which has one row per ``key``, by ``on`` = ``key``.
+
+    The partners of the at most ``HEAVY`` values with over one in ``HEAVY`` of the rows go to every task, so rows of a hot value
+    stay where they are; all others are joined by shuffle, where no value has more than that share.
+    """
+    common = rows.groupBy(F.col(on).alias("_value")).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") * HEAVY > total) & F.col("_value").isNotNull()).select("_value")
+    hot = F.broadcast(keyed.join(F.broadcast(common), F.col(key) == F.col("_value"), "left_semi"))
+    there = rows.join(hot, F.col(on) == F.col(key))
+    # Rows without a value meet no partner and need no shuffle either.
+    nowhere = rows.filter(F.col(on).isNull()).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in keyed.schema.fields])
+    rest = rows.filter(F.col(on).isNotNull()).join(hot.select(F.col(key).alias("_hot")), F.col(on) == F.col("_hot"), "left_anti")
+    return there.unionByName(rest.join(keyed, F.col(on) == F.col(key), "left")).unionByName(nowhere)
+
+
+def carry_forward(df: DataFrame, keys: Sequence[str], order: Order, coarse: Column | str, columns: Sequence[str]) -> DataFrame:
+    """NULLs of ``columns`` filled with the last value before them in their key, without a key in one task.
+
+    Rows are filled inside their bucket first. The last values of a bucket seed the ones after it: they are known from one
+    aggregate, and only a row per bucket is carried along a key. ``order`` and ``coarse`` as for ``rank_within``.
+    """
+    marked = df.withColumn("_coarse", F.expr(coarse) if isinstance(coarse, str) else coarse)
+    place = F.struct(*_columns(order))
+    ends = marked.groupBy(*keys, "_coarse").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_end_{c}") for c in columns])
+    along = Window.partitionBy(*keys).orderBy(F.col("_coarse").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    seeds = ends.select(*keys, "_coarse", *[F.last(f"_end_{c}", ignorenulls=True).over(along).alias(f"_seed_{c}") for c in columns])
+    inside = Window.partitionBy(*keys, "_coarse").orderBy(*_columns(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = marked.withColumns({f"_own_{c}": F.last(c, ignorenulls=True).over(inside) for c in columns})
+    same = F.lit(True)
+    for k in [*keys, "_coarse"]:
+        same = same & F.col(f"p.{k}").eqNullSafe(F.col(f"s.{k}"))
+    joined = filled.alias("p").join(seeds.alias("s"), same, "left")
+    return joined.select(*[F.coalesce(F.col(f"p._own_{c}"), F.col(f"s._seed_{c}")).alias(c) if c in columns else F.col(f"p.{c}") for c in df.columns])
+
+
 def group_size(df: DataFrame, keys: Sequence[str], coarse: Column | str, name: str = "n") -> DataFrame:
     """Rows per key attached to each row, joined by key and bucket, so that a hot key stays spread.
 

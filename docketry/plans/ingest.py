@@ -135,6 +135,69 @@ def publish_report(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.publish(out, send, "file_name", "body").withColumn("attempts", F.col("attempts").cast("long"))
 
 
+@query(
+    "publish_window",
+    """SELECT 'customer_' || o_custkey AS file_name, CASE WHEN o_orderkey % 13 = 0 THEN 'failed' ELSE 'success' END AS status,
+              CASE WHEN o_orderkey % 13 = 0 THEN 'not deliverable' END AS error_message,
+              CASE WHEN o_orderkey % 13 = 0 THEN 3 WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END::BIGINT AS attempts
+       FROM orders""",
+)
+def publish_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as messages by customer, through a producer that refuses some once and some for good."""
+
+    def connect():
+        class Producer:
+            """A stand-in for a broker client: takes messages, and settles them a poll later."""
+
+            def __init__(self):
+                self.waiting, self.seen = [], set()
+
+            def send(self, key, body, done):
+                self.waiting.append((body, done))
+
+            def poll(self, seconds):
+                for body, done in self.waiting[:64]:
+                    number = int(body)
+                    first = body not in self.seen
+                    self.seen.add(body)
+                    done("not deliverable" if number % 13 == 0 else "try again" if number % 7 == 0 and first else None)
+                del self.waiting[:64]
+
+        return Producer()
+
+    out = table(spark, sf, "orders").select(
+        F.concat(F.lit("customer_"), F.col("o_custkey").cast("string")).alias("file_name"), F.col("o_orderkey").cast("string").alias("body"), "o_orderkey"
+    )
+    report = sinks.publish_window(out, connect, "file_name", "body", ["o_orderkey"], window=256, attempts=3, delay=0.001)
+    return report.withColumn("attempts", F.col("attempts").cast("long"))
+
+
+@query(
+    "stream_rescue",
+    """SELECT event_id, event_type, CASE WHEN event_id % 5 = 0 THEN '{"extra":"x' || event_id || '"}' END AS unknown, NULL AS reason FROM events WHERE event_id % 7 <> 0 AND event_id % 11 <> 3
+       UNION ALL SELECT NULL, NULL, NULL, CASE WHEN event_id % 7 = 0 THEN 'no JSON object' ELSE 'a field has another type' END FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 3""",
+)
+def stream_rescue(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as JSON lines, some cut short, some with a text for a number, some with a field more; in two landings."""
+    landing = scratch_path(spark, "rescue-landing")
+    out, checkpoint = feeds.scratch_paths(spark, "rescue")
+    number = F.when(F.col("event_id") % 11 == 3, F.lit("many")).otherwise(F.col("event_id").cast("string"))
+    quoted = F.when(F.col("event_id") % 11 == 3, F.concat(F.lit('"'), number, F.lit('"'))).otherwise(number)
+    more = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit(',"extra":"x'), F.col("event_id").cast("string"), F.lit('"'))).otherwise("")
+    line = F.concat(F.lit('{"event_id":'), quoted, F.lit(',"event_type":"'), "event_type", F.lit('"'), more, F.when(F.col("event_id") % 7 != 0, "}").otherwise(""))
+    events = table(spark, sf, "events").select("event_id", line.alias("value"))
+    for half in range(2):
+        events.filter(F.col("event_id") % 2 == half).select("value").write.mode("append").text(landing)
+        stream = feeds.rescued(feeds.stream_lines(spark, landing), "value", "event_id long, event_type string")
+        feeds.split_bad(stream, f"{out}/good", f"{out}/bad", checkpoint)
+    good = spark.read.schema("source_file string, event_id long, event_type string, _unknown string").parquet(f"{out}/good")
+    bad = spark.read.schema("source_file string, _bad string, _reason string").parquet(f"{out}/bad")
+    nothing = F.lit(None)
+    return good.select("event_id", "event_type", F.col("_unknown").alias("unknown"), nothing.cast("string").alias("reason")).unionByName(
+        bad.select(nothing.cast("long").alias("event_id"), nothing.cast("string").alias("event_type"), nothing.cast("string").alias("unknown"), F.col("_reason").alias("reason"))
+    )
+
+
 @query(
     "document_sink",
     """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders""",

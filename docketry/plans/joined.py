@@ -167,6 +167,23 @@ def join_or_lookup(spark: SparkSession, sf: str) -> DataFrame:
     ).select("o_orderkey", "o_orderstatus", "o_orderpriority", "label")
 
 
+@query(
+    "join_or_large",
+    """SELECT c_custkey, s_suppkey FROM customer LEFT JOIN supplier
+         ON (c_nationkey % 7 = 3 AND c_nationkey = s_nationkey) OR CAST(floor(c_acctbal / 50) AS BIGINT) = CAST(floor(s_acctbal / 50) AS BIGINT)
+            OR (c_custkey % 11 = 0 AND c_custkey % 97 = s_suppkey)""",
+)
+def join_or_large(spark: SparkSession, sf: str) -> DataFrame:
+    """Three alternatives, none of them with a key in common, on two sides that both grow."""
+    customers = table(spark, sf, "customer").select(
+        "c_custkey", F.when(F.col("c_nationkey") % 7 == 3, F.col("c_nationkey")).alias("_nation"), F.floor(F.col("c_acctbal") / 50).alias("_band"),
+        F.when(F.col("c_custkey") % 11 == 0, F.col("c_custkey") % 97).alias("_chosen"),
+    )
+    suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey", F.floor(F.col("s_acctbal") / 50).alias("s_band"))
+    either = [(F.col("_nation"), F.col("s_nationkey")), (F.col("_band"), F.col("s_band")), (F.col("_chosen"), F.col("s_suppkey"))]
+    return joins.match_any(customers, suppliers, either, "left").select("c_custkey", "s_suppkey")
+
+
 @query(
     "null_safe_join",
     """WITH rules(priority, label) AS (VALUES ('1-URGENT', 'urgent'), (NULL, 'unset')),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry.functions import arrays, dates, text
-from docketry.operators import aggregates, documents, joins, ranking
+from docketry.operators import aggregates, chains, documents, joins, ranking
 from docketry.operators.projection import map_lookup
 from docketry.plans.joined import ALLOWED_PAIRS, LINE_ORDER, ORDER_RANGE
 from docketry.plans.registry import query
@@ -288,6 +288,23 @@ def parent_child(spark: SparkSession, sf: str) -> DataFrame:
     return linked.select("o_orderkey", "parent_o_orderstatus", "parent_o_orderpriority")
 
 
+_ADJOURNED = "CASE WHEN o_orderkey % 50 = 7 THEN o_orderkey + 1 WHEN o_orderkey % 50 = 8 THEN o_orderkey - 1 WHEN o_orderkey % 3 = 0 THEN 11 WHEN o_orderkey BETWEEN 600 AND 900 THEN o_orderkey - 3 WHEN o_orderkey % 10 <> 0 THEN o_orderkey - 1 END"
+
+
+@query(
+    "parent_chains",
+    f"""WITH RECURSIVE t AS (SELECT o_orderkey, o_orderstatus, {_ADJOURNED} AS parent FROM orders),
+         r AS (SELECT o_orderkey, o_orderkey AS root, CAST(0 AS BIGINT) AS depth FROM t WHERE parent IS NULL OR parent NOT IN (SELECT o_orderkey FROM t)
+               UNION ALL SELECT t.o_orderkey, r.root, r.depth + 1 FROM t JOIN r ON t.parent = r.o_orderkey)
+       SELECT t.o_orderkey, r.depth, r.root IS NULL AS in_loop, x.o_orderstatus AS root_o_orderstatus
+       FROM t LEFT JOIN r ON r.o_orderkey = t.o_orderkey LEFT JOIN orders x ON x.o_orderkey = r.root""",
+)
+def parent_chains(spark: SparkSession, sf: str) -> DataFrame:
+    """Adjournments of adjournments: the fields of the first one, the depth, and the loops; a third of the rows have one parent."""
+    df = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.expr(_ADJOURNED).alias("parent"))
+    return chains.with_root(df, "o_orderkey", "parent", ["o_orderstatus"]).select("o_orderkey", "depth", "in_loop", "root_o_orderstatus")
+
+
 @query(
     "update_nested",
     """SELECT l_orderkey, (rn - 1) // 3 AS part,

@@ -221,6 +221,28 @@ def rate_per_minute(spark: SparkSession, sf: str) -> DataFrame:
     return aggregates.rate_per_window(table(spark, sf, "events"), "ts", "1 hour", ["event_type"])
 
 
+_RATES = "(SELECT event_type, date_trunc('hour', ts) AS h, count(*) AS n FROM events GROUP BY 1, 2)"
+
+
+@query(
+    "rate_sketch",
+    f"""SELECT event_type, count(*) AS windows, round(avg(n), 4) AS mean_rate, max(n) AS peak_rate, true AS median_holds, true AS p90_holds
+        FROM {_RATES} GROUP BY 1""",
+)
+def rate_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles merged from daily sketches, held against the exact ranks of the same counts."""
+    events = table(spark, sf, "events")
+    merged = aggregates.merged_rates(aggregates.rate_sketches(events, "ts", "1 hour", ["event_type"]), ["event_type"], {"median": 0.5, "p90": 0.9})
+    counts = events.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    held = counts.join(merged, "event_type").groupBy("event_type", "windows", "mean_rate", "peak_rate").agg(
+        *[F.avg((F.col("n") < F.col(c)).cast("double")).alias(f"{c}_below") for c in ("median", "p90")],
+        *[F.avg((F.col("n") <= F.col(c)).cast("double")).alias(f"{c}_upto") for c in ("median", "p90")],
+    )
+    error = aggregates.RANK_ERROR
+    holds = lambda c, r: (F.col(f"{c}_below") <= r + error) & (F.col(f"{c}_upto") >= r - error)
+    return held.select("event_type", "windows", "mean_rate", "peak_rate", holds("median", 0.5).alias("median_holds"), holds("p90", 0.9).alias("p90_holds"))
+
+
 @query(
     "stage_matrix",
     """SELECT event_type, CAST(count(*) AS BIGINT) AS row_count, count(DISTINCT user_id) AS distinct_keys,

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import reduce
+import time
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import partial, reduce
+from itertools import islice
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -54,6 +57,107 @@ def publish(
     return materialise(picked.mapInPandas(run, REPORT_SCHEMA), "report")
 
 
+class Delivery:
+    """Messages of one task on their way: at most ``window`` of them held, sent in order per key, each until it is settled.
+
+    ``producer.send(key, body, done)`` takes a message and calls ``done(error)`` later, from ``producer.poll(seconds)``, with
+    None when it was delivered; it raises ``BufferError`` when its buffer is full. A refused or undelivered message is tried
+    again after a pause that doubles each time; the next message of its key waits for it. ``clock`` and ``pause`` stand in
+    for time in tests.
+    """
+
+    def __init__(self, producer, window: int, attempts: int, delay: float, clock=time.monotonic, pause=time.sleep):
+        self.producer, self.window, self.attempts, self.delay = producer, window, attempts, delay
+        self.clock, self.pause = clock, pause
+        self.queues: dict[str | None, deque] = {}
+        self.held, self.most, self.settled = 0, 0, []
+
+    def run(self, messages: Iterable[tuple[str | None, str | None]]) -> Iterator[tuple]:
+        """A report row per message: key, status, error, attempts."""
+        source, more = iter(messages), True
+        while more or self.held:
+            while more and self.held < self.window:
+                message = next(source, None)
+                more = message is not None
+                if more:
+                    # Not before, of when it may be tried, whether it is out, attempts, last error.
+                    self.queues.setdefault(message[0], deque()).append({"key": message[0], "body": message[1], "at": 0.0, "out": False, "used": 0, "error": None})
+                    self.held += 1
+                    self.most = max(self.most, self.held)
+            self._send()
+            self.producer.poll(self.delay)
+            yield from self.settled
+            self.settled = []
+
+    def _send(self) -> None:
+        """Offer the first message of every key that is not out and whose pause is over; stop at a full buffer."""
+        now, soonest, busy = self.clock(), None, False
+        for key in list(self.queues):
+            first = self.queues[key][0]
+            if first["out"]:
+                busy = True
+            elif first["at"] > now:
+                soonest = first["at"] if soonest is None else min(soonest, first["at"])
+            else:
+                first["out"], first["used"] = True, first["used"] + 1
+                try:
+                    self.producer.send(first["key"], first["body"], partial(self._done, first))
+                    busy = True
+                except BufferError as full:
+                    self._again(first, str(full))
+                    return
+                except Exception as refused:
+                    first["used"] = self.attempts
+                    self._done(first, refused)
+        if soonest is not None and not busy:
+            # Nothing is out, so nothing will come back before the first pause is over.
+            self.pause(max(0.0, soonest - now))
+
+    def _again(self, message: dict, error: str) -> None:
+        message.update(out=False, error=error)
+        if message["used"] >= self.attempts:
+            self._settle(message, "failed")
+        else:
+            message["at"] = self.clock() + self.delay * 2 ** (message["used"] - 1)
+
+    def _done(self, message: dict, error) -> None:
+        if error is None:
+            message["error"] = None
+            self._settle(message, "success")
+        else:
+            self._again(message, str(error))
+
+    def _settle(self, message: dict, status: str) -> None:
+        queue = self.queues[message["key"]]
+        queue.popleft()
+        if not queue:
+            del self.queues[message["key"]]
+        self.held -= 1
+        self.settled.append((message["key"], status, message["error"], message["used"]))
+
+
+def publish_window(
+    df: DataFrame, connect: Callable[[], object], key: str, body: str, order: Sequence[str] = (), window: int = 1000, attempts: int = 5, delay: float = 0.05
+) -> DataFrame:
+    """Send every row through a producer with delivery callbacks and return one report row per record.
+
+    ``connect()`` makes the producer of a task (see ``Delivery``). Rows of a key go to one task and out in ``order``, one after
+    the other; different keys are in flight together, ``window`` at most, which bounds the memory of a task. Sending must be
+    idempotent by key and body, as Spark may run a task twice. The report is written here, so reading it sends nothing.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = ((k, b) for batch in batches for k, b in zip(batch["_key"], batch["_body"]))
+        columns = ["file_name", "status", "error_message", "attempts"]
+        reported = Delivery(connect(), window, attempts, delay).run(rows)
+        while part := list(islice(reported, 10_000)):
+            yield pd.DataFrame(part, columns=columns)
+
+    sent = df.select(F.col(key).cast("string").alias("_key"), F.col(body).cast("string").alias("_body"), *[F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)])
+    dealt = sent.repartition("_key").sortWithinPartitions("_key", *[f"_order_{i}" for i in range(len(order))])
+    return materialise(dealt.select("_key", "_body").mapInPandas(run, REPORT_SCHEMA), "report")
+
+
 def write_documents(df: DataFrame, path: str, folder: str, body: str) -> None:
     """One text line per document, in one folder per ``folder`` value, through Spark's committer.
 

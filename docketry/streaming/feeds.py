@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from docketry.sources.files import table
@@ -38,6 +39,51 @@ def kafka_json(raw: DataFrame, schema) -> DataFrame:
     return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("_m")).select("_m.*")
 
 
+def rescued(raw: DataFrame, value: str, schema: str) -> DataFrame:
+    """Parse the JSON objects in ``value`` and keep what does not fit; all other columns stay.
+
+    The fields of ``schema`` come with three columns: ``_unknown``, the fields that are not in it, as JSON; ``_bad``, the text
+    as it came where it is no JSON object or a field has another type; and ``_reason``. A bad row has no fields, so nothing
+    half-read goes on. A NULL value is bad too.
+    """
+    text = F.col(value).cast("string")
+    wanted = T.StructType.fromDDL(schema)
+    read = T.StructType([*wanted.fields, T.StructField("_corrupt", T.StringType())])
+    named = F.array(*[F.lit(f.name) for f in wanted.fields])
+    kept = [c for c in raw.columns if c != value]
+    parsed = raw.select(
+        *kept, text.alias("_text"), F.from_json(text, read, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("_m"), F.json_object_keys(text).alias("_keys")
+    )
+    reason = F.when(F.col("_text").isNull(), "no value").when(F.col("_keys").isNull(), "no JSON object").when(F.col("_m._corrupt").isNotNull(), "a field has another type")
+    every = F.from_json("_text", "map<string,string>")
+    unknown = F.when(F.size(F.array_except("_keys", named)) > 0, F.to_json(F.map_filter(every, lambda k, _: ~F.array_contains(named, k))))
+    marked = parsed.withColumn("_reason", reason)
+    good = F.col("_reason").isNull()
+    return marked.select(
+        *kept,
+        *[F.when(good, F.col(f"_m.{f.name}")).alias(f.name) for f in wanted.fields],
+        F.when(good, unknown).alias("_unknown"),
+        F.when(~good, F.coalesce("_text", F.lit(""))).alias("_bad"),
+        "_reason",
+    )
+
+
+def stream_lines(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """The lines of the files landing in a folder as ``value``, with the file they came from; empty lines are not messages."""
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", True).text(path)
+    return lines.select("value", F.col("_metadata.file_name").alias("source_file")).filter(F.trim("value") != "")
+
+
+def split_bad(stream: DataFrame, good: str, bad: str, checkpoint: str) -> None:
+    """Append the rows of ``rescued`` to two tables: what was read, and what was not, with its text and the reason.
+
+    Each sink has its own checkpoint, so one that falls behind or is run again neither loses nor repeats rows of the other.
+    """
+    append_stream(stream.filter("_reason IS NULL").drop("_bad", "_reason"), good, f"{checkpoint}/good")
+    others = [c for c in ("source_file", "topic", "partition", "offset", "timestamp") if c in stream.columns]
+    append_stream(stream.filter("_reason IS NOT NULL").select(*others, "_bad", "_reason"), bad, f"{checkpoint}/bad")
+
+
 def run_to_end(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception() is not None:

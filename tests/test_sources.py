@@ -158,3 +158,106 @@ def test_release_keeps_what_is_named_and_older(spark):
     assert release(spark, since=start, keep=named) == 1
     assert older.count() == 2 and kept.count() == 3
     assert len(_written) == start + 1 and gone.columns == ["id"]
+
+
+# ---- rescue of bad messages --------------------------------------------------------------------------------
+
+
+def test_rescued_keeps_what_does_not_fit(spark):
+    texts = ['{"a":1,"b":"x"}', '{"a":"one","b":"x"}', '{"a":1', "[1]", "7", "", None, '{"a":2,"c":{"d":[1]},"e":null}', "{}", '{"a":null}']
+    raw = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "offset int, value string")
+    got = {r["offset"]: r for r in feeds.rescued(raw, "value", "a long, b string").collect()}
+    assert (got[0]["a"], got[0]["b"], got[0]["_bad"], got[0]["_unknown"]) == (1, "x", None, None)
+    assert (got[1]["a"], got[1]["b"], got[1]["_bad"], got[1]["_reason"]) == (None, None, texts[1], "a field has another type")
+    for i in (2, 3, 4, 5):
+        assert (got[i]["a"], got[i]["_bad"], got[i]["_reason"]) == (None, texts[i], "no JSON object"), i
+    assert (got[6]["_bad"], got[6]["_reason"]) == ("", "no value")
+    assert got[7]["a"] == 2 and json.loads(got[7]["_unknown"]) == {"c": '{"d":[1]}', "e": None}
+    assert all(got[i]["_bad"] is None and got[i]["_unknown"] is None for i in (8, 9))
+    assert sum(r["_reason"] is None for r in got.values()) + sum(r["_reason"] is not None for r in got.values()) == len(texts)
+
+
+def test_bad_messages_over_a_restart(spark, tmp_path):
+    """Rows in are rows read plus rows quarantined, also when one sink has stopped behind the other and runs again."""
+    landing, out = tmp_path / "in", tmp_path / "out"
+    landing.mkdir()
+    (landing / "1.json").write_text('{"a":1}\n{"a":\n\n{"a":2,"z":3}\n')
+    stream = lambda: feeds.rescued(feeds.stream_lines(spark, str(landing)), "value", "a long")
+    # Only the first sink has run when the job stops.
+    feeds.append_stream(stream().filter("_reason IS NULL").drop("_bad", "_reason"), f"{out}/good", f"{out}/cp/good")
+    (landing / "2.json").write_text('nonsense\n{"a":4}\n')
+    for _ in range(2):
+        feeds.split_bad(stream(), f"{out}/good", f"{out}/bad", f"{out}/cp")
+    good = spark.read.schema("source_file string, a long, _unknown string").parquet(f"{out}/good").collect()
+    bad = spark.read.schema("source_file string, _bad string, _reason string").parquet(f"{out}/bad").collect()
+    assert sorted((r["source_file"], r["a"], r["_unknown"]) for r in good) == [("1.json", 1, None), ("1.json", 2, '{"z":"3"}'), ("2.json", 4, None)]
+    assert sorted((r["source_file"], r["_bad"]) for r in bad) == [("1.json", '{"a":'), ("2.json", "nonsense")]
+
+
+# ---- publisher with a window -------------------------------------------------------------------------------
+
+
+class Broker:
+    """Holds ``room`` messages; settles them some polls later and out of order, and fails what it is told to."""
+
+    def __init__(self, room, fails=()):
+        self.room, self.fails = room, dict(fails)
+        self.buffer, self.log, self.most, self.refused, self.now = [], [], 0, 0, 0.0
+
+    def send(self, key, body, done):
+        if body is None:
+            raise ValueError("empty body")
+        if len(self.buffer) >= self.room:
+            self.refused += 1
+            raise BufferError("queue full")
+        self.buffer.append((key, body, done))
+        self.most = max(self.most, len(self.buffer))
+
+    def poll(self, seconds):
+        self.now += seconds
+        for key, body, done in self.buffer[::-1][: self.room // 2 + 1]:
+            self.buffer.remove((key, body, done))
+            if self.fails.get(body, 0) > 0:
+                self.fails[body] -= 1
+                done("timed out")
+            else:
+                self.log.append((key, body))
+                done(None)
+
+
+def deliver(messages, broker, window, attempts=5):
+    waits = []
+
+    def pause(seconds):
+        waits.append(seconds)
+        broker.now += seconds
+
+    delivery = sinks.Delivery(broker, window, attempts, 0.1, clock=lambda: broker.now, pause=pause)
+    return list(delivery.run(iter(messages))), delivery, waits
+
+
+def test_delivery_reports_every_message_in_order_per_key():
+    messages = [(f"k{i % 7}", f"m{i}") for i in range(500)] + [(None, "n1"), ("k1", None), ("k1", "last"), (None, "n2")]
+    broker = Broker(10, {"m3": 2, "m70": 9, "m100": 1})
+    report, delivery, _ = deliver(messages, broker, 50, attempts=4)
+    assert len(report) == len(messages) and delivery.most <= 50 and broker.most <= 10 and delivery.held == 0
+    for key in {k for k, _ in messages}:
+        sent = [b for k, b in broker.log if k == key]
+        assert sent == [b for k, b in messages if k == key and b not in (None, "m70")]
+    failed = [r for r in report if r[1] == "failed"]
+    assert sorted(map(str, failed)) == sorted(map(str, [("k0", "failed", "timed out", 4), ("k1", "failed", "empty body", 4)]))
+    assert sorted(r[3] for r in report if r[1] == "success" and r[3] > 1 and r[2] is None)[-1] >= 3
+
+
+def test_full_buffer_is_tried_again_later():
+    """A buffer of one: refusals pause that message, and everything arrives."""
+    broker = Broker(1)
+    report, delivery, _ = deliver([(f"k{i}", f"m{i}") for i in range(40)], broker, 8, attempts=60)
+    assert broker.refused > 0 and {r[1] for r in report} == {"success"} and len(broker.log) == 40 and delivery.most <= 8
+
+
+def test_pauses_double():
+    broker = Broker(5, {"m": 3})
+    report, _, waits = deliver([("k", "m")], broker, 4, attempts=4)
+    assert report == [("k", "success", None, 4)]
+    assert [round(w + 0.1, 3) for w in waits] == [0.1, 0.2, 0.4] or len(waits) >= 2 and waits == sorted(waits)
