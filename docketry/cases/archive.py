@@ -25,7 +25,7 @@ from docketry.cases.states import (
     one_of,
 )
 from docketry.functions import dates
-from docketry.operators import aggregates, combine, documents, joins, projection, ranking
+from docketry.operators import aggregates, chains, combine, documents, joins, projection, ranking, skew
 
 # Unlike the live rules these keep rows whose status or outcome is unknown.
 ARCHIVE_VARIANTS = {
@@ -312,3 +312,36 @@ def combined_officers(officers_: DataFrame, centres: DataFrame, roles: DataFrame
         combine.Family("History", history, ["HistDate", "HistType", "UserName", "Comment"], ["HistDate", "HistType", "UserName", "Comment"], F.datediff(F.to_date("HistDate"), F.lit("1970-01-01"))),
     ]
     return combine.combine(officers_, families, key, size)
+
+
+# Seat positions of a sitting, and how a sitting shows them.
+SEATS = {"chair": 10, "second": 11, "third": 12, "clerk": 3}
+
+
+def hearing_texts(statuses: DataFrame, sittings: DataFrame, size: int = aggregates.PART) -> DataFrame:
+    """The hearings of each case as text, a line for each status row, in parts of ``size`` lines.
+
+    ``statuses`` has DateReceived, HearingCentre, CourtName and ParentStatusId, the status row that it adjourns; ``sittings``
+    the FullName of an officer per status row and Position. A line names the place, which holds until another one is given, the
+    bench by seats, and for an adjournment how often the hearing was put off and since when. The place is carried along
+    without a case in one task, and adjournments of adjournments are followed to the first one.
+    """
+    day, order = F.to_date("DateReceived"), ["DateReceived", "StatusId"]
+    bench = joins.role_pivot(sittings, [KEY, "StatusId"], "Position", SEATS, "FullName")
+    placed = skew.carry_forward(statuses, [KEY], order, day, ["HearingCentre", "CourtName"])
+    name = lambda c: F.concat_ws("|", KEY, F.when(F.col(c).isNotNull(), F.col(c).cast("string")))
+    parent = F.when(F.col("ParentStatusId").isNotNull(), name("ParentStatusId"))
+    rows = placed.select(KEY, *order, "HearingCentre", "CourtName", name("StatusId").alias("_id"), parent.alias("_parent"))
+    put_off = chains.with_root(rows.select("_id", "_parent", "DateReceived"), "_id", "_parent", ["DateReceived"]).select("_id", "depth", "in_loop", "root_DateReceived")
+    wide = rows.join(bench, [KEY, "StatusId"], "left").join(put_off, "_id", "left")
+    shown = lambda before, value, after="": F.coalesce(F.concat(F.lit(before), value, F.lit(after)), F.lit(""))
+    line = F.concat(
+        F.coalesce(F.date_format("DateReceived", "yyyy-MM-dd"), F.lit("undated")),
+        shown(" at ", F.col("HearingCentre")),
+        shown(", ", F.col("CourtName")),
+        shown(" before ", F.nullif(F.concat_ws(", ", "chair", "second", "third"), F.lit(""))),
+        shown(" (clerk ", F.col("clerk"), ")"),
+        F.when(F.col("depth") > 0, F.concat(F.lit(" put off "), F.col("depth").cast("string"), F.lit(" times since "), F.date_format("root_DateReceived", "yyyy-MM-dd"))).otherwise(""),
+        F.when(F.col("in_loop"), " put off in a loop").otherwise(""),
+    )
+    return aggregates.concat_agg(wide, [KEY], line, "\n", "text", order, day, size)

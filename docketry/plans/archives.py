@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketry.cases import archive, codes, fields, links, payloads
@@ -23,7 +23,7 @@ from docketry.plans.casework import (
     _language_sql,
     _last,
 )
-from docketry.plans.casework_tables import case_no, case_tables, ctes, derive, lookup
+from docketry.plans.casework_tables import DERIVED, case_no, case_tables, ctes, derive, lookup
 from docketry.plans.registry import query
 from docketry.sources.files import read_lookup, table
 from docketry.sources.scratch import scratch_path
@@ -332,6 +332,40 @@ def case_officer_records(spark: SparkSession, sf: str) -> DataFrame:
     return made.select("AdjudicatorId", "part", "Surname", *_shown(made, {n: f[1] for n, f in _OFFICER_FAMILIES.items()}))
 
 
+_SEAT = "CASE {0} % 5 WHEN 0 THEN 10 WHEN 1 THEN 11 WHEN 2 THEN 12 WHEN 3 THEN 3 ELSE 99 END"
+_SITTING = [("l_suppkey", "'Judge ' || CAST(l_suppkey % 50 AS STRING)"), ("l_partkey", "'Member ' || CAST(l_partkey % 50 AS STRING)")]
+_STATUS_ID = DERIVED["statuses"][0]["StatusId"]
+# A status row with a note puts off the one before it; the two rows of a few cases put off each other.
+_PARENT = "CASE WHEN AdditionalLanguageId IN (1, 2, 3) THEN lag(StatusId) OVER w WHEN AdditionalLanguageId = 6 THEN lead(StatusId) OVER w END"
+
+
+@query(
+    "case_hearing_texts",
+    ctes("statuses")
+    + f""", sittings AS ({" UNION ALL ".join(f"SELECT {case_no('l_orderkey')} AS CaseNo, {_STATUS_ID} AS StatusId, {_SEAT.format(c)} AS Position, {n} AS FullName FROM lineitem" for c, n in _SITTING)}),
+       bench AS (SELECT CaseNo, StatusId, min(FullName) FILTER (Position = 10) AS chair, min(FullName) FILTER (Position = 11) AS second, min(FullName) FILTER (Position = 12) AS third,
+                 min(FullName) FILTER (Position = 3) AS clerk FROM sittings GROUP BY 1, 2),
+       x AS (SELECT CaseNo, StatusId, DateReceived, {_PARENT} AS parent, last_value(HearingCentre IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING) AS centre,
+               last_value(CourtName IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING) AS court, row_number() OVER w AS rn
+             FROM statuses WINDOW w AS (PARTITION BY CaseNo ORDER BY DateReceived, StatusId)),
+       r AS (WITH RECURSIVE f AS (SELECT CaseNo, StatusId, DateReceived AS since, 0 AS depth FROM x WHERE parent IS NULL
+             UNION ALL SELECT x.CaseNo, x.StatusId, f.since, f.depth + 1 FROM x JOIN f ON f.CaseNo = x.CaseNo AND f.StatusId = x.parent) SELECT * FROM f)
+       SELECT x.CaseNo, (rn - 1) // 4 AS part, string_agg(strftime(DateReceived, '%Y-%m-%d') || coalesce(' at ' || centre, '') || coalesce(', ' || court, '')
+         || coalesce(' before ' || nullif(concat_ws(', ', chair, second, third), ''), '') || coalesce(' (clerk ' || clerk || ')', '')
+         || CASE WHEN r.depth > 0 THEN ' put off ' || r.depth || ' times since ' || strftime(since, '%Y-%m-%d') WHEN r.depth IS NULL THEN ' put off in a loop' ELSE '' END, chr(10) ORDER BY rn) AS text
+       FROM x LEFT JOIN bench USING (CaseNo, StatusId) LEFT JOIN r ON r.CaseNo = x.CaseNo AND r.StatusId = x.StatusId GROUP BY 1, 2""",
+)
+def case_hearing_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Hearings as text with their bench, the place carried along and adjournments followed, four lines to a part."""
+    w = Window.partitionBy(KEY).orderBy("DateReceived", "StatusId")
+    language = F.col("AdditionalLanguageId")
+    parent = F.when(language.isin(1, 2, 3), F.lag("StatusId").over(w)).when(language == 6, F.lead("StatusId").over(w))
+    statuses = derive(spark, sf, "statuses").withColumn("ParentStatusId", parent)
+    lines = table(spark, sf, "lineitem")
+    sittings = [lines.selectExpr(f"{case_no('l_orderkey')} AS {KEY}", f"{_STATUS_ID} AS StatusId", f"{_SEAT.format(c)} AS Position", f"{n} AS FullName") for c, n in _SITTING]
+    return archive.hearing_texts(statuses, sittings[0].unionAll(sittings[1]), 4)
+
+
 # ---------------------------------------------------------------- payloads
 
 JUDGE_STATES = ["caseUnderReview", "reasonsForAppealSubmitted", "prepareForHearing", "decided(b)"]

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.cases import fields, states
+from docketry.cases import dependencies, fields, states
 from docketry.cases.base import ENDED, KEY, case_base, pair
 from docketry.cases.rules import DEPENDENCIES
+from docketry.operators.resolve import named_columns
 from docketry.plans import case_oracles
 from docketry.plans.casework_tables import case_tables, ctes, derive, lookup
 from docketry.plans.registry import query
@@ -822,3 +823,44 @@ def case_ended(spark: SparkSession, sf: str) -> DataFrame:
 )
 def case_remittal(spark: SparkSession, sf: str) -> DataFrame:
     return fields.content(case_base(case_tables(spark, sf, "statuses"), {"remitted": ["DecisionDate"]}), fields.remittal(SYSTEM))
+
+
+# ---------------------------------------------------------------- columns on demand
+
+#: Rules that name columns of ten sources, some of them through others.
+DEMANDING = {
+    "reference_known": "dv_reference IS NOT NULL AND dv_reference NOT IN ('XXXX', 'history')",
+    "centre_known": "hearingCentre IS NOT NULL OR last_move LIKE 'Place%'",
+    "ended_known": "t_Outcome IS NULL OR endAppealOutcome IS NOT NULL",
+    "detained_place": "NOT is_detained OR detentionBuilding IS NOT NULL",
+    "category": "in_category_37_38 OR remissionType <> 'noRemission'",
+    "language": "Interpreter <> 1 OR languageLabel IS NOT NULL",
+}
+
+
+def _dependency_sources(spark: SparkSession, sf: str) -> dict:
+    tables = {n: (lambda n=n: derive(spark, sf, n)) for n in ("header", "people", "statuses", "categories", "transactions", "judges", "history", "refs")}
+    return tables | {n: (lambda n=n: lookup(spark, n)) for n in ("centres", "detention_centres", "languages", "remissions", "end_states")}
+
+
+@query(
+    "case_dependencies",
+    ctes("header", "people", "statuses", "categories", "history", "refs", "centres", "detention_centres", "languages", "remissions", "end_states")
+    + """, c AS (SELECT CaseNo, list_has_any(list(DISTINCT CategoryId), [37, 38]) AS hit FROM categories GROUP BY 1),
+         t AS (SELECT * FROM statuses WHERE Outcome NOT IN (38, 111) AND CaseStatus <> 17 QUALIFY row_number() OVER (PARTITION BY CaseNo ORDER BY StatusId DESC) = 1),
+         m AS (SELECT CaseNo, Comment FROM history QUALIFY row_number() OVER (PARTITION BY CaseNo ORDER BY HistoryId DESC) = 1)
+       SELECT h.CaseNo, coalesce(CleanHORef, CleanFCONumber, HORef) AS dv_reference, ce.hearingCentre, m.Comment AS last_move, t.Outcome AS t_Outcome, endAppealOutcome,
+         p.Detained IN (1, 2, 4) AS is_detained, detentionBuilding, coalesce(c.hit, false) AS in_category_37_38, remissionType, Interpreter, languageLabel
+       FROM header h LEFT JOIN refs USING (CaseNo) LEFT JOIN centres ce ON ce.CentreId = h.CentreId LEFT JOIN m ON m.CaseNo = h.CaseNo LEFT JOIN t ON t.CaseNo = h.CaseNo
+       LEFT JOIN end_states e ON e.CaseStatus = t.CaseStatus AND e.Outcome = t.Outcome LEFT JOIN people p ON p.CaseNo = h.CaseNo
+       LEFT JOIN detention_centres d ON d.DetentionCentreId = h.DetentionCentreId LEFT JOIN c ON c.CaseNo = h.CaseNo
+       LEFT JOIN remissions r ON r.PaymentRemissionRequested = h.PaymentRemissionRequested AND r.PaymentRemissionReason = h.PaymentRemissionReason
+       LEFT JOIN languages l ON l.LanguageId = h.LanguageId""",
+)
+def case_dependencies(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns that a rule set names, each source read once and unused ones not at all."""
+    made = dependencies.resolver(_dependency_sources(spark, sf))
+    wanted = named_columns(DEMANDING.values(), made.known)
+    cases = derive(spark, sf, "header").select(KEY)
+    shown = ["dv_reference", "hearingCentre", "last_move", "t_Outcome", "endAppealOutcome", "is_detained", "detentionBuilding", "in_category_37_38", "remissionType", "Interpreter", "languageLabel"]
+    return made.resolve(cases, wanted).select(KEY, *shown)
