@@ -199,7 +199,8 @@ def predict(df: DataFrame, text_col: str, model: Model, name: str = "language",
     """``df`` (or its ``carry`` columns) with a struct ``name``: ``lang`` and ``score`` (0 to 1) of the whole text.
 
     A null text, or one without a letter, is ``und`` with score 0, and so is every text when nothing could be
-    learnt. Only the text is used. Repeated rows stay; a column called ``name`` gives way.
+    learnt. Only the text is used, whole whatever its length; of equally likely languages the first learnt one is taken. Repeated rows
+    stay and get the same answer; an empty table gives an empty result; a column called ``name`` gives way.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
 

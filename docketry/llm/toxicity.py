@@ -199,8 +199,8 @@ class Scorer:
 def score(df: DataFrame, text_col: str, machine: Machine, name: str = "toxicity", carry: list[str] | None = None) -> DataFrame:
     """``df`` (or its ``carry`` columns) with a struct ``name``: ``score``, the probability from the whole text.
 
-    A null or empty text gets the score of no terms. Only the text is used. Repeated rows stay; a column
-    called ``name`` gives way.
+    A null or empty text gets the score of no terms. Only the text is used, whole whatever its length. Repeated rows stay and
+    get the same score; an empty table gives an empty result; a column called ``name`` gives way.
     """
     shared = df.sparkSession.sparkContext.broadcast(machine)
 
