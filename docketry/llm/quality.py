@@ -148,7 +148,9 @@ def judged(df: DataFrame, host_col: str, text_col: str, limits: Limits = Limits(
     stored, stored_path = written(measured, "quality")
     marks, marks_path = written(frequent_lines(stored, limits), "quality-lines")
     release(df.sparkSession, begun, keep=[stored_path, marks_path])
-    joined = stored.join(marks, F.col("__row") == F.col("__of"), "left")
+    # Rows meet their marks by row number, which no row shares, and always in the same way: sent to every task while they are
+    # few, the marks would make large inputs take another path than small ones.
+    joined = stored.join(marks.hint("shuffle_hash"), F.col("__row") == F.col("__of"), "left")
     n_words, gone = F.col("__m.n_words"), F.coalesce("__gone", F.lit(0).cast("long"))
     failed = (n_words < limits.min_words) | (100 * F.col("__m.n_repeat_words") > limits.repeat_share * n_words)
     left = n_words - gone
@@ -164,7 +166,11 @@ def judged(df: DataFrame, host_col: str, text_col: str, limits: Limits = Limits(
 
 
 def without_lines(text: Column, removed: Column) -> Column:
-    """The text without the lines at the places in ``removed``; the text itself where there is none."""
+    """The text without the lines at the places in ``removed``; the text itself where there is none.
+
+    The lambdas name no column of the row, which inside a lambda could be taken for an alias of the same select.
+    """
     lines = F.split(text, "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed)
-    return F.when(F.size(removed) == 0, text).otherwise(F.array_join(F.transform(left, lambda i: F.element_at(lines, i + 1)), "\n"))
+    kept = bind(F.struct(lines.alias("lines"), left.alias("left")), lambda s: F.array_join(F.transform(s["left"], lambda i: F.element_at(s["lines"], i + 1)), "\n"))
+    return F.when(F.size(removed) == 0, text).otherwise(kept)

@@ -139,12 +139,11 @@ def lower(text: str) -> str:
 
 def plain_quality(docs: list[dict], limits: quality.Limits) -> list[dict]:
     norm = lambda line: " ".join(words(lower(line)))
-    texts, lines = {}, {}
-    for d in docs:
-        texts.setdefault(d["source"], set()).add(d["text"])
+    lines = {}
+    for i, d in enumerate(docs):
         for line in {norm(x) for x in d["text"].split("\n")} - {""}:
-            lines.setdefault((d["source"], line), set()).add(d["text"])
-    frequent = {k for k, v in lines.items() if len(v) > limits.min_docs and len(v) * 100 > len(texts[k[0]]) * limits.share}
+            lines.setdefault((d["source"], line), set()).add(i)
+    frequent = {k for k, v in lines.items() if len(v) > limits.max_docs}
     out = []
     for d in docs:
         w = words(d["text"])
@@ -219,7 +218,7 @@ def test_pipeline_chains_its_stages(spark):
 
 
 def test_frequent_lines_are_removed(spark):
-    limits = quality.Limits(min_docs=3, share=1)
+    limits = quality.Limits(max_docs=3)
     docs = [{"source": "a", "text": "\n".join([f"Common  LINE here {'x' * (i % 2)}".strip(), *(f"own words {i} {k} of this text" for k in range(6))])} for i in range(10)]
     docs += [{"source": "a", "text": "Common line here\n" * 1 + "\n".join(f"w{k}" for k in range(3)) + " a b c d e f g h i j k l m n o p"}]
     docs += [{"source": "b", "text": "common line here\n" + " ".join(f"v{k}" for k in range(30))}]
@@ -228,6 +227,22 @@ def test_frequent_lines_are_removed(spark):
     assert sorted(map(tuple, got.collect())) == sorted((d["source"], d["text"]) for d in plain_quality([d | {"n_chars": 0} for d in docs], limits))
 
 
+def test_line_limit_does_not_grow_with_the_host(spark):
+    """A line of 60 documents goes from a host of 70 and from one that owns most rows; copies count each, and one of 50 stays."""
+    own = lambda h, i: "\n".join(f"{h} {i} own line {k} with a few more words in it" for k in range(5))
+    docs = [{"source": h, "text": own(h, i) + ("\n Some  shared LINE" if i % (n // 60) == 0 and i < 60 * (n // 60) else "\nrare line" if i < 51 else "")} for h, n in (("small", 70), ("hot", 6_000)) for i in range(n)]
+    docs += [{"source": "copies", "text": own("copies", 0)} for _ in range(52)]
+    limits = quality.Limits(max_docs=51)
+    frame = spark.createDataFrame([(i, d["source"], d["text"]) for i, d in enumerate(docs)], "doc_id long, source string, text string").repartition(24)
+    made = quality.judged(frame, "source", "text", limits)
+    got = made.filter("quality.kept").select("doc_id", quality.without_lines(quality.F.col("text"), quality.F.col("quality.removed"))).collect()
+    want = plain_quality([d | {"doc_id": i, "n_chars": 0} for i, d in enumerate(docs)], limits)
+    assert sorted(map(tuple, got)) == [(d["doc_id"], d["text"]) for d in want]
+    assert all(r["quality"]["n_removed_words"] > 0 and not r["quality"]["kept"] for r in made.filter("source = 'copies'").collect())
+    shared = made.filter("quality.n_removed_words = 3").groupBy("source").count().collect()
+    assert {r["source"]: r["count"] for r in shared} == {"small": 60, "hot": 60}
+
+
 def plain_contamination(words, items, size):
     """Places inside occurrences and the items that occur, each window looked for by itself."""
     hit, named = set(), set()
