@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from docketry.operators import joins
 
+# Over how many places rows without a reference are spread.
+SPREAD = 1000
+
 # Seat positions of a sitting.
 CHAIR, SECOND_SEAT, THIRD_SEAT, CLERK = 10, 11, 12, 3
 
@@ -17,10 +20,17 @@ def follow(df: DataFrame, column: str, side: DataFrame, key: str, take: Mapping[
     """``df`` with columns of the row that ``column`` refers to; ``take`` maps the side's names to new ones.
 
     ``side`` has one row per ``key``. Rows without a partner stay unless it is ``required``. One side may be
-    followed several times in different roles, as nothing but the new names comes along.
+    followed several times in different roles, as nothing but the new names comes along. Rows that refer to nothing
+    stay too, but have one key in common, the NULL; a second key spreads them over the tasks of a shuffle.
     """
     looked_up = side.select(F.col(key).alias("_followed"), *[F.col(c).alias(n) for c, n in take.items()])
-    return df.join(looked_up, F.col(column) == F.col("_followed"), "inner" if required else "left").drop("_followed")
+    if required:
+        return df.join(looked_up, F.col(column) == F.col("_followed")).drop("_followed")
+    place = F.pmod(F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind]), F.lit(SPREAD))
+    spread = df.withColumn("_place", F.when(F.col(column).isNull(), place).otherwise(F.lit(0).cast("long")))
+    # Always 0, but not as a literal, which the planner would take out of the keys.
+    home = looked_up.withColumn("_home", F.pmod(F.xxhash64("_followed"), F.lit(1).cast("long")))
+    return spread.join(home, (F.col(column) == F.col("_followed")) & (F.col("_place") == F.col("_home")), "left").drop("_followed", "_place", "_home")
 
 
 def seats(sittings: DataFrame) -> DataFrame:

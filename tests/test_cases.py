@@ -232,6 +232,23 @@ def test_hearings_do_not_fan_out(spark):
     assert sorted(tuple(r) for r in got) == [(1, "One", "Five", "Six", None, "Five", "Six"), (2, None, None, None, None, None, None)]
 
 
+def test_rows_without_a_reference_are_spread(spark):
+    """Rows that refer to nothing do not meet in one task, and are all kept beside those with and without a partner."""
+    rows = spark.range(4000).selectExpr("id", "IF(id % 4 = 0, id % 40, NULL) AS ref")
+    side = spark.range(0, 40, 8).selectExpr("id AS k", "concat('n', id) AS n")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = [tuple(r) for r in wide.follow(rows, "ref", side, "k", {"n": "name"}).withColumn("task", F.spark_partition_id()).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r[0] for r in got) == list(range(4000)) and all(r[2] == (f"n{r[1]}" if r[1] is not None and r[1] % 8 == 0 else None) for r in got)
+    assert len({r[3] for r in got if r[1] is None}) > 2
+
+
 def test_bench_leaves_out_barred_officers(spark):
     assigned = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "CaseNo string, AdjudicatorId int")
     officers = spark.createDataFrame([(1, "One", 0), (2, "Two", 1)], "AdjudicatorId int, Surname string, DoNotList int")
