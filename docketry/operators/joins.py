@@ -57,22 +57,44 @@ def join_any(base: DataFrame, lookup: DataFrame, shared: Column, either: Sequenc
     return base.join(lookup, shared & reduce(lambda a, b: a | b, either), "left")
 
 
-def match_any(left: DataFrame, right: DataFrame, either: Sequence[tuple[Column, Column]], how: str = "inner") -> DataFrame:
+# Pairs of one key that one task makes; a key with more is cut into so many shares of its left rows, at most ``SHARES``.
+PAIRS, SHARES = 20_000_000, 4096
+
+
+def _spread_join(left: DataFrame, right: DataFrame, a: Column, b: Column, rest: Column | None, pairs: int) -> DataFrame:
+    """Inner join by ``a`` = ``b`` and ``rest``, with the pairs of a hot key made by several tasks.
+
+    A key has as many pairs as the product of its rows on both sides says. One with more than ``pairs`` has its left rows
+    dealt to shares and its right rows copied to each. There are never more such keys than the pairs of all keys divided by
+    ``pairs``, so the list of them is small beside the result and goes to every task.
+    """
+    per_left = left.groupBy(a.alias("_key")).agg(F.count(F.lit(1)).cast("double").alias("_l"))
+    per_right = right.groupBy(b.alias("_key_r")).agg(F.count(F.lit(1)).cast("double").alias("_r"))
+    many = per_left.join(per_right, F.col("_key") == F.col("_key_r")).filter(F.col("_l") * F.col("_r") > pairs)
+    shares = F.least(F.ceil(F.col("_l") * F.col("_r") / pairs), F.lit(SHARES)).cast("long")
+    hot = F.broadcast(many.select(F.col("_key").alias("_hot"), shares.alias("_shares")))
+    place = F.pmod(F.xxhash64(*left.columns), F.coalesce("_shares", F.lit(1).cast("long")))
+    dealt = left.join(hot, a == F.col("_hot"), "left").withColumn("_place", place).drop("_hot", "_shares")
+    last = F.coalesce("_shares", F.lit(1).cast("long")) - 1
+    copied = right.join(hot, b == F.col("_hot"), "left").withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), last))).drop("_hot", "_shares")
+    same = (a == b) & (F.col("_place") == F.col("_copy"))
+    # A hint, as a side small enough to go everywhere would leave all pairs to the few tasks that read the other one.
+    joined = dealt.hint("merge").join(copied, same if rest is None else same & rest)
+    return joined.drop("_place", "_copy")
+
+
+def match_any(left: DataFrame, right: DataFrame, either: Sequence[tuple[Column, Column]], how: str = "inner", pairs: int = PAIRS) -> DataFrame:
     """Pairs for which any of the equalities ``either`` holds, each pair once, on two sides of any size.
 
     An OR of equalities has no key to shuffle by, so as one join it is a nested loop. Here each equality is a join of its own,
     and a pair is left to the first of them that holds: the later ones exclude it as they meet it, so nothing needs to be
     made distinct afterwards. ``how`` is ``inner`` or ``left``, which adds the rows of ``left`` without a partner. Columns
-    of the two sides have different names. A NULL equals nothing.
+    of the two sides have different names. A NULL equals nothing. The pairs of a key go to tasks ``pairs`` at a time.
     """
-    def pairs() -> list[DataFrame]:
-        out = []
-        for i, (a, b) in enumerate(either):
-            earlier = [F.coalesce(x == y, F.lit(False)) for x, y in either[:i]]
-            out.append(left.join(right, reduce(lambda c, e: c & ~e, earlier, a == b)))
-        return out
-
-    found = pairs()
+    found = []
+    for i, (a, b) in enumerate(either):
+        earlier = [~F.coalesce(x == y, F.lit(False)) for x, y in either[:i]]
+        found.append(_spread_join(left, right, a, b, reduce(lambda c, e: c & e, earlier) if earlier else None, pairs))
     if how == "left":
         alone = reduce(lambda df, e: df.join(right.select(e[1].alias("_other")).distinct(), e[0] == F.col("_other"), "left_anti"), either, left)
         found.append(alone.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]))

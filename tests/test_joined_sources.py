@@ -69,6 +69,24 @@ def test_match_any_gives_each_pair_once(spark, how):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+@pytest.mark.parametrize("pairs", [1, 50])
+def test_pairs_of_a_hot_key_are_made_by_several_tasks(spark, pairs):
+    """A key with many pairs is cut into shares; no pair is lost or made twice, repeated rows included."""
+    left = spark.range(300).selectExpr("id % 150 AS id", "IF(id % 10 = 0, id, 7) AS a", "id % 11 AS b")
+    right = spark.range(60).selectExpr("id % 50 AS rid", "IF(id % 3 = 0, id, 7) AS x", "id % 17 AS y")
+    either = [(F.col("a"), F.col("x")), (F.col("b"), F.col("y"))]
+    want = left.join(right, (F.col("a") == F.col("x")) | (F.col("b") == F.col("y")), "left")
+    got = joins.match_any(left, right, either, "left", pairs)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    one = joins.match_any(left.filter("a = 7"), right, either[:1], "inner", 500).withColumn("task", F.spark_partition_id())
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert one.select("task").distinct().count() > 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
 def test_match_any_is_no_nested_loop(spark):
     left, right = spark.range(1000).selectExpr("id", "id % 7 AS a", "id % 11 AS b"), spark.range(1000).selectExpr("id AS rid", "id % 7 AS x", "id % 11 AS y")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
