@@ -155,3 +155,27 @@ def test_record_json_leaves_out_what_is_empty(spark):
     made = combine.combine(spark.range(41).withColumnRenamed("id", "k"), _families(spark, 1, 2), "k", 25)
     shown = {(r["k"], r["part"]): r["j"] for r in made.select("k", "part", combine.record_json(made).alias("j")).collect()}
     assert shown[(40, 0)] == '{"k":40}' and '"f0":[{"v":' in shown[(0, 0)]
+
+
+@pytest.mark.parametrize("light", [0, 30, 10_000])
+def test_records_are_the_same_by_either_path(spark, light):
+    """All keys ranked by buckets, some, or none: the parts are those of the plain order."""
+    families = _families(spark, 2, 3)
+    records = spark.range(41).select(F.col("id").alias("k"), F.concat(F.lit("r"), F.col("id").cast("string")).alias("title"))
+    shown = lambda limit: sorted(str(r) for r in combine.combine(records, families, "k", 25, light=limit).collect())
+    assert shown(light) == shown(None)
+    texts = {"t": (F.col("v"), ",")}
+    joined = lambda limit: sorted(str(r) for r in documents.joined_parts(families[0].rows, ["k"], texts, ["o"], F.floor(F.col("o") / 5000), 25, light=limit).collect())
+    assert joined(light) == joined(None)
+    lines = lambda limit: sorted(str(r) for r in aggregates.concat_agg(families[0].rows, ["k"], F.col("v"), ",", "t", ["o"], F.floor(F.col("o") / 5000), 25, light=limit).collect())
+    assert lines(light) == lines(None)
+
+
+def test_rows_of_plain_keys_are_shuffled_once(spark):
+    """A child row moves to its key and is ranked and gathered there; the path of hot keys has the other shuffles."""
+    near, _ = skew.by_weight(_families(spark, 1, 1)[0].rows, ["k"], 1_000_000)
+    gather = lambda df, apart: df.groupBy("k", F.floor(F.col("_rn") / 25).alias("part")).agg(F.count("*").alias("n"))
+    window = near.repartition("k").withColumn("_rn", F.row_number().over(Window.partitionBy("k").orderBy("o")))
+    assert gather(window, False)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(k") == 1
+    sources = combine.combine(spark.range(41).withColumnRenamed("id", "k"), _families(spark, 1, 2), "k", 25)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftOuter" in sources and "REPARTITION_BY_COL" in sources
