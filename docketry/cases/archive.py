@@ -26,6 +26,7 @@ from docketry.cases.states import (
 )
 from docketry.functions import dates
 from docketry.operators import aggregates, chains, combine, documents, joins, projection, ranking, skew
+from docketry.sources.scratch import materialise
 
 # Unlike the live rules these keep rows whose status or outcome is unknown.
 ARCHIVE_VARIANTS = {
@@ -331,7 +332,9 @@ def hearing_texts(statuses: DataFrame, sittings: DataFrame, size: int = aggregat
     placed = skew.carry_forward(statuses, [KEY], order, day, ["HearingCentre", "CourtName"])
     name = lambda c: F.concat_ws("|", KEY, F.when(F.col(c).isNotNull(), F.col(c).cast("string")))
     parent = F.when(F.col("ParentStatusId").isNotNull(), name("ParentStatusId"))
-    rows = placed.select(KEY, *order, "HearingCentre", "CourtName", name("StatusId").alias("_id"), parent.alias("_parent"))
+    # Written once, as the chains and the lines read it several times; each reading would carry the place along anew.
+    kept = materialise(placed.select(KEY, *order, "HearingCentre", "CourtName", "ParentStatusId"), "hearings")
+    rows = kept.select(KEY, *order, "HearingCentre", "CourtName", name("StatusId").alias("_id"), parent.alias("_parent"))
     put_off = chains.with_root(rows.select("_id", "_parent", "DateReceived"), "_id", "_parent", ["DateReceived"]).select("_id", "depth", "in_loop", "root_DateReceived")
     wide = rows.join(bench, [KEY, "StatusId"], "left").join(put_off, "_id", "left")
     shown = lambda before, value, after="": F.coalesce(F.concat(F.lit(before), value, F.lit(after)), F.lit(""))
@@ -344,4 +347,5 @@ def hearing_texts(statuses: DataFrame, sittings: DataFrame, size: int = aggregat
         F.when(F.col("depth") > 0, F.concat(F.lit(" put off "), F.col("depth").cast("string"), F.lit(" times since "), F.date_format("root_DateReceived", "yyyy-MM-dd"))).otherwise(""),
         F.when(F.col("in_loop"), " put off in a loop").otherwise(""),
     )
-    return aggregates.concat_agg(wide, [KEY], line, "\n", "text", order, day, size)
+    lines = materialise(wide.select(KEY, *order, line.alias("_line")), "hearing-lines")
+    return aggregates.concat_agg(lines, [KEY], F.col("_line"), "\n", "text", order, day, size)
