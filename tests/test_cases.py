@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+import re
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from docketry.cases import archive, base, fields, payloads, states, wide
-from docketry.operators import quality
+from docketry.functions import arrays
+from docketry.operators import documents, joins, quality
 from docketry.plans import archives
 from docketry.plans.casework_tables import case_tables
 
@@ -267,3 +269,49 @@ def test_archive_parts_join_to_one_record(spark):
     assert whole["b/2"][1]["HORef"] == 'x"y' and whole["c/3"][1] == {"CaseNo": "c/3", "Segment": "FT", "HORef": "z", "statuses": []}
     for page, record in whole.values():
         assert page.startswith("<html><h1>") and page.endswith("</table></html>") and page.count("<html>") == 1 and page.count("<tr>") == len(record["statuses"])
+
+
+def _optimized(df):
+    """The text of an optimized plan."""
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_failed_rules_and_flags_stay_in_generated_code(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, -1)], "id int, v int")
+    rules = {"some": "v IS NOT NULL", "positive": "v > 0", "known": "id IN (1, 2)"}
+    marked = quality.mark(df, rules)
+    assert {r["id"]: (r["failed_rules"], r["is_valid"]) for r in marked.collect()} == {
+        1: ([], True), 2: (["some", "positive"], False), 3: (["positive", "known"], False),
+    }
+    assert quality.mark(df, {}).filter("is_valid").count() == 3
+    flag = lambda n: F.struct(F.lit(n).alias("name"))
+    pairs = [(F.col("v") > 0, flag("a")), (F.col("id") < 3, flag("b")), (F.col("id") < 2, flag("b")), (F.lit(True), F.when(F.col("id") == 2, flag("c")))]
+    flagged = df.select("id", arrays.flag_array(pairs).alias("flags"))
+    got = {r["id"]: r["flags"] and [x["name"] for x in r["flags"]] for r in flagged.collect()}
+    assert got == {1: ["a", "b", "b"], 2: ["b", "c"], 3: None}
+    # A function over elements would have its conditions interpreted.
+    assert "lambda" not in _optimized(marked) + _optimized(flagged)
+
+
+def test_read_back_parses_a_document_that_is_written_before(spark):
+    df = spark.createDataFrame([(1, "x"), (2, None)], "id int, t string").withColumn("content", F.to_json(F.struct("id", "t")))
+    read = df.select("id", documents.read_back(F.col("content"), "t string").alias("c")).select("id", "c.t")
+    assert {r["id"]: r["t"] for r in read.collect()} == {1: "x", 2: None}
+    # Planned into the parser, the whole document would be interpreted.
+    assert not re.search(r"from_json\([^\n]*to_json", _optimized(read))
+
+
+def test_packed_columns_come_back_with_their_rows(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "x"), (None, 2, None)], "k string, n int, t string")
+    lookup = spark.createDataFrame([(1, "one")], "m int, name string")
+    packed = joins.pack(df, ["n"], "_rest")
+    assert packed.columns == ["n", "_rest"]
+    got = joins.unpack(packed.join(lookup, F.col("n") == F.col("m"), "left"), "_rest").select("k", "n", "t", "name")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("a", 1, "x", "one")] * 2 + [(None, 2, None, None)], key=str)
+
+
+def test_lookups_are_broadcast(spark):
+    from docketry.plans.casework_tables import lookup
+
+    cases = spark.range(3).withColumn("CentreId", F.col("id").cast("int"))
+    assert "strategy=broadcast" in _optimized(cases.join(lookup(spark, "centres"), "CentreId", "left"))
