@@ -63,15 +63,20 @@ def pair(row: str, codes: dict[int, Iterable[int]]) -> str:
     ) + ")"
 
 
-def status_summary(statuses: DataFrame, variants: Mapping[str, Iterable[str]], order: str = "StatusId") -> DataFrame:
+def status_summary(
+    statuses: DataFrame, variants: Mapping[str, Iterable[str]], order: str = "StatusId", read: Mapping[str, Iterable[str]] | None = None
+) -> DataFrame:
     """The latest status row of each variant as a struct, from one aggregate over the history.
 
     ``variants`` names the fields wanted from each, so that no other column is shuffled. The status id
-    is unique in a case.
+    is unique in a case. ``read`` names those of them that are used: fields behind the last of these are not shuffled, those
+    before it still break the ties of a repeated status id as they did.
     """
 
     def row(name: str) -> Column:
-        return F.struct(order, *[c for c in dict.fromkeys(variants[name]) if c != order])
+        names = [order, *[c for c in dict.fromkeys(variants[name]) if c != order]]
+        used = names if read is None else read.get(name, [])
+        return F.struct(*names[: 1 + max([names.index(c) for c in used], default=0)])
 
     wanted = [STATUS_VARIANTS[v] for v in variants if v != "ended"]
     if "ended" in variants:
@@ -87,7 +92,11 @@ def status_summary(statuses: DataFrame, variants: Mapping[str, Iterable[str]], o
             .otherwise(plain)
             .alias("s_ended")
         )
-    return statuses.groupBy(KEY).agg(*aggs)
+    summary = statuses.groupBy(KEY).agg(*aggs)
+    if read is None:
+        return summary
+    kept = {v: F.struct(*[F.col(f"s_{v}.{c}") for c in dict.fromkeys([*read.get(v, [])] or [order])]) for v in variants}
+    return summary.select(KEY, *[F.when(F.col(f"s_{v}").isNotNull(), row).alias(f"s_{v}") for v, row in kept.items()])
 
 
 def main_party(people: DataFrame) -> DataFrame:
@@ -166,13 +175,13 @@ def previous_location(history: DataFrame) -> DataFrame:
     return newest.select(KEY, F.split("Comment", ",")[0].alias("prev_location"))
 
 
-def case_base(tables: CaseTables, variants: Mapping[str, Iterable[str]] | None = None) -> DataFrame:
+def case_base(tables: CaseTables, variants: Mapping[str, Iterable[str]] | None = None, read: Mapping[str, Iterable[str]] | None = None) -> DataFrame:
     """One row per case. Only the parts that are asked for, or whose tables are given, are joined."""
     sides = []
     if tables.people is not None:
         sides.append(main_party(tables.people))
     if variants:
-        sides.append(status_summary(tables.statuses, variants))
+        sides.append(status_summary(tables.statuses, variants, read=read))
     if tables.categories is not None:
         sides.append(category_set(tables.categories))
     if tables.transactions is not None:

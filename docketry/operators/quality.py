@@ -64,13 +64,36 @@ def quarantine_path(path: Column, valid: Column, valid_folder: str = "/JSON/", i
     return F.when(valid, path).otherwise(F.replace(path, F.lit(valid_folder), F.lit(invalid_folder)))
 
 
-def rule_counts(df: DataFrame, rules: Rules) -> DataFrame:
-    """Passed and failed rows per rule, in one pass over the data."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_total"), *[F.count_if(~passes(r)).alias(n) for n, r in rules.items()]
-    )
-    rows = [F.struct(F.lit(n).alias("rule"), (F.col("_total") - F.col(n)).alias("passed"), F.col(n).alias("failed")) for n in rules]
-    return counts.select(F.inline(F.array(*rows)))
+def failing(rules: Rules, numbers: Mapping[str, int]) -> Column:
+    """The numbers of the failing rules as a text, each with a comma behind it; empty for most rows of good data."""
+    return F.concat(F.lit(""), *[F.when(passes(r), F.lit("")).otherwise(F.lit(f"{numbers[n]},")) for n, r in rules.items()])
+
+
+def numbered(rules: Rules) -> dict[str, int]:
+    return {n: i for i, n in enumerate(rules)}
+
+
+def rule_counts(df: DataFrame, rules: Rules, settled: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Passed and failed rows per rule, in one pass over the data.
+
+    Rows are counted by the rules they fail together: one key and one count for a row, where a count per rule is a buffer of as
+    many columns as there are rules, written anew for every row. ``settled`` maps columns that hold the ``failing`` text of rules
+    that were looked at before, when their columns were at hand, to the names of these rules.
+    """
+    numbers, settled = numbered(rules), settled or {}
+    done = {n for names in settled.values() for n in names}
+    text = F.concat(*settled, failing({n: r for n, r in rules.items() if n not in done}, numbers))
+    together = df.select(text.alias("_failing")).groupBy("_failing").agg(F.count(F.lit(1)).alias("_n"))
+    # Behind the last comma stands one empty piece, so the empty number counts all rows.
+    single = together.select(F.explode(F.split("_failing", ",")).alias("_rule"), "_n").groupBy("_rule").agg(F.sum("_n").alias("_n"))
+    found = single.agg(F.map_from_entries(F.collect_list(F.struct("_rule", "_n"))).alias("_n"))
+
+    def count(number: Column) -> Column:
+        return F.coalesce(F.col("_n")[number], F.lit(0).cast("long"))
+
+    failed = count(F.col("_number").cast("string"))
+    each = found.select("_n", F.posexplode(F.array(*map(F.lit, rules)).cast("array<string>")).alias("_number", "rule"))
+    return each.select("rule", (count(F.lit("")) - failed).alias("passed"), failed.alias("failed"))
 
 
 def expect_or_fail(df: DataFrame, rules: Rules) -> DataFrame:

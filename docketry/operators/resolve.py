@@ -50,6 +50,11 @@ def named_columns(rules: Iterable[str], known: Iterable[str]) -> list[str]:
     return [c for c in known if c in words]
 
 
+def words_of(value: Column) -> set[str]:
+    """The words of an expression as it is written: all columns it reads, and others that only look like columns."""
+    return set(_NAME.findall(str(value)))
+
+
 class Resolver:
     """Sources and derived columns for records with a key."""
 

@@ -386,26 +386,29 @@ _READ = [
 ]
 
 
-def state_base(spark: SparkSession, sf: str, state: str, whole: bool = False) -> DataFrame:
+def state_base(
+    spark: SparkSession, sf: str, state: str, whole: bool = False, read: Mapping[str, Sequence[str]] | None = None, settle: payloads.Settle = lambda df: df
+) -> DataFrame:
     """The base of a state: its status rows and the lookups of the states it builds on.
 
     A case has some 150 columns and passes up to fifteen joins. ``whole`` is for content that uses nearly all of them: they travel
     as one value. Without it the planner drops the columns that are not asked for, which is better where many are not.
+    ``read`` and ``settle`` are those of ``status_summary`` and ``rule_results``.
     """
     path = quality.state_path(state, payloads.PREVIOUS)
     needed = ["people", "statuses", "categories", "refs", "history"]
     needed += ["transactions"] if "appealSubmitted" in path else []
     needed += ["judges"] if any(s in path for s in JUDGE_STATES) else []
     tables = case_tables(spark, sf, *needed)
-    header = fields.with_rep_place(tables.header, NAMES)
+    header = settle(fields.with_rep_place(tables.header, NAMES))
     if whole:
         header = joins.pack(header, [KEY, "HORef", *_READ], "_header")
-    base = fields.with_reference(fields.with_place(case_base(replace(tables, header=header), payloads.variants(state))))
+    base = settle(fields.with_reference(fields.with_place(case_base(replace(tables, header=header), payloads.variants(state), read))))
     if whole:
         base = joins.pack(base, [KEY, *_READ], "_case")
     base = fields.with_centres(base, lookup(spark, "centres"), lookup(spark, "area_centres"), lookup(spark, "detention_centres"))
     # The lookup holds one row per reason, so a case stays one row.
-    base = fields.with_remission(base, lookup(spark, "remissions"), lenient="appealSubmitted" in path)
+    base = settle(fields.with_remission(base, lookup(spark, "remissions"), lenient="appealSubmitted" in path))
     for name, join in _LOOKED_UP.items():
         if name in path:
             base = join(base, spark)
@@ -493,7 +496,7 @@ def rules_query(state: str):
     @query(f"case_rules_{state}", _rules_sql(state))
     def run(spark: SparkSession, sf: str) -> DataFrame:
         """Passed and failed cases per rule of a state: its own rules and all that it inherits."""
-        return payloads.rule_results(state_base(spark, sf, state), state, CONTEXT)
+        return payloads.rule_results(lambda read, settle: state_base(spark, sf, state, read=read, settle=settle), state, CONTEXT)
 
     return run
 

@@ -315,3 +315,54 @@ def test_lookups_are_broadcast(spark):
 
     cases = spark.range(3).withColumn("CentreId", F.col("id").cast("int"))
     assert "strategy=broadcast" in _optimized(cases.join(lookup(spark, "centres"), "CentreId", "left"))
+
+
+def test_rules_are_settled_where_their_columns_are_known(spark):
+    """A rule that needs no lookup is settled before any join, and the columns that only it reads stay behind."""
+    stages = []
+
+    def made(read, settle):
+        def noted(df):
+            stages.append(settle(df))
+            return stages[-1]
+
+        return archives.state_base(spark, SF, "ended", read=read, settle=noted)
+
+    found = payloads.rule_results(made, "ended", archives.CONTEXT)
+    rules = payloads.rules("ended", archives.CONTEXT.system)
+    plain = quality.rule_counts(payloads.checked(archives.state_base(spark, SF, "ended"), "ended", archives.CONTEXT), rules)
+    counts = {tuple(r) for r in found.collect()}
+    assert counts == {tuple(r) for r in plain.collect()} and {r[0] for r in counts} == set(rules)
+    # The base is made once for the names of its columns, and once with its rules.
+    assert len(stages) == 6 and {"_settled_0", "_settled_1", "_settled_2"} <= set(stages[-1].columns)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        above = _optimized(payloads.rule_results(made, "ended", archives.CONTEXT)).split("Join LeftOuter")[0]
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert "s_permission" in above and "DateAppealReceived" not in above and "Rep_Email" not in above
+
+
+def test_status_fields_that_are_not_read_are_not_carried(spark):
+    rows = [("a", 1, 37, 1, "x", "p"), ("a", 1, 37, 1, "y", "o"), ("a", None, 37, 3, "z", "z"), ("b", 2, 50, None, "w", "q"), (None, 3, 37, 2, "v", "r")]
+    df = spark.createDataFrame(rows, "CaseNo string, StatusId int, CaseStatus int, Outcome int, Notes string, CourtName string")
+    variants = {"any": ["Outcome", "Notes", "CourtName"], "listed": ["Notes"]}
+    whole, part = base.status_summary(df, variants), base.status_summary(df, variants, read={"any": ["Notes"]})
+    # Of two rows with one id, the earlier fields decide as before.
+    assert {r["CaseNo"]: r["s_any"]["Notes"] for r in part.collect()} == {r["CaseNo"]: r["s_any"]["Notes"] for r in whole.collect()}
+    assert {r["CaseNo"]: r["s_listed"] is None for r in part.collect()} == {"a": False, "b": True, None: False}
+    assert part.schema["s_any"].dataType.names == ["Notes"] and "CourtName" not in _optimized(part.select("CaseNo", "s_any.Notes"))
+
+
+def test_rules_are_counted_by_what_fails_together(spark):
+    rules = {"some": "v IS NOT NULL", "positive": "v > 0", "known": "id IN (1, 2)", "all": "TRUE"}
+    df = spark.createDataFrame([(1, 5), (2, None), (3, -1), (3, -1), (None, None)], "id int, v int")
+    expected = {"some": (3, 2), "positive": (1, 4), "known": (2, 3), "all": (5, 0)}
+    got = quality.rule_counts(df, rules)
+    assert {r["rule"]: (r["passed"], r["failed"]) for r in got.collect()} == expected
+    # One key and one count for a row, however many rules there are.
+    assert "count_if" not in _optimized(got) and _optimized(got).count("count(1)") == 1
+    early = df.select("id", "v", quality.failing({"positive": rules["positive"], "some": rules["some"]}, quality.numbered(rules)).alias("early"))
+    assert {r["rule"]: (r["passed"], r["failed"]) for r in quality.rule_counts(early, rules, {"early": ["positive", "some"]}).collect()} == expected
+    empty = {r["rule"]: (r["passed"], r["failed"]) for r in quality.rule_counts(df.limit(0), rules).collect()}
+    assert empty == dict.fromkeys(rules, (0, 0)) and quality.rule_counts(df, {}).collect() == []
