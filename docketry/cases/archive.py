@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.cases import codes
@@ -319,26 +319,13 @@ def combined_officers(officers_: DataFrame, centres: DataFrame, roles: DataFrame
 SEATS = {"chair": 10, "second": 11, "third": 12, "clerk": 3}
 
 
-def hearing_texts(statuses: DataFrame, sittings: DataFrame, size: int = aggregates.PART) -> DataFrame:
-    """The hearings of each case as text, a line for each status row, in parts of ``size`` lines.
+# Cases with at most so many status rows, and so many of them with a bench, are written where one shuffle brings them.
+SHORT = 50
 
-    ``statuses`` has DateReceived, HearingCentre, CourtName and ParentStatusId, the status row that it adjourns; ``sittings``
-    the FullName of an officer per status row and Position. A line names the place, which holds until another one is given, the
-    bench by seats, and for an adjournment how often the hearing was put off and since when. The place is carried along
-    without a case in one task, and adjournments of adjournments are followed to the first one.
-    """
-    day, order = F.to_date("DateReceived"), ["DateReceived", "StatusId"]
-    bench = joins.role_pivot(sittings, [KEY, "StatusId"], "Position", SEATS, "FullName")
-    placed = skew.carry_forward(statuses, [KEY], order, day, ["HearingCentre", "CourtName"])
-    name = lambda c: F.concat_ws("|", KEY, F.when(F.col(c).isNotNull(), F.col(c).cast("string")))
-    parent = F.when(F.col("ParentStatusId").isNotNull(), name("ParentStatusId"))
-    # Written once, as the chains and the lines read it several times; each reading would carry the place along anew.
-    kept = materialise(placed.select(KEY, *order, "HearingCentre", "CourtName", "ParentStatusId"), "hearings")
-    rows = kept.select(KEY, *order, "HearingCentre", "CourtName", name("StatusId").alias("_id"), parent.alias("_parent"))
-    put_off = chains.with_root(rows.select("_id", "_parent", "DateReceived"), "_id", "_parent", ["DateReceived"]).select("_id", "depth", "in_loop", "root_DateReceived")
-    wide = rows.join(bench, [KEY, "StatusId"], "left").join(put_off, "_id", "left")
+
+def _line() -> Column:
     shown = lambda before, value, after="": F.coalesce(F.concat(F.lit(before), value, F.lit(after)), F.lit(""))
-    line = F.concat(
+    return F.concat(
         F.coalesce(F.date_format("DateReceived", "yyyy-MM-dd"), F.lit("undated")),
         shown(" at ", F.col("HearingCentre")),
         shown(", ", F.col("CourtName")),
@@ -347,5 +334,109 @@ def hearing_texts(statuses: DataFrame, sittings: DataFrame, size: int = aggregat
         F.when(F.col("depth") > 0, F.concat(F.lit(" put off "), F.col("depth").cast("string"), F.lit(" times since "), F.date_format("root_DateReceived", "yyyy-MM-dd"))).otherwise(""),
         F.when(F.col("in_loop"), " put off in a loop").otherwise(""),
     )
-    lines = materialise(wide.select(KEY, *order, line.alias("_line")), "hearing-lines")
-    return aggregates.concat_agg(lines, [KEY], F.col("_line"), "\n", "text", order, day, size)
+
+
+def _bench(sittings: DataFrame) -> DataFrame:
+    return joins.role_pivot(sittings, [KEY, "StatusId"], "Position", SEATS, "FullName")
+
+
+def _followed(own_parent: Column, own_date: Column) -> Column:
+    """Depth, loop and first date of a chain inside its case: ``_ids``, ``_parents`` and ``_dates`` are those of all rows of the case.
+
+    As many steps as the case has rows lead to the root; a row that still has a parent then is in a loop or ends in one.
+    """
+    start = F.struct(own_parent.alias("at"), F.lit(0).cast("long").alias("depth"), own_date.alias("since"))
+
+    def up(s: Column, _: Column) -> Column:
+        row = F.get("_parents", (F.array_position("_ids", s["at"]) - 1).cast("int"))
+        there = F.struct(row["p"].alias("at"), (s["depth"] + 1).alias("depth"), row["d"].alias("since"))
+        return F.when(F.array_contains("_ids", s["at"]), there).otherwise(s)
+
+    return F.aggregate("_ids", start, up)
+
+
+def _short_cases(statuses: DataFrame, sittings: DataFrame, size: int, tasks: int | None) -> DataFrame:
+    """The texts of the cases whose chains are followed where their rows meet, and the rows of all others in ``_far``.
+
+    Status rows and sittings are shuffled by case once each. A case is left to the others if it has no number, over ``SHORT`` rows or
+    benches, or rows whose status id is missing or repeats.
+    """
+    order = ["DateReceived", "StatusId"]
+    case = Window.partitionBy(KEY)
+    along = case.orderBy(*order)
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    same = statuses.schema["ParentStatusId"].dataType == statuses.schema["StatusId"].dataType
+    as_id = (lambda c: F.col(c)) if same else (lambda c: F.col(c).cast("string"))
+    placed = statuses.select(
+        KEY, *order, "ParentStatusId",
+        *[F.last(c, ignorenulls=True).over(so_far).alias(c) for c in ("HearingCentre", "CourtName")],
+        F.row_number().over(along).alias("_rn"), F.count(F.lit(1)).over(whole).alias("_n"),
+    )
+    short = F.col("_n") <= SHORT
+    gathered = placed.select(
+        "*",
+        F.collect_list(F.when(short, as_id("StatusId"))).over(whole).alias("_ids"),
+        # The two lists skip other rows; they only count when every row has an id.
+        F.collect_list(F.when(short, F.struct(as_id("ParentStatusId").alias("p"), F.col("DateReceived").alias("d")))).over(whole).alias("_parents"),
+    )
+    far = F.col(KEY).isNull() | (F.size(F.array_distinct("_ids")) < F.col("_n"))
+    kept = [KEY, *order, "ParentStatusId", "HearingCentre", "CourtName"]
+    chained = gathered.select(*kept, "_rn", far.alias("_apart"), F.when(~far, _followed(as_id("ParentStatusId"), F.col("DateReceived"))).alias("_chain"), F.when(~far, F.col("_ids")).alias("_ids"))
+    looped = F.coalesce(F.array_contains("_ids", F.col("_chain.at")), F.lit(False))
+    rows = chained.select(
+        *kept, "_rn", "_apart", F.when(~looped, F.col("_chain.depth")).alias("depth"), looped.alias("in_loop"), F.col("_chain.since").alias("root_DateReceived")
+    )
+    # A join by case and status row would shuffle both sides again, so the benches of a case go to its rows as one list.
+    seated = sittings.filter(F.col(KEY).isNotNull() & F.col("StatusId").isNotNull() & F.col("Position").isin(*SEATS.values()))
+    benches = ranking.top_n(_bench(skew.dealt(seated, [KEY], tasks)), [KEY], [F.col("StatusId")], SHORT + 1)
+    listed = benches.groupBy(KEY).agg(F.collect_list(F.struct("StatusId", *SEATS)).alias("_benches"))
+    own = F.get("_benches", (F.array_position("_benches.StatusId", F.col("StatusId")) - 1).cast("int"))
+    wide = rows.join(listed, KEY, "left").select(
+        *rows.columns, (F.col("_apart") | (F.coalesce(F.size("_benches"), F.lit(0)) > SHORT)).alias("_aside"), own.alias("_bench")
+    ).select("*", *[F.col(f"_bench.{c}").alias(c) for c in SEATS]).drop("_apart", "_bench")
+    lines = wide.select(*kept, F.floor((F.col("_rn") - 1) / size).cast("long").alias("part"), F.col("_aside").alias("_apart"), _line().alias("_text"))
+    texts = F.sort_array(F.collect_list(F.when(~F.col("_apart") & F.col("_text").isNotNull(), F.struct(*order, "_text"))))
+    return lines.groupBy(KEY, "part").agg(
+        F.nullif(F.array_join(F.transform(texts, lambda r: r["_text"]), "\n"), F.lit("")).alias("text"), F.collect_list(F.when(F.col("_apart"), F.struct(*kept))).alias("_far")
+    )
+
+
+def _long_cases(kept: DataFrame, sittings: DataFrame, size: int) -> DataFrame:
+    """The texts of cases of any length, with status rows that may repeat; ``kept`` is written, as it is read several times."""
+    order = ["DateReceived", "StatusId"]
+    name = lambda c: F.concat_ws("|", KEY, F.when(F.col(c).isNotNull(), F.col(c).cast("string")))
+    parent = F.when(F.col("ParentStatusId").isNotNull(), name("ParentStatusId"))
+    rows = kept.select(KEY, *order, "HearingCentre", "CourtName", name("StatusId").alias("_id"), parent.alias("_parent"))
+    put_off = chains.with_root(rows.select("_id", "_parent", "DateReceived"), "_id", "_parent", ["DateReceived"]).select("_id", "depth", "in_loop", "root_DateReceived")
+    bench = _bench(sittings.join(kept.select(KEY).distinct(), KEY, "left_semi"))
+    wide = rows.join(bench, [KEY, "StatusId"], "left").join(put_off, "_id", "left")
+    lines = materialise(wide.select(KEY, *order, _line().alias("_line")), "hearing-lines")
+    return aggregates.concat_agg(lines, [KEY], F.col("_line"), "\n", "text", order, F.to_date("DateReceived"), size)
+
+
+def hearing_texts(
+    statuses: DataFrame, sittings: DataFrame, size: int = aggregates.PART, tasks: int | None = None, light: int | None = None, weighed: Sequence[DataFrame] | None = None
+) -> DataFrame:
+    """The hearings of each case as text, a line for each status row, in parts of ``size`` lines.
+
+    ``statuses`` has DateReceived, HearingCentre, CourtName and ParentStatusId, the status row that it adjourns; ``sittings``
+    the FullName of an officer per status row and Position. A line names the place, which holds until another one is given, the
+    bench by seats, and for an adjournment how often the hearing was put off and since when.
+
+    Cases of some ``SHORT`` rows are written where one shuffle of status rows and one of sittings bring them; ``tasks`` is the
+    number of tasks that the status rows were dealt to, if they were. For all others, and those of keys that may be hot, the place is carried along without a case in one task, and
+    adjournments of adjournments are followed to the first one in rounds. ``weighed`` has the same cases as the two, for rows
+    that are cheaper to count.
+    """
+    order = ["DateReceived", "StatusId"]
+    full = skew.full_cells([df.select(KEY) for df in weighed or (statuses, sittings)], [KEY], light)
+    near, near_sittings = (skew.in_cells(df, [KEY], full, False) for df in (statuses, sittings))
+    written = materialise(_short_cases(near, near_sittings, size, tasks), "hearings")
+    found = written.filter(F.size("_far") == 0).select(KEY, "part", "text")
+    rest = written.filter(F.size("_far") > 0).select(F.inline("_far"))
+    if full is not None:
+        hot = skew.in_cells(statuses, [KEY], full, True)
+        carried = skew.carry_forward(hot, [KEY], order, F.to_date("DateReceived"), ["HearingCentre", "CourtName"])
+        rest = materialise(rest.unionByName(carried.select(*rest.columns)), "hearings")
+    return found if rest.isEmpty() else found.unionByName(_long_cases(rest, sittings, size))

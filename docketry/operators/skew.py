@@ -67,13 +67,52 @@ def in_parts(df: DataFrame, keys: Sequence[str], order: Order, coarse: Column |
 CELLS, LIGHT = 65_536, 1_000_000
 
 
+# Bytes of given tables, as the planner estimates them, whose rows one task can sort in memory: rows grow some ten times when read.
+TASK_BYTES, MOST_TASKS = 8_000_000, 4096
+
+
+def width(*frames: DataFrame) -> int | None:
+    """How many tasks a shuffle of ``frames`` needs for each to sort its rows in memory; None where the session's own number will do.
+
+    It follows the sizes in the plans, so no job runs. A task with more rows than it can hold writes them to disk once for each sort.
+    """
+    size = sum(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for df in frames)
+    wanted = min(-(-size // TASK_BYTES), MOST_TASKS)
+    return wanted if wanted > int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def dealt(df: DataFrame, keys: Sequence[str], tasks: int | None) -> DataFrame:
+    """Rows shuffled by ``keys`` to so many tasks (``width``)."""
+    return df.repartition(tasks, *keys) if tasks else df.repartition(*keys)
+
+
+def _cell(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(CELLS).cast("long"))
+
+
+def full_cells(frames: Sequence[DataFrame], keys: Sequence[str], light: int | None = None) -> DataFrame | None:
+    """The cells of keys with over ``light`` rows in one of ``frames``, as a small table of fixed rows, or None. Runs a job for each frame."""
+    found: set[int] = set()
+    for df in frames:
+        counts = df.groupBy(_cell(keys).alias("_full")).agg(F.count(F.lit(1)).alias("_n"))
+        found |= {r["_full"] for r in counts.filter(F.col("_n") > (LIGHT if light is None else light)).collect()}
+    return F.broadcast(frames[0].sparkSession.createDataFrame([(c,) for c in sorted(found)], "_full bigint")) if found else None
+
+
+def in_cells(df: DataFrame, keys: Sequence[str], full: DataFrame | None, inside: bool) -> DataFrame:
+    """Rows whose key is in one of the cells, or those whose key is in none."""
+    if full is None:
+        return df.limit(0) if inside else df
+    return df.join(full, _cell(keys) == F.col("_full"), "left_semi" if inside else "left_anti")
+
+
 def by_weight(df: DataFrame, keys: Sequence[str], light: int) -> tuple[DataFrame, DataFrame]:
     """Rows whose key has at most ``light`` rows for sure, and the others.
 
     Rows are counted by a hash of the key, so there are at most ``CELLS`` counts whatever the input. A cell with many rows goes
     to the others as a whole; a row is in exactly one of the two.
     """
-    marked = df.withColumn("_cell", F.pmod(F.xxhash64(*keys), F.lit(CELLS).cast("long")))
+    marked = df.withColumn("_cell", _cell(keys))
     counts = marked.groupBy(F.col("_cell").alias("_full")).agg(F.count(F.lit(1)).alias("_n"))
     full = F.broadcast(counts.filter(F.col("_n") > light).select("_full"))
     in_full = F.col("_cell") == F.col("_full")

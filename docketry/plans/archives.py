@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docketry.cases import archive, codes, fields, links, payloads
 from docketry.cases.base import KEY, case_base
-from docketry.operators import documents, joins, linking, projection, quality
+from docketry.operators import documents, joins, linking, projection, quality, skew
 from docketry.plans import case_oracles
 from docketry.plans.casework import (
     _CATS,
@@ -362,10 +362,14 @@ def case_hearing_texts(spark: SparkSession, sf: str) -> DataFrame:
     w = Window.partitionBy(KEY).orderBy("DateReceived", "StatusId")
     language = F.col("AdditionalLanguageId")
     parent = F.when(language.isin(1, 2, 3), F.lag("StatusId").over(w)).when(language == 6, F.lead("StatusId").over(w))
-    statuses = derive(spark, sf, "statuses").withColumn("ParentStatusId", parent)
     lines = table(spark, sf, "lineitem")
     sittings = [lines.selectExpr(f"{case_no('l_orderkey')} AS {KEY}", f"{_STATUS_ID} AS StatusId", f"{_SEAT.format(c)} AS Position", f"{n} AS FullName") for c, n in _SITTING]
-    return archive.hearing_texts(statuses, sittings[0].unionAll(sittings[1]), 4)
+    seated = sittings[0].unionAll(sittings[1])
+    statuses = derive(spark, sf, "statuses").select(KEY, "StatusId", "DateReceived", "HearingCentre", "CourtName", "AdditionalLanguageId")
+    tasks = skew.width(statuses, seated)
+    # Shuffled here by the case, the rows stay where they are for all that follows.
+    placed = (statuses.repartition(tasks, KEY) if tasks else statuses).withColumn("ParentStatusId", parent)
+    return archive.hearing_texts(placed, seated, 4, tasks, weighed=[statuses, seated])
 
 
 # ---------------------------------------------------------------- payloads

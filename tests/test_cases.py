@@ -14,6 +14,7 @@ from docketry.functions import arrays
 from docketry.operators import documents, joins, quality
 from docketry.plans import archives
 from docketry.plans.casework_tables import case_tables
+from docketry.sources import scratch
 
 SF = "/root/testdata/sf0.001"
 STATUS = "CaseNo string, StatusId long, CaseStatus int, Outcome int, KeyDate timestamp, DecisionReserved int, AdjudicatorId int, DecisionDate timestamp"
@@ -257,6 +258,46 @@ def test_bench_leaves_out_barred_officers(spark):
     assert [(r["CaseNo"], r["judge"]) for r in wide.bench(assigned, officers).collect()] == [("a", "One")]
 
 
+def _hearings(spark):
+    """Status rows and sittings: a chain, a loop, a parent that is not there, a repeated and a missing id, no number, and many rows."""
+    rows = [
+        ("a", 1, "2020-01-01", "X", None, None), ("a", 2, "2020-01-02", None, "C", 1), ("a", 3, "2020-01-03", None, None, 2), ("a", 4, None, "Y", None, 99),
+        ("loop", 1, "2020-02-01", "X", None, 2), ("loop", 2, "2020-02-02", None, None, 1), ("loop", 3, "2020-02-03", None, None, 2),
+        ("twice", 1, "2020-03-01", "X", None, None), ("twice", 2, "2020-03-02", None, "D", 1), ("twice", 2, "2020-03-02", None, "D", 1),
+        ("hole", None, "2020-04-01", "X", None, None), ("hole", 5, "2020-04-02", None, None, None), (None, 7, "2020-05-01", "X", None, None),
+        ("benches", 1, "2020-06-01", "X", None, None),
+        *[("long", i, f"2021-01-{1 + i % 28:02d}", "L" if i % 9 == 0 else None, None, i - 1 if i else None) for i in range(archive.SHORT + 20)],
+    ]
+    statuses = spark.createDataFrame(rows, "CaseNo string, StatusId long, DateReceived string, HearingCentre string, CourtName string, ParentStatusId long")
+    sat = [("a", 2, 10, "J1"), ("a", 2, 10, "J0"), ("a", 2, 3, "K"), ("a", 3, 99, "none"), ("twice", 2, 11, "J2"), ("hole", None, 10, "J3"), (None, 7, 10, "J4"), ("long", 60, 12, "J5")]
+    sat += [("benches", i, 10, f"J{i}") for i in range(archive.SHORT + 5)]
+    return statuses.withColumn("DateReceived", F.col("DateReceived").cast("timestamp_ntz")), spark.createDataFrame(sat, "CaseNo string, StatusId long, Position int, FullName string")
+
+
+def test_hearing_texts_are_the_same_by_either_path(spark):
+    statuses, sittings = _hearings(spark)
+    short, rounds = (sorted(map(str, archive.hearing_texts(statuses, sittings, 4, light=n).collect())) for n in (None, 0))
+    assert short == rounds
+    texts = {(r["CaseNo"], r["part"]): r["text"] for r in archive.hearing_texts(statuses, sittings, 4).collect()}
+    assert texts[("a", 0)] == (
+        "undated at Y\n2020-01-01 at X\n2020-01-02 at X, C before J0 (clerk K) put off 1 times since 2020-01-01\n2020-01-03 at X, C put off 2 times since 2020-01-01"
+    )
+    assert texts[("loop", 0)].count("in a loop") == 3 and "before J0" not in texts[("loop", 0)]
+    assert "before J1" in texts[("benches", 0)]
+    assert sum(f"put off {archive.SHORT + 19} times since 2021-01-01" in t for (c, _), t in texts.items() if c == "long") == 1
+
+
+def test_short_cases_write_no_rounds(spark):
+    """Chains of short cases are followed where their rows meet; only the texts are written, and each side is shuffled once."""
+    statuses, sittings = _hearings(spark)
+    begun = scratch.mark()
+    found = archive.hearing_texts(statuses.filter("CaseNo IN ('a', 'loop')"), sittings, 4)
+    assert found.count() == 2
+    assert [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in scratch._written[begun:]] == ["hearings"]
+    rows = archive._short_cases(statuses, sittings, 4, None)._jdf.queryExecution().executedPlan().toString()
+    assert rows.count("Exchange hashpartitioning(CaseNo") == 2, rows
+
+
 def test_archive_parts_join_to_one_record(spark):
     days = [None, "2020-01-05", "2021-02-06", "2021-02-06", "2023-03-07"]
     rows = [("a/1", i, 10 + i, i if i != 2 else None, d) for i, d in enumerate(days)] + [("b/2", 1, 26, 1, "2020-01-01")]
