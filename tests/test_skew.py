@@ -151,6 +151,37 @@ def test_families_add_no_shuffle(spark):
     assert exchanges[0] == exchanges[1]
 
 
+@pytest.mark.parametrize("light", [0, None])
+def test_families_of_one_table_share_its_rows(spark, light):
+    """Two families of a table, one of some of its rows, and a family whose repeated children are one: a row is shuffled once for all."""
+    rows = spark.createDataFrame([(k % 3, i, i if i % 2 else None, f"v{i % 4}") for k in range(6) for i in range(12)] + [(7, 1, None, None)], "k long, o long, seen long, v string")
+    records = spark.range(4).select(F.col("id").alias("k"))
+    shared = [
+        combine.Family("all", rows, ["v"], ["o", "v"], F.col("o")), combine.Family("seen", rows, ["seen"], ["seen", "o"], F.col("seen"), where=F.col("seen").isNotNull()),
+        combine.Family("kinds", rows.select("k", "v"), ["v"], ["v"], F.lit(0), distinct=True),
+    ]
+    apart = [
+        combine.Family("all", rows.select("*"), ["v"], ["o", "v"], F.col("o")), combine.Family("seen", rows.filter("seen IS NOT NULL"), ["seen"], ["seen", "o"], F.col("seen")),
+        combine.Family("kinds", rows.select("k", "v").distinct(), ["v"], ["v"], F.lit(0)),
+    ]
+    got, want = (sorted(map(str, combine.combine(records, f, "k", 5, light=light).collect())) for f in (shared, apart))
+    assert got == want and len(got) > 10
+    assert combine._tagged(shared, "k").count() == 2 * rows.count() and combine._tagged(apart, "k").columns[3:] == ["_source_0", "_source_1", "_source_2"]
+    assert len(combine._tagged(shared, "k").columns) == 5
+
+
+def test_tasks_follow_the_size_of_the_tables(spark, monkeypatch):
+    """A shuffle of more than a task can sort goes to more tasks than the session has; tables of unknown size do not count."""
+    small = spark.range(1000)
+    assert skew.width(small, small) is None and skew.width(spark.createDataFrame([(1,)], "id long")) is None
+    monkeypatch.setattr(skew, "TASK_BYTES", 400)
+    assert skew.width(small, small.select((F.col("id") * 2).alias("id"))) == 40
+    made = combine.combine(small.withColumnRenamed("id", "k"), _families(spark, 1, 2), "k", 25)
+    assert "REPARTITION_BY_NUM" in made._jdf.queryExecution().executedPlan().toString() and made.count() > 1000
+    monkeypatch.setattr(skew, "MOST_TASKS", 16)
+    assert skew.width(small, small) == 16
+
+
 def test_record_json_leaves_out_what_is_empty(spark):
     made = combine.combine(spark.range(41).withColumnRenamed("id", "k"), _families(spark, 1, 2), "k", 25)
     shown = {(r["k"], r["part"]): r["j"] for r in made.select("k", "part", combine.record_json(made).alias("j")).collect()}
